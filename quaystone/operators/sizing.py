@@ -1,0 +1,15 @@
+"""Size-checked broadcast: a side is broadcast only when a bounded count proves it small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it unchanged
+    (Catalyst/AQE then pick a shuffle join). The check reads at most max_rows + 1 rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
