@@ -28,8 +28,8 @@ def contract_date(c) -> Column:
     s = strip_all(c)
     iso = F.regexp_replace(s, "/", "-")
     parsed = (
-        F.when(s.rlike(_YMD8), F.try_to_date(s, F.lit("yyyyMMdd")))
-        .when(iso.rlike(_ISO_DATE_PREFIX), F.try_to_date(F.substring(iso, 1, 10), F.lit("yyyy-MM-dd")))
+        F.when(s.rlike(_YMD8), F.try_to_date(s, "yyyyMMdd"))
+        .when(iso.rlike(_ISO_DATE_PREFIX), F.try_to_date(F.substring(iso, 1, 10), "yyyy-MM-dd"))
     )
     valid = s.isNotNull() & (s != "") & ~s.isin(*DATE_PLACEHOLDERS)
     return F.when(valid & _year_ok(parsed), parsed)
@@ -40,9 +40,9 @@ def merge_date_text(c) -> Column:
     s = F.coalesce(strip_all(c), F.lit(""))
     iso = F.regexp_replace(s, "/", "-")
     parsed = F.coalesce(
-        F.when(s.rlike(_YMD8), F.try_to_date(s, F.lit("yyyyMMdd"))),
+        F.when(s.rlike(_YMD8), F.try_to_date(s, "yyyyMMdd")),
         F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"),
-               F.try_to_date(F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})", 1), F.lit("yyyy-M-d"))),
+               F.try_to_date(F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})", 1), "yyyy-M-d")),
     )
     return F.coalesce(F.when(_year_ok(parsed), F.date_format(parsed, "yyyyMMdd")), s)
 

@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = (
     "quaystone.plans.q_revenue",
+    "quaystone.plans.q_contracts",
 )
 
 
