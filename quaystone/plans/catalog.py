@@ -7,6 +7,7 @@ import importlib
 _MODULES = (
     "quaystone.plans.q_revenue",
     "quaystone.plans.q_contracts",
+    "quaystone.plans.q_worktime",
 )
 
 
