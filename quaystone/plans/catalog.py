@@ -8,6 +8,7 @@ _MODULES = (
     "quaystone.plans.q_revenue",
     "quaystone.plans.q_contracts",
     "quaystone.plans.q_worktime",
+    "quaystone.plans.q_history",
 )
 
 
