@@ -9,6 +9,7 @@ _MODULES = (
     "quaystone.plans.q_contracts",
     "quaystone.plans.q_worktime",
     "quaystone.plans.q_history",
+    "quaystone.plans.q_tickets",
 )
 
 
