@@ -10,6 +10,7 @@ _MODULES = (
     "quaystone.plans.q_worktime",
     "quaystone.plans.q_history",
     "quaystone.plans.q_tickets",
+    "quaystone.plans.q_sampling",
 )
 
 
