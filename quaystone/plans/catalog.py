@@ -11,6 +11,7 @@ _MODULES = (
     "quaystone.plans.q_history",
     "quaystone.plans.q_tickets",
     "quaystone.plans.q_sampling",
+    "quaystone.plans.q_sources",
 )
 
 
