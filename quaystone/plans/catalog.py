@@ -12,6 +12,7 @@ _MODULES = (
     "quaystone.plans.q_tickets",
     "quaystone.plans.q_sampling",
     "quaystone.plans.q_sources",
+    "quaystone.plans.q_streaming",
 )
 
 

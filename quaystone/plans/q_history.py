@@ -299,6 +299,7 @@ filt AS (
          THEN 'load' ELSE 'skipped' END AS action
   FROM incoming i LEFT JOIN stored s ON i.ticket_id = s.ticket_id)"""
 
+
 SQL = {
     "row_hash": "WITH " + _CUST.strip() + f"\nSELECT customer_id, {_HASH} AS row_hash FROM cust",
     "scd2_history": "WITH " + _HIST.strip() + """

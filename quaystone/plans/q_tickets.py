@@ -210,7 +210,7 @@ def region_fields(spark, sf_dir):
 
 
 def q_dimension_extract(spark, sf_dir):
-    return T.extract_dimensions(region_fields(spark, sf_dir), "custom_fields").drop("custom_fields")
+    return T.extract_dimensions_arrow(region_fields(spark, sf_dir), "custom_fields").drop("custom_fields")
 
 
 MAIN_MAP = {"ticketId": "ticket_id", "createDT": "create_dt", "subject": "subject", "category": "ticket_category"}
