@@ -78,7 +78,24 @@ def q_duplicate_targets(spark, sf_dir):
     return revenue.target_problems(raw_targets_from_lines(spark, sf_dir))
 
 
+def q_monthly_summary_upsert(spark, sf_dir):
+    """Upsert re-computed summary rows (targets revised for nations 0-9) into the stored
+    summary on (stat_year, stat_month, sales_platform) (M6; the M1 pattern)."""
+    from quaystone.operators.history import snapshot_upsert
+    targets = platform_targets(spark, sf_dir)
+    metrics = platform_metrics(spark, sf_dir).cache()
+    stored = revenue.build_revenue_rows(targets, metrics, STAT_YEAR, STAT_MONTH)
+    revised = targets.withColumn("revenue_target", F.when(
+        F.col("n_nationkey") < 10, F.round(F.col("revenue_target") * F.lit(1.1).cast("decimal(2,1)"), 0))
+        .otherwise(F.col("revenue_target")).cast("decimal(18,0)"))
+    changes = revenue.build_revenue_rows(revised, metrics, STAT_YEAR, STAT_MONTH).withColumn("__o", F.lit(1))
+    keys = ["stat_year", "stat_month", "sales_platform"]
+    values = [c for c in stored.columns if c not in keys]
+    return _rates_as_double(snapshot_upsert(stored, changes, keys, "__o", values))
+
+
 QUERIES = {
+    "monthly_summary_upsert": q_monthly_summary_upsert,
     "period_allocation": q_period_allocation,
     "allocation_by_platform": q_allocation_by_platform,
     "revenue_with_total": q_revenue_with_total,
@@ -141,7 +158,29 @@ SELECT stat_year, stat_month, '合计' AS sales_platform,
 FROM summary_rows GROUP BY stat_year, stat_month
 """
 
+_REVISED_TARGETS = """
+platform_targets AS (
+  SELECT sales_platform, n_nationkey,
+    CAST(CASE WHEN n_nationkey < 10 THEN round(revenue_target * CAST(1.1 AS DECIMAL(2,1)), 0) ELSE revenue_target END AS DECIMAL(18,0)) AS revenue_target
+  FROM stored_targets)"""
+
+_UPSERT_SUMMARY = (sp.with_(sp.CONTRACT_LINES, sp.PLATFORM_METRICS, sp.PLATFORM_TARGETS.replace("platform_targets AS", "stored_targets AS"),
+                            _REVISED_TARGETS, _SUMMARY) + """,
+stored AS (
+  SELECT 1998 AS stat_year, 6 AS stat_month, t.sales_platform, t.revenue_target,
+    CAST(COALESCE(m.recognized_revenue, 0) AS DECIMAL(18,0)) AS rr
+  FROM stored_targets t LEFT JOIN platform_metrics m ON t.sales_platform = m.sales_platform)
+SELECT s.stat_year, s.stat_month, s.sales_platform, s.revenue_target, s.recognized_revenue,
+  s.revenue_completion_rate, s.contracts_on_hand_amount, s.prior_year_contracts_on_hand_amount,
+  s.contracts_on_hand_yoy_amount, s.contracts_on_hand_yoy_rate, s.recognized_revenue_excluding_estimate,
+  s.prior_year_recognized_revenue, s.recognized_revenue_yoy_amount, s.recognized_revenue_yoy_rate,
+  s.signing_completed_amount, s.prior_year_signing_amount, s.signing_yoy_amount, s.signing_yoy_rate,
+  CASE WHEN o.revenue_target = s.revenue_target
+            AND o.rr IS NOT DISTINCT FROM s.recognized_revenue THEN 'unchanged' ELSE 'updated' END AS outcome
+FROM summary_rows s JOIN stored o ON s.sales_platform = o.sales_platform""")
+
 SQL = {
+    "monthly_summary_upsert": _UPSERT_SUMMARY,
     "period_allocation": sp.with_(sp.CONTRACT_LINES, sp.ALLOCATED) + """
 SELECT l_orderkey, l_linenumber, contract_days, prev_year_calc_amort, prev_year_adjusted_amort,
        cur_year_calc_amort, cur_year_adjusted_amort FROM allocated""",
