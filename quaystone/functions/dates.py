@@ -143,3 +143,18 @@ def period_bounds(year: int, month: int) -> dict:
         "current_start": _dt.date(year, 1, 1), "current_end": after(year),
         "prior_start": _dt.date(year - 1, 1, 1), "prior_end": after(year - 1),
     }
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime / date / text, independent of any time zone
+    (a Python datetime passed to ``lit`` would go through the OS zone)."""
+    import datetime as _d
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _d.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _d.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaystone.functions.dates import ntz_literal
 from quaystone.operators.contracts import dedup_keep_last
 
 
@@ -52,7 +53,7 @@ def scd2_apply(history: DataFrame, batch: DataFrame, key: str, batch_id: str, ba
     ``batch_time`` and version max+1 opens; unknown key -> version 1. ``batch_time`` is passed
     in (never the wall clock), so replaying a batch is idempotent.
     Returns (new history, outcomes(key, outcome) with inserted/changed/unchanged)."""
-    bt = F.lit(batch_time).cast("timestamp_ntz") if not isinstance(batch_time, Column) else batch_time
+    bt = ntz_literal(batch_time)
     cur = (history.groupBy(key).agg(
         F.max("version_no").alias("__maxv"),
         F.max_by(F.col(hash_col), F.when(F.col("is_current"), F.col("version_no"))).alias("__cur_hash"),

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quaystone.functions.dates import month_label
+from quaystone.functions.dates import month_label, ntz_literal
 from quaystone.plans.q_history import BATCH_TIMES, customer_batches
 from quaystone.plans.tables import table
 from quaystone.session import checkpoint_dir
@@ -54,7 +54,7 @@ def q_stream_scd2(spark, sf_dir):
     root = _scratch(spark, "scd2-feed")
     src, out = os.path.join(root, "in"), os.path.join(root, "table")
     b = customer_batches(spark, sf_dir)
-    times = F.create_map(*[x for no, t in BATCH_TIMES.items() for x in (F.lit(no), F.lit(t))])
+    times = F.create_map(*[x for no, t in BATCH_TIMES.items() for x in (F.lit(no), ntz_literal(t))])
     rows = b.select("batch_no", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
                     times[F.col("batch_no")].alias("batch_time"),
                     "customer_id", "customer_name", "customer_type", "province", "company_id", "row_hash")
