@@ -173,3 +173,25 @@ def ticket_upsert(main: DataFrame, child: DataFrame, new_main: DataFrame, new_ch
     main_out = main.join(ids, key, "left_anti").unionByName(new_main.select(*main.columns))
     child_out = child.join(ids, key, "left_anti").unionByName(new_child.select(*child.columns))
     return main_out, child_out
+
+
+# -- append snapshot (M5), empty-source guard (M9), run log rows (M8) ---------------------
+
+def append_snapshot(rows: DataFrame, snapshot_date: str, date_col: str = "create_date") -> DataFrame:
+    """Stamp a snapshot date on every row (M5). Written with a partition overwrite on
+    ``date_col`` a re-import replaces that snapshot instead of duplicating it."""
+    return rows.withColumn(date_col, F.lit(snapshot_date))
+
+
+def guarded_batch_status(counts: DataFrame, source: str = "source", rows: str = "rows",
+                         allow_empty: bool = False) -> DataFrame:
+    """Per source: 'failed' (and nothing to write) when the source returned no rows, unless
+    empty sources are allowed (M9)."""
+    empty = F.coalesce(F.col(rows), F.lit(0)) == 0
+    return counts.withColumn("status", F.when(empty & F.lit(not allow_empty), "failed").otherwise("success")) \
+        .withColumn("write", ~(empty & F.lit(not allow_empty)))
+
+
+def run_log_row(spark, task: str, batch_id: str, summary: DataFrame) -> DataFrame:
+    """One run-log row (M8) from a one-row outcome summary (``outcome_counts``)."""
+    return summary.select(F.lit(task).alias("task_name"), F.lit(batch_id).alias("sync_batch_id"), "*")

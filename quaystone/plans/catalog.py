@@ -13,6 +13,7 @@ _MODULES = (
     "quaystone.plans.q_sampling",
     "quaystone.plans.q_sources",
     "quaystone.plans.q_streaming",
+    "quaystone.plans.q_records",
 )
 
 
