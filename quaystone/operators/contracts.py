@@ -79,10 +79,14 @@ def read_cells(raw: DataFrame, required: Sequence[str], max_rows: int | None = M
     The header row is located on the cluster; only that one row's cell names reach the
     driver (bounded by the sheet width). Rows after it become data; unnamed columns and
     all-blank rows are dropped; total rows are dropped (P17)."""
-    hdr = header_row_no(raw, required, max_rows).collect()[0]["header_row_no"]
+    req = F.array(*[F.lit(r) for r in required])
+    cand = raw.where(F.size(F.array_except(req, F.transform("cells", lambda c: strip_all(c)))) == 0)
+    if max_rows is not None:
+        cand = cand.where(F.col("row_no") < max_rows)
+    found = cand.agg(F.min("row_no").alias("r"), F.min_by("cells", "row_no").alias("c")).collect()[0]
+    hdr, header_cells = found["r"], found["c"]
     if hdr is None:
         raise ValueError(f"no header row containing {sorted(required)}")
-    header_cells = raw.where(F.col("row_no") == hdr).select("cells").limit(1).collect()[0]["cells"]
     names = [str(c).strip() if c is not None else "" for c in header_cells]
     cols = [F.coalesce(F.get(F.col("cells"), i), F.lit("")).alias(n) for i, n in enumerate(names) if n]
     data = raw.where(F.col("row_no") > hdr).select("row_no", *cols)
@@ -157,11 +161,17 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def renumber(df: DataFrame, order: Sequence[str], name: str = "seq_no", partitions: int | None = None) -> DataFrame:
     """Number rows 1..n along a total order without a single-task window.
 
-    Range-partition on the order, rank rows inside each range, count per range, and add the
-    running count of earlier ranges. Only the per-range counts (one row per partition) are
-    combined in one place."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    Range-partition on the order and tag each row with its range (partition) id; that tagged
+    frame is materialised with a reliable checkpoint, so the ranks and the per-range counts
+    below read the same rows (a recomputed range exchange could split differently). Rows are
+    ranked inside each range and offset by the running count of earlier ranges; only the
+    per-range counts (one row per range) are combined in one place."""
+    from quaystone.session import checkpoint_dir
+
+    spark = df.sparkSession
+    n = partitions or spark.sparkContext.defaultParallelism
+    checkpoint_dir(spark)
+    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint()
     local = ranged.withColumn("__r", F.row_number().over(Window.partitionBy("__pid").orderBy(*order)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
@@ -222,7 +232,7 @@ def map_or_keep(c: Column, mapping: Mapping[str, str]) -> Column:
 
 
 def convert_old_to_new(old: DataFrame, output_columns: Sequence[str], rules: Mapping[str, str],
-                       config: Mapping) -> DataFrame:
+                       config: Mapping, keep: Sequence[str] = ()) -> DataFrame:
     """Project the old source to the target layout by rule text.
 
     Precedence per target: '/' -> zero rule -> five special rules -> platform map ->
@@ -262,10 +272,10 @@ def convert_old_to_new(old: DataFrame, output_columns: Sequence[str], rules: Map
         else:
             e = F.lit("/")
         exprs.append(e.alias(target))
-    return old.select(*exprs)
+    return old.select(*exprs, *keep)
 
 
-def align_new(new: DataFrame, output_columns: Sequence[str]) -> DataFrame:
+def align_new(new: DataFrame, output_columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Project the new source to the target layout: present column; '' for the two extra text
     columns; 0.0 for money-named columns; else '/' (P23)."""
     src = set(new.columns)
@@ -280,7 +290,7 @@ def align_new(new: DataFrame, output_columns: Sequence[str]) -> DataFrame:
         else:
             e = F.lit("/")
         exprs.append(e.cast("string").alias(c))
-    return new.select(*exprs)
+    return new.select(*exprs, *keep)
 
 
 def type_by_name(df: DataFrame) -> DataFrame:

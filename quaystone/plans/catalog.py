@@ -14,6 +14,7 @@ _MODULES = (
     "quaystone.plans.q_sources",
     "quaystone.plans.q_streaming",
     "quaystone.plans.q_records",
+    "quaystone.plans.q_jobs",
 )
 
 
