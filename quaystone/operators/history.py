@@ -138,7 +138,7 @@ def snapshot_upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str],
     return merged.unionByName(ch_loose.withColumn("outcome", F.lit("inserted")))
 
 
-def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def outcome_counts(outcomes: DataFrame, by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
     """Counts per action and an overall status (A6): failed when nothing succeeded and
     something failed, partial when both, else success."""
     agg = outcomes.groupBy(*by).agg(
@@ -147,10 +147,14 @@ def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(F.col("outcome") == "updated").alias("updated"),
         F.count_if(F.col("outcome") == "unchanged").alias("unchanged"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped"),
-        F.count_if(F.col("outcome") == "failed").alias("failed"))
+        F.count_if(F.col("outcome") == "failed").alias("failed"), *extra)
     ok = F.col("inserted") + F.col("updated") + F.col("unchanged") + F.col("skipped")
-    return agg.withColumn("status", F.when((F.col("failed") > 0) & (ok == 0), "failed")
-                          .when(F.col("failed") > 0, "partial").otherwise("success"))
+    status = F.when((F.col("failed") > 0) & (ok == 0), "failed").when(F.col("failed") > 0, "partial") \
+        .otherwise("success")
+    extra_names = [c for c in agg.columns if c not in by and c not in
+                   ("rows", "inserted", "updated", "unchanged", "skipped", "failed")]
+    base = [c for c in agg.columns if c not in extra_names]
+    return agg.select(*base, status.alias("status"), *extra_names)
 
 
 # -- incremental tickets (J9, M2) ---------------------------------------------------

@@ -50,15 +50,22 @@ def _is_workday(day: Column, override: Column) -> Column:
     return F.coalesce(override, ~F.dayofweek(day).isin(1, 7))
 
 
+def _session_array(sessions) -> Column:
+    """Work sessions (driver-side config, a handful) as a literal array of (ss, se) seconds."""
+    pairs = [(_sec(a), _sec(b)) for a, b in sessions]
+    return F.array(*[F.struct(F.lit(a).alias("ss"), F.lit(b).alias("se")) for a, b in pairs])
+
+
 def business_seconds_explode(spans: DataFrame, start: str, end: str, overrides: DataFrame,
-                             sessions: DataFrame, key: Sequence[str]) -> DataFrame:
+                             sessions=DEFAULT_SESSIONS, key: Sequence[str] = ()) -> DataFrame:
     """Working seconds in [start, end) per ``key`` by exploding days x sessions."""
     valid = spans.where(F.col(end) > F.col(start))
     days = valid.select(*key, start, end,
                         F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("day"))
     ov = broadcast_if_small(overrides.select("day", F.col("is_workday").alias("__ov")))
     days = days.join(ov, "day", "left").where(_is_workday(F.col("day"), F.col("__ov")))
-    ses = days.crossJoin(F.broadcast(sessions))
+    ses = days.select("*", F.explode(_session_array(sessions)).alias("__ses")) \
+        .select("*", F.col("__ses.ss").alias("ss"), F.col("__ses.se").alias("se")).drop("__ses")
     day_ts = F.col("day").cast("timestamp_ntz")
     ws = F.timestamp_add("SECOND", F.col("ss"), day_ts)
     we = F.timestamp_add("SECOND", F.col("se"), day_ts)
@@ -70,18 +77,16 @@ def business_seconds_explode(spans: DataFrame, start: str, end: str, overrides:
         .select(*key, F.coalesce("business_seconds", F.lit(0)).cast("long").alias("business_seconds"))
 
 
-def day_table(spans: DataFrame, start: str, end: str, overrides: DataFrame, sessions: DataFrame) -> DataFrame:
+def day_table(spans: DataFrame, start: str, end: str, overrides: DataFrame, sessions=DEFAULT_SESSIONS) -> DataFrame:
     """(day, is_work, cum_before): cumulative working seconds of all whole days before ``day``,
     over the date range of the spans (one row per day in the range)."""
-    spark = spans.sparkSession
-    work_per_day = sessions.agg(F.sum(F.col("se") - F.col("ss")).alias("w"))
+    work_per_day = sum(_sec(b) - _sec(a) for a, b in sessions)
     rng = spans.agg(F.min(F.to_date(start)).alias("lo"), F.max(F.to_date(end)).alias("hi"))
     days = rng.select(F.explode(F.sequence("lo", "hi")).alias("day"))
     ov = overrides.select("day", F.col("is_workday").alias("__ov"))
-    d = days.join(ov, "day", "left").crossJoin(work_per_day)
-    d = d.select("day", _is_workday(F.col("day"), F.col("__ov")).alias("is_work"), "w")
+    d = days.join(ov, "day", "left")
+    d = d.select("day", _is_workday(F.col("day"), F.col("__ov")).alias("is_work"), F.lit(work_per_day).alias("w"))
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    del spark
     return d.select("day", "is_work",
                     F.coalesce(F.sum(F.when(F.col("is_work"), F.col("w")).otherwise(0)).over(w), F.lit(0))
                     .cast("long").alias("cum_before"))
@@ -104,7 +109,7 @@ def business_seconds_prefix(spans: DataFrame, start: str, end: str, overrides: D
     the number of days in the data's range and is broadcast to both look-ups."""
     spark = spans.sparkSession
     ses = [(_sec(a), _sec(b)) for a, b in sessions]
-    days = day_table(spans, start, end, overrides, sessions_df(spark, sessions))
+    days = day_table(spans, start, end, overrides, sessions)
     days = broadcast_if_small(days, 2_000_000)
     ds = days.select(F.col("day").alias("__ds"), F.col("is_work").alias("__ws"), F.col("cum_before").alias("__cs"))
     de = days.select(F.col("day").alias("__de"), F.col("is_work").alias("__we"), F.col("cum_before").alias("__ce"))
@@ -137,7 +142,12 @@ def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_k
 
     tickets x metric definitions (broadcast; bounded by the config), then two look-ups of the
     first field values (start and end field)."""
-    t = tickets.crossJoin(F.broadcast(defs))
+    # tickets x metric definitions: the definitions are config (a handful of rows), carried as a
+    # literal array and exploded per ticket
+    d = [(r["metric_code"], r["metric_name"], r["start_field"], r["end_field"]) for r in defs.collect()]
+    arr = F.array(*[F.struct(F.lit(a).alias("metric_code"), F.lit(b).alias("metric_name"),
+                             F.lit(c).alias("start_field"), F.lit(e).alias("end_field")) for a, b, c, e in d])
+    t = tickets.select("*", F.explode(arr).alias("__m")).select(*tickets.columns, "__m.*")
     sv = values.select(*ticket_key, F.col("field_key").alias("start_field"), F.col("field_value").alias("__sv"))
     ev = values.select(*ticket_key, F.col("field_key").alias("end_field"), F.col("field_value").alias("__ev"))
     j = t.join(sv, [*ticket_key, "start_field"], "left").join(ev, [*ticket_key, "end_field"], "left")

@@ -236,13 +236,13 @@ def load_contract_snapshot(sheet: DataFrame, current: DataFrame, baseline: DataF
     keys = ["contract_id", "item_code", "exec_detail_id"]
     rows = C.apply_baseline_platform(rows, baseline, keys, baseline_date=baseline_date)
     rows = C.apply_engineer_override(rows, engineer_map)
-    dates = rows.agg(F.count_distinct("create_date").alias("snapshot_dates"))
     merged = H.snapshot_upsert(current, rows.drop("reused_baseline", "mapped_engineer")
                                .withColumn("__o", F.monotonically_increasing_id()),
                                keys + ["create_date"], "__o", [c for c in current.columns if c not in keys + ["create_date"]])
-    outcomes = merged.where(F.col("outcome") != "kept").select("outcome") \
-        .unionByName(skipped.select(F.lit("skipped").alias("outcome")))
-    return {"table": merged.drop("outcome"), "counts": H.outcome_counts(outcomes).crossJoin(dates)}
+    outcomes = merged.where(F.col("outcome") != "kept").select("outcome", "create_date") \
+        .unionByName(skipped.select(F.lit("skipped").alias("outcome"), "create_date"))
+    counts = H.outcome_counts(outcomes, extra=[F.count_distinct("create_date").alias("snapshot_dates")])
+    return {"table": merged.drop("outcome"), "counts": counts}
 
 
 # -- G6 / G7 / G8 / G9 / G10 ----------------------------------------------------------------

@@ -145,10 +145,8 @@ def q_snapshot_upsert(spark, sf_dir):
 
 def q_run_report(spark, sf_dir):
     out = snapshot_upsert(spark, sf_dir).where(F.col("outcome") != "kept")
-    counts = H.outcome_counts(out)
-    dates = out.agg(F.count_distinct("create_date").alias("snapshot_dates"))
-    return counts.crossJoin(dates).withColumn(
-        "single_snapshot", F.col("snapshot_dates") == 1)
+    counts = H.outcome_counts(out, extra=[F.count_distinct("create_date").alias("snapshot_dates")])
+    return counts.withColumn("single_snapshot", F.col("snapshot_dates") == 1)
 
 
 def _ticket_frames(spark, sf_dir):

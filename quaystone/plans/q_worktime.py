@@ -33,7 +33,7 @@ def q_worktime_minutes(spark, sf_dir):
 def q_worktime_minutes_explode(spark, sf_dir):
     spans = event_spans(spark, sf_dir)
     secs = W.business_seconds_explode(spans, "start_ts", "end_ts", W.overrides_df(spark, OVERRIDES),
-                                      W.sessions_df(spark), ["event_id"])
+                                      key=["event_id"])
     return spans.join(secs, "event_id").select(
         "event_id", "start_ts", "end_ts", F.floor(F.col("business_seconds") / 60).cast("long").alias("business_minutes"))
 

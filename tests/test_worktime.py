@@ -17,7 +17,7 @@ def test_business_minutes_both_forms(spark, s, e, overrides, minutes):
     spans = spark.createDataFrame([(1, s, e)], "id int, s timestamp_ntz, e timestamp_ntz")
     ov = W.overrides_df(spark, overrides)
     a = W.business_seconds_prefix(spans, "s", "e", ov).first().business_seconds // 60
-    b = W.business_seconds_explode(spans, "s", "e", ov, W.sessions_df(spark), ["id"]).first().business_seconds // 60
+    b = W.business_seconds_explode(spans, "s", "e", ov, key=["id"]).first().business_seconds // 60
     assert a == b == minutes
 
 
