@@ -85,8 +85,9 @@ def ingest_tickets(incoming: DataFrame, stored_main: DataFrame, stored_child: Da
                       datetime_cols=["create_dt", "source_updated_at"], id_col=key)
     child = T.zip_custom_fields(resolved, key, "custom_fields", "resolved_fields") \
         .withColumn("ticket_id", F.col(key).cast("long")).drop(key)
-    new_main, new_child = H.ticket_upsert(stored_main, stored_child, main.select(*stored_main.columns),
-                                          child.select(*stored_child.columns), "ticket_id")
+    main = main.select(*[F.col(c) if c in main.columns else F.lit(None).alias(c) for c in stored_main.columns])
+    child = child.select(*[F.col(c) if c in child.columns else F.lit(None).alias(c) for c in stored_child.columns])
+    new_main, new_child = H.ticket_upsert(stored_main, stored_child, main, child, "ticket_id")
     outcomes = marked.select(F.when(F.col("action") == "load", "inserted").otherwise("skipped").alias("outcome"))
     return {"main": new_main, "child": new_child, "counts": H.outcome_counts(outcomes)}
 

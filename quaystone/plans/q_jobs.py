@@ -86,8 +86,81 @@ def q_merge_contract_sources(spark, sf_dir):
                         "去年按期分摊服务费")
 
 
+def ticket_details(spark, sf_dir):
+    """orders as ticket details (API keys as text, custom fields from the customer's nation/region)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = F.broadcast(table(spark, sf_dir, "nation"))
+    r = F.broadcast(table(spark, sf_dir, "region"))
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))),
+                                 lambda x: x["l_suppkey"].cast("string")), ",").alias("cc"))
+    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left") \
+        .join(r, n.n_regionkey == r.r_regionkey, "left").join(li, o.o_orderkey == li.l_orderkey, "left")
+    f = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"))
+    return j.select(
+        F.col("o_orderkey").cast("string").alias("ticketId"), F.col("o_orderpriority").alias("subject"),
+        F.col("o_custkey").cast("string").alias("custUserId"),
+        F.length("o_orderpriority").cast("string").alias("servicerUserId"),
+        F.when(F.col("o_orderstatus") == "F", "0").when(F.col("o_orderstatus") == "O", "1").otherwise("2")
+        .alias("servicerGroupId"),
+        F.substring("o_orderpriority", 1, 1).alias("ticketTemplateId"),
+        F.col("cc").alias("ccUserIdList"),
+        F.when(F.col("o_orderstatus") == "F", "2").otherwise("1").alias("ticketType"),
+        F.substring("o_orderpriority", 1, 1).alias("priorityLevel"),
+        F.when(F.col("o_orderstatus") == "F", "4").when(F.col("o_orderstatus") == "O", "2").otherwise("1").alias("ticketStatus"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("createDT"),
+        F.date_format(F.when(F.col("o_orderstatus") == "O", F.timestamp_add("HOUR", F.lit(3), F.col("o_orderdate")))
+                      .otherwise(F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss").alias("updateDT"),
+        F.array(f("field_1", F.concat(F.lpad(F.col("n_nationkey").cast("string"), 6, "1"), F.lit(" "), F.col("n_name"), F.lit("省"))),
+                f("field_2", F.col("r_regionkey")),
+                f("record_serviceruserid_1", F.length("o_orderpriority"))).alias("custom_fields"))
+
+
+def q_ingest_tickets(spark, sf_dir):
+    details = ticket_details(spark, sf_dir)
+    stored_main = details.where(F.col("servicerGroupId") != "2").select(
+        F.col("ticketId").cast("long").alias("ticket_id"), F.col("subject"),
+        F.to_timestamp("updateDT", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("source_updated_at"),
+        F.lit(None).cast("string").alias("province"), F.lit("stored").alias("sync_status"))
+    stored_child = J.custom_field_rows(details.where(F.col("servicerGroupId") != "2"), "ticketId", "custom_fields") \
+        .select(F.col("ticketId").cast("long").alias("ticket_id"), "field_order", "field_key",
+                F.col("field_key").alias("field_name"), "field_value")
+    # open tickets (group 1) arrive with a changed update time; closed ones unchanged; pending are new
+    incoming = details.withColumn("updateDT", F.when(F.col("servicerGroupId") == "1", F.col("createDT"))
+                                  .otherwise(F.col("updateDT")))
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    args = dict(
+        contacts=table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cId"), F.col("c_name").alias("realName")),
+        agents=table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sId"), F.col("s_name").alias("name")),
+        groups=r.select(F.col("r_regionkey").alias("gId"), F.col("r_name").alias("name")),
+        templates=n.select(F.col("n_nationkey").alias("tId"), F.col("n_name").alias("name")),
+        field_options=r.select(F.lit("field_2").alias("field_key"), F.col("r_regionkey").cast("string").alias("option_key"),
+                               F.col("r_name").alias("option_value")),
+        global_options=spark.createDataFrame([("99", "其他")], "option_key string, option_value string"),
+        field_names=spark.createDataFrame([("field_1", "省份"), ("field_2", "所属区域")], "key string, name string"))
+    out = J.ingest_tickets(incoming, stored_main, stored_child, args)
+    main = out["main"].withColumn("sync_status", F.coalesce("sync_status", F.lit("success")))
+    return main
+
+
 QUERIES = {
     "merge_contract_sources": q_merge_contract_sources,
+    "ingest_tickets": q_ingest_tickets,
 }
 
-SQL: dict = {}
+SQL: dict = {
+    "ingest_tickets": """
+WITH d AS (
+  SELECT o_orderkey AS ticket_id, o_orderpriority AS subject, o_orderstatus AS st, o_orderdate,
+         CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 3 HOUR ELSE o_orderdate END AS stored_upd,
+         n_name
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT ticket_id, subject, stored_upd AS source_updated_at, CAST(NULL AS VARCHAR) AS province, 'stored' AS sync_status
+FROM d WHERE st = 'F'
+UNION ALL
+SELECT ticket_id, NULLIF(trim(subject), '') AS subject, o_orderdate AS source_updated_at,
+       n_name || '省' AS province, 'success' AS sync_status
+FROM d WHERE st <> 'F'""",
+}
