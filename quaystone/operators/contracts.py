@@ -161,23 +161,28 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def renumber(df: DataFrame, order: Sequence[str], name: str = "seq_no", partitions: int | None = None) -> DataFrame:
     """Number rows 1..n along a total order without a single-task window.
 
-    Range-partition on the order and tag each row with its range (partition) id; that tagged
-    frame is materialised with a reliable checkpoint, so the ranks and the per-range counts
-    below read the same rows (a recomputed range exchange could split differently). Rows are
-    ranked inside each range and offset by the running count of earlier ranges; only the
-    per-range counts (one row per range) are combined in one place."""
+    Range-partition on the order, sort inside each range and tag each row with its range id
+    and its rank inside the range; that tagged frame is materialised with a reliable
+    checkpoint, so the ranks and the per-range counts read the same rows (a recomputed range
+    exchange could split differently). Each row is offset by the running count of earlier
+    ranges; only the per-range counts (one row per range) are combined in one place."""
     from quaystone.session import checkpoint_dir
 
     spark = df.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
     checkpoint_dir(spark)
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint()
-    local = ranged.withColumn("__r", F.row_number().over(Window.partitionBy("__pid").orderBy(*order)))
+    # Inside a sorted range the position id (partition index << 33 | row position) gives the
+    # local rank directly, so no second shuffle (window per range) is needed.
+    pid = F.spark_partition_id()
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("__pid", pid)
+              .withColumn("__r", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33) + 1)
+              .checkpoint())
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
         (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    out = local.join(F.broadcast(offsets), "__pid")
+    out = ranged.join(F.broadcast(offsets), "__pid")
     return out.withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__r")).cast("long")) \
               .drop("__pid", "__r", "__off")
 
