@@ -213,7 +213,43 @@ _SCAN_SQL = """
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS VARCHAR) || '1231' AS create_date
 FROM lineitem WHERE CAST(year(l_shipdate) AS VARCHAR) || '1231' = '19981231'"""
 
+def q_label_extract(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return LB.dictionary_fields(LB.text_lines(docs, "doc_id", "text"), text="line")
+
+
+_LABEL_EXTRACT_SQL = r"""
+WITH l AS (
+  SELECT doc_id, CAST(generate_subscripts(string_split_regex(text, '\r?\n'), 1) - 1 AS INTEGER) AS line_no,
+         unnest(string_split_regex(text, '\r?\n')) AS line
+  FROM documents),
+t AS (
+  SELECT *, regexp_matches(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$')
+      AND contains(concat_ws(chr(10), lead(line, 1) OVER w, lead(line, 2) OVER w, lead(line, 3) OVER w,
+                             lead(line, 4) OVER w), '字段') AS is_start
+  FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+s AS (
+  SELECT doc_id, line_no, trim(regexp_replace(line, '[ \t]+', ' ', 'g')) AS n,
+    last_value(CASE WHEN is_start THEN regexp_extract(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$', 1) END IGNORE NULLS)
+      OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "table",
+    last_value(CASE WHEN is_start THEN trim(regexp_replace(regexp_extract(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$', 2), '[ \t]+', ' ', 'g')) END IGNORE NULLS)
+      OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS table_title
+  FROM t)
+SELECT doc_id, line_no, "table", table_title, regexp_extract(n, __FL, 1, 'i') AS field,
+  trim(regexp_replace(regexp_extract(n, __FL, 2, 'i') || regexp_extract(n, __FL, 3, 'i'), '[ \t]+', ' ', 'g')) AS field_type,
+  trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')) AS comment,
+  COALESCE(NULLIF(trim(regexp_replace(trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')),
+                                      '(\s+\(?\d+\s*[-=:>]|[;(（])[\s\S]*$', '')), ''),
+           NULLIF(trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')), ''),
+           regexp_extract(n, __FL, 1, 'i')) AS label
+FROM s
+WHERE "table" IS NOT NULL AND n <> '' AND NOT starts_with(n, '----') AND NOT starts_with(n, '字段 ')
+  AND regexp_matches(n, __FL, 'i')"""
+_LABEL_EXTRACT_SQL = _LABEL_EXTRACT_SQL.replace("__FL", "'" + LB.FIELD_LINE_PATTERN.replace("(?i)", "").replace("'", "''") + "'")
+
+
 QUERIES = {
+    "label_extract": q_label_extract,
     "account_snapshot": q_account_snapshot,
     "personnel_upsert": q_personnel_upsert,
     "source_guard": q_source_guard,
@@ -225,6 +261,7 @@ QUERIES = {
 }
 
 SQL = {
+    "label_extract": _LABEL_EXTRACT_SQL,
     "account_snapshot": _ACCOUNT_SQL,
     "personnel_upsert": _PERSONNEL_SQL,
     "source_guard": _GUARD_SQL,
