@@ -104,3 +104,14 @@ def test_dimension_fold_golden_and_forms_agree(spark):
     # '市' then falls through to city because province is filled
     assert a[2].province == "北京市" and a[2].district is None and a[2].city == "北京市"
     assert a[3].product_line == "财政" and a[3].ticket_category == "子单"
+
+
+def test_stratified_sample_stable_under_repartition(spark):
+    from quaystone.operators.sampling import stratified_sample
+    df = spark.range(2000).select(F.col("id"), (F.col("id") % 7).alias("s"))
+    a = {(r.s, r.id) for r in stratified_sample(df, ["s"], "id", 5, seed="7").collect()}
+    b = {(r.s, r.id) for r in stratified_sample(df.repartition(13, "id"), ["s"], "id", 5, seed="7").collect()}
+    c = {(r.s, r.id) for r in stratified_sample(df, ["s"], "id", 5, seed="8").collect()}
+    assert a == b and len(a) == 35 and a != c
+    small = spark.range(3).select(F.col("id"), F.lit(1).alias("s"))
+    assert stratified_sample(small, ["s"], "id", 5).count() == 3
