@@ -128,23 +128,38 @@ def remove_old_rows_existing_in_new(old: DataFrame, new: DataFrame,
     return keyed.join(ids, "__k", "left_anti").drop("__k")
 
 
-def dedup_keep_last(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
+def dedup_keep_last(df: DataFrame, keys: Sequence[str], order, unique_order: bool = False) -> DataFrame:
     """Keep the row with the greatest ``order`` per trimmed key, only where every key part
     is non-blank; rows with an incomplete key are all kept (W1).
 
-    A hash aggregate with ``max_by`` (not a window): partial aggregation combines map-side,
-    so a key holding a large share of the rows never lands whole in one sort."""
+    Default plan: a ``max_by`` aggregation (partial aggregation combines map-side, so a key
+    holding a large share of the rows never lands whole in one sort); exactly one row per key
+    even when the order ties. With ``unique_order=True`` (the caller guarantees the order is
+    unique within a key, e.g. an arrival position) a faster plan is used: the max order per
+    key is a narrow aggregate, and the rows are kept with a semi join on (key, order) that AQE
+    can split for a hot key. ``order`` is a column name, a Column, or a list of column names."""
     norm = [text_or_empty(k) for k in keys]
     complete = F.lit(True)
     for n in norm:
         complete = complete & (n != "")
     tagged = df.withColumn("__complete", complete)
-    keep = (tagged.where("__complete")
-            .groupBy(*[n.alias(f"__k{i}") for i, n in enumerate(norm)])
+    rest = tagged.where(~F.col("__complete")).drop("__complete")
+    full = tagged.where("__complete")
+    key_cols = [n.alias(f"__k{i}") for i, n in enumerate(norm)]
+    if unique_order and isinstance(order, (list, tuple)):
+        keyed = full.select("*", *key_cols)
+        knames = [f"__k{i}" for i in range(len(keys))]
+        mx = keyed.groupBy(*knames).agg(F.max(F.struct(*[F.col(o) for o in order])).alias("__m")) \
+            .select(*knames, *[F.col(f"__m.{o}").alias(f"__o_{o}") for o in order])
+        cond = [keyed[k] == mx[k] for k in knames] + [keyed[o] == mx[f"__o_{o}"] for o in order]
+        keep = keyed.join(mx, cond, "left_semi").select(*df.columns)
+        return keep.unionByName(rest)
+    if isinstance(order, (list, tuple)):
+        order = F.struct(*[F.col(o) for o in order])
+    keep = (full.groupBy(*key_cols)
             .agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]),
-                         F.col(order) if isinstance(order, str) else order).alias("__row"))
+                          F.col(order) if isinstance(order, str) else order).alias("__row"))
             .select("__row.*"))
-    rest = tagged.where(~F.col("__complete")).drop("__complete")
     return keep.unionByName(rest)
 
 

@@ -231,8 +231,9 @@ def q_dedup_keep_last(spark, sf_dir):
         .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"), F.lit(" "))
         .otherwise(F.lit("D")).alias("exec_detail_id"),
         "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+    # (l_shipdate, l_partkey, l_suppkey) is unique within a (contract, item) key here
     out = C.dedup_keep_last(rows, ["contract_id", "item_code", "exec_detail_id"],
-                            F.struct("l_shipdate", "l_partkey", "l_suppkey"))
+                            ["l_shipdate", "l_partkey", "l_suppkey"], unique_order=True)
     return out
 
 

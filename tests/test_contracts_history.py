@@ -115,3 +115,12 @@ def test_stratified_sample_stable_under_repartition(spark):
     assert a == b and len(a) == 35 and a != c
     small = spark.range(3).select(F.col("id"), F.lit(1).alias("s"))
     assert stratified_sample(small, ["s"], "id", 5).count() == 3
+
+
+def test_dedup_plans_agree_on_unique_order(spark):
+    df = spark.createDataFrame([("k", "i", "d", 1, "a"), ("k", "i", "d", 2, "b"), ("k", " i ", "d", 3, "c"),
+                                ("k", None, "d", 4, "e"), ("x", "y", "z", 5, "f")],
+                               "a string, b string, c string, seq int, v string")
+    slow = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], "seq").collect()), key=str)
+    fast = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], ["seq"], unique_order=True).collect()), key=str)
+    assert slow == fast and [r[3] for r in sorted(fast, key=lambda r: r[3])] == [3, 4, 5]
