@@ -82,3 +82,10 @@ def distinct_ids(df: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("string").alias("id")) for k, v in kinds.items()]))
     ex = df.select(pairs.alias("p")).select("p.kind", F.trim("p.id").alias("id"))
     return ex.where(F.col("id").isNotNull() & ~F.col("id").isin("", "0")).distinct()
+
+
+def first_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """First ``n`` rows per group along ``order`` (L3 row cap per month); Spark applies the
+    limit per group before the shuffle (WindowGroupLimit)."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("row_in_group", F.row_number().over(w)).where(F.col("row_in_group") <= n)

@@ -180,7 +180,19 @@ def q_ticket_upsert(spark, sf_dir):
     return child_out
 
 
+def q_scd2_closed_form(spark, sf_dir):
+    """All batches at once (W7 intervals by lead); must equal the incremental history."""
+    b = customer_batches(spark, sf_dir)
+    times = F.create_map(*[x for no, t in BATCH_TIMES.items()
+                           for x in (F.lit(no), F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz"))])
+    rows = b.select("batch_no", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
+                    times[F.col("batch_no")].alias("batch_time"),
+                    "customer_id", "customer_name", "customer_type", "province", "row_hash")
+    return H.scd2_from_batches(rows, "customer_id", "batch_no", "sync_batch_id", "batch_time")
+
+
 QUERIES = {
+    "scd2_closed_form": q_scd2_closed_form,
     "row_hash": q_row_hash,
     "scd2_history": q_scd2_history,
     "relation_history": q_relation_history,
@@ -299,6 +311,7 @@ filt AS (
 
 
 SQL = {
+    "scd2_closed_form": None,
     "row_hash": "WITH " + _CUST.strip() + f"\nSELECT customer_id, {_HASH} AS row_hash FROM cust",
     "scd2_history": "WITH " + _HIST.strip() + """
 SELECT customer_id, customer_name, customer_type, province, row_hash, version_no, sync_batch_id,
@@ -353,3 +366,5 @@ UNION ALL
 SELECT ticket_id, l_linenumber, 'new' AS version FROM li
 WHERE ticket_id IN (SELECT ticket_id FROM loaded) AND l_linenumber <= 2""",
 }
+
+SQL["scd2_closed_form"] = SQL["scd2_history"]

@@ -90,7 +90,15 @@ def q_distinct_ids(spark, sf_dir):
     return S.distinct_ids(li, {"supplier": F.col("l_suppkey"), "part": F.col("l_partkey")})
 
 
+def q_month_cap(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ticket_id"),
+                                              F.col("o_orderdate").alias("create_dt"),
+                                              month_label("o_orderdate").alias("month"))
+    return S.first_n_per(o, ["month"], [F.col("create_dt"), F.col("ticket_id")], 5)
+
+
 QUERIES = {
+    "month_cap": q_month_cap,
     "stratified_sample": q_stratified_sample,
     "month_year_rollup": q_month_year_rollup,
     "template_counts": q_template_counts,
@@ -105,6 +113,10 @@ QUERIES = {
 }
 
 SQL = {
+    "month_cap": """
+WITH o AS (SELECT o_orderkey AS ticket_id, o_orderdate AS create_dt, strftime(o_orderdate, '%Y-%m') AS month FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY create_dt, ticket_id) AS row_in_group FROM o)
+SELECT * FROM r WHERE row_in_group <= 5""",
     "stratified_sample": _SAMPLE_SQL,
     "month_year_rollup": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, COUNT(*) AS row_count
