@@ -137,8 +137,10 @@ def first_field_values(attrs: DataFrame, ticket_key: Sequence[str], field_keys:
 
 
 def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_key: Sequence[str],
-                overrides: DataFrame, sessions=DEFAULT_SESSIONS, legacy_iso: bool = True) -> DataFrame:
+                overrides, sessions=DEFAULT_SESSIONS, legacy_iso: bool = True) -> DataFrame:
     """One row per (ticket, metric) with status, raw and business minutes (J15 + P36).
+    ``overrides`` is the calendar: a dict (day -> is_workday; closed form) or a (day,
+    is_workday) DataFrame (prefix form).
 
     tickets x metric definitions (broadcast; bounded by the config), then two look-ups of the
     first field values (start and end field)."""
@@ -166,9 +168,11 @@ def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_k
               .otherwise("success"))
     base = parsed.select("*", status.alias("status"))
     ok = F.col("status") == "success"
-    timed = business_seconds_prefix(base.withColumn("__s", F.when(ok, F.col("start_ts")))
-                                    .withColumn("__e", F.when(ok, F.col("end_ts"))),
-                                    "__s", "__e", overrides, sessions)
+    spans = base.withColumn("__s", F.when(ok, F.col("start_ts"))).withColumn("__e", F.when(ok, F.col("end_ts")))
+    if isinstance(overrides, DataFrame):
+        timed = business_seconds_prefix(spans, "__s", "__e", overrides, sessions)
+    else:  # calendar given as config: closed form, no day table
+        timed = business_seconds_closed(spans, "__s", "__e", overrides, sessions)
     return timed.select(
         *tickets.columns, "metric_code", "metric_name", "start_field", "end_field",
         F.when(ok, F.date_format("start_ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("start_text")).alias("start_time"),
@@ -181,3 +185,56 @@ def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_k
 def status_counts(rows: DataFrame, by: Sequence[str] = ("metric_code",)) -> DataFrame:
     """Outcome counts (A5)."""
     return rows.groupBy(*by, "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- closed form: no day table, no join --------------------------------------------------
+
+def _weekdays_inclusive(a: Column, b: Column) -> Column:
+    """Mon-Fri days in [a, b] (0 when b < a), by arithmetic on the day count and weekday."""
+    n = F.datediff(b, a) + 1
+    w0 = F.weekday(a)  # 0 = Monday
+    r = F.pmod(n, F.lit(7))
+    last = w0 + r - 1
+    extra = (F.greatest(F.lit(0), F.least(last, F.lit(4)) - w0 + 1) +
+             F.greatest(F.lit(0), F.least(last, F.lit(11)) - F.greatest(w0, F.lit(7)) + 1))
+    return F.when(n > 0, F.floor(n / 7) * 5 + extra).otherwise(F.lit(0))
+
+
+def business_seconds_closed(spans: DataFrame, start: str, end: str, overrides: Mapping[str, bool] | None = None,
+                            sessions=DEFAULT_SESSIONS) -> DataFrame:
+    """Working seconds in [start, end) in closed form (J20), per row, without a day table:
+
+        same day:   work(d0) * (P(end) - P(start))
+        otherwise:  work(d0) * (W - P(start)) + work(d1) * P(end) + W * workdays strictly between
+
+    with P(t) the session seconds before t on its day and W the session seconds of a workday.
+    Workdays between are weekdays by arithmetic plus the overrides' corrections; the overrides
+    are calendar config (a literal map and array, sized by the calendar file)."""
+    import datetime as _d
+
+    ses = [(_sec(a), _sec(b)) for a, b in sessions]
+    w_day = sum(b - a for a, b in ses)
+    ov = {(_d.date.fromisoformat(k) if isinstance(k, str) else k): bool(v) for k, v in (overrides or {}).items()}
+    s, e = F.col(start), F.col(end)
+    d0, d1 = F.to_date(s), F.to_date(e)
+
+    def work(d):
+        weekday = F.weekday(d) < 5
+        if not ov:
+            return weekday
+        m = F.create_map(*[x for day, flag in ov.items() for x in (F.lit(day), F.lit(flag))])
+        return F.coalesce(F.try_element_at(m, d), weekday)
+
+    corrections = [(day, int(flag) - int(day.weekday() < 5)) for day, flag in ov.items()
+                   if int(flag) != int(day.weekday() < 5)]
+    between = _weekdays_inclusive(F.date_add(d0, 1), F.date_sub(d1, 1))
+    if corrections:
+        arr = F.array(*[F.struct(F.lit(day).alias("day"), F.lit(delta).alias("delta")) for day, delta in corrections])
+        between = between + F.aggregate(F.filter(arr, lambda o: (o["day"] > d0) & (o["day"] < d1)),
+                                        F.lit(0), lambda acc, o: acc + o["delta"])
+    ps, pe = _partial(s, ses), _partial(e, ses)
+    w0, w1 = work(d0).cast("long"), work(d1).cast("long")
+    same = w0 * (pe - ps)
+    multi = w0 * (F.lit(w_day) - ps) + w1 * pe + F.lit(w_day) * between.cast("long")
+    secs = F.when(e <= s, F.lit(0)).when(d0 == d1, same).otherwise(multi)
+    return spans.select("*", F.coalesce(secs, F.lit(0)).cast("long").alias("business_seconds"))

@@ -30,6 +30,13 @@ def q_worktime_minutes(spark, sf_dir):
                       F.floor(F.col("business_seconds") / 60).cast("long").alias("business_minutes"))
 
 
+def q_worktime_minutes_closed(spark, sf_dir):
+    spans = event_spans(spark, sf_dir)
+    out = W.business_seconds_closed(spans, "start_ts", "end_ts", OVERRIDES)
+    return out.select("event_id", "start_ts", "end_ts",
+                      F.floor(F.col("business_seconds") / 60).cast("long").alias("business_minutes"))
+
+
 def q_worktime_minutes_explode(spark, sf_dir):
     spans = event_spans(spark, sf_dir)
     secs = W.business_seconds_explode(spans, "start_ts", "end_ts", W.overrides_df(spark, OVERRIDES),
@@ -53,8 +60,7 @@ def _metric_rows(spark, sf_dir):
     tickets = attrs.select("user_id", "day").distinct()
     keys = sorted({m["start_field"] for m in METRICS} | {m["end_field"] for m in METRICS})
     values = W.first_field_values(attrs, ["user_id", "day"], keys)
-    return W.metric_rows(tickets, values, W.metric_defs_df(spark, METRICS), ["user_id", "day"],
-                         W.overrides_df(spark, OVERRIDES))
+    return W.metric_rows(tickets, values, W.metric_defs_df(spark, METRICS), ["user_id", "day"], OVERRIDES)
 
 
 def q_metric_rows(spark, sf_dir):
@@ -158,6 +164,7 @@ rows AS (
 QUERIES = {
     "worktime_minutes": q_worktime_minutes,
     "worktime_minutes_explode": q_worktime_minutes_explode,
+    "worktime_minutes_closed": q_worktime_minutes_closed,
     "metric_rows": q_metric_rows,
     "metric_status": q_metric_status,
     "first_value": q_first_value,
@@ -166,6 +173,7 @@ QUERIES = {
 SQL = {
     "worktime_minutes": _WORKTIME_SQL,
     "worktime_minutes_explode": _WORKTIME_SQL,
+    "worktime_minutes_closed": _WORKTIME_SQL,
     "metric_rows": _METRIC_BASE + "SELECT * FROM rows",
     "metric_status": _METRIC_BASE + "SELECT metric_code, status, COUNT(*) AS n FROM rows GROUP BY ALL",
     "first_value": "WITH " + _ATTRS.strip() + """

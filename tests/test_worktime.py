@@ -40,3 +40,34 @@ def test_metric_statuses(spark):
     assert [rows[i].status for i in range(7)] == ["missing_both", "missing_end", "missing_start", "success",
                                                   "invalid_start", "invalid_end", "invalid_time_order"]
     assert rows[3].raw_minutes == 2457 and rows[3].business_minutes == 776
+
+
+def test_closed_form_matches_explode_random(spark):
+    import random
+    rnd = random.Random(7)
+    base = T(2026, 1, 1)
+    rows = []
+    for i in range(400):
+        s = base + dt.timedelta(seconds=rnd.randrange(0, 120 * 86400))
+        e = s + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 86400), rnd.randrange(0, 40 * 86400)]))
+        if i % 17 == 0:
+            e = s - dt.timedelta(hours=1)
+        rows.append((i, s, e))
+    spans = spark.createDataFrame(rows, "id int, s timestamp_ntz, e timestamp_ntz")
+    ov = {"2026-01-01": False, "2026-01-04": True, "2026-02-16": False, "2026-02-28": True, "2026-03-02": False,
+          "2026-03-03": True}
+    a = {r.id: r.business_seconds for r in W.business_seconds_closed(spans, "s", "e", ov).collect()}
+    b = {r.id: r.business_seconds for r in W.business_seconds_explode(spans, "s", "e", W.overrides_df(spark, ov),
+                                                                       key=["id"]).collect()}
+    c = {r.id: r.business_seconds for r in W.business_seconds_prefix(spans, "s", "e", W.overrides_df(spark, ov)).collect()}
+    assert a == b == c
+
+
+@pytest.mark.parametrize("s,e,overrides,minutes", [
+    (T(2026, 6, 16, 10, 23, 55), T(2026, 6, 18, 3, 21, 18), {}, 776),
+    (T(2026, 6, 16, 10, 0), T(2026, 6, 18, 10, 0), {"2026-06-17": False}, 430),
+    (T(2026, 1, 4, 9, 0), T(2026, 1, 4, 18, 0), {"2026-01-04": True}, 430),
+])
+def test_closed_form_reference_values(spark, s, e, overrides, minutes):
+    spans = spark.createDataFrame([(1, s, e)], "id int, s timestamp_ntz, e timestamp_ntz")
+    assert W.business_seconds_closed(spans, "s", "e", overrides).first().business_seconds // 60 == minutes
