@@ -11,6 +11,7 @@ from quaystone.operators import views as V
 from quaystone.operators.contracts import dedup_keep_last
 from quaystone.operators.sizing import broadcast_if_small
 from quaystone.plans.tables import table
+from quaystone.session import checkpoint_dir
 
 HASH_FIELDS = ["customer_id", "customer_name", "customer_type", "province"]
 BATCH_TIMES = {1: _dt.datetime(1996, 12, 31), 2: _dt.datetime(1998, 12, 31), 3: _dt.datetime(2001, 12, 31)}
@@ -46,12 +47,18 @@ def customer_batches(spark, sf_dir):
 
 
 def scd2_history(spark, sf_dir):
-    batches = customer_batches(spark, sf_dir)
+    """Apply the three batches in order. Like the production feed, each applied state is cut
+    from its lineage with a reliable checkpoint (shared folder), so batch k's plan starts from
+    the stored history instead of replaying batches 1..k-1."""
+    checkpoint_dir(spark)
+    batches = customer_batches(spark, sf_dir).checkpoint()
     cols = ["customer_id", "customer_name", "customer_type", "province", "company_id", "row_hash"]
     hist = H.empty_history(batches.select(*cols))
-    for no, when in BATCH_TIMES.items():
+    for i, (no, when) in enumerate(BATCH_TIMES.items()):
         b = batches.where(F.col("batch_no") == no).select(*cols)
         hist, _ = H.scd2_apply(hist, b, "customer_id", f"B{no}", when)
+        if i < len(BATCH_TIMES) - 1:
+            hist = hist.checkpoint()
     return hist
 
 
