@@ -48,7 +48,7 @@ def resolve_tickets(details: DataFrame, *, contacts: DataFrame, agents: DataFram
     # custom fields: field names and option values (J5) through the exploded form
     eav = custom_field_rows(t, key, fields)
     dec = T.decode_field_values(eav.select(key, "field_order", "field_key", "field_value"),
-                                field_options, global_options, field_names)
+                                field_options, global_options, field_names, row_keys=[key, "field_order"])
     resolved = dec.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(
         F.struct("field_order", F.col("field_name").alias("key"), F.col("decoded_value").alias("value")))),
         lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))).alias("resolved_fields"))

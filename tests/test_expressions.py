@@ -65,3 +65,17 @@ def test_region_clean(spark):
     df = spark.createDataFrame([("140000 山西省",), ("010 北京市",), ("010",), ("武汉(420100)市",)], "s string")
     got = [r.x for r in df.select(clean_region_text("s").alias("x")).collect()]
     assert got == ["山西省", "北京市", "010", "武汉市"]
+
+
+def test_option_decode_lists_and_objects(spark):
+    from quaystone.operators.tickets import decode_field_values
+    eav = spark.createDataFrame([(1, 1, "f_status", '["1","2"]'), (1, 2, "f_status", '{"status":"1"}'),
+                                 (1, 3, "f_status", "2"), (1, 4, "f_other", "1"), (1, 5, "f_other", "9"),
+                                 (1, 6, "f_status", "")],
+                                "ticket_id int, field_order int, field_key string, field_value string")
+    fo = spark.createDataFrame([("f_status", "1", "待处理"), ("f_status", "2", "处理中")],
+                               "field_key string, option_key string, option_value string")
+    go = spark.createDataFrame([("1", "全局一")], "option_key string, option_value string")
+    out = {r.field_order: r.decoded_value
+           for r in decode_field_values(eav, fo, go, row_keys=["ticket_id", "field_order"]).collect()}
+    assert out == {1: '["待处理","处理中"]', 2: '{"status":"待处理"}', 3: "处理中", 4: "全局一", 5: "9", 6: ""}
