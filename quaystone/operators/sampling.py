@@ -18,7 +18,7 @@ def stratified_sample(df: DataFrame, strata: Sequence[str], id_col: str, n: int,
     stratum = F.concat_ws("|", *[F.col(s).cast("string") for s in strata])
     key = F.md5(F.concat_ws(":", F.lit(seed), stratum, F.col(id_col).cast("string")))
     w = Window.partitionBy(*strata).orderBy(key, F.col(id_col))
-    return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= n)
+    return df.withColumn("sample_rank", F.row_number().over(w).cast("long")).where(F.col("sample_rank") <= n)
 
 
 def counts_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,4 +88,4 @@ def first_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: in
     """First ``n`` rows per group along ``order`` (L3 row cap per month); Spark applies the
     limit per group before the shuffle (WindowGroupLimit)."""
     w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("row_in_group", F.row_number().over(w)).where(F.col("row_in_group") <= n)
+    return df.withColumn("row_in_group", F.row_number().over(w).cast("long")).where(F.col("row_in_group") <= n)

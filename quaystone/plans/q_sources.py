@@ -153,7 +153,7 @@ def q_raw_archive(spark, sf_dir):
 _ARCHIVE_SQL = """
 SELECT 'B1' AS sync_batch_id, 'customer' AS entity_type, 'customer_api' AS source_name,
   CAST(c_custkey AS VARCHAR) AS source_record_id,
-  to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_acctbal': CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR)}) AS payload_json
+  CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_acctbal': CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR)}) AS VARCHAR) AS payload_json
 FROM customer"""
 
 
