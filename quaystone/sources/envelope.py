@@ -51,9 +51,14 @@ def declared_count(doc: str = "doc") -> Column:
 
 
 def key_profile(df: DataFrame, json_col: str, by: Sequence[str]) -> DataFrame:
-    """Sorted distinct top-level keys, row count and ok/empty status per group."""
-    keys = F.json_object_keys(F.col(json_col))
-    agg = df.groupBy(*by).agg(
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(keys, F.array()))))), ",").alias("keys"),
-        F.count(F.lit(1)).alias("row_count"))
-    return agg.withColumn("status", F.when(F.col("row_count") > 0, "ok").otherwise("empty"))
+    """Sorted distinct top-level keys, row count and ok/empty status per group.
+
+    Keys are exploded and de-duplicated per group before collecting, so a group holds at most
+    its distinct keys (never one entry per row)."""
+    keys = (df.select(*by, F.explode(F.json_object_keys(F.col(json_col))).alias("__key"))
+            .distinct()
+            .groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list("__key")), ",").alias("keys")))
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+    out = counts.join(keys, list(by), "left").withColumn("keys", F.coalesce("keys", F.lit("")))
+    return out.select(*by, "keys", "row_count",
+                      F.when(F.col("row_count") > 0, "ok").otherwise("empty").alias("status"))
