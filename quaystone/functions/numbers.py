@@ -22,9 +22,10 @@ def parse_number(c) -> Column:
     a whole cell '/' or unparsable text gives 0.0.
     """
     text = F.coalesce(strip_all(c), F.lit(""))
-    digits = F.regexp_replace(F.regexp_replace(text, "[,，]", ""), "%+$", "")
+    digits = strip_all(F.regexp_replace(F.regexp_replace(text, "[,，]", ""), "%+$", ""))
     value = F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double")).otherwise(F.lit(0.0))
-    value = F.coalesce(value, F.lit(0.0))
+    # an overflowing literal ('1e310') is not a number either
+    value = F.when(F.abs(value) == F.lit(float("inf")), F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0)))
     return F.when(text.endswith("%"), value / F.lit(100.0)).otherwise(value)
 
 
