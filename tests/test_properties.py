@@ -30,3 +30,22 @@ def test_parse_number_matches_model(spark, values):
         a, b = got[i], want[i]
         # pandas' own float parser is not always correctly rounded (e.g. '1e-30'); Spark's is
         assert a == b or math.isclose(a, b, rel_tol=1e-12, abs_tol=0.0), (v, a, b)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.dates(min_value=__import__("datetime").date(1, 1, 1),
+                         max_value=__import__("datetime").date(9999, 12, 31)), min_size=40, max_size=80))
+def test_contract_date_round_trip(spark, days):
+    from quaystone.functions.dates import DATE_PLACEHOLDERS, contract_date
+    rows = []
+    for i, d in enumerate(days):
+        y = f"{d.year:04d}"
+        rows += [(i, f"{y}{d.month:02d}{d.day:02d}"), (i, f"{y}-{d.month:02d}-{d.day:02d}"),
+                 (i, f" {y}/{d.month:02d}/{d.day:02d} "), (i, f"{y}-{d.month:02d}-{d.day:02d}T08:30:00")]
+    rows += [(-1, p) for p in DATE_PLACEHOLDERS] + [(-1, ""), (-1, None)]
+    df = spark.createDataFrame(rows, "i int, s string")
+    for r in df.select("i", "s", contract_date("s").alias("d")).collect():
+        if r.i < 0:
+            assert r.d is None, r
+        else:
+            assert r.d == days[r.i], r
