@@ -19,13 +19,14 @@ def parse_number(c) -> Column:
     """Money / percent text -> DOUBLE.
 
     Thousands separators ',' and '，' are removed, trailing '%' divides by 100,
-    a whole cell '/' or unparsable text gives 0.0.
-    """
+    a whole cell '/' or unparsable text gives 0.0 (so does an overflowing literal).
+    Built from character operations (translate / trim) and one cast: no regular expression,
+    because the value is referenced in several branches and would be re-evaluated."""
     text = F.coalesce(strip_all(c), F.lit(""))
-    digits = strip_all(F.regexp_replace(F.regexp_replace(text, "[,，]", ""), "%+$", ""))
-    value = F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double")).otherwise(F.lit(0.0))
-    # an overflowing literal ('1e310') is not a number either
-    value = F.when(F.abs(value) == F.lit(float("inf")), F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0)))
+    digits = strip_all(F.rtrim(F.translate(text, ",，", ""), F.lit("%")))
+    plain = (digits != "") & (F.translate(digits, "0123456789.+-eE", "") == "")
+    value = F.coalesce(F.when(plain, digits.try_cast("double")), F.lit(0.0))
+    value = F.when(F.abs(value) == F.lit(float("inf")), F.lit(0.0)).otherwise(value)
     return F.when(text.endswith("%"), value / F.lit(100.0)).otherwise(value)
 
 
