@@ -36,14 +36,15 @@ def contract_date(c) -> Column:
 
 
 def merge_date_text(c) -> Column:
-    """Merge-step date: parsable text -> 'yyyyMMdd', anything else kept as trimmed text."""
+    """Merge-step date: parsable text -> 'yyyyMMdd', anything else kept as trimmed text.
+
+    Accepts 8 digits (yyyyMMdd) and y-M-d dates with '-' or '/', optionally followed by a time
+    after ' ' or 'T'. Character operations and two date parses only (no regular expression)."""
     s = F.coalesce(strip_all(c), F.lit(""))
-    iso = F.regexp_replace(s, "/", "-")
-    parsed = F.coalesce(
-        F.when(s.rlike(_YMD8), F.try_to_date(s, "yyyyMMdd")),
-        F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"),
-               F.try_to_date(F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})", 1), "yyyy-M-d")),
-    )
+    all_digits = (F.length(s) == 8) & (F.translate(s, "0123456789", "") == "")
+    date_part = F.substring_index(F.substring_index(F.translate(s, "/", "-"), " ", 1), "T", 1)
+    parsed = F.coalesce(F.when(all_digits, F.try_to_date(s, "yyyyMMdd")),
+                        F.when(F.length(date_part) >= 8, F.try_to_date(date_part, "yyyy-M-d")))
     return F.coalesce(F.when(_year_ok(parsed), F.date_format(parsed, "yyyyMMdd")), s)
 
 

@@ -26,8 +26,9 @@ def parse_number(c) -> Column:
     digits = strip_all(F.rtrim(F.translate(text, ",，", ""), F.lit("%")))
     plain = (digits != "") & (F.translate(digits, "0123456789.+-eE", "") == "")
     value = F.coalesce(F.when(plain, digits.try_cast("double")), F.lit(0.0))
-    value = F.when(F.abs(value) == F.lit(float("inf")), F.lit(0.0)).otherwise(value)
-    return F.when(text.endswith("%"), value / F.lit(100.0)).otherwise(value)
+    value = F.when(F.abs(value) != F.lit(float("inf")), value).otherwise(F.lit(0.0))
+    # one reference to the value: the percent case divides by 100, others by 1 (exact)
+    return value / F.when(text.endswith("%"), F.lit(100.0)).otherwise(F.lit(1.0))
 
 
 def parse_decimal_text(c) -> Column:

@@ -98,7 +98,8 @@ def read_cells(raw: DataFrame, required: Sequence[str], max_rows: int | None = M
 
 
 def is_total_cell(c) -> Column:
-    return F.regexp_replace(strip_all(c), "[:：]+$", "") == TOTAL_LABEL
+    """'合计' after trailing ':' / '：' are removed (character trim, no regex)."""
+    return F.rtrim(strip_all(c), F.lit(":：")) == TOTAL_LABEL
 
 
 def drop_total_rows(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

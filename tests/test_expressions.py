@@ -79,3 +79,13 @@ def test_option_decode_lists_and_objects(spark):
     out = {r.field_order: r.decoded_value
            for r in decode_field_values(eav, fo, go, row_keys=["ticket_id", "field_order"]).collect()}
     assert out == {1: '["待处理","处理中"]', 2: '{"status":"待处理"}', 3: "处理中", 4: "全局一", 5: "9", 6: ""}
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2026-07-13", "20260713"), ("2026/7/3", "20260703"), ("20260713", "20260713"),
+    ("2026-07-13 10:00:00", "20260713"), ("2026-07-13T10:00:00", "20260713"), (" / ", "/"), ("", ""),
+    (None, ""), ("abc", "abc"), ("2026-13-01", "2026-13-01")])
+def test_merge_date_text(spark, text, expected):
+    from quaystone.functions.dates import merge_date_text
+    got = spark.createDataFrame([(text,)], "s string").select(merge_date_text("s").alias("x")).first().x
+    assert got == expected
