@@ -189,3 +189,8 @@ def load_targets(raw: DataFrame, year: int, month: int) -> DataFrame:
     if rows.isEmpty():
         raise ValueError(f"no targets for {year}-{month:02d}")
     return rows
+
+
+def round_units_col(name: str):
+    """Column ``name`` rounded to whole units (HALF_UP), keeping its name."""
+    return round_units(name).alias(name)

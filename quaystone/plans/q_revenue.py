@@ -94,7 +94,44 @@ def q_monthly_summary_upsert(spark, sf_dir):
     return _rates_as_double(snapshot_upsert(stored, changes, keys, "__o", values))
 
 
+TARGET_HEADER = ["年", "月", "营销平台", "收入目标值"]
+
+
+def target_cells(spark, sf_dir):
+    """A target sheet as raw cells: 12 note rows, the header, then one row per
+    (year, month, nation) with the order value as target text and a total row per month."""
+    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    per = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+           .groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), "n_nationkey", "n_name")
+           .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t")))
+    data = per.select(((F.col("y") * 100 + F.col("m")) * 100 + F.col("n_nationkey") + 100).cast("long").alias("row_no"),
+                      F.array(F.col("y").cast("string"), F.col("m").cast("string"), F.col("n_name"),
+                              F.format_number("t", 2)).alias("cells"))
+    totals = per.groupBy("y", "m").agg(F.sum("t").alias("t")).select(
+        ((F.col("y") * 100 + F.col("m")) * 100 + 99 + 100).cast("long").alias("row_no"),
+        F.array(F.col("y").cast("string"), F.col("m").cast("string"), F.lit("合计"), F.format_number("t", 2)).alias("cells"))
+    notes = spark.range(12).select(F.col("id").alias("row_no"), F.array(F.lit("说明"), F.lit(""), F.lit(""), F.lit("")).alias("cells"))
+    header = spark.range(1).select(F.lit(12).cast("long").alias("row_no"), F.array(*[F.lit(h) for h in TARGET_HEADER]).alias("cells"))
+    return notes.unionByName(header).unionByName(data).unionByName(totals)
+
+
+def q_target_sheet(spark, sf_dir):
+    from quaystone.functions.numbers import parse_decimal_text
+    from quaystone.operators.contracts import read_cells
+    sheet = read_cells(target_cells(spark, sf_dir), TARGET_HEADER, max_rows=None)
+    raw = sheet.select(F.col("年").try_cast("int").alias("year"), F.col("月").try_cast("int").alias("month"),
+                       F.col("营销平台").alias("sales_platform"),
+                       parse_decimal_text("收入目标值").cast("decimal(18,2)").alias("revenue_target"))
+    ok = raw.join(revenue.target_problems(raw).select("year", "month", "sales_platform"),
+                  ["year", "month", "sales_platform"], "left_anti")
+    return ok.where(F.col("sales_platform") != revenue.TOTAL_LABEL) \
+        .select("year", "month", "sales_platform", revenue.round_units_col("revenue_target"))
+
+
 QUERIES = {
+    "target_sheet": q_target_sheet,
     "monthly_summary_upsert": q_monthly_summary_upsert,
     "period_allocation": q_period_allocation,
     "allocation_by_platform": q_allocation_by_platform,
@@ -180,6 +217,11 @@ SELECT s.stat_year, s.stat_month, s.sales_platform, s.revenue_target, s.recogniz
 FROM summary_rows s JOIN stored o ON s.sales_platform = o.sales_platform""")
 
 SQL = {
+    "target_sheet": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, n_name AS sales_platform,
+  CAST(round(SUM(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DECIMAL(18,0)) AS revenue_target
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY 1, 2, 3""",
     "monthly_summary_upsert": _UPSERT_SUMMARY,
     "period_allocation": sp.with_(sp.CONTRACT_LINES, sp.ALLOCATED) + """
 SELECT l_orderkey, l_linenumber, contract_days, prev_year_calc_amort, prev_year_adjusted_amort,
