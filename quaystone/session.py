@@ -21,6 +21,37 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 8,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, derived from the input size (e.g. 100 TB, 1000 executors).
+
+    * scan splits of ``target_partition_bytes`` (parquet row groups are split to that size);
+    * an initial shuffle width that keeps each shuffle partition near the same size for the
+      widest join (lineitem x orders), which AQE then coalesces to the advisory size;
+    * skew-join thresholds relative to the partition size, so a key holding a third of a
+      table is split into many tasks;
+    * a broadcast threshold that stays far below executor memory.
+    Checkpoints go to the shared folder named by ``spark.checkpoint.dir`` (set by the cluster).
+    """
+    slots = executors * cores_per_executor
+    shuffle_parts = max(slots * 2, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.timestampType": "TIMESTAMP_NTZ",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "quaystone", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
