@@ -139,9 +139,10 @@ def merge_contract_sources(new_cells: DataFrame, old_cells: DataFrame, output_co
     rules.setdefault("体系工程师", "")
     for extra in C.EXTRA_OLD_TEXT_COLUMNS:
         rules.setdefault(extra, extra)
-    new_a = C.align_new(new.withColumn("__seq", F.col("row_no").cast("long")), cols, keep=["__seq"]) \
+    # the sheet row number orders rows within a source (kept exact: it may not fit a BIGINT)
+    new_a = C.align_new(new.withColumn("__seq", F.col("row_no").cast("decimal(38,0)")), cols, keep=["__seq"]) \
         .withColumn("__src", F.lit(0)).withColumn(C.SOURCE_COLUMN, F.lit(C.NEW_SOURCE_LABEL))
-    old_c = C.convert_old_to_new(old.withColumn("__seq", F.col("row_no").cast("long")), cols, rules, config,
+    old_c = C.convert_old_to_new(old.withColumn("__seq", F.col("row_no").cast("decimal(38,0)")), cols, rules, config,
                                  keep=["__seq"])
     old_c = old_c.select(*[F.col(c).cast("string") for c in cols], "__seq") \
         .withColumn("__src", F.lit(1)).withColumn(C.SOURCE_COLUMN, F.lit(C.OLD_SOURCE_LABEL))

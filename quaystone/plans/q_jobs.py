@@ -35,11 +35,11 @@ ENGINEERS = {"NATION_0": "ENG-A", "NATION_2": "ENG-B", "NATION_4": "ENG-C"}
 def _cells(df, header, note_rows: int, row_key):
     """Raw sheet rows: ``note_rows`` note lines, the header, then the data rows (row_no after the header)."""
     spark = df.sparkSession
-    notes = spark.range(note_rows).select(F.col("id").alias("row_no"),
+    notes = spark.range(note_rows).select(F.col("id").cast("decimal(38,0)").alias("row_no"),
                                           F.array(F.lit("导出说明"), *[F.lit("") for _ in header[1:]]).alias("cells"))
-    head = spark.range(1).select(F.lit(note_rows).cast("long").alias("row_no"),
+    head = spark.range(1).select(F.lit(note_rows).cast("decimal(38,0)").alias("row_no"),
                                  F.array(*[F.lit(h) for h in header]).alias("cells"))
-    data = df.select((F.lit(note_rows + 1) + row_key).cast("long").alias("row_no"), "cells")
+    data = df.select((F.lit(note_rows + 1).cast("decimal(38,0)") + row_key).cast("decimal(38,0)").alias("row_no"), "cells")
     return notes.unionByName(head).unionByName(data)
 
 
@@ -53,7 +53,13 @@ def merge_sources(spark, sf_dir):
     line_id = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     start = F.date_format("l_shipdate", "yyyyMMdd")
     end = F.date_format(F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_quantity") * 7).cast("int")), "yyyy-MM-dd")
-    row_key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    # a unique row number per line: (order, line, part, supplier, ship day) packed into 33 digits
+    d38 = "decimal(38,0)"
+    row_key = (F.col("l_orderkey").cast(d38) * F.lit(str(10 ** 23)).cast(d38)
+               + F.col("l_linenumber").cast(d38) * F.lit(str(10 ** 22)).cast(d38)
+               + F.col("l_partkey").cast(d38) * F.lit(str(10 ** 13)).cast(d38)
+               + F.col("l_suppkey").cast(d38) * F.lit(str(10 ** 5)).cast(d38)
+               + F.unix_date(F.col("l_shipdate").cast("date")).cast(d38))
     new_rows = j.where(F.col("l_returnflag") == "N").select(row_key.alias("k"), F.array(
         F.col("l_orderkey").cast("string"), F.lit("ORG"), F.lit("CUST"), F.col("l_linenumber").cast("string"), F.lit("D"),
         line_id, F.col("n_name"), start, end, F.format_number("l_extendedprice", 2),
@@ -150,7 +156,65 @@ QUERIES = {
     "ingest_tickets": q_ingest_tickets,
 }
 
+def _alloc_sql(ps: str, pe: str) -> str:
+    overlap = f"greatest(0, least(e_d, DATE '{pe}') - greatest(s_d, DATE '{ps}') + 1)"
+    return (f"CAST(CASE WHEN s_d IS NOT NULL AND e_d IS NOT NULL AND days > 0 THEN CAST((2 * cents * {overlap} + days)"
+            f" // (2 * days) AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) ELSE 0 END AS DECIMAL(18,2))")
+
+
+_MERGE_SQL = f"""
+WITH j AS (
+  SELECT l.*, p.p_type, n.n_name,
+    CAST(l_orderkey AS DECIMAL(38,0)) * CAST('100000000000000000000000' AS DECIMAL(38,0))
+      + CAST(l_linenumber AS DECIMAL(38,0)) * CAST('10000000000000000000000' AS DECIMAL(38,0))
+      + CAST(l_partkey AS DECIMAL(38,0)) * CAST('10000000000000' AS DECIMAL(38,0))
+      + CAST(l_suppkey AS DECIMAL(38,0)) * CAST('100000' AS DECIMAL(38,0))
+      + CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS DECIMAL(38,0)) AS seq,
+    CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS line_id,
+    strftime(l_shipdate, '%Y%m%d') AS start_txt,
+    strftime(CAST(l_shipdate AS DATE) + CAST(l_quantity * 7 AS INTEGER), '%Y%m%d') AS end_txt
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey),
+new_rows AS (
+  SELECT 0 AS src, seq, CAST(l_orderkey AS VARCHAR) AS c_no, CAST(l_linenumber AS VARCHAR) AS item,
+    COALESCE(n_name, '') AS platform,
+    '/' AS c_type, '/' AS est, '/' AS biz, '/' AS cat, 0.0 AS billing,
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+    start_txt, end_txt, strftime(l_shipdate, '%Y%m%d') AS apply_txt,
+    '有效' AS invalid_type, '非税票据' AS other_type, '新ERP' AS source
+  FROM j WHERE l_returnflag = 'N'),
+old_rows AS (
+  SELECT 1 AS src, seq, CAST(l_orderkey AS VARCHAR) AS c_no, line_id AS item,
+    CASE COALESCE(n_name, '') WHEN 'NATION_1' THEN 'NATION_2' WHEN 'NATION_3' THEN 'NATION_4' ELSE COALESCE(n_name, '') END AS platform,
+    CASE WHEN l_returnflag = 'A' THEN '统签散开合同' ELSE '普通销售合同' END AS c_type,
+    CASE WHEN l_returnflag = 'A' THEN '否' ELSE '是' END AS est,
+    CASE WHEN p_type = 'MEDIUM' THEN '运维服务费' ELSE '其他' END AS biz,
+    CASE WHEN l_linestatus = 'O' THEN '运维合同' ELSE '非运维合同' END AS cat,
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) * (CAST(round(l_discount * 100, 0) AS INTEGER) / 100.0) AS billing,
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+    start_txt, end_txt, '/' AS apply_txt, '/' AS invalid_type, '/' AS other_type, '旧ERP' AS source
+  FROM j WHERE l_returnflag <> 'N'
+    AND line_id NOT IN (SELECT line_id FROM j WHERE l_returnflag = 'N')),
+u AS (SELECT * FROM new_rows UNION ALL SELECT * FROM old_rows),
+d AS (SELECT *, row_number() OVER (PARTITION BY c_no, item ORDER BY src DESC, seq DESC) AS rn FROM u),
+k AS (SELECT * FROM d WHERE rn = 1),
+n AS (
+  SELECT *, row_number() OVER (ORDER BY src, seq) AS seq_no,
+    CASE platform WHEN 'NATION_0' THEN 'ENG-A' WHEN 'NATION_2' THEN 'ENG-B' WHEN 'NATION_4' THEN 'ENG-C' ELSE '' END AS engineer,
+    CAST(strptime(start_txt, '%Y%m%d') AS DATE) AS s_d, CAST(strptime(end_txt, '%Y%m%d') AS DATE) AS e_d,
+    CAST(round(amount * 100) AS BIGINT) AS cents
+  FROM k),
+a AS (SELECT *, CAST(COALESCE(e_d - s_d + 1, 0) AS INTEGER) AS days FROM n)
+SELECT seq_no AS "序号", c_no AS "合同编号", item AS "标的行编码", platform AS "营销平台", engineer AS "体系工程师",
+  c_type AS "合同类型", est AS "暂估运维运营", biz AS "业务类型", cat AS "合同分类", billing AS "累计开票金额",
+  amount AS "产品金额", start_txt AS "明细运维开始开始日期", end_txt AS "明细运维结束日期", invalid_type AS "无效合同类型",
+  other_type AS "其他业务类型", source AS "数据来源", '20260715083000' AS "文件生成时间戳", '20260715' AS "文件来源时间戳",
+  days AS "合同天数", {_alloc_sql('1998-01-01', '1998-12-31')} AS "今年按期分摊服务费",
+  {_alloc_sql('1997-01-01', '1997-12-31')} AS "去年按期分摊服务费"
+FROM a"""
+
 SQL: dict = {
+    "merge_contract_sources": _MERGE_SQL,
     "ingest_tickets": """
 WITH d AS (
   SELECT o_orderkey AS ticket_id, o_orderpriority AS subject, o_orderstatus AS st, o_orderdate,
