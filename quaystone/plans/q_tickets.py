@@ -288,6 +288,67 @@ SELECT event_id, epoch_text,
   date_trunc('second', ts) AS metric_fixed
 FROM raw"""
 
+def _dimension_sql() -> str:
+    """The W6 fold unrolled over the six fields of ``region_fields``: one CTE per field
+    carries the 13 dimension slots (generated from the keyword table)."""
+    from quaystone.functions.codes import (ANALYTIC_FIELD_KEYWORDS as KW, DISTRICT_SUFFIXES, MUNICIPALITIES,
+                                           PROVINCE_SUFFIXES)
+    dims = list(KW)
+    fields = [
+        ("所属区域", "'(12) ' || r_name || '市'"),
+        ("省份", "lpad(CAST(n_nationkey AS VARCHAR), 6, '1') || ' ' || n_name || '省'"),
+        ("区县", "CASE WHEN o_orderpriority = '1-URGENT' THEN '010 ' ELSE n_name || '区' END"),
+        ("客户性质", "o_orderpriority"),
+        ("产品线", "'   '"),
+        ("产品名称", "r_name"),
+    ]
+
+    def clean(v):
+        t = f"trim({v})"
+        t = f"regexp_replace({t}, '^\\d{{6}}\\s*', '')"
+        t = f"regexp_replace({t}, '^\\d{{2,4}}\\s+', '')"
+        t = f"regexp_replace({t}, '[（(]\\d+[）)]\\s*', '', 'g')"
+        t = f"trim({t})"
+        return f"(CASE WHEN {t} IN ('[]', '{{}}') THEN '' ELSE COALESCE({t}, '') END)"
+
+    def empty(d):
+        return f"COALESCE(d_{d}, '') = ''"
+
+    muni = ", ".join(f"'{m}'" for m in MUNICIPALITIES)
+    ctes = ["base AS (SELECT o.o_orderkey, n.n_nationkey, n.n_name, r.r_name, o.o_orderpriority, "
+            + ", ".join(f"CAST(NULL AS VARCHAR) AS d_{d}" for d in dims)
+            + " FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"
+            + " JOIN region r ON n.n_regionkey = r.r_regionkey)"]
+    prev = "base"
+    for i, (name, value) in enumerate(fields):
+        matches = [d for d in dims if any(k in name for k in KW[d])]
+        claim = "CASE " + " ".join(f"WHEN {empty(d)} THEN '{d}'" for d in matches) + " END" if matches else "NULL"
+        t = f"t{i}"
+        step_in = f"s{i}a"
+        ctes.append(f"{step_in} AS (SELECT *, {clean(value)} AS {t}, {claim} AS c{i} FROM {prev})")
+        ok = f"(c{i} IS NOT NULL AND {t} <> '')"
+        prov = f"({t} IN ({muni}) OR " + " OR ".join(f"ends_with({t}, '{x}')" for x in PROVINCE_SUFFIXES) + ")"
+        dist = "(" + " OR ".join(f"ends_with({t}, '{x}')" for x in DISTRICT_SUFFIXES) + ")"
+        city = f"ends_with({t}, '市')"
+        cols = []
+        for d in dims:
+            if d == "province":
+                cond = f"(c{i} = 'province' OR ((c{i} = 'district' OR c{i} = 'region_text') AND {prov}))"
+            elif d == "city":
+                cond = f"(c{i} = 'city' OR (c{i} = 'region_text' AND NOT {prov} AND {city}))"
+            elif d == "district":
+                cond = (f"((c{i} = 'district' AND NOT {prov}) OR "
+                        f"(c{i} = 'region_text' AND NOT {prov} AND NOT {city} AND {dist}))")
+            else:
+                cond = f"c{i} = '{d}'"
+            cols.append(f"CASE WHEN {ok} AND {cond} AND {empty(d)} THEN {t} ELSE d_{d} END AS d_{d}")
+        keep = "o_orderkey, n_nationkey, n_name, r_name, o_orderpriority"
+        ctes.append(f"s{i} AS (SELECT {keep}, " + ", ".join(cols) + f" FROM {step_in})")
+        prev = f"s{i}"
+    return ("WITH " + ",\n".join(ctes) + "\nSELECT o_orderkey, "
+            + ", ".join(f"d_{d} AS {d}" for d in dims) + f" FROM {prev}")
+
+
 QUERIES = {
     "enum_decode": q_enum_decode,
     "enrich_chain": q_enrich_chain,
@@ -302,6 +363,7 @@ QUERIES = {
 }
 
 SQL = {
+    "dimension_extract": _dimension_sql(),
     "enum_decode": _ENUM_SQL,
     "enrich_chain": _ENRICH_SQL,
     "id_list_enrich": _IDLIST_SQL,
