@@ -31,11 +31,6 @@ def _sec(hhmm: str) -> int:
     return t.hour * 3600 + t.minute * 60 + t.second
 
 
-def sessions_df(spark: SparkSession, sessions=DEFAULT_SESSIONS) -> DataFrame:
-    rows = [(_sec(a), _sec(b)) for a, b in sessions]
-    return spark.createDataFrame(rows, "ss int, se int")
-
-
 def overrides_df(spark: SparkSession, overrides: Mapping[str, bool] | None = None) -> DataFrame:
     rows = [(_dt.date.fromisoformat(d), bool(v)) for d, v in (overrides or {}).items()]
     return spark.createDataFrame(rows, "day date, is_workday boolean")

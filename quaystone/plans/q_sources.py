@@ -183,15 +183,13 @@ LABELS = {"o_orderstatus": "状态", "o_orderpriority": "优先级", "o_totalpri
 
 
 def q_label_long_form(spark, sf_dir):
+    from quaystone.operators.labels import long_form
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority",
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
-    longf = o.unpivot("o_orderkey", ["o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"], "field_key", "value")
     names = spark.createDataFrame(list(LABELS.items()), "k string, label string")
-    j = longf.join(F.broadcast(names), longf.field_key == names.k, "left")
-    return j.select("o_orderkey", "field_key", F.coalesce("label", "field_key").alias("field_label"), "value",
-                    F.when(F.col("value").isNull(), "null").otherwise("str").alias("value_type"))
+    return long_form(o, "o_orderkey", names)
 
 
 _LONG_SQL = """

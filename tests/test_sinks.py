@@ -25,3 +25,15 @@ def test_document_rows(spark):
     assert [r.seq_no for r in rows] == [1, 2, 3]
     assert [r.d for r in rows] == ["0000-12-30", "2026-07-13", ""]
     assert rows[0][K.DOCUMENT_CATEGORY_HEADER] == K.DOCUMENT_CATEGORY_VALUE
+
+
+def test_schema_evolution_and_run_log(spark):
+    from quaystone.operators import history as H
+    from quaystone.sources.layout import evolve
+    old = spark.createDataFrame([(1, "a")], "id int, v string")
+    new = spark.createDataFrame([(2, "b", 9.5)], "id int, v string, extra double")
+    rows = sorted(map(tuple, evolve(old, new).collect()))
+    assert rows == [(1, "a", None), (2, "b", 9.5)]
+    outcomes = spark.createDataFrame([("inserted",), ("failed",)], "outcome string")
+    log = H.run_log_row(spark, "sync", "B1", H.outcome_counts(outcomes)).first()
+    assert (log.task_name, log.sync_batch_id, log.rows, log.status) == ("sync", "B1", 2, "partial")
