@@ -109,7 +109,12 @@ def sync_entities(sources: Sequence[tuple[str, DataFrame]], candidates: Mapping,
         raise ValueError(f"{entity_type}: no records fetched; nothing written")
     first = C.keep_first(good, key, ["__src", "__pos"]).drop("__src", "__pos", "rejected")
     hashed = first.withColumn("row_hash", H.row_hash(hash_fields, ["source_updated_at"]))
-    new_hist, outcomes = H.scd2_apply(history, hashed, key, batch_id, batch_time)
+    latest = history.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
+    if latest is not None and batch_time <= latest:
+        # replay of an applied (or older) batch: nothing changes
+        new_hist, outcomes = history, hashed.select(key, F.lit("skipped").alias("outcome"))
+    else:
+        new_hist, outcomes = H.scd2_apply(history, hashed, key, batch_id, batch_time)
     archive = None
     for name, df in sources:
         a = raw_archive(df, batch_id, entity_type, name, df.columns[0])

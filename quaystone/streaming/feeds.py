@@ -42,7 +42,7 @@ def merge_tickets(current: DataFrame | None, batch: DataFrame, key: str, time_co
 
 def run_ticket_feed(spark: SparkSession, source_dir: str, schema: str, table_path: str, key: str = "ticket_id",
                     time_col: str = "update_dt", partition_col: str = "create_month_label",
-                    max_files_per_trigger: int | None = None) -> None:
+                    max_files_per_trigger: int | None = None, stream_checkpoint: str | None = None) -> None:
     """Run the incremental ticket feed over every file present."""
     ckpt_root = checkpoint_dir(spark)
     reader = spark.readStream.schema(schema)
@@ -60,17 +60,20 @@ def run_ticket_feed(spark: SparkSession, source_dir: str, schema: str, table_pat
         merged = merge_tickets(current, batch_df, key, time_col).checkpoint()
         overwrite_partitions(merged, table_path, [partition_col])
 
+    location = stream_checkpoint or os.path.join(ckpt_root, "ticket_feed", os.path.basename(table_path.rstrip("/")))
     q = (stream.writeStream.foreachBatch(upsert).trigger(availableNow=True)
-         .option("checkpointLocation", os.path.join(ckpt_root, "ticket_feed", os.path.basename(table_path.rstrip("/"))))
-         .start())
+         .option("checkpointLocation", location).start())
     q.awaitTermination()
 
 
 def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path: str, key: str,
                   batch_no: str = "batch_no", batch_id_col: str = "sync_batch_id",
-                  batch_time_col: str = "batch_time", max_files_per_trigger: int | None = None) -> None:
+                  batch_time_col: str = "batch_time", max_files_per_trigger: int | None = None,
+                  stream_checkpoint: str | None = None) -> None:
     """Run the incremental SCD2 feed (T2). Source batches inside a micro-batch are applied in
-    batch order; the batch time comes from the data, so a replay adds no versions."""
+    batch order; the batch time comes from the data. Batches not newer than the latest applied
+    version are skipped, so replaying files (e.g. after losing the stream checkpoint) adds no
+    versions and never reverts a newer state."""
     ckpt_root = checkpoint_dir(spark)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -86,13 +89,19 @@ def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path:
         batches = batch_df.select(batch_no, batch_id_col, batch_time_col).distinct().orderBy(batch_no).collect()
         hist = (spark.read.parquet(table_path) if _exists(spark, table_path)
                 else empty_history(batch_df.select(*cols)))
+        # replay guard: a source batch not newer than the latest applied version was applied
+        # already (re-applying an older batch after a newer one would revert it)
+        latest = hist.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
+        batches = [b for b in batches if latest is None or b[batch_time_col] > latest]
+        if not batches:
+            return
         for b in batches:
             rows = batch_df.where(F.col(batch_no) == b[batch_no]).select(*cols)
             hist, _ = scd2_apply(hist, rows, key, b[batch_id_col], b[batch_time_col])
         hist = hist.checkpoint()
         hist.write.mode("overwrite").parquet(table_path)
 
+    location = stream_checkpoint or os.path.join(ckpt_root, "scd2_feed", os.path.basename(table_path.rstrip("/")))
     q = (stream.writeStream.foreachBatch(apply).trigger(availableNow=True)
-         .option("checkpointLocation", os.path.join(ckpt_root, "scd2_feed", os.path.basename(table_path.rstrip("/"))))
-         .start())
+         .option("checkpointLocation", location).start())
     q.awaitTermination()

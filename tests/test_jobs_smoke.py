@@ -40,6 +40,10 @@ def test_sync_entities(spark):
                             batch_time=dt.datetime(2026, 6, 3), entity_type="customer",
                             hash_fields=list(CUSTOMER_CANDIDATES) + ["source_flags", "source_updated_at"])
     assert again["counts"].first().unchanged == n and again["history"].count() == n
+    replay = J.sync_entities([("customer_api", src_a)], CUSTOMER_CANDIDATES, again["history"], key="customer_id",
+                             batch_id="B1", batch_time=dt.datetime(2026, 6, 2), entity_type="customer",
+                             hash_fields=list(CUSTOMER_CANDIDATES) + ["source_flags", "source_updated_at"])
+    assert replay["counts"].first().skipped == n and replay["history"].count() == n
 
 
 def test_load_contract_snapshot(spark):
