@@ -75,7 +75,17 @@ MAIN_COLUMNS = {
 
 def ingest_tickets(incoming: DataFrame, stored_main: DataFrame, stored_child: DataFrame, resolve_args: Mapping,
                    key: str = "ticketId") -> dict[str, DataFrame]:
-    """Incremental filter -> resolve -> main row + custom-field rows -> upsert -> counts."""
+    """Incremental filter -> resolve -> main row + custom-field rows -> upsert -> counts.
+
+    When the stored tables carry ``create_month_label`` (their partition column), only the months
+    present in ``incoming`` are read and returned (dynamic partition pruning on a semi join), to be
+    written back with a dynamic partition overwrite."""
+    if "create_month_label" in stored_main.columns and "createDT" in incoming.columns:
+        months = incoming.select(F.date_format(strict_datetime("createDT"), "yyyy-MM").alias("create_month_label")) \
+            .distinct()
+        stored_main = stored_main.join(F.broadcast(months), "create_month_label", "left_semi")
+        if "create_month_label" in stored_child.columns:
+            stored_child = stored_child.join(F.broadcast(months), "create_month_label", "left_semi")
     inc = incoming.withColumn("__upd", strict_datetime("updateDT"))
     marked = H.incremental_filter(inc.withColumn("ticket_id", F.col(key).cast("long")),
                                   stored_main, "ticket_id", "__upd")
@@ -235,7 +245,8 @@ def typed_snapshot(sheet: DataFrame) -> DataFrame:
 def load_contract_snapshot(sheet: DataFrame, current: DataFrame, baseline: DataFrame, engineer_map: DataFrame,
                            baseline_date: str | None = None) -> dict[str, DataFrame]:
     """Layout check, typed conversion, required contract number, baseline platform,
-    engineer by final platform, upsert on (contract, item, detail, date), counts."""
+    engineer by final platform, upsert on (contract, item, detail, date), counts.
+    ``table`` holds the new content of the touched snapshot partitions only."""
     L.check_layout(sheet.columns, ([h for h, _ in L.LEGACY_LAYOUT], [h for h, _ in L.STANDARD_LAYOUT]))
     rows = typed_snapshot(sheet)
     skipped = rows.where(F.col("contract_id").isNull())
@@ -243,6 +254,9 @@ def load_contract_snapshot(sheet: DataFrame, current: DataFrame, baseline: DataF
     keys = ["contract_id", "item_code", "exec_detail_id"]
     rows = C.apply_baseline_platform(rows, baseline, keys, baseline_date=baseline_date)
     rows = C.apply_engineer_override(rows, engineer_map)
+    # only the snapshot partitions this sheet touches are read (dynamic partition pruning on the
+    # semi join) and returned, to be written back with a dynamic partition overwrite
+    current = current.join(F.broadcast(rows.select("create_date").distinct()), "create_date", "left_semi")
     merged = H.snapshot_upsert(current, rows.drop("reused_baseline", "mapped_engineer")
                                .withColumn("__o", F.monotonically_increasing_id()),
                                keys + ["create_date"], "__o", [c for c in current.columns if c not in keys + ["create_date"]])
