@@ -129,49 +129,45 @@ def remove_old_rows_existing_in_new(old: DataFrame, new: DataFrame,
     return keyed.join(ids, "__k", "left_anti").drop("__k")
 
 
+def _order_cols(order, descending: bool) -> list[Column]:
+    cols = [F.col(o) for o in order] if isinstance(order, (list, tuple)) else \
+        [F.col(order) if isinstance(order, str) else order]
+    return [c.desc_nulls_last() if descending else c.asc_nulls_first() for c in cols]
+
+
+def _top1_per_key(df: DataFrame, key_cols: Sequence[Column], order_cols: Sequence[Column]) -> DataFrame:
+    """Exactly one row per key: the first along ``order_cols``.
+
+    ``row_number() = 1`` over the key: Spark plans a partial group limit before the shuffle
+    (WindowGroupLimit, after a local sort), so each map task sends at most one row per key;
+    a key holding a large share of the rows is reduced map-side like a partial aggregate."""
+    names = [f"__k{i}" for i in range(len(key_cols))]
+    keyed = df.select("*", *[k.alias(n) for k, n in zip(key_cols, names)])
+    w = Window.partitionBy(*names).orderBy(*order_cols)
+    return keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).select(*df.columns)
+
+
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], order, unique_order: bool = False) -> DataFrame:
     """Keep the row with the greatest ``order`` per trimmed key, only where every key part
     is non-blank; rows with an incomplete key are all kept (W1).
 
-    Default plan: a ``max_by`` aggregation (partial aggregation combines map-side, so a key
-    holding a large share of the rows never lands whole in one sort); exactly one row per key
-    even when the order ties. With ``unique_order=True`` (the caller guarantees the order is
-    unique within a key, e.g. an arrival position) a faster plan is used: the max order per
-    key is a narrow aggregate, and the rows are kept with a semi join on (key, order) that AQE
-    can split for a hot key. ``order`` is a column name, a Column, or a list of column names."""
+    One row per key even when the order ties. ``order`` is a column name, a Column or a list
+    of column names; ``unique_order`` is accepted for compatibility (the plan is the same)."""
     norm = [text_or_empty(k) for k in keys]
     complete = F.lit(True)
     for n in norm:
         complete = complete & (n != "")
     tagged = df.withColumn("__complete", complete)
     rest = tagged.where(~F.col("__complete")).drop("__complete")
-    full = tagged.where("__complete")
-    key_cols = [n.alias(f"__k{i}") for i, n in enumerate(norm)]
-    if unique_order and isinstance(order, (list, tuple)):
-        keyed = full.select("*", *key_cols)
-        knames = [f"__k{i}" for i in range(len(keys))]
-        mx = keyed.groupBy(*knames).agg(F.max(F.struct(*[F.col(o) for o in order])).alias("__m")) \
-            .select(*knames, *[F.col(f"__m.{o}").alias(f"__o_{o}") for o in order])
-        cond = [keyed[k] == mx[k] for k in knames] + [keyed[o] == mx[f"__o_{o}"] for o in order]
-        keep = keyed.join(mx, cond, "left_semi").select(*df.columns)
-        return keep.unionByName(rest)
-    if isinstance(order, (list, tuple)):
-        order = F.struct(*[F.col(o) for o in order])
-    keep = (full.groupBy(*key_cols)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]),
-                          F.col(order) if isinstance(order, str) else order).alias("__row"))
-            .select("__row.*"))
+    full = tagged.where("__complete").drop("__complete")
+    keep = _top1_per_key(full, [text_or_empty(k) for k in keys], _order_cols(order, descending=True))
     return keep.unionByName(rest)
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """First row per non-blank trimmed ``key`` by ``order`` (arrival order); blank keys dropped."""
     k = text_or_empty(key)
-    ordered = F.struct(*[F.col(o) for o in order])
-    return (df.where(k != "")
-            .groupBy(k.alias("__k"))
-            .agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), ordered).alias("__row"))
-            .select("__row.*"))
+    return _top1_per_key(df.where(k != ""), [text_or_empty(key)], _order_cols(list(order), descending=False))
 
 
 def renumber(df: DataFrame, order: Sequence[str], name: str = "seq_no", partitions: int | None = None) -> DataFrame:
