@@ -138,7 +138,16 @@ def with_total_rows(summary: DataFrame) -> DataFrame:
 
     Totals are sums; ratios are recomputed from the summed amounts, NULL on a zero
     denominator. Not a ROLLUP: ratios must not be summed.
+
+    The summary holds one row per platform and period, but its lineage is the full scan and
+    aggregation of the contract lines. It is materialised once with a reliable checkpoint
+    (in the cluster's ``spark.checkpoint.dir``) so the detail rows and the total row read
+    that small result instead of scanning and aggregating the lines twice.
     """
+    from quaystone.session import checkpoint_dir
+
+    checkpoint_dir(summary.sparkSession)
+    summary = summary.checkpoint()
     sums = {c: F.sum(c) for c in SUMMARY_COLUMNS if c.endswith(("amount", "revenue", "target", "estimate"))}
     total = summary.groupBy("stat_year", "stat_month").agg(
         *[round_units(v).alias(k) for k, v in sums.items()],
