@@ -13,8 +13,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 21
-#: Rows of an Arrow batch for text columns, so that a batch of long texts stays small.
-BATCH_ROWS = 512
 
 _U = np.uint64
 

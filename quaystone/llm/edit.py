@@ -28,17 +28,26 @@ def distances(pattern, text):
         yield score
 
 
+def _same_start(a, b) -> int:
+    """Items that a and b have in common from their start on."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(a, b, limit: int) -> bool:
     """True if the edit distance of a and b is ``limit`` or less."""
     if abs(len(a) - len(b)) > limit:
         return False
-    low, end = 0, min(len(a), len(b))
-    while low < end and a[low] == b[low]:
-        low += 1
-    high = 0
-    while high < end - low and a[-1 - high] == b[-1 - high]:
-        high += 1
-    a, b = a[low:len(a) - high], b[low:len(b) - high]
+    same = _same_start(a, b)
+    a, b = a[same:], b[same:]
+    same = _same_start(a[::-1], b[::-1])
+    a, b = a[:len(a) - same], b[:len(b) - same]
     if not a or not b:
         return max(len(a), len(b)) <= limit
     score = 0

@@ -33,12 +33,11 @@ def id_of(column: str) -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 4096) -> None:
-    """Keep Arrow batches small, so that a batch of long texts fits a Python worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, so that a batch of long texts fits a Python worker, and of as many rows as that
+    allows, so that batches of numbers are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(1 << 16))
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
