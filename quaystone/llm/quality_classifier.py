@@ -121,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING) -> tup
             used = np.flatnonzero(weight)
             yield rows_of(bucket=np.concatenate([[-1], used]), weight=np.concatenate([[bias], weight[used]]))
 
-    model = rows.coalesce(1).mapInArrow(learn, "bucket long, weight double").toArrow()
+    # max_rows rows meet in one task; the scan before it keeps its tasks
+    model = rows.repartition(1).mapInArrow(learn, "bucket long, weight double").toArrow()
     if not model.num_rows:
         return None
     bucket, weight = model["bucket"].to_numpy(), model["weight"].to_numpy()
