@@ -63,12 +63,12 @@ def test_large_family_in_blocks(near_docs, monkeypatch):
     assert got == brute_join(rows)
 
 
-def test_frequent_shingles_and_more_matches(near_docs, monkeypatch):
-    """The order of shingles and the number of matches change the work, not the links."""
+def test_order_and_matches_change_only_the_work(near_docs, monkeypatch):
+    """The first part of the order, the bound of counts and the number of matches don't change the links."""
     rows = [(r.doc_id, r.text) for r in near_docs.collect()]
-    for hot, cost in ((0, 20.0), (1 << 18, 1000.0)):
-        monkeypatch.setattr(ngram_join, "HOT_SHINGLES", hot)
-        monkeypatch.setattr(ngram_join, "HOT_FROM", 2)
+    for sampled, most, cost in ((1, 5, 20.0), (0, 1 << 16, 20.0), (8, 1 << 16, 1000.0)):
+        monkeypatch.setattr(ngram_join, "SAMPLED", sampled)
+        monkeypatch.setattr(ngram_join, "MOST", most)
         monkeypatch.setattr(ngram_join, "VERIFY_COST", cost)
         got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(near_docs).collect())
         assert got == brute_join(rows)
