@@ -16,7 +16,8 @@ Digits of the passes, from coarse to fine:
    within the digit (128 bits in all).
 
 A span whose digit occurs more than once in it could hold equal windows itself, so it enters pass 1 window by
-window. Rows are dealt by digit and sorted by Spark (on disk where needed), and the sorted rows stream past
+window, but at most the first two of equal windows of a text: the second shows that the text repeats itself, and
+such a text's own later windows are found in the last step from its text alone. Rows are dealt by digit and sorted by Spark (on disk where needed), and the sorted rows stream past
 with one row of state, so a digit of any frequency needs no memory. The text is shuffled once: both later uses
 read the same exchange.
 
@@ -84,9 +85,25 @@ def spans_of(data: np.ndarray, offsets: np.ndarray, threshold: int, gram: int):
                                               np.where(twice, count, 1))
         first = first[at] + turn
         count = np.where(cut, 1, count[at])
+        span = rolling.of(first, first + count - 1 + threshold)
+        # of equal windows of a text the first two stay
+        some = np.flatnonzero(cut)
+        order = some[np.lexsort((first[some], span[some], row[first[some]]))]
+        same = np.zeros(len(order), bool)
+        same[2:] = (span[order[2:]] == span[order[:-2]]) & (row[first[order[2:]]] == row[first[order[:-2]]])
+        keep = np.ones(len(first), bool)
+        keep[order[same]] = False
+        first, count = first[keep], count[keep]
     return row[first], first, count, digit[first], rolling.of(first, first + count - 1 + threshold)
 
 
+def own_repeats(raw: np.ndarray, threshold: int) -> np.ndarray:
+    """Starts of the windows of one text that equal an earlier window of it."""
+    hashes = bt.Rolling(raw).windows(threshold)
+    order = np.argsort(hashes, kind="stable")
+    return order[1:][hashes[order[1:]] == hashes[order[:-1]]]
+
+
 def _place(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return (start.astype(np.int64) << _SHIFT) | count
 
@@ -209,6 +226,9 @@ def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 if places:
                     places = np.concatenate(places)
                     start, count = places >> _SHIFT, places & ((1 << _SHIFT) - 1)
+                    if (count == 1).any():  # it may repeat itself
+                        own = own_repeats(raw, threshold)
+                        start, count = np.concatenate([start, own]), np.concatenate([count, np.ones(len(own), np.int64)])
                     cover = np.zeros(len(raw) + 1, np.int64)
                     np.add.at(cover, start, 1)
                     np.add.at(cover, start + count - 1 + threshold, -1)
