@@ -40,7 +40,8 @@ def parse_decimal_text(c) -> Column:
 def parse_int_text(c) -> Column:
     """Importer integer: int(float(text)), commas are NOT removed."""
     digits = strip_all(c)
-    return F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double")).cast("long").cast("int")
+    return F.floor(F.abs(F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double")))).try_cast("int") * F.when(
+        digits.startswith("-"), -1).otherwise(1)
 
 
 def to_money(c) -> Column:

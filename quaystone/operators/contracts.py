@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from quaystone.functions.dates import merge_date_text
 from quaystone.functions.numbers import parse_number
 from quaystone.functions.text import strip_all, text_or_empty
-from quaystone.operators.sizing import broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # Names and rules of the contract extracts.
@@ -340,26 +339,29 @@ def map_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value:
 
 def map_platform(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """Replace a platform by the map (key, value), else keep it trimmed."""
-    m = broadcast_if_small(mapping.toDF("__from", "__to"))
+    m = mapping.toDF("__from", "__to")
     j = df.withColumn("__from", text_or_empty(column)).join(m, "__from", "left")
     return j.withColumn(column, F.coalesce(F.col("__to"), F.col("__from"))).drop("__from", "__to")
 
 
 def add_engineer(df: DataFrame, platform: str, mapping: DataFrame, out: str = "体系工程师") -> DataFrame:
     """Assign the engineer of the platform, '' when unmapped."""
-    m = broadcast_if_small(mapping.toDF("__p", "__e"))
+    m = mapping.toDF("__p", "__e")
     j = df.withColumn("__p", text_or_empty(platform)).join(m, "__p", "left")
     return j.withColumn(out, F.coalesce(F.col("__e"), F.lit(""))).drop("__p", "__e")
 
 
 def apply_baseline_platform(rows: DataFrame, baseline: DataFrame, keys: Sequence[str],
                             platform: str = "sales_platform", date_col: str = "create_date",
-                            baseline_date: str | None = None) -> DataFrame:
+                            baseline_date: str | None = None, baseline_order: str | None = None) -> DataFrame:
     """Take the baseline platform (even NULL) for lines whose key exists in the baseline,
     keys matched NULL-safely; rows of the baseline's own date are left alone (J10).
-    Adds ``reused_baseline`` (boolean). The baseline holds one row per key."""
-    b = baseline.select(*[F.col(k).alias(f"__b_{k}") for k in keys],
-                        F.col(platform).alias("__b_platform"), F.lit(True).alias("__b_hit"))
+    Adds ``reused_baseline`` (boolean). A key that the baseline repeats counts once, with the last row by
+    ``baseline_order`` (without an order, the largest platform)."""
+    value = F.struct(F.col(platform).alias("p"))
+    last = F.max_by(value, F.struct(F.col(baseline_order), value)) if baseline_order else F.max(value)
+    b = baseline.groupBy(*[F.col(k).alias(f"__b_{k}") for k in keys]).agg(last.alias("__b")).select(
+        *[f"__b_{k}" for k in keys], F.col("__b.p").alias("__b_platform"), F.lit(True).alias("__b_hit"))
     cond = None
     for k in keys:
         c = rows[k].eqNullSafe(b[f"__b_{k}"])
@@ -377,7 +379,7 @@ def apply_engineer_override(rows: DataFrame, mapping: DataFrame, platform: str =
                             engineer: str = "system_engineer") -> DataFrame:
     """Engineer from the final platform's map entry; unmatched rows keep theirs.
     Adds ``mapped_engineer`` (boolean)."""
-    m = broadcast_if_small(mapping.toDF("__p", "__e"))
+    m = mapping.toDF("__p", "__e")
     j = rows.join(m, rows[platform] == m["__p"], "left")
     return j.select(
         *[F.coalesce(F.col("__e"), F.col(engineer)).alias(engineer) if c == engineer else F.col(c)

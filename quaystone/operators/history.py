@@ -140,11 +140,11 @@ def snapshot_upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str],
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
     """Counts per action and an overall status (A6): failed when nothing succeeded and
-    something failed, partial when both, else success."""
+    something failed, partial when both, else success. ``changed`` (a new version) counts as updated."""
     agg = outcomes.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("outcome") == "inserted").alias("inserted"),
-        F.count_if(F.col("outcome") == "updated").alias("updated"),
+        F.count_if(F.col("outcome").isin("updated", "changed")).alias("updated"),
         F.count_if(F.col("outcome") == "unchanged").alias("unchanged"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped"),
         F.count_if(F.col("outcome") == "failed").alias("failed"), *extra)

@@ -38,7 +38,7 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 def newest_per_id(df: DataFrame, id_col: str, time_col: str) -> DataFrame:
     """Newest row per id (S13 point lookup generalised to every id), via max_by aggregation."""
-    return (df.groupBy(id_col).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.col(time_col)).alias("__r"))
+    return (df.groupBy(id_col).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(F.col(time_col))).alias("__r"))
             .select("__r.*"))
 
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from quaystone.functions.dates import metric_datetime
 from quaystone.functions.text import strip_all
-from quaystone.operators.sizing import broadcast_if_small
 
 # Default work sessions (wall clock).
 DEFAULT_SESSIONS = (("09:00", "11:50"), ("13:40", "18:00"))
@@ -57,7 +56,7 @@ def business_seconds_explode(spans: DataFrame, start: str, end: str, overrides:
     valid = spans.where(F.col(end) > F.col(start))
     days = valid.select(*key, start, end,
                         F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("day"))
-    ov = broadcast_if_small(overrides.select("day", F.col("is_workday").alias("__ov")))
+    ov = overrides.select("day", F.col("is_workday").alias("__ov"))
     days = days.join(ov, "day", "left").where(_is_workday(F.col("day"), F.col("__ov")))
     ses = days.select("*", F.explode(_session_array(sessions)).alias("__ses")) \
         .select("*", F.col("__ses.ss").alias("ss"), F.col("__ses.se").alias("se")).drop("__ses")
@@ -105,7 +104,7 @@ def business_seconds_prefix(spans: DataFrame, start: str, end: str, overrides: D
     spark = spans.sparkSession
     ses = [(_sec(a), _sec(b)) for a, b in sessions]
     days = day_table(spans, start, end, overrides, sessions)
-    days = broadcast_if_small(days, 2_000_000)
+    days = days
     ds = days.select(F.col("day").alias("__ds"), F.col("is_work").alias("__ws"), F.col("cum_before").alias("__cs"))
     de = days.select(F.col("day").alias("__de"), F.col("is_work").alias("__we"), F.col("cum_before").alias("__ce"))
     j = spans.join(ds, F.to_date(spans[start]) == ds["__ds"], "left") \

@@ -53,7 +53,7 @@ def resolve_tickets(details: DataFrame, *, contacts: DataFrame, agents: DataFram
         F.struct("field_order", F.col("field_name").alias("key"), F.col("decoded_value").alias("value")))),
         lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))).alias("resolved_fields"))
     t = t.join(resolved, key, "left")
-    return T.extract_dimensions_arrow(t.withColumn("__f", F.coalesce("resolved_fields", F.col(fields))), "__f") \
+    return T.extract_dimensions(t.withColumn("__f", F.coalesce("resolved_fields", F.col(fields))), "__f") \
         .drop("__f")
 
 

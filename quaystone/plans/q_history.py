@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from quaystone.operators import history as H
 from quaystone.operators import views as V
 from quaystone.operators.contracts import dedup_keep_last
-from quaystone.operators.sizing import broadcast_if_small
 from quaystone.plans.tables import table
 from quaystone.session import checkpoint_dir
 
@@ -20,7 +19,7 @@ BATCH_TIMES = {1: _dt.datetime(1996, 12, 31), 2: _dt.datetime(1998, 12, 31), 3:
 def customer_rows(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("customer_type"), F.col("n_name").alias("province"))
 
@@ -39,7 +38,7 @@ def customer_batches(spark, sf_dir):
            .agg(F.max("o_orderpriority").alias("customer_type")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = per.join(c, per.o_custkey == c.c_custkey).join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left")
+    j = per.join(c, per.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey, "left")
     rows = j.select("batch_no", F.col("c_custkey").cast("string").alias("customer_id"),
                     F.col("c_name").alias("customer_name"), "customer_type", F.col("n_name").alias("province"),
                     F.col("c_nationkey").cast("string").alias("company_id"))
@@ -112,7 +111,7 @@ def q_quality_counts(spark, sf_dir):
 
 
 def q_name_join(spark, sf_dir):
-    n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     s = table(spark, sf_dir, "supplier")
     c = table(spark, sf_dir, "customer")
     sn = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("n_name").alias("s_nation"))

@@ -51,11 +51,11 @@ c AS (
       WHEN json_type(body, '$.contacts') = 'ARRAY' THEN json_extract(body, '$.contacts')
       WHEN json_type(body, '$.contacters') = 'ARRAY' THEN json_extract(body, '$.contacters')
       WHEN json_type(body, '$.tickets') = 'ARRAY' THEN json_extract(body, '$.tickets')
+      WHEN json_type(body, '$.data.data') = 'ARRAY' THEN json_extract(body, '$.data.data')
       WHEN json_type(body, '$.data.list') = 'ARRAY' THEN json_extract(body, '$.data.list')
       WHEN json_type(body, '$.data.items') = 'ARRAY' THEN json_extract(body, '$.data.items')
       WHEN json_type(body, '$.data.records') = 'ARRAY' THEN json_extract(body, '$.data.records')
-      WHEN json_type(body, '$.data.rows') = 'ARRAY' THEN json_extract(body, '$.data.rows')
-      WHEN json_type(body, '$.data.results') = 'ARRAY' THEN json_extract(body, '$.data.results') END AS arr
+      WHEN json_type(body, '$.data.rows') = 'ARRAY' THEN json_extract(body, '$.data.rows') END AS arr
   FROM b),
 i AS (
   SELECT event_id, unnest(json_extract(arr, '$[*]')) AS item,

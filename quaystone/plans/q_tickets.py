@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from quaystone.functions.codes import TICKET_ENUMS
 from quaystone.functions.dates import entity_datetime, metric_datetime, unix_text_to_display
 from quaystone.operators import tickets as T
-from quaystone.operators.sizing import broadcast_if_small
 from quaystone.plans.tables import table
 
 
@@ -51,12 +50,12 @@ def q_enrich_chain(spark, sf_dir):
     region = table(spark, sf_dir, "region")
     t = T.enrich_name(tickets, "custUserId", cust, "c_custkey", "c_name", "contact_name", zero_is_blank=False)
     # company through the contact
-    link = broadcast_if_small(cust.select(F.col("c_custkey").cast("string").alias("__cid"),
-                                          F.col("c_nationkey").cast("string").alias("company_id")))
+    link = cust.select(F.col("c_custkey").cast("string").alias("__cid"),
+                                          F.col("c_nationkey").cast("string").alias("company_id"))
     t = t.join(link, F.trim(t.custUserId) == link["__cid"], "left").drop("__cid")
     t = T.enrich_name(t, "company_id", nation, "n_nationkey", "n_name", "company_name")
-    glink = broadcast_if_small(nation.select(F.col("n_nationkey").cast("string").alias("__nid"),
-                                             F.col("n_regionkey").cast("string").alias("group_id")))
+    glink = nation.select(F.col("n_nationkey").cast("string").alias("__nid"),
+                                             F.col("n_regionkey").cast("string").alias("group_id"))
     valid_company = F.trim(t.company_id).isNotNull() & ~F.trim(t.company_id).isin("", "0")
     t = t.join(glink, valid_company & (F.trim(t.company_id) == glink["__nid"]), "left").drop("__nid")
     return T.enrich_name(t, "group_id", region, "r_regionkey", "r_name", "group_name")
@@ -194,8 +193,8 @@ def region_fields(spark, sf_dir):
     """Orders with custom fields built from their customer's nation/region, rendered with codes."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = broadcast_if_small(table(spark, sf_dir, "nation"))
-    r = broadcast_if_small(table(spark, sf_dir, "region"))
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey) \
         .join(r, n.n_regionkey == r.r_regionkey)
     f = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
@@ -210,7 +209,7 @@ def region_fields(spark, sf_dir):
 
 
 def q_dimension_extract(spark, sf_dir):
-    return T.extract_dimensions_arrow(region_fields(spark, sf_dir), "custom_fields").drop("custom_fields")
+    return T.extract_dimensions(region_fields(spark, sf_dir), "custom_fields").drop("custom_fields")
 
 
 MAIN_MAP = {"ticketId": "ticket_id", "createDT": "create_dt", "subject": "subject", "category": "ticket_category"}

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystone.functions.numbers import MONEY
-from quaystone.operators.sizing import broadcast_if_small
 
 # Statistic periods used by the contract queries.
 PRIOR_PERIOD = (_dt.date(1997, 1, 1), _dt.date(1997, 12, 31))
@@ -56,7 +55,7 @@ def supplier_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(s_suppkey, sales_platform): supplier -> nation name. nation has a fixed 25 rows."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("sales_platform"))
-    return s.join(broadcast_if_small(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", "sales_platform")
+    return s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "sales_platform")
 
 
 def platform_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +66,7 @@ def platform_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_nation = (o.join(c, o.o_custkey == c.c_custkey)
                   .groupBy("c_nationkey")
                   .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("total")))
-    return (per_nation.join(broadcast_if_small(n), per_nation.c_nationkey == n.n_nationkey)
+    return (per_nation.join(n, per_nation.c_nationkey == n.n_nationkey)
             .select(F.col("n_name").alias("sales_platform"),
                     F.round(F.col("total") * F.lit(0.1).cast("decimal(2,1)"), 0)
                     .cast("decimal(18,0)").alias("revenue_target"),

@@ -48,7 +48,6 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.timestampType": "TIMESTAMP_NTZ",
-        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
 
 
@@ -72,12 +71,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (distributed) folder and is used as
-    is. Only when it is unset (tests, local runs) a private folder is created.
+    is; without it only a local master works, which gets a private folder (tests).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quaystone-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

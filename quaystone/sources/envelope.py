@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Keys under which list payloads may sit, in priority order.
 ENVELOPE_KEYS = ("data", "list", "items", "records", "rows", "companies", "users", "contacts", "contacters", "tickets")
-DATA_KEYS = ("list", "items", "records", "rows", "results")
+DATA_KEYS = ("data", "list", "items", "records", "rows")
 DECLARED_COUNT_KEYS = ("total", "count", "totalCount")
 
 # An odd run of backslashes before a character that cannot follow one in JSON gets one more.
@@ -46,8 +46,9 @@ def unwrap_items(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> D
 
 
 def declared_count(doc: str = "doc") -> Column:
-    """Declared total from total / count / totalCount (S3)."""
-    return F.coalesce(*[F.try_variant_get(F.col(doc), f"$.{k}", "bigint") for k in DECLARED_COUNT_KEYS])
+    """Declared total from total / count / totalCount (S3), under ``data`` first where that is an object."""
+    at = [f"$.{p}{k}" for p in ("data.", "") for k in DECLARED_COUNT_KEYS]
+    return F.coalesce(*[F.try_variant_get(F.col(doc), p, "bigint") for p in at])
 
 
 def key_profile(df: DataFrame, json_col: str, by: Sequence[str]) -> DataFrame:

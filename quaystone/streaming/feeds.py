@@ -27,16 +27,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write the new table beside the old one, then put it in its place: at every moment one of the two is whole."""
+    fs, new_path = _file_system(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}__next")
+    fs.delete(new_path(path), True)
+    fs.rename(new_path(f"{path}__next"), new_path(path))
+
+
+def _finish_replace(spark: SparkSession, path: str) -> None:
+    """After a stop between the two steps of :func:`_replace_table`: take the table that is whole."""
+    fs, new_path = _file_system(spark, path)
+    if not fs.exists(new_path(path)) and fs.exists(new_path(f"{path}__next/_SUCCESS")):
+        fs.rename(new_path(f"{path}__next"), new_path(path))
+
+
 def merge_tickets(current: DataFrame | None, batch: DataFrame, key: str, time_col: str) -> DataFrame:
     """Newest version per ticket; a version older than the stored one never overwrites it
-    (late data), equal times keep the stored row."""
-    incoming = (batch.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in batch.columns]), F.col(time_col)).alias("r"))
+    (late data), equal times keep the stored row. A row without a time counts as oldest (the order
+    is a struct, which is never NULL itself)."""
+    incoming = (batch.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in batch.columns]), F.struct(F.col(time_col))).alias("r"))
                 .select("r.*").withColumn("__rank", F.lit(1)))
     if current is None:
         return incoming.drop("__rank")
     both = current.select(*batch.columns).withColumn("__rank", F.lit(2)).unionByName(incoming)
     best = both.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in batch.columns]),
-                                          F.struct(F.coalesce(F.col(time_col), F.lit(None)), F.col("__rank"))).alias("r"))
+                                          F.struct(F.col(time_col), F.col("__rank"))).alias("r"))
     return best.select("r.*")
 
 
@@ -56,7 +78,11 @@ def run_ticket_feed(spark: SparkSession, source_dir: str, schema: str, table_pat
         touched = batch_df.select(partition_col).distinct()
         current = None
         if _exists(spark, table_path):
-            current = spark.read.parquet(table_path).join(touched, partition_col, "left_semi")
+            stored = spark.read.parquet(table_path)
+            current = stored.join(touched, partition_col, "left_semi")
+            if not touched.where(F.col(partition_col).isNull()).isEmpty():
+                # an equality join never matches the partition of rows without a label
+                current = current.unionByName(stored.where(F.col(partition_col).isNull()).select(current.columns))
         merged = merge_tickets(current, batch_df, key, time_col).checkpoint()
         overwrite_partitions(merged, table_path, [partition_col])
 
@@ -71,9 +97,9 @@ def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path:
                   batch_time_col: str = "batch_time", max_files_per_trigger: int | None = None,
                   stream_checkpoint: str | None = None) -> None:
     """Run the incremental SCD2 feed (T2). Source batches inside a micro-batch are applied in
-    batch order; the batch time comes from the data. Batches not newer than the latest applied
-    version are skipped, so replaying files (e.g. after losing the stream checkpoint) adds no
-    versions and never reverts a newer state."""
+    batch order; the batch time comes from the data. Rows of keys that have a version of the batch's
+    time or a later one are skipped, so replaying files (e.g. after losing the stream checkpoint) adds
+    no versions and never reverts a newer state, and a batch spread over files is applied whole."""
     ckpt_root = checkpoint_dir(spark)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -87,19 +113,16 @@ def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path:
         cols = [c for c in batch_df.columns if c not in meta]
         # distinct source batches in this micro-batch: a handful of rows
         batches = batch_df.select(batch_no, batch_id_col, batch_time_col).distinct().orderBy(batch_no).collect()
+        _finish_replace(spark, table_path)
         hist = (spark.read.parquet(table_path) if _exists(spark, table_path)
                 else empty_history(batch_df.select(*cols)))
-        # replay guard: a source batch not newer than the latest applied version was applied
-        # already (re-applying an older batch after a newer one would revert it)
-        latest = hist.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
-        batches = [b for b in batches if latest is None or b[batch_time_col] > latest]
-        if not batches:
-            return
         for b in batches:
             rows = batch_df.where(F.col(batch_no) == b[batch_no]).select(*cols)
-            hist, _ = scd2_apply(hist, rows, key, b[batch_id_col], b[batch_time_col])
-        hist = hist.checkpoint()
-        hist.write.mode("overwrite").parquet(table_path)
+            # replay guard, by key: a key with a version of this batch's time or a later one has had the
+            # batch's row already (a source batch may be spread over several micro-batches)
+            done = hist.where(F.col("effective_from") >= F.lit(b[batch_time_col])).select(key).distinct()
+            hist, _ = scd2_apply(hist, rows.join(done, key, "left_anti"), key, b[batch_id_col], b[batch_time_col])
+        _replace_table(spark, hist, table_path)
 
     location = stream_checkpoint or os.path.join(ckpt_root, "scd2_feed", os.path.basename(table_path.rstrip("/")))
     q = (stream.writeStream.foreachBatch(apply).trigger(availableNow=True)

@@ -90,14 +90,12 @@ def test_snapshot_upsert_twice_is_stable(spark):
         sorted((r.c, r.i, r.v) for r in once.collect() if r.i is not None)
 
 
-def test_dimension_fold_golden_and_forms_agree(spark):
+def test_dimension_fold_golden(spark):
     rows = [(1, [("所在地区", "420000 湖北省"), ("城市", "武汉市"), ("客户性质", "正式客户")]),
             (2, [("省份", ""), ("区县", "北京市"), ("市", "110100 北京市")]),
             (3, [("产品名称", "[]"), ("产品线", "财政"), ("工单类别", "子单")])]
     df = spark.createDataFrame(rows, "id int, f array<struct<key:string,value:string>>")
     a = {r.id: r for r in T.extract_dimensions(df, "f").collect()}
-    b = {r.id: r for r in T.extract_dimensions_arrow(df, "f").collect()}
-    assert a == b
     assert (a[1].province, a[1].region_text, a[1].district, a[1].city) == ("湖北省", "湖北省", None, "武汉市")
     assert a[1].customer_type == "正式客户"
     # a blank value stops the field; a province-looking district goes to province;
