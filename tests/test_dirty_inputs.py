@@ -109,3 +109,14 @@ def test_checkpoint_folder_must_be_shared(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session)
+
+
+def test_option_tree_of_twelve_levels(spark):
+    kind = "struct<key:string,value:string>"
+    for _ in range(11):
+        kind = f"struct<key:string,value:string,children:array<{kind}>>"
+    node = None
+    for k in range(12, 0, -1):
+        node = (str(k), f"v{k}") if node is None else (str(k), f"v{k}", [node])
+    df = spark.createDataFrame([("f", [node])], f"field string, options array<{kind}>")
+    assert sorted(int(r.option_key) for r in tickets.flatten_option_tree(df, "field", "options").collect()) == list(range(1, 13))
