@@ -146,21 +146,20 @@ def _top1_per_key(df: DataFrame, key_cols: Sequence[Column], order_cols: Sequenc
     return keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).select(*df.columns)
 
 
-def dedup_keep_last(df: DataFrame, keys: Sequence[str], order, unique_order: bool = False) -> DataFrame:
+def dedup_keep_last(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     """Keep the row with the greatest ``order`` per trimmed key, only where every key part
     is non-blank; rows with an incomplete key are all kept (W1).
 
     One row per key even when the order ties. ``order`` is a column name, a Column or a list
-    of column names; ``unique_order`` is accepted for compatibility (the plan is the same)."""
+    of column names. One scan: a row with an incomplete key carries a number of its own as a
+    further key part, so it is alone in its group and such rows spread over all partitions."""
     norm = [text_or_empty(k) for k in keys]
     complete = F.lit(True)
     for n in norm:
         complete = complete & (n != "")
-    tagged = df.withColumn("__complete", complete)
-    rest = tagged.where(~F.col("__complete")).drop("__complete")
-    full = tagged.where("__complete").drop("__complete")
-    keep = _top1_per_key(full, [text_or_empty(k) for k in keys], _order_cols(order, descending=True))
-    return keep.unionByName(rest)
+    own = F.when(~complete, F.monotonically_increasing_id())
+    tagged = df.withColumn("__own", own)
+    return _top1_per_key(tagged, [*norm, F.col("__own")], _order_cols(order, descending=True)).drop("__own")
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +39,13 @@ CONTACT_CANDIDATES = {
 UPDATED_AT_CANDIDATES = ("updateTime", "updateDT", "updated_at", "modifyTime")
 
 
-def canonical_rows(records: DataFrame, candidates: dict, source_flag: str, tz: str = "Asia/Shanghai") -> DataFrame:
+def canonical_rows(records: DataFrame, candidates: dict, source_flag: str, tz: str = "Asia/Shanghai",
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Canonical rows (P5/P6): each column = first non-blank candidate (names resolved exactly,
     then case-insensitively, against the schema), trimmed; plus source flag and update time.
-    Adds ``rejected`` = the id (first column) is blank (P11)."""
+    Adds ``rejected`` = the id (first column) is blank (P11). The ``keep`` columns pass through."""
     cols = [blank_to_null(first_nonempty(records, *cands)).alias(name) for name, cands in candidates.items()]
     upd = entity_datetime(first_nonempty(records, *UPDATED_AT_CANDIDATES), tz)
-    out = records.select(*cols, F.lit(source_flag).alias("source_flags"), upd.alias("source_updated_at"))
+    out = records.select(*cols, F.lit(source_flag).alias("source_flags"), upd.alias("source_updated_at"), *keep)
     id_col = next(iter(candidates))
     return out.withColumn("rejected", F.col(id_col).isNull())

@@ -160,23 +160,32 @@ def outcome_counts(outcomes: DataFrame, by: Sequence[str] = (), extra: Sequence[
 # -- incremental tickets (J9, M2) ---------------------------------------------------
 
 def incremental_filter(incoming: DataFrame, stored: DataFrame, key: str, src_time: str,
-                       stored_time: str = "source_updated_at") -> DataFrame:
+                       stored_time: str = "source_updated_at", known: str | None = None) -> DataFrame:
     """Mark incoming rows to (re)load (J9): source time NULL, key absent, or times differ at
-    second precision; others are ``skipped``. Adds ``action`` in load / skipped."""
-    s = stored.select(F.col(key).alias("__k"), F.col(stored_time).alias("__t"), F.lit(True).alias("__present"))
+    second precision; others are ``skipped``. Adds ``action`` in load / skipped and, with ``known``,
+    a boolean column of that name (the key is stored). A key stored with several create times counts
+    once, with its newest source time."""
+    s = stored.groupBy(F.col(key).alias("__k")).agg(F.max(stored_time).alias("__t"), F.lit(True).alias("__present"))
     j = incoming.join(s, incoming[key] == s["__k"], "left")
     u, t = F.date_trunc("second", F.col(src_time)), F.date_trunc("second", F.col("__t"))
     load = F.col(src_time).isNull() | F.col("__present").isNull() | F.col("__t").isNull() | (u != t)
-    return j.select(*incoming.columns, F.when(load, "load").otherwise("skipped").alias("action"))
+    more = [] if known is None else [F.col("__present").isNotNull().alias(known)]
+    return j.select(*incoming.columns, F.when(load, "load").otherwise("skipped").alias("action"), *more)
 
 
 def ticket_upsert(main: DataFrame, child: DataFrame, new_main: DataFrame, new_child: DataFrame,
-                  key: str) -> tuple[DataFrame, DataFrame]:
-    """Upsert the main rows and replace *all* child rows of every changed ticket (M2)."""
-    ids = new_main.select(key).distinct()
-    main_out = main.join(ids, key, "left_anti").unionByName(new_main.select(*main.columns))
-    child_out = child.join(ids, key, "left_anti").unionByName(new_child.select(*child.columns))
-    return main_out, child_out
+                  key: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Upsert the main rows and replace *all* child rows of every changed ticket (M2). ``key`` is the
+    stored key, (ticket_id, create_dt) for tables that hold both; its parts are compared NULL-safely."""
+    keys = [key] if isinstance(key, str) else list(key)
+    ids = new_main.select(*[F.col(k).alias(f"__new_{k}") for k in keys]).distinct()
+
+    def rest(df: DataFrame) -> DataFrame:
+        same = [df[k].eqNullSafe(ids[f"__new_{k}"]) for k in keys]
+        return df.join(ids, same, "left_anti")
+
+    return (rest(main).unionByName(new_main.select(*main.columns)),
+            rest(child).unionByName(new_child.select(*child.columns)))
 
 
 # -- append snapshot (M5), empty-source guard (M9), run log rows (M8) ---------------------

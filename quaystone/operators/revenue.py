@@ -134,36 +134,26 @@ def build_revenue_rows(targets: DataFrame, metrics: DataFrame, year: int, month:
 
 
 def with_total_rows(summary: DataFrame) -> DataFrame:
-    """Detail rows (sort_order 1) plus one total row per (year, month) (sort_order 0).
-
-    Totals are sums; ratios are recomputed from the summed amounts, NULL on a zero
-    denominator. Not a ROLLUP: ratios must not be summed.
-
-    The summary holds one row per platform and period, but its lineage is the full scan and
-    aggregation of the contract lines. It is materialised once with a reliable checkpoint
-    (in the cluster's ``spark.checkpoint.dir``) so the detail rows and the total row read
-    that small result instead of scanning and aggregating the lines twice.
-    """
-    from quaystone.session import checkpoint_dir
-
-    checkpoint_dir(summary.sparkSession)
-    summary = summary.checkpoint()
-    sums = {c: F.sum(c) for c in SUMMARY_COLUMNS if c.endswith(("amount", "revenue", "target", "estimate"))}
-    total = summary.groupBy("stat_year", "stat_month").agg(
-        *[round_units(v).alias(k) for k, v in sums.items()],
-        *([F.max("erp_create_date").alias("erp_create_date")] if "erp_create_date" in summary.columns else []),
-    )
-    total = total.select(
-        "*",
-        F.lit(TOTAL_LABEL).alias("sales_platform"),
-        rate("recognized_revenue", "revenue_target").alias("revenue_completion_rate"),
-        growth_rate("contracts_on_hand_amount", "prior_year_contracts_on_hand_amount").alias("contracts_on_hand_yoy_rate"),
-        growth_rate("recognized_revenue_excluding_estimate", "prior_year_recognized_revenue").alias("recognized_revenue_yoy_rate"),
-        growth_rate("signing_completed_amount", "prior_year_signing_amount").alias("signing_yoy_rate"),
-        F.lit(0).alias("sort_order"),
-    )
-    detail = summary.withColumn("sort_order", F.lit(1))
-    return detail.unionByName(total.select(*detail.columns))
+    """Detail rows (sort_order 1) plus one total row per (year, month) (sort_order 0), totals first.
+
+    One grouping-sets aggregation gives both levels, so the summary and the contract lines below it
+    are computed once. Amounts are summed; ratios are recomputed from the summed amounts at either
+    level, NULL on a zero denominator."""
+    period = ["stat_year", "stat_month"]
+    sums = [round_units(F.sum(c)).alias(c) for c in SUMMARY_COLUMNS if c.endswith(("amount", "revenue", "target", "estimate"))]
+    dated = [F.max("erp_create_date").alias("erp_create_date")] if "erp_create_date" in summary.columns else []
+    both = summary.groupingSets([[*period, "sales_platform"], period], *period, "sales_platform").agg(
+        *sums, *dated, F.grouping("sales_platform").alias("__total"))
+    derived = {
+        "sales_platform": F.when(F.col("__total") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col("sales_platform")),
+        "revenue_completion_rate": rate("recognized_revenue", "revenue_target"),
+        "contracts_on_hand_yoy_rate": growth_rate("contracts_on_hand_amount", "prior_year_contracts_on_hand_amount"),
+        "recognized_revenue_yoy_rate": growth_rate("recognized_revenue_excluding_estimate", "prior_year_recognized_revenue"),
+        "signing_yoy_rate": growth_rate("signing_completed_amount", "prior_year_signing_amount"),
+    }
+    rows = both.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in summary.columns],
+                       (1 - F.col("__total")).cast("int").alias("sort_order"))
+    return rows.orderBy(*period, "sort_order", "sales_platform")
 
 
 def unmapped_platforms(metrics: DataFrame, targets: DataFrame) -> DataFrame:

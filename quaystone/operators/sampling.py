@@ -42,6 +42,41 @@ def newest_per_id(df: DataFrame, id_col: str, time_col: str) -> DataFrame:
             .select("__r.*"))
 
 
+def in_year(time_col: str, year: int) -> Column:
+    """Rows of one year as a range on the raw column, so that it reaches the scan."""
+    return in_range(time_col, _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1))
+
+
+def in_month(time_col: str, month: str) -> Column:
+    """Rows of one 'yyyy-MM' month as a range on the raw column."""
+    first = _dt.date.fromisoformat(f"{month}-01")
+    return in_range(time_col, first, _dt.date(first.year + first.month // 12, first.month % 12 + 1, 1))
+
+
+def in_range(time_col: str, first: _dt.date, until: _dt.date) -> Column:
+    at = [F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz") for d in (first, until)]
+    return (F.col(time_col) >= at[0]) & (F.col(time_col) < at[1])
+
+
+def month_scan(df: DataFrame, time_col: str, id_col: str, month: str, limit: int | None = None) -> DataFrame:
+    """Rows of one month ordered by time and id (S12/L2), the first ``limit`` of them when given."""
+    rows = df.where(in_month(time_col, month)).orderBy(time_col, id_col)
+    return rows if limit is None else rows.limit(limit)
+
+
+def rows_of_id(df: DataFrame, id_col: str, value, time_col: str) -> DataFrame:
+    """Newest row of one id (S13): the id reaches the scan; a row without a time comes last."""
+    return df.where(F.col(id_col) == F.lit(value)).orderBy(F.col(time_col).desc_nulls_last()).limit(1)
+
+
+def snapshot_scan(df: DataFrame, date: str, date_col: str = "create_date") -> DataFrame:
+    """Rows of one snapshot (S10); an empty snapshot is an error (checked with a bounded read)."""
+    rows = df.where(F.col(date_col) == date)
+    if rows.isEmpty():
+        raise ValueError(f"snapshot {date} is empty")
+    return rows
+
+
 def latest_snapshot(df: DataFrame, date_col: str = "create_date") -> DataFrame:
     """Rows of the latest snapshot date (S11); 'yyyyMMdd' text so lexical max = latest.
     The max is a one-row aggregate joined back (no driver round trip)."""
@@ -77,10 +112,20 @@ def refresh_window(month_start: Column, today: _dt.date, daily_months: int = 3,
             .otherwise("none"))
 
 
-def distinct_ids(df: DataFrame, kinds: dict[str, Column]) -> DataFrame:
-    """Distinct referenced ids per entity kind (A8); blank and '0' dropped."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("string").alias("id")) for k, v in kinds.items()]))
-    ex = df.select(pairs.alias("p")).select("p.kind", F.trim("p.id").alias("id"))
+def distinct_ids(df: DataFrame, kinds: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Distinct referenced ids per entity kind (A8); blank and '0' dropped. A kind may occur with
+    several columns; an array column gives each of its elements (an id list: ``tickets.split_id_list``)."""
+    kinds = list(kinds.items()) if isinstance(kinds, dict) else list(kinds)
+    names = [f"__id{i}" for i in range(len(kinds))]
+    flat = df.select(*[c.alias(n) for n, (_, c) in zip(names, kinds)])
+    lists = [F.col(n) if flat.schema[n].dataType.typeName() == "array" else F.array(n) for n in names]
+
+    def pairs_of(kind: str, ids: Column) -> Column:
+        ids = F.coalesce(ids.cast("array<string>"), F.array().cast("array<string>"))
+        return F.transform(ids, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("id")))
+
+    pairs = F.flatten(F.array(*[pairs_of(kind, ids) for ids, (kind, _) in zip(lists, kinds)]))
+    ex = flat.select(F.explode(pairs).alias("p")).select("p.kind", F.trim("p.id").alias("id"))
     return ex.where(F.col("id").isNotNull() & ~F.col("id").isin("", "0")).distinct()
 
 

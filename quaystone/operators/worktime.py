@@ -117,37 +117,50 @@ def business_seconds_prefix(spans: DataFrame, start: str, end: str, overrides: D
 
 # -- metric rows (J15, W5, P36, A5) --------------------------------------------
 
-def metric_defs_df(spark: SparkSession, metrics: Sequence[Mapping]) -> DataFrame:
-    rows = [(str(m["code"]), str(m.get("name") or m["code"]), str(m["start_field"]), str(m["end_field"]))
-            for m in metrics if m.get("enabled", True)]
-    return spark.createDataFrame(rows, "metric_code string, metric_name string, start_field string, end_field string")
-
-
 def first_field_values(attrs: DataFrame, ticket_key: Sequence[str], field_keys: Sequence[str] | None = None) -> DataFrame:
     """First value per (ticket, field) by field order (W5); optional key filter."""
     rows = attrs if field_keys is None else attrs.where(F.col("field_key").isin(*field_keys))
     return rows.groupBy(*ticket_key, "field_key").agg(
-        F.min_by("field_value", "field_order").alias("field_value"))
+        F.min_by("field_value", _field_rank()).alias("field_value"))
+
+
+def _field_rank() -> Column:
+    """Order of a field row; a row without an order comes last instead of hiding the others."""
+    return F.struct(F.col("field_order").isNull(), F.col("field_order"))
+
+
+def field_columns(attrs: DataFrame, ticket_key: Sequence[str], metrics: Sequence[Mapping]) -> DataFrame:
+    """First values of the fields that the metrics name (S14 + W5), one row per ticket with one
+    column per field: one scan, one grouped aggregation. A ticket without these fields keeps its
+    row (all NULL)."""
+    return attrs.groupBy(*ticket_key).agg(*[
+        F.min_by("field_value", F.when(F.col("field_key") == k, _field_rank())).alias(f"__f{i}")
+        for i, k in enumerate(_metric_fields(metrics))])
+
+
+def _metric_fields(metrics: Sequence[Mapping]) -> list[str]:
+    used = [m for m in metrics if m.get("enabled", True)]
+    return sorted({str(m["start_field"]) for m in used} | {str(m["end_field"]) for m in used})
 
 
-def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_key: Sequence[str],
-                overrides, sessions=DEFAULT_SESSIONS, legacy_iso: bool = True) -> DataFrame:
+def metric_rows(wide: DataFrame, metrics: Sequence[Mapping], overrides, sessions=DEFAULT_SESSIONS,
+                legacy_iso: bool = False) -> DataFrame:
     """One row per (ticket, metric) with status, raw and business minutes (J15 + P36).
-    ``overrides`` is the calendar: a dict (day -> is_workday; closed form) or a (day,
-    is_workday) DataFrame (prefix form).
-
-    tickets x metric definitions (broadcast; bounded by the config), then two look-ups of the
-    first field values (start and end field)."""
-    # tickets x metric definitions: the definitions are config (a handful of rows), carried as a
-    # literal array and exploded per ticket
-    d = [(r["metric_code"], r["metric_name"], r["start_field"], r["end_field"]) for r in defs.collect()]
-    arr = F.array(*[F.struct(F.lit(a).alias("metric_code"), F.lit(b).alias("metric_name"),
-                             F.lit(c).alias("start_field"), F.lit(e).alias("end_field")) for a, b, c, e in d])
-    t = tickets.select("*", F.explode(arr).alias("__m")).select(*tickets.columns, "__m.*")
-    sv = values.select(*ticket_key, F.col("field_key").alias("start_field"), F.col("field_value").alias("__sv"))
-    ev = values.select(*ticket_key, F.col("field_key").alias("end_field"), F.col("field_value").alias("__ev"))
-    j = t.join(sv, [*ticket_key, "start_field"], "left").join(ev, [*ticket_key, "end_field"], "left")
-    texts = j.select(*tickets.columns, "metric_code", "metric_name", "start_field", "end_field",
+    ``wide`` has one row per ticket with the columns of ``field_columns``; its other columns are
+    kept. ``overrides`` is the calendar: a dict (day -> is_workday; closed form) or a (day,
+    is_workday) DataFrame (prefix form). ``legacy_iso`` reads 'T' texts as midnight.
+
+    The metric definitions are config: a literal array exploded per ticket, each element with its
+    two field values, so no join is needed."""
+    at = {k: F.col(f"__f{i}") for i, k in enumerate(_metric_fields(metrics))}
+    keep = [c for c in wide.columns if c not in {f"__f{i}" for i in range(len(at))}]
+    one = [F.struct(F.lit(str(m["code"])).alias("metric_code"),
+                    F.lit(str(m.get("name") or m["code"])).alias("metric_name"),
+                    F.lit(str(m["start_field"])).alias("start_field"), F.lit(str(m["end_field"])).alias("end_field"),
+                    at[str(m["start_field"])].alias("__sv"), at[str(m["end_field"])].alias("__ev"))
+           for m in metrics if m.get("enabled", True)]
+    j = wide.select(*keep, F.explode(F.array(*one)).alias("__m")).select(*keep, "__m.*")
+    texts = j.select(*keep, "metric_code", "metric_name", "start_field", "end_field",
                      F.nullif(strip_all("__sv"), F.lit("")).alias("start_text"),
                      F.nullif(strip_all("__ev"), F.lit("")).alias("end_text"))
     parsed = texts.select("*", metric_datetime("start_text", legacy_iso).alias("start_ts"),
@@ -168,7 +181,7 @@ def metric_rows(tickets: DataFrame, values: DataFrame, defs: DataFrame, ticket_k
     else:  # calendar given as config: closed form, no day table
         timed = business_seconds_closed(spans, "__s", "__e", overrides, sessions)
     return timed.select(
-        *tickets.columns, "metric_code", "metric_name", "start_field", "end_field",
+        *keep, "metric_code", "metric_name", "start_field", "end_field",
         F.when(ok, F.date_format("start_ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("start_text")).alias("start_time"),
         F.when(ok, F.date_format("end_ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("end_text")).alias("end_time"),
         F.when(ok, F.floor(F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")) / 60)).cast("long").alias("raw_minutes"),

@@ -13,10 +13,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaystone.functions.codes import TICKET_ENUMS
-from quaystone.functions.dates import contract_date, snapshot_date_text, strict_datetime
+from quaystone.functions.codes import ANALYTIC_FIELD_KEYWORDS, TICKET_ENUMS
+from quaystone.functions.dates import (
+    contract_date, month_columns, snapshot_date_text, strict_datetime, unix_text_to_display,
+)
 from quaystone.functions.numbers import parse_decimal_text, parse_int_text
-from quaystone.functions.text import blank_to_null, text_or_empty
+from quaystone.functions.text import blank_to_null, first_nonempty, strip_all, text_or_empty
 from quaystone.operators import allocation, contracts as C, history as H, revenue as R, sampling as S
 from quaystone.operators import tickets as T, views as V, worktime as W
 from quaystone.operators.entities import canonical_rows
@@ -27,34 +29,130 @@ from quaystone.sources.sinks import raw_archive
 
 # -- G1 / G2 tickets ------------------------------------------------------------------
 
+# (id column, kind of the referenced row, name column): plain references of a ticket.
+REFERENCES = (("custUserId", "contact", "cust_user_name"), ("servicerUserId", "agent", "servicer_user_name"),
+              ("createrId", "agent", "creater_name"), ("deleterId", "agent", "deleter_name"),
+              ("servicerGroupId", "group", "servicer_group_name"),
+              ("ticketTemplateId", "template", "ticket_template_name"))
+ID_LISTS = (("ccUserIdList", "agent"), ("ccGroupIdList", "group"))
+
+
+def _reference_names(contacts, companies, agents, groups, templates, field_options, global_options,
+                     field_names) -> DataFrame:
+    """(kind, id) -> (name, company id, company name), one row per id of each kind; blank names leave
+    no row. The company of a contact is joined here, on the dimension side."""
+    none = F.lit(None).cast("string")
+
+    def rows(df, kind, id_col, name, company=none, company_name=none):
+        return df.select((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+                         F.col(id_col).cast("string").alias("id"), blank_to_null(name).alias("name"),
+                         company.alias("company_id"), company_name.alias("company_name"))
+
+    company_id = text_or_empty(F.col("companyId")) if "companyId" in contacts.columns else F.lit("")
+    c = contacts.withColumn("__company", F.when(~company_id.isin("", "0"), company_id))
+    if companies is not None:
+        names = companies.groupBy(F.col("id").cast("string").alias("__cid")).agg(F.min("name").alias("__cn"))
+        c = c.join(names, F.col("__company") == F.col("__cid"), "left")
+    else:
+        c = c.withColumn("__cn", none)
+    company_name = F.coalesce(blank_to_null("__cn"), F.col("__company"))
+    contact = rows(c, "contact", "cId", "realName", F.col("__company"), company_name)
+    contact = contact.withColumn("name", F.coalesce("name", "id"))  # a contact without a name still has a company
+    both = (contact.unionByName(rows(agents, "agent", "sId", "name")).unionByName(rows(groups, "group", "gId", "name"))
+            .unionByName(rows(templates, "template", "tId", "name"))
+            .unionByName(rows(field_options, F.concat(F.lit("field:"), F.col("field_key")), "option_key", "option_value"))
+            .unionByName(rows(global_options, "option", "option_key", "option_value"))
+            .unionByName(rows(field_names, "field", "key", "name")))
+    return both.where("id IS NOT NULL AND name IS NOT NULL").groupBy("kind", "id").agg(
+        F.min(F.struct("name", "company_id", "company_name")).alias("ref"))
+
+
 def resolve_tickets(details: DataFrame, *, contacts: DataFrame, agents: DataFrame, groups: DataFrame,
                     templates: DataFrame, field_options: DataFrame, global_options: DataFrame,
-                    field_names: DataFrame, key: str = "ticketId", fields: str = "custom_fields") -> DataFrame:
-    """G1: enums, contact / agent / group / template names, cc lists, analytic dimensions.
-    ``details`` carries the API keys as text and ``custom_fields`` as array<struct<key,value>>."""
+                    field_names: DataFrame, companies: DataFrame | None = None, key: str = "ticketId",
+                    fields: str = "custom_fields") -> DataFrame:
+    """G1: enums, contact and its company, agent / group / template names, cc lists, custom fields with
+    agent-valued ones (J7), current node and its time, analytic dimensions.
+
+    ``details`` carries the API keys as text and ``custom_fields`` as array<struct<key,value>>. A ticket's
+    distinct references of all kinds are exploded once and inner joined with the names of all kinds (rows
+    without an id never meet the join); the names found come back as one small map per ticket, and the rest
+    are expressions over the ticket's own columns. Adds ``resolved_fields``. Unknown or blank references
+    keep their ids."""
     t = T.decode_enums(details, {c: m for c, m in TICKET_ENUMS.items() if c in details.columns})
-    t = T.enrich_name(t, "custUserId", contacts, "cId", "realName", "cust_user_name", zero_is_blank=False)
-    for col, out in (("servicerUserId", "servicer_name"), ("createrId", "creater_name"), ("deleterId", "deleter_name")):
-        if col in t.columns:
-            t = T.enrich_name(t, col, agents, "sId", "name", out)
-    if "servicerGroupId" in t.columns:
-        t = T.enrich_name(t, "servicerGroupId", groups, "gId", "name", "servicer_group_name")
-    if "ticketTemplateId" in t.columns:
-        t = T.enrich_name(t, "ticketTemplateId", templates, "tId", "name", "ticket_template_name")
-    if "ccUserIdList" in t.columns:
-        t = T.enrich_id_list(t, key, "ccUserIdList", agents, "sId", "name", "cc_user_names")
-    if "ccGroupIdList" in t.columns:
-        t = T.enrich_id_list(t, key, "ccGroupIdList", groups, "gId", "name", "cc_group_names")
-    # custom fields: field names and option values (J5) through the exploded form
-    eav = custom_field_rows(t, key, fields)
-    dec = T.decode_field_values(eav.select(key, "field_order", "field_key", "field_value"),
-                                field_options, global_options, field_names, row_keys=[key, "field_order"])
-    resolved = dec.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(
-        F.struct("field_order", F.col("field_name").alias("key"), F.col("decoded_value").alias("value")))),
-        lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))).alias("resolved_fields"))
-    t = t.join(resolved, key, "left")
-    return T.extract_dimensions(t.withColumn("__f", F.coalesce("resolved_fields", F.col(fields))), "__f") \
-        .drop("__f")
+    has = set(details.columns)
+    ref = lambda kind, i: F.struct(kind.alias("kind"), strip_all(i.cast("string")).alias("id"))
+    agent_field = lambda k: F.coalesce(k.startswith(T.AGENT_FIELD_PREFIX), F.lit(False))
+
+    def value_refs(k, value):
+        value = value.cast("string")
+        parts = F.coalesce(T.json_list(value), F.map_values(T.json_object(value)), F.array(value))
+        plain = F.flatten(F.transform(parts, lambda v: F.array(
+            ref(F.concat(F.lit("field:"), F.coalesce(k, F.lit(""))), v), ref(F.lit("option"), v))))
+        named = F.transform(parts, lambda v: ref(F.lit("agent"), v))
+        return F.concat(F.array(ref(F.lit("field"), k)), F.when(agent_field(k), named).otherwise(plain))
+
+    wanted = [F.array(*[ref(F.lit(kind), F.col(c)) for c, kind, _ in REFERENCES if c in has])]
+    list_refs = lambda kind, ids: F.transform(ids, lambda v: ref(F.lit(kind), v))
+    wanted += [list_refs(kind, T.split_id_list(c)) for c, kind in ID_LISTS if c in has]
+    if "currentNodeField" in has:
+        wanted.append(value_refs(F.col("currentNodeField"), F.col("currentNodeFieldValue")))
+    empty = F.array().cast(details.schema[fields].dataType)
+    wanted.append(F.flatten(F.transform(F.coalesce(F.col(fields), empty), lambda f: value_refs(f["key"], f["value"]))))
+    refs = details.select(key, F.explode(F.array_distinct(F.concat(*wanted))).alias("__r")).select(key, "__r.*") \
+        .where("kind IS NOT NULL AND id IS NOT NULL AND id != ''")
+    dims = _reference_names(contacts, companies, agents, groups, templates, field_options, global_options, field_names)
+    found = refs.join(dims, ["kind", "id"]).groupBy(key).agg(F.map_from_entries(F.collect_set(
+        F.struct(F.struct("kind", "id"), F.col("ref")))).alias("__names"))
+    t = t.join(found, key, "left")
+
+    at = lambda kind, i: F.try_element_at(F.col("__names"), ref(kind if not isinstance(kind, str) else F.lit(kind), i))
+    list_names = lambda kind, ids: F.transform(ids, lambda v: F.coalesce(at(kind, v)["name"], v))
+    new = {}
+    for c, kind, out in REFERENCES:
+        if c in has:
+            i = blank_to_null(c)
+            valid = i.isNotNull() if kind == "contact" else i.isNotNull() & (i != "0")
+            new[out] = F.when(valid, F.coalesce(at(kind, i)["name"], i))
+    if "custUserId" in has:
+        new["company_id"] = at("contact", F.col("custUserId"))["company_id"]
+        new["company_name"] = at("contact", F.col("custUserId"))["company_name"]
+    for c, kind in ID_LISTS:
+        if c in has:
+            ids = T.split_id_list(c)
+            new[c] = F.when(F.size(ids) > 0, F.array_join(list_names(kind, ids), ",")).otherwise(F.col(c))
+
+    def decoded(k, value):
+        value = value.cast("string")
+        listed, objects = T.json_list(value), T.json_object(value)
+
+        def option(v):
+            return F.coalesce(at(F.concat(F.lit("field:"), F.coalesce(k, F.lit(""))), v)["name"], at("option", v)["name"], v)
+
+        def agent(v):
+            return F.coalesce(at("agent", v)["name"], v)
+
+        agents_ = F.when(listed.isNotNull(), F.to_json(F.transform(listed, agent))).otherwise(agent(value))
+        options = (F.when(listed.isNotNull(), F.to_json(F.transform(listed, option)))
+                   .when(objects.isNotNull(), F.to_json(F.transform_values(objects, lambda _, v: option(v))))
+                   .otherwise(option(value)))
+        return F.when(agent_field(k), agents_).otherwise(options)
+
+    def named(k):
+        return F.coalesce(at("field", k)["name"], k)
+
+    if "currentNodeField" in has:
+        new["currentNodeField"] = named(F.col("currentNodeField"))
+        new["currentNodeFieldValue"] = decoded(F.col("currentNodeField"), F.col("currentNodeFieldValue"))
+    if "nodeFieldIntoTime" in has:
+        new["nodeFieldIntoTime"] = unix_text_to_display("nodeFieldIntoTime")
+        own = F.col("current_node_started_at") if "current_node_started_at" in has else F.lit(None).cast("string")
+        new["current_node_started_at"] = F.coalesce(blank_to_null(own), blank_to_null(new["nodeFieldIntoTime"]))
+    new["resolved_fields"] = F.transform(F.col(fields), lambda f: F.struct(
+        named(f["key"]).alias("key"), decoded(f["key"], f["value"]).alias("value")))
+    kept = [new.pop(c).alias(c) if c in new else F.col(c) for c in t.columns if c != "__names"]
+    t = t.select(*kept, *[e.alias(c) for c, e in new.items()])
+    return T.extract_dimensions(t.drop(*[d for d in ANALYTIC_FIELD_KEYWORDS if d in has]), "resolved_fields")
 
 
 def custom_field_rows(details: DataFrame, key: str, fields: str = "custom_fields") -> DataFrame:
@@ -64,55 +162,72 @@ def custom_field_rows(details: DataFrame, key: str, fields: str = "custom_fields
         F.col("__f.value").alias("field_value"))
 
 
-MAIN_COLUMNS = {
-    "ticketId": "ticket_id", "subject": "subject", "custUserId": "cust_user_id", "cust_user_name": "cust_user_name",
-    "servicerUserId": "servicer_user_id", "servicer_name": "servicer_name", "servicerGroupId": "servicer_group_id",
-    "ticketTemplateId": "ticket_template_id", "ticketType": "ticket_type", "priorityLevel": "priority_level",
-    "ticketStatus": "ticket_status", "createDT": "create_dt", "updateDT": "source_updated_at",
-    "ticket_category": "ticket_category", "province": "province", "city": "city", "district": "district",
-}
+def touched_partitions(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The rows of ``stored`` whose partition ``column`` occurs in ``batch``, the NULL partition included.
+    The equi semi join prunes partitions when it runs."""
+    parts = batch.select(column).distinct()
+    null_part = parts.where(F.col(column).isNull()).select(F.lit(1).alias("__null"))
+    keep = stored.join(parts, column, "left_semi").select(*stored.columns)
+    return keep.unionByName(stored.where(F.col(column).isNull()).withColumn("__null", F.lit(1))
+                            .join(null_part, "__null", "left_semi").select(*stored.columns))
 
 
 def ingest_tickets(incoming: DataFrame, stored_main: DataFrame, stored_child: DataFrame, resolve_args: Mapping,
-                   key: str = "ticketId") -> dict[str, DataFrame]:
-    """Incremental filter -> resolve -> main row + custom-field rows -> upsert -> counts.
-
-    When the stored tables carry ``create_month_label`` (their partition column), only the months
-    present in ``incoming`` are read and returned (dynamic partition pruning on a semi join), to be
-    written back with a dynamic partition overwrite."""
-    if "create_month_label" in stored_main.columns and "createDT" in incoming.columns:
-        months = incoming.select(F.date_format(strict_datetime("createDT"), "yyyy-MM").alias("create_month_label")) \
-            .distinct()
-        stored_main = stored_main.join(F.broadcast(months), "create_month_label", "left_semi")
+                   key: str = "ticketId", arrival: str | None = None) -> dict[str, DataFrame]:
+    """First row per ticket id in ``arrival`` order (W2), incremental filter, resolve, main rows and
+    custom-field rows, upsert on (ticket_id, create_dt) where the stored tables hold both, counts.
+
+    Rows whose id isn't a number are ``rejects`` and count as failed; a loaded ticket counts as updated when
+    its id is stored, else as inserted. When the stored tables carry ``create_month_label`` (their partition
+    column), only the months that the loaded tickets touch are read and returned, to be written back with a
+    dynamic partition overwrite. The marked and the resolved batch are checkpointed: each feeds several outputs."""
+    checkpoint_dir(incoming.sparkSession)
+    order = arrival or "__arrival"
+    seen = incoming if arrival else incoming.withColumn(order, F.monotonically_increasing_id())
+    typed = seen.withColumn("ticket_id", strip_all(F.col(key).cast("string")).try_cast("long")) \
+        .withColumn("__upd", strict_datetime("updateDT"))
+    rejects = typed.where(F.col("ticket_id").isNull())
+    first = C.keep_first(typed.where(F.col("ticket_id").isNotNull()).withColumn("__id", F.col("ticket_id").cast("string")),
+                         "__id", [order])
+    marked = H.incremental_filter(first, stored_main, "ticket_id", "__upd", known="__known").checkpoint()
+    load = marked.where(F.col("action") == "load").select(*incoming.columns)
+    resolved = resolve_tickets(load, key=key, **resolve_args).checkpoint()
+    main = T.wide_main_row(resolved)
+    stamp = strict_datetime("createDT")
+    child = T.zip_custom_fields(resolved.withColumn("ticket_id", F.col(key).cast("long"))
+                                .withColumn("ticket_template_id", blank_to_null("ticketTemplateId"))
+                                .withColumn("create_dt", stamp),
+                                ["ticket_id", "ticket_template_id", "create_dt"], "custom_fields", "resolved_fields")
+    child = child.select("*", *month_columns("create_dt"))
+    stored_key = ["ticket_id"] + ["create_dt"] * ("create_dt" in stored_main.columns and "create_dt" in stored_child.columns)
+    if "create_month_label" in stored_main.columns:
+        stored_main = touched_partitions(stored_main, main, "create_month_label")
         if "create_month_label" in stored_child.columns:
-            stored_child = stored_child.join(F.broadcast(months), "create_month_label", "left_semi")
-    inc = incoming.withColumn("__upd", strict_datetime("updateDT"))
-    marked = H.incremental_filter(inc.withColumn("ticket_id", F.col(key).cast("long")),
-                                  stored_main, "ticket_id", "__upd")
-    load = marked.where(F.col("action") == "load").drop("action", "ticket_id", "__upd")
-    resolved = resolve_tickets(load, key=key, **resolve_args)
-    main = T.main_row(resolved, {k: v for k, v in MAIN_COLUMNS.items()},
-                      datetime_cols=["create_dt", "source_updated_at"], id_col=key)
-    child = T.zip_custom_fields(resolved, key, "custom_fields", "resolved_fields") \
-        .withColumn("ticket_id", F.col(key).cast("long")).drop(key)
+            stored_child = touched_partitions(stored_child, main, "create_month_label")
     main = main.select(*[F.col(c) if c in main.columns else F.lit(None).alias(c) for c in stored_main.columns])
     child = child.select(*[F.col(c) if c in child.columns else F.lit(None).alias(c) for c in stored_child.columns])
-    new_main, new_child = H.ticket_upsert(stored_main, stored_child, main, child, "ticket_id")
-    outcomes = marked.select(F.when(F.col("action") == "load", "inserted").otherwise("skipped").alias("outcome"))
-    return {"main": new_main, "child": new_child, "counts": H.outcome_counts(outcomes)}
+    # a ticket without fields still replaces its stored field rows: the main rows name the changed tickets
+    new_main, new_child = H.ticket_upsert(stored_main, stored_child, main, child, stored_key)
+    outcomes = marked.select(F.when(F.col("action") != "load", "skipped").when(F.col("__known"), "updated")
+                             .otherwise("inserted").alias("outcome")) \
+        .unionByName(rejects.select(F.lit("failed").alias("outcome")))
+    return {"main": new_main, "child": new_child, "counts": H.outcome_counts(outcomes), "rejects": rejects}
 
 
 # -- G3 entities ----------------------------------------------------------------------
 
 def sync_entities(sources: Sequence[tuple[str, DataFrame]], candidates: Mapping, history: DataFrame, *,
                   key: str, batch_id: str, batch_time, entity_type: str, hash_fields: Sequence[str],
-                  allow_empty: bool = False) -> dict[str, DataFrame]:
+                  allow_empty: bool = False, arrival: str | None = None) -> dict[str, DataFrame]:
     """Canonical rows per source, first id wins across sources (arrival order), row hash,
-    empty-source guard, SCD2 apply, raw archive and outcome counts."""
+    empty-source guard, SCD2 apply, raw archive under the canonical id and outcome counts (rows
+    without an id are failed). ``arrival`` names the column that orders the rows of a source, where
+    the sources have one."""
     canon = None
     for rank, (name, df) in enumerate(sources):
-        rows = canonical_rows(df, candidates, name).withColumn("__src", F.lit(rank)) \
-            .withColumn("__pos", F.monotonically_increasing_id())
+        place = F.col(arrival) if arrival else F.monotonically_increasing_id()
+        rows = canonical_rows(df.withColumn("__pos", place), candidates, name, keep=["__pos"]) \
+            .withColumn("__src", F.lit(rank))
         canon = rows if canon is None else canon.unionByName(rows)
     good = canon.where(~F.col("rejected"))
     if good.isEmpty() and not allow_empty:
@@ -127,10 +242,12 @@ def sync_entities(sources: Sequence[tuple[str, DataFrame]], candidates: Mapping,
         new_hist, outcomes = H.scd2_apply(history, hashed, key, batch_id, batch_time)
     archive = None
     for name, df in sources:
-        a = raw_archive(df, batch_id, entity_type, name, df.columns[0])
+        a = raw_archive(df, batch_id, entity_type, name, first_nonempty(df, *candidates[key]))
         archive = a if archive is None else archive.unionByName(a)
-    return {"history": new_hist, "outcomes": outcomes, "counts": H.outcome_counts(outcomes),
-            "archive": archive, "rejects": canon.where(F.col("rejected"))}
+    rejects = canon.where(F.col("rejected"))
+    done = outcomes.select("outcome").unionByName(rejects.select(F.lit("failed").alias("outcome")))
+    return {"history": new_hist, "outcomes": outcomes, "counts": H.outcome_counts(done),
+            "archive": archive, "rejects": rejects}
 
 
 # -- G4 / G5 contracts ------------------------------------------------------------------
@@ -178,17 +295,11 @@ def merge_contract_sources(new_cells: DataFrame, old_cells: DataFrame, output_co
     if "序号" in merged.columns:
         merged = C.renumber(merged.drop("序号"), ["__src", "__seq"], "序号")
     merged = C.fill_defaults(merged)
-    latest = max((_file_date_py(n) for n in file_names), default="")
-    merged = merged.withColumn(C.GENERATED_AT_COLUMN, F.lit(generated_at.strftime("%Y%m%d%H%M%S"))) \
-        .withColumn(C.SOURCE_DATE_COLUMN, F.lit(latest))
-    middle = [c for c in merged.columns if c not in (C.SOURCE_COLUMN, C.GENERATED_AT_COLUMN, C.SOURCE_DATE_COLUMN, "__src", "__seq")]
-    return merged.select(*middle, C.SOURCE_COLUMN, C.GENERATED_AT_COLUMN, C.SOURCE_DATE_COLUMN)
-
-
-def _file_date_py(name: str) -> str:
-    import re
-    m = re.search(r"(20\d{2})-(\d{1,2})-(\d{1,2})", name)
-    return f"{int(m.group(1)):04d}{int(m.group(2)):02d}{int(m.group(3)):02d}" if m else ""
+    stamps = (C.SOURCE_COLUMN, C.GENERATED_AT_COLUMN, C.SOURCE_DATE_COLUMN)
+    newest = F.array_max(F.transform(F.array(F.lit(""), *[F.lit(n) for n in file_names]), S.file_date))
+    stamped = merged.drop("__src", "__seq").withColumn(C.GENERATED_AT_COLUMN, F.lit(generated_at.strftime("%Y%m%d%H%M%S"))) \
+        .withColumn(C.SOURCE_DATE_COLUMN, newest)
+    return stamped.select(*sorted(stamped.columns, key=lambda c: stamps.index(c) if c in stamps else -1))
 
 
 def standard_sheet(merged: DataFrame, prior_period, current_period) -> DataFrame:
@@ -221,9 +332,9 @@ DECIMAL_COLUMNS = ("total_amount", "annual_ops_amount", "unit_price", "detail_am
                    "cur_year_calc_amort", "cur_year_adjusted_amort")
 
 
-def typed_snapshot(sheet: DataFrame) -> DataFrame:
-    """Header text -> snapshot columns with their converters (S7 + P14), absent columns NULL."""
-    headers = {h: c for h, c in L.STANDARD_LAYOUT}
+def typed_snapshot(sheet: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Header text -> snapshot columns with their converters (S7 + P14), absent columns NULL;
+    the ``keep`` columns pass through."""
     cols = []
     for h, c in L.STANDARD_LAYOUT:
         src = F.col(f"`{h}`").cast("string") if h in sheet.columns else F.lit(None).cast("string")
@@ -238,27 +349,28 @@ def typed_snapshot(sheet: DataFrame) -> DataFrame:
         else:
             e = blank_to_null(src)
         cols.append(e.alias(c))
-    del headers
-    return sheet.select(*cols)
+    return sheet.select(*cols, *keep)
 
 
 def load_contract_snapshot(sheet: DataFrame, current: DataFrame, baseline: DataFrame, engineer_map: DataFrame,
                            baseline_date: str | None = None) -> dict[str, DataFrame]:
     """Layout check, typed conversion, required contract number, baseline platform,
     engineer by final platform, upsert on (contract, item, detail, date), counts.
-    ``table`` holds the new content of the touched snapshot partitions only."""
-    L.check_layout(sheet.columns, ([h for h, _ in L.LEGACY_LAYOUT], [h for h, _ in L.STANDARD_LAYOUT]))
-    rows = typed_snapshot(sheet)
+    ``table`` holds the new content of the touched snapshot partitions only. Of lines with the same key
+    the last one stands: by ``row_no`` when the sheet has it, else in reading order."""
+    headers = [c for c in sheet.columns if c != "row_no"]
+    L.check_layout(headers, ([h for h, _ in L.LEGACY_LAYOUT], [h for h, _ in L.STANDARD_LAYOUT]))
+    place = F.col("row_no") if "row_no" in sheet.columns else F.monotonically_increasing_id()
+    rows = typed_snapshot(sheet.withColumn("__o", place), keep=["__o"])
     skipped = rows.where(F.col("contract_id").isNull())
     rows = rows.where(F.col("contract_id").isNotNull())
     keys = ["contract_id", "item_code", "exec_detail_id"]
     rows = C.apply_baseline_platform(rows, baseline, keys, baseline_date=baseline_date)
     rows = C.apply_engineer_override(rows, engineer_map)
-    # only the snapshot partitions this sheet touches are read (dynamic partition pruning on the
-    # semi join) and returned, to be written back with a dynamic partition overwrite
-    current = current.join(F.broadcast(rows.select("create_date").distinct()), "create_date", "left_semi")
-    merged = H.snapshot_upsert(current, rows.drop("reused_baseline", "mapped_engineer")
-                               .withColumn("__o", F.monotonically_increasing_id()),
+    # only the snapshot partitions this sheet touches are read and returned, to be written back with a
+    # dynamic partition overwrite
+    current = touched_partitions(current, rows, "create_date")
+    merged = H.snapshot_upsert(current, rows.drop("reused_baseline", "mapped_engineer"),
                                keys + ["create_date"], "__o", [c for c in current.columns if c not in keys + ["create_date"]])
     outcomes = merged.where(F.col("outcome") != "kept").select("outcome", "create_date") \
         .unionByName(skipped.select(F.lit("skipped").alias("outcome"), "create_date"))
@@ -280,12 +392,10 @@ def revenue_summary(raw_targets: DataFrame, snapshot: DataFrame, year: int, mont
 
 def time_metrics(tickets: DataFrame, attrs: DataFrame, metric_defs: Sequence[Mapping], overrides: DataFrame,
                  ticket_key: Sequence[str] = ("ticket_id",)) -> dict[str, DataFrame]:
-    """Field look-up of the selected keys (S14), first values (W5), metric rows, status counts."""
-    spark = tickets.sparkSession
-    keys = sorted({m["start_field"] for m in metric_defs} | {m["end_field"] for m in metric_defs})
-    sel = attrs.join(tickets.select(*ticket_key), list(ticket_key), "left_semi")
-    values = W.first_field_values(sel, list(ticket_key), keys)
-    rows = W.metric_rows(tickets, values, W.metric_defs_df(spark, metric_defs), list(ticket_key), overrides)
+    """Field look-up of the selected keys (S14), first values (W5), metric rows, status counts.
+    The attributes are grouped per ticket before the one join with the tickets."""
+    wide = W.field_columns(attrs, list(ticket_key), metric_defs)
+    rows = W.metric_rows(tickets.join(wide, list(ticket_key), "left"), metric_defs, overrides)
     return {"rows": rows, "counts": W.status_counts(rows)}
 
 
@@ -325,9 +435,11 @@ def load_accounts(cells: DataFrame, names: Sequence[str], snapshot_date: str, mo
 
 def load_personnel(rows: DataFrame, current: DataFrame, headers: Mapping[str, str]) -> DataFrame:
     """G10 (personnel): required headers, blank rows dropped, employee number as integer text,
-    upsert by employee number."""
+    upsert by employee number; of rows with the same number the last one stands (``row_no`` when there
+    is one, else reading order)."""
     src = L.require_columns(rows, list(headers))
-    typed = src.select(*[blank_to_null(F.col(f"`{h}`").cast("string")).alias(c) for h, c in headers.items()])
+    place = F.col("row_no") if "row_no" in src.columns else F.monotonically_increasing_id()
+    typed = src.select(*[blank_to_null(F.col(f"`{h}`").cast("string")).alias(c) for h, c in headers.items()], place.alias("__o"))
     typed = typed.withColumn("employee_no", text_or_empty(F.regexp_replace("employee_no", r"^(-?\d+)\.0+$", "$1")))
-    good = typed.where(F.col("employee_no") != "").withColumn("__o", F.lit(1))
+    good = typed.where(F.col("employee_no") != "")
     return H.snapshot_upsert(current, good, ["employee_no"], "__o", [c for c in current.columns if c != "employee_no"])

@@ -233,7 +233,7 @@ def q_dedup_keep_last(spark, sf_dir):
         "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
     # (l_shipdate, l_partkey, l_suppkey) is unique within a (contract, item) key here
     out = C.dedup_keep_last(rows, ["contract_id", "item_code", "exec_detail_id"],
-                            ["l_shipdate", "l_partkey", "l_suppkey"], unique_order=True)
+                            ["l_shipdate", "l_partkey", "l_suppkey"])
     return out
 
 

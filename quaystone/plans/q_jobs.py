@@ -6,8 +6,13 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from quaystone.functions.codes import ANALYTIC_FIELD_KEYWORDS
 from quaystone.operators import contracts as C
+from quaystone.operators import history as H
+from quaystone.operators import tickets as T
+from quaystone.operators.entities import CUSTOMER_CANDIDATES
 from quaystone.plans import jobs as J
+from quaystone.sources import layout as L
 from quaystone.plans.tables import CURRENT_PERIOD, PRIOR_PERIOD, table
 
 NEW_HEADER = ["合同编号", "销售组织", "签约客户", "标的行编码", "执行明细id", "企业版销售合同明细id", "营销平台",
@@ -49,7 +54,7 @@ def merge_sources(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = li.join(p, li.l_partkey == p.p_partkey, "left").join(s, li.l_suppkey == s.s_suppkey, "left") \
-        .join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey, "left")
+        .join(n, F.col("s_nationkey") == n.n_nationkey, "left")
     line_id = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     start = F.date_format("l_shipdate", "yyyyMMdd")
     end = F.date_format(F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_quantity") * 7).cast("int")), "yyyy-MM-dd")
@@ -96,14 +101,15 @@ def ticket_details(spark, sf_dir):
     """orders as ticket details (API keys as text, custom fields from the customer's nation/region)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation"))
-    r = F.broadcast(table(spark, sf_dir, "region"))
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))),
                                  lambda x: x["l_suppkey"].cast("string")), ",").alias("cc"))
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left") \
         .join(r, n.n_regionkey == r.r_regionkey, "left").join(li, o.o_orderkey == li.l_orderkey, "left")
     f = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"))
+    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("o_orderdate"))
     return j.select(
         F.col("o_orderkey").cast("string").alias("ticketId"), F.col("o_orderpriority").alias("subject"),
         F.col("o_custkey").cast("string").alias("custUserId"),
@@ -118,42 +124,159 @@ def ticket_details(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("createDT"),
         F.date_format(F.when(F.col("o_orderstatus") == "O", F.timestamp_add("HOUR", F.lit(3), F.col("o_orderdate")))
                       .otherwise(F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss").alias("updateDT"),
+        F.lit("field_2").alias("currentNodeField"), F.col("r_regionkey").cast("string").alias("currentNodeFieldValue"),
+        epoch.cast("string").alias("nodeFieldIntoTime"),
         F.array(f("field_1", F.concat(F.lpad(F.col("n_nationkey").cast("string"), 6, "1"), F.lit(" "), F.col("n_name"), F.lit("省"))),
                 f("field_2", F.col("r_regionkey")),
-                f("record_serviceruserid_1", F.length("o_orderpriority"))).alias("custom_fields"))
+                f("record_serviceruserid_1", F.length("o_orderpriority")),
+                f("field_3", F.concat(F.lit('["'), F.col("r_regionkey").cast("string"), F.lit('","77"]')))).alias("custom_fields"))
 
 
-def q_ingest_tickets(spark, sf_dir):
-    details = ticket_details(spark, sf_dir)
-    stored_main = details.where(F.col("servicerGroupId") != "2").select(
-        F.col("ticketId").cast("long").alias("ticket_id"), F.col("subject"),
-        F.to_timestamp("updateDT", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("source_updated_at"),
-        F.lit(None).cast("string").alias("province"), F.lit("stored").alias("sync_status"))
-    stored_child = J.custom_field_rows(details.where(F.col("servicerGroupId") != "2"), "ticketId", "custom_fields") \
-        .select(F.col("ticketId").cast("long").alias("ticket_id"), "field_order", "field_key",
-                F.col("field_key").alias("field_name"), "field_value")
-    # open tickets (group 1) arrive with a changed update time; closed ones unchanged; pending are new
-    incoming = details.withColumn("updateDT", F.when(F.col("servicerGroupId") == "1", F.col("createDT"))
-                                  .otherwise(F.col("updateDT")))
+def resolve_args(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    args = dict(
-        contacts=table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cId"), F.col("c_name").alias("realName")),
+    options = r.select(F.explode(F.array(F.lit("field_2"), F.lit("field_3"))).alias("field_key"),
+                       F.col("r_regionkey").cast("string").alias("option_key"), F.col("r_name").alias("option_value"))
+    return dict(
+        contacts=table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cId"), F.col("c_name").alias("realName"),
+                                                         F.col("c_nationkey").cast("string").alias("companyId")),
+        companies=n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")),
         agents=table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sId"), F.col("s_name").alias("name")),
         groups=r.select(F.col("r_regionkey").alias("gId"), F.col("r_name").alias("name")),
         templates=n.select(F.col("n_nationkey").alias("tId"), F.col("n_name").alias("name")),
-        field_options=r.select(F.lit("field_2").alias("field_key"), F.col("r_regionkey").cast("string").alias("option_key"),
-                               F.col("r_name").alias("option_value")),
+        field_options=options,
         global_options=spark.createDataFrame([("99", "其他")], "option_key string, option_value string"),
         field_names=spark.createDataFrame([("field_1", "省份"), ("field_2", "所属区域")], "key string, name string"))
-    out = J.ingest_tickets(incoming, stored_main, stored_child, args)
-    main = out["main"].withColumn("sync_status", F.coalesce("sync_status", F.lit("success")))
-    return main
+
+
+def q_resolve_tickets(spark, sf_dir):
+    out = J.resolve_tickets(ticket_details(spark, sf_dir), **resolve_args(spark, sf_dir))
+    return out.withColumn("resolved_fields", F.to_json("resolved_fields")).drop("custom_fields")
+
+
+def _ingest(spark, sf_dir):
+    """Stored: closed (group 0) and open (group 1) orders. Arriving: all orders, open ones with another
+    update time, some of them with another create time; pending ones are new, come twice (the second row
+    must not count), and some have an id that is no number."""
+    details = ticket_details(spark, sf_dir)
+    stored = details.where(F.col("servicerGroupId") != "2")
+    created = F.to_timestamp("createDT", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+    row = T.main_row(stored.select("ticketId", "subject", "createDT", "updateDT"),
+                     {**T.MAIN_COLUMNS, **{c: c for c in T.ANALYTIC_COLUMNS}}, T.MAIN_DATETIMES)
+    stored_main = row.withColumn("sync_status", F.lit("stored"))
+    stored_child = J.custom_field_rows(stored.withColumn("create_dt", created), "ticketId", "custom_fields") \
+        .join(stored.select("ticketId", created.alias("create_dt")), "ticketId") \
+        .select(F.col("ticketId").cast("long").alias("ticket_id"), F.lit(None).cast("string").alias("ticket_template_id"),
+                "create_dt", "field_order", "field_key", F.col("field_key").alias("field_name"), "field_value",
+                F.lit(None).cast("string").alias("field_value_json"), F.lit("str").alias("field_value_type"),
+                F.date_format("create_dt", "yyyy-MM").alias("create_month_label"))
+    is_open, pending = F.col("servicerGroupId") == "1", F.col("servicerGroupId") == "2"
+    later = F.date_format(F.timestamp_add("DAY", F.lit(1), created), "yyyy-MM-dd HH:mm:ss")
+    arriving = details.withColumn("row_no", F.lit(1)) \
+        .withColumn("ticketId", F.when(pending & (F.col("subject") == "1-URGENT"), F.concat(F.lit("x"), F.col("ticketId")))
+                    .otherwise(F.col("ticketId"))) \
+        .withColumn("createDT", F.when(is_open & (F.col("subject") == "5-LOW"), later).otherwise(F.col("createDT")))
+    arriving = arriving.withColumn("updateDT", F.when(is_open, F.col("createDT")).otherwise(F.col("updateDT")))
+    again = arriving.where(pending & (F.col("subject") != "1-URGENT")) \
+        .withColumn("row_no", F.lit(2)).withColumn("subject", F.lit("again"))
+    return J.ingest_tickets(arriving.unionByName(again), stored_main, stored_child, resolve_args(spark, sf_dir),
+                            arrival="row_no")
+
+
+def q_ingest_tickets(spark, sf_dir):
+    return _ingest(spark, sf_dir)["main"]
+
+
+def q_ingest_tickets_child(spark, sf_dir):
+    return _ingest(spark, sf_dir)["child"]
+
+
+def q_ingest_tickets_counts(spark, sf_dir):
+    return _ingest(spark, sf_dir)["counts"]
+
+
+def q_sync_entities(spark, sf_dir):
+    """Two batches: all customers, then suppliers and customers together (same ids: the first source wins).
+    Customers with a negative balance have no id in the second batch."""
+    c = table(spark, sf_dir, "customer")
+    s = table(spark, sf_dir, "supplier")
+    first = c.select(F.col("c_custkey").cast("string").alias("uId"), F.col("c_name").alias("companyName"),
+                     F.col("c_mktsegment").alias("rank"), F.col("c_custkey").alias("row_no"))
+    lost = F.col("c_acctbal") < 0
+    second = c.select(F.when(lost, F.lit(" ")).otherwise(F.col("c_custkey").cast("string")).alias("customerId"),
+                      F.when(F.col("c_mktsegment") == "BUILDING", F.concat("c_name", F.lit("*")))
+                      .otherwise(F.col("c_name")).alias("name"),
+                      F.col("c_mktsegment").alias("rank"), F.col("c_custkey").alias("row_no"))
+    company = s.select((F.col("s_suppkey") * 2).cast("string").alias("id"), F.col("s_name").alias("companyName"),
+                       F.col("s_suppkey").alias("row_no"))
+    fields = list(CUSTOMER_CANDIDATES)
+    args = dict(key="customer_id", entity_type="customer", hash_fields=fields, arrival="row_no")
+    empty = H.empty_history(first.limit(0).select(
+        *[F.lit(None).cast("string").alias(k) for k in CUSTOMER_CANDIDATES],
+        F.lit(None).cast("string").alias("source_flags"), F.lit(None).cast("timestamp_ntz").alias("source_updated_at"),
+        F.lit(None).cast("string").alias("row_hash")))
+    one = J.sync_entities([("customer_api", first)], CUSTOMER_CANDIDATES, empty, batch_id="B1",
+                          batch_time=_dt.datetime(2026, 6, 2), **args)
+    return J.sync_entities([("customer_api", second), ("company_api", company)], CUSTOMER_CANDIDATES, one["history"],
+                           batch_id="B2", batch_time=_dt.datetime(2026, 6, 3), **args)
+
+
+def q_sync_entities_history(spark, sf_dir):
+    return q_sync_entities(spark, sf_dir)["history"].select(
+        "customer_id", "customer_name", "customer_type", "source_flags", "version_no", "sync_batch_id",
+        "effective_from", "effective_to", "is_current")
+
+
+def q_sync_entities_counts(spark, sf_dir):
+    return q_sync_entities(spark, sf_dir)["counts"]
+
+
+def _contract_load(spark, sf_dir):
+    """lineitem as a snapshot sheet of two dates, without the lines of the highest discount. Stored: the even
+    orders of the first date, all discounts. Baseline: the first lines of two platforms."""
+    li = table(spark, sf_dir, "lineitem")
+    text = lambda c: F.col(c).cast("string")
+    values = {"合同编号": F.when((F.col("l_returnflag") != "N") & (F.col("l_tax") < 0.01), F.lit(" "))
+              .otherwise(text("l_orderkey")),
+              "标的行编码": text("l_linenumber"), "执行明细id": (F.col("l_suppkey") % 5).cast("string"),
+              "文件生成时间戳": F.when(F.col("l_linestatus") == "O", F.lit("20260713165231")).otherwise(F.lit("20260601120000")),
+              "营销平台": F.concat(F.lit("P"), (F.col("l_suppkey") % 7).cast("string")),
+              "体系工程师": F.lit("own"), "产品金额": F.format_number("l_extendedprice", 2),
+              "合同申请日期": F.when(F.col("l_returnflag") == "A", F.lit("9999-12-31")).otherwise(F.date_format("l_shipdate", "yyyy/MM/dd")),
+              "明细数量": F.when(F.col("l_quantity") > 45, F.lit("99999999999")).otherwise(F.col("l_quantity").cast("int").cast("string"))}
+    cells = [values.get(h, F.lit("")).alias(h) for h, _ in L.STANDARD_LAYOUT]
+    place = F.struct("l_shipdate", "l_partkey", "l_suppkey").alias("row_no")
+    sheet = li.where("l_discount < 0.095").select(*cells, place)
+    keys = ["contract_id", "item_code", "exec_detail_id"]
+    held = J.typed_snapshot(li.where("l_orderkey % 2 = 0 AND l_linestatus != 'O'").select(*cells, place), keep=["row_no"])
+    stored = C.dedup_keep_last(held.where("contract_id IS NOT NULL"), [*keys, "create_date"], "row_no").drop("row_no") \
+        .withColumn("system_engineer", F.when(F.col("item_code") == "2", "old").otherwise("own"))
+    baseline = J.typed_snapshot(sheet).where("item_code = '1' AND sales_platform IN ('P1', 'P2')").select(
+        *keys, F.lit("P0").alias("sales_platform"))
+    engineers = C.map_table(spark, {"P0": "E0", "P3": "E3"}, "p", "e")
+    return J.load_contract_snapshot(sheet, stored, baseline, engineers)
+
+
+def q_load_contract_snapshot(spark, sf_dir):
+    return _contract_load(spark, sf_dir)["table"].select(
+        "contract_id", "item_code", "exec_detail_id", "create_date", "sales_platform", "system_engineer",
+        "product_amount", "contract_apply_date", "detail_qty")
+
+
+def q_load_contract_counts(spark, sf_dir):
+    return _contract_load(spark, sf_dir)["counts"]
 
 
 QUERIES = {
     "merge_contract_sources": q_merge_contract_sources,
+    "resolve_tickets": q_resolve_tickets,
     "ingest_tickets": q_ingest_tickets,
+    "ingest_tickets_child": q_ingest_tickets_child,
+    "ingest_tickets_counts": q_ingest_tickets_counts,
+    "sync_entities": q_sync_entities_history,
+    "sync_entities_counts": q_sync_entities_counts,
+    "load_contract_snapshot": q_load_contract_snapshot,
+    "load_contract_counts": q_load_contract_counts,
 }
 
 def _alloc_sql(ps: str, pe: str) -> str:
@@ -213,18 +336,181 @@ SELECT seq_no AS "序号", c_no AS "合同编号", item AS "标的行编码", pl
   {_alloc_sql('1997-01-01', '1997-12-31')} AS "去年按期分摊服务费"
 FROM a"""
 
+_TICKETS_SQL = '''
+WITH cc AS (
+  SELECT l_orderkey, string_agg(COALESCE(NULLIF(trim(s_name), ''), CAST(l_suppkey AS VARCHAR)), ','
+                                ORDER BY l_linenumber, l_suppkey, l_partkey) AS cc_names
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+t AS (
+  SELECT o_orderkey AS id, o_orderstatus AS st, o_orderpriority AS pr, o_orderdate AS created,
+    CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS moved,
+    o_orderdate + INTERVAL 3 HOUR AS open_upd, CAST(o_custkey AS VARCHAR) AS cust, c_name,
+    CASE WHEN c_nationkey <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS company_id,
+    CASE WHEN c_nationkey <> 0 THEN n.n_name END AS company_name,
+    CAST(length(o_orderpriority) AS VARCHAR) AS sid,
+    COALESCE(NULLIF(trim(s_name), ''), CAST(length(o_orderpriority) AS VARCHAR)) AS servicer,
+    CASE o_orderstatus WHEN 'F' THEN '0' WHEN 'O' THEN '1' ELSE '2' END AS gid, g.r_name AS group_name,
+    substr(o_orderpriority, 1, 1) AS tid, tn.n_name AS template_name, cc_names,
+    CASE o_orderstatus WHEN 'F' THEN '事务' ELSE '问题' END AS ticket_type,
+    CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '低' WHEN '2' THEN '正常' WHEN '3' THEN '高' WHEN '4' THEN '紧急'
+      ELSE substr(o_orderpriority, 1, 1) END AS priority_level,
+    CASE o_orderstatus WHEN 'F' THEN '已解决' WHEN 'O' THEN '已开启' ELSE '新建' END AS ticket_status,
+    r.r_name AS r_name, CAST(r.r_regionkey AS VARCHAR) AS region_id, n.n_name || '省' AS province,
+    lpad(CAST(n.n_nationkey AS VARCHAR), 6, '1') || ' ' || n.n_name || '省' AS prov_raw,
+    o_orderdate + INTERVAL 8 HOUR AS node_time
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation n ON c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN supplier ON s_suppkey = length(o_orderpriority)
+  LEFT JOIN region g ON g.r_regionkey = CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 END
+  LEFT JOIN nation tn ON tn.n_nationkey = CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
+  LEFT JOIN cc ON cc.l_orderkey = o_orderkey)
+'''
+_LIST_SQL = "'[\"' || r_name || '\",\"77\"]'"
+_FIELD_KEY = "CASE ord WHEN 1 THEN 'field_1' WHEN 2 THEN 'field_2' WHEN 3 THEN 'record_serviceruserid_1' ELSE 'field_3' END"
+_IS_LOADED = "st = 'O' OR (st = 'P' AND pr <> '1-URGENT')"
+_TIME_TEXT = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+_NAMED = {"cust_user_name": "c_name", "servicer_user_name": "servicer", "servicer_group_name": "group_name",
+          "ticket_template_name": "template_name", "company_id": "company_id", "company_name": "company_name"}
+_DIMENSIONS = {**{d: "CAST(NULL AS VARCHAR)" for d in ANALYTIC_FIELD_KEYWORDS}, "province": "province", "region_text": "r_name"}
+_RESOLVED = {
+    "ticketId": "CAST(id AS VARCHAR)", "subject": "pr", "custUserId": "cust", "servicerUserId": "sid", "servicerGroupId": "gid",
+    "ticketTemplateId": "tid", "ccUserIdList": "cc_names", "ticketType": "ticket_type", "priorityLevel": "priority_level",
+    "ticketStatus": "ticket_status", "createDT": _TIME_TEXT.format("created"),
+    "updateDT": _TIME_TEXT.format("CASE WHEN st = 'O' THEN open_upd ELSE created END"), "currentNodeField": "'所属区域'",
+    "currentNodeFieldValue": "r_name", "nodeFieldIntoTime": _TIME_TEXT.format("node_time"),
+    "current_node_started_at": _TIME_TEXT.format("node_time"), **_NAMED, **_DIMENSIONS,
+    "resolved_fields": f"CAST(to_json([{{'key': '省份', 'value': prov_raw}}, {{'key': '所属区域', 'value': r_name}}, "
+                       f"{{'key': 'record_serviceruserid_1', 'value': servicer}}, {{'key': 'field_3', 'value': {_LIST_SQL}}}]) AS VARCHAR)",
+}
+_MAIN_ORDER = [*T.MAIN_COLUMNS.values(), *T.ANALYTIC_COLUMNS, "create_year", "create_month", "create_month_label", "sync_status"]
+
+
+def _main_sql(exprs: dict) -> str:
+    missing = {c: "CAST(NULL AS TIMESTAMP)" if c in T.MAIN_DATETIMES else "CAST(NULL AS VARCHAR)" for c in _MAIN_ORDER}
+    return ", ".join(f"{ {**missing, **exprs}[c]} AS {c}" for c in _MAIN_ORDER)
+
+
+def _created_sql(c: str) -> dict:
+    return {"create_dt": c, "create_year": f"CAST(year({c}) AS INTEGER)", "create_month": f"CAST(month({c}) AS INTEGER)",
+            "create_month_label": f"strftime({c}, '%Y-%m')", "ticket_id": "id", "subject": "pr", "ticket_category": "'原单'"}
+
+
+_STORED_MAIN = {**_created_sql("created"), "sync_status": "'stored'",
+                "source_updated_at": "CASE WHEN st = 'O' THEN open_upd ELSE created END"}
+_LOADED_MAIN = {
+    **_created_sql("moved"), "source_updated_at": "moved", "sync_status": "'success'", **_NAMED, "cust_user_id": "cust",
+    "servicer_user_id": "sid", "servicer_group_id": "gid", "ticket_template_id": "tid", "cc_user_id_list": "cc_names",
+    "ticket_type": "ticket_type", "priority_level": "priority_level", "ticket_status": "ticket_status",
+    "current_node_field": "'所属区域'", "current_node_field_value": "r_name", "node_field_into_time": "node_time",
+    "current_node_started_at": "node_time", "province": "province", "region_text": "r_name",
+}
+
+_SYNC_SQL = '''
+WITH b1 AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS type FROM customer),
+c2 AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN '*' ELSE '' END AS name,
+         c_mktsegment AS type, 'customer_api' AS flags FROM customer WHERE c_acctbal >= 0),
+s2 AS (SELECT CAST(s_suppkey * 2 AS VARCHAR) AS id, s_name AS name, CAST(NULL AS VARCHAR) AS type, 'company_api' AS flags FROM supplier),
+b2 AS (SELECT * FROM c2 UNION ALL SELECT * FROM s2 WHERE id NOT IN (SELECT id FROM c2)),
+j AS (SELECT b2.*, CASE WHEN b1.id IS NULL THEN 'inserted'
+        WHEN b1.name IS NOT DISTINCT FROM b2.name AND b1.type IS NOT DISTINCT FROM b2.type THEN 'unchanged'
+        ELSE 'changed' END AS outcome
+      FROM b2 LEFT JOIN b1 ON b1.id = b2.id)'''
+
+_LOAD_SQL = '''
+WITH b AS (
+  SELECT l_orderkey, l_linestatus, l_discount, l_shipdate, l_partkey, l_suppkey,
+    CASE WHEN l_returnflag <> 'N' AND l_tax < 0.01 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS contract_id,
+    CAST(l_linenumber AS VARCHAR) AS item_code, CAST(l_suppkey % 5 AS VARCHAR) AS exec_detail_id,
+    CASE WHEN l_linestatus = 'O' THEN '20260713' ELSE '20260601' END AS create_date,
+    'P' || CAST(l_suppkey % 7 AS VARCHAR) AS platform, CAST(l_extendedprice AS DECIMAL(18,2)) AS product_amount,
+    CASE WHEN l_returnflag = 'A' THEN DATE '9999-12-31' ELSE CAST(l_shipdate AS DATE) END AS contract_apply_date,
+    CASE WHEN l_quantity <= 45 THEN CAST(l_quantity AS INTEGER) END AS detail_qty
+  FROM lineitem),
+sheet AS (
+  SELECT * FROM b WHERE l_discount < 0.095 AND contract_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY contract_id, item_code, exec_detail_id, create_date
+                             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1),
+base AS (SELECT DISTINCT contract_id, item_code, exec_detail_id FROM b
+         WHERE l_discount < 0.095 AND contract_id IS NOT NULL AND item_code = '1' AND platform IN ('P1', 'P2')),
+p AS (SELECT s.*, CASE WHEN k.contract_id IS NOT NULL THEN 'P0' ELSE s.platform END AS sales_platform
+      FROM sheet s LEFT JOIN base k ON k.contract_id = s.contract_id AND k.item_code = s.item_code AND k.exec_detail_id = s.exec_detail_id),
+n AS (SELECT *, CASE sales_platform WHEN 'P0' THEN 'E0' WHEN 'P3' THEN 'E3' ELSE 'own' END AS system_engineer FROM p),
+o AS (
+  SELECT *, platform AS sales_platform, CASE item_code WHEN '2' THEN 'old' ELSE 'own' END AS system_engineer FROM b
+  WHERE l_orderkey % 2 = 0 AND l_linestatus <> 'O' AND contract_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY contract_id, item_code, exec_detail_id, create_date
+                             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1),
+up AS (
+  SELECT COALESCE(n.contract_id, o.contract_id) AS contract_id, COALESCE(n.item_code, o.item_code) AS item_code,
+    COALESCE(n.exec_detail_id, o.exec_detail_id) AS exec_detail_id, COALESCE(n.create_date, o.create_date) AS create_date,
+    CASE WHEN n.contract_id IS NOT NULL THEN n.sales_platform ELSE o.sales_platform END AS sales_platform,
+    CASE WHEN n.contract_id IS NOT NULL THEN n.system_engineer ELSE o.system_engineer END AS system_engineer,
+    CASE WHEN n.contract_id IS NOT NULL THEN n.product_amount ELSE o.product_amount END AS product_amount,
+    CASE WHEN n.contract_id IS NOT NULL THEN n.contract_apply_date ELSE o.contract_apply_date END AS contract_apply_date,
+    CASE WHEN n.contract_id IS NOT NULL THEN n.detail_qty ELSE o.detail_qty END AS detail_qty,
+    CASE WHEN n.contract_id IS NOT NULL AND o.contract_id IS NULL THEN 'inserted'
+         WHEN n.contract_id IS NOT NULL AND n.sales_platform = o.sales_platform AND n.system_engineer = o.system_engineer
+           AND n.product_amount = o.product_amount AND n.contract_apply_date = o.contract_apply_date
+           AND n.detail_qty IS NOT DISTINCT FROM o.detail_qty THEN 'unchanged'
+         WHEN n.contract_id IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome
+  FROM n FULL OUTER JOIN o ON n.contract_id = o.contract_id AND n.item_code = o.item_code
+    AND n.exec_detail_id = o.exec_detail_id AND n.create_date = o.create_date)'''
+
+
 SQL: dict = {
     "merge_contract_sources": _MERGE_SQL,
-    "ingest_tickets": """
-WITH d AS (
-  SELECT o_orderkey AS ticket_id, o_orderpriority AS subject, o_orderstatus AS st, o_orderdate,
-         CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 3 HOUR ELSE o_orderdate END AS stored_upd,
-         n_name
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)
-SELECT ticket_id, subject, stored_upd AS source_updated_at, CAST(NULL AS VARCHAR) AS province, 'stored' AS sync_status
-FROM d WHERE st = 'F'
+    "resolve_tickets": _TICKETS_SQL + "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in _RESOLVED.items()) + " FROM t",
+    "ingest_tickets": _TICKETS_SQL + f"""
+SELECT {_main_sql(_STORED_MAIN)} FROM t WHERE st = 'F' OR (st = 'O' AND pr = '5-LOW')
+UNION ALL
+SELECT {_main_sql(_LOADED_MAIN)} FROM t WHERE {_IS_LOADED}""",
+    "ingest_tickets_child": _TICKETS_SQL + f"""
+, f AS (
+  SELECT t.*, unnest([1, 2, 3, 4]) AS ord FROM t)
+SELECT id AS ticket_id, CAST(NULL AS VARCHAR) AS ticket_template_id, created AS create_dt, ord AS field_order,
+  {_FIELD_KEY} AS field_key, {_FIELD_KEY} AS field_name,
+  CASE ord WHEN 1 THEN prov_raw WHEN 2 THEN region_id WHEN 3 THEN sid ELSE '["' || region_id || '","77"]' END AS field_value,
+  CAST(NULL AS VARCHAR) AS field_value_json, 'str' AS field_value_type, strftime(created, '%Y-%m') AS create_month_label
+FROM f WHERE st = 'F' OR (st = 'O' AND pr = '5-LOW')
+UNION ALL
+SELECT id, tid, moved, ord, {_FIELD_KEY}, CASE ord WHEN 1 THEN '省份' WHEN 2 THEN '所属区域' ELSE {_FIELD_KEY} END,
+  CASE ord WHEN 1 THEN prov_raw WHEN 2 THEN r_name WHEN 3 THEN servicer ELSE {_LIST_SQL} END,
+  CASE WHEN ord = 4 THEN {_LIST_SQL} END, CASE WHEN ord = 4 THEN 'list' ELSE 'str' END, strftime(moved, '%Y-%m')
+FROM f WHERE {_IS_LOADED}""",
+    "ingest_tickets_counts": """
+WITH x AS (
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'failed' WHEN o_orderstatus = 'P' THEN 'inserted'
+              WHEN o_orderstatus = 'O' THEN 'updated' ELSE 'skipped' END AS outcome FROM orders)
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE outcome = 'inserted') AS inserted,
+  COUNT(*) FILTER (WHERE outcome = 'updated') AS updated, COUNT(*) FILTER (WHERE outcome = 'unchanged') AS unchanged,
+  COUNT(*) FILTER (WHERE outcome = 'skipped') AS skipped, COUNT(*) FILTER (WHERE outcome = 'failed') AS failed,
+  CASE WHEN COUNT(*) FILTER (WHERE outcome = 'failed') = 0 THEN 'success'
+       WHEN COUNT(*) FILTER (WHERE outcome <> 'failed') = 0 THEN 'failed' ELSE 'partial' END AS status
+FROM x""",
+    "sync_entities": _SYNC_SQL + """
+SELECT id AS customer_id, name AS customer_name, type AS customer_type, 'customer_api' AS source_flags, 1 AS version_no,
+  'B1' AS sync_batch_id, TIMESTAMP '2026-06-02' AS effective_from,
+  CASE WHEN outcome = 'changed' THEN TIMESTAMP '2026-06-03' END AS effective_to, outcome IS DISTINCT FROM 'changed' AS is_current
+FROM b1 LEFT JOIN (SELECT id AS bid, outcome FROM j) ON id = bid
 UNION ALL
-SELECT ticket_id, NULLIF(trim(subject), '') AS subject, o_orderdate AS source_updated_at,
-       n_name || '省' AS province, 'success' AS sync_status
-FROM d WHERE st <> 'F'""",
+SELECT id, name, type, flags, CASE outcome WHEN 'changed' THEN 2 ELSE 1 END, 'B2', TIMESTAMP '2026-06-03',
+  CAST(NULL AS TIMESTAMP), true
+FROM j WHERE outcome <> 'unchanged'""",
+    "sync_entities_counts": _SYNC_SQL + """,
+x AS (SELECT outcome FROM j UNION ALL SELECT 'failed' FROM customer WHERE c_acctbal < 0)
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE outcome = 'inserted') AS inserted,
+  COUNT(*) FILTER (WHERE outcome = 'changed') AS updated, COUNT(*) FILTER (WHERE outcome = 'unchanged') AS unchanged,
+  COUNT(*) FILTER (WHERE outcome = 'skipped') AS skipped, COUNT(*) FILTER (WHERE outcome = 'failed') AS failed,
+  CASE WHEN COUNT(*) FILTER (WHERE outcome = 'failed') = 0 THEN 'success' ELSE 'partial' END AS status
+FROM x""",
+    "load_contract_snapshot": _LOAD_SQL + """
+SELECT contract_id, item_code, exec_detail_id, create_date, sales_platform, system_engineer, product_amount,
+       contract_apply_date, detail_qty FROM up""",
+    "load_contract_counts": _LOAD_SQL + """,
+x AS (SELECT outcome, create_date FROM up WHERE outcome <> 'kept'
+      UNION ALL SELECT 'skipped', create_date FROM b WHERE l_discount < 0.095 AND contract_id IS NULL)
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE outcome = 'inserted') AS inserted,
+  COUNT(*) FILTER (WHERE outcome = 'updated') AS updated, COUNT(*) FILTER (WHERE outcome = 'unchanged') AS unchanged,
+  COUNT(*) FILTER (WHERE outcome = 'skipped') AS skipped, COUNT(*) FILTER (WHERE outcome = 'failed') AS failed,
+  'success' AS status, COUNT(DISTINCT create_date) AS snapshot_dates
+FROM x""",
 }

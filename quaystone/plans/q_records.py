@@ -5,13 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quaystone.functions.numbers import parse_decimal_text
-from quaystone.functions.text import blank_to_null, excel_int_text
 from quaystone.operators import history as H
 from quaystone.operators import labels as LB
+from quaystone.operators import sampling as S
 from quaystone.operators import tickets as T
+from quaystone.plans import jobs as J
 from quaystone.plans.tables import table
-from quaystone.sources import layout as L
 
 ACCOUNT_NAMES = ["account_id", "customer_name", "customer_name2", "balance", "open_date", "remark"]
 
@@ -24,14 +23,7 @@ def q_account_snapshot(spark, sf_dir):
         F.when(F.col("c_acctbal") > 5000, F.col("c_name")),
         F.format_number("c_acctbal", 2),
         F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(" ")).otherwise(F.lit("2026/07/13"))).alias("cells"))
-    rows = L.project_by_position(cells, "cells", ACCOUNT_NAMES)
-    typed = rows.select(
-        "account_id", blank_to_null("customer_name").alias("customer_name"),
-        blank_to_null("customer_name2").alias("customer_name2"),
-        parse_decimal_text("balance").cast("decimal(18,2)").alias("balance"),
-        blank_to_null("open_date").alias("open_date"), "remark")
-    good = typed.where(F.col("customer_name").isNotNull() | F.col("customer_name2").isNotNull())
-    return H.append_snapshot(good, "20260713")
+    return J.load_accounts(cells, ACCOUNT_NAMES, "20260713", money=["balance"])
 
 
 _ACCOUNT_SQL = """
@@ -52,12 +44,9 @@ def q_personnel_upsert(spark, sf_dir):
                    .otherwise(F.concat((F.col("s_suppkey") + 1000000).cast("string"), F.lit(".0"))).alias("工号"),
                    F.when(F.col("s_nationkey").between(8, 15), F.concat("s_name", F.lit("*"))).otherwise(F.col("s_name"))
                    .alias("姓名"), "s_nationkey")
-    src = L.require_columns(src, ["工号", "姓名"])
-    rows = src.select(blank_to_null(excel_int_text("工号")).alias("employee_no"), F.col("姓名").alias("name"))
-    good = rows.where(F.col("employee_no").isNotNull()).withColumn("__o", F.lit(1))
     current = s.where(F.col("s_nationkey") < 12).select(
         (F.col("s_suppkey") + 1000000).cast("string").alias("employee_no"), F.col("s_name").alias("name"))
-    return H.snapshot_upsert(current, good, ["employee_no"], "__o", ["name"])
+    return J.load_personnel(src, current, {"工号": "employee_no", "姓名": "name"})
 
 
 _PERSONNEL_SQL = """
@@ -195,34 +184,47 @@ SELECT event_id, value_text,
 FROM r"""
 
 
-def snapshot_scan(df, date: str, date_col: str = "create_date"):
-    """Rows of one snapshot (S10); an empty snapshot is an error (checked with a bounded read)."""
-    rows = df.where(F.col(date_col) == date)
-    if rows.isEmpty():
-        raise ValueError(f"snapshot {date} is empty")
-    return rows
-
-
 def q_snapshot_scan(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(
+    """Snapshot '<year>1231' holds the lines shipped in that year."""
+    li = table(spark, sf_dir, "lineitem").where(S.in_year("l_shipdate", 1998)).select(
         "l_orderkey", "l_linenumber", F.concat(F.year("l_shipdate").cast("string"), F.lit("1231")).alias("create_date"))
-    return snapshot_scan(li, "19981231")
+    return S.snapshot_scan(li, "19981231")
 
 
 _SCAN_SQL = """
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS VARCHAR) || '1231' AS create_date
 FROM lineitem WHERE CAST(year(l_shipdate) AS VARCHAR) || '1231' = '19981231'"""
 
+def dictionary_texts(spark, sf_dir):
+    """The documents, and one dictionary text per part (negative ids)."""
+    p = table(spark, sf_dir, "part")
+    lines = F.concat_ws(
+        "\n", F.lit("数据字典"), F.concat(F.lit("t_"), F.col("p_partkey").cast("string"), F.lit("  "), F.col("p_name")),
+        F.lit("字段 类型 说明"), F.concat(F.lit("p_partkey  bigint(20) 编号"), F.col("p_size").cast("string")),
+        F.concat(F.lit("p_type varchar (16) "), F.col("p_type"), F.lit("(类型)")), F.lit("---- ----"),
+        F.concat(F.lit("P_SIZE INT unsigned "), F.col("p_brand"), F.lit(" 1=小;2=大")), F.lit("p_name text"),
+        F.when(F.col("p_size") > 25, F.lit("h3. extra 附表\r\nx\n字段\nmade_at datetime\t时间")), F.lit("no field here"))
+    made = p.select((-F.col("p_partkey") - 1).alias("doc_id"), lines.alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(made)
+
+
 def q_label_extract(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return LB.dictionary_fields(LB.text_lines(docs, "doc_id", "text"), text="line")
+    return LB.dictionary_fields(LB.text_lines(dictionary_texts(spark, sf_dir), "doc_id", "text"), text="line")
 
 
 _LABEL_EXTRACT_SQL = r"""
-WITH l AS (
+WITH texts AS (
+  SELECT doc_id, text FROM documents
+  UNION ALL
+  SELECT -p_partkey - 1, concat_ws(chr(10), '数据字典', 't_' || CAST(p_partkey AS VARCHAR) || '  ' || p_name, '字段 类型 说明',
+    'p_partkey  bigint(20) 编号' || CAST(p_size AS VARCHAR), 'p_type varchar (16) ' || p_type || '(类型)', '---- ----',
+    'P_SIZE INT unsigned ' || p_brand || ' 1=小;2=大', 'p_name text',
+    CASE WHEN p_size > 25 THEN 'h3. extra 附表' || chr(13) || chr(10) || 'x' || chr(10) || '字段' || chr(10) || 'made_at datetime' || chr(9) || '时间' END,
+    'no field here') FROM part),
+l AS (
   SELECT doc_id, CAST(generate_subscripts(string_split_regex(text, '\r?\n'), 1) - 1 AS INTEGER) AS line_no,
          unnest(string_split_regex(text, '\r?\n')) AS line
-  FROM documents),
+  FROM texts),
 t AS (
   SELECT *, regexp_matches(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$')
       AND contains(concat_ws(chr(10), lead(line, 1) OVER w, lead(line, 2) OVER w, lead(line, 3) OVER w,
@@ -245,7 +247,9 @@ SELECT doc_id, line_no, "table", table_title, regexp_extract(n, __FL, 1, 'i') AS
 FROM s
 WHERE "table" IS NOT NULL AND n <> '' AND NOT starts_with(n, '----') AND NOT starts_with(n, '字段 ')
   AND regexp_matches(n, __FL, 'i')"""
-_LABEL_EXTRACT_SQL = _LABEL_EXTRACT_SQL.replace("__FL", "'" + LB.FIELD_LINE_PATTERN.replace("(?i)", "").replace("'", "''") + "'")
+_LABEL_EXTRACT_SQL = _LABEL_EXTRACT_SQL.replace(
+    "__FL", r"'^([a-z_]\w*)\s*(bigint|smallint|tinyint|int|varchar|datetime|timestamp|decimal|text|date|time|char)"
+            r"((?:\s*[(][^)]+[)])|(?:\s+unsigned))?\s*(.*)$'")
 
 
 QUERIES = {

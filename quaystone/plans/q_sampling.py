@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quaystone.functions.dates import month_label
 from quaystone.operators import sampling as S
+from quaystone.operators.tickets import split_id_list
 from quaystone.plans.tables import table
 
 TODAY = _dt.date(1998, 8, 15)
@@ -51,10 +52,9 @@ def q_point_lookup(spark, sf_dir):
 
 
 def q_month_scan(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return o.where(month_label("o_orderdate") == "1998-06").select(
-        F.col("o_orderkey").alias("ticket_id"), F.col("o_orderdate").alias("create_dt"), "o_orderpriority") \
-        .orderBy("create_dt", "ticket_id")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ticket_id"), F.col("o_orderdate").alias("create_dt"), "o_orderpriority")
+    return S.month_scan(o, "create_dt", "ticket_id", "1998-06")
 
 
 def q_latest_snapshot(spark, sf_dir):
@@ -87,7 +87,9 @@ def q_refresh_window(spark, sf_dir):
 
 def q_distinct_ids(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return S.distinct_ids(li, {"supplier": F.col("l_suppkey"), "part": F.col("l_partkey")})
+    cc = F.concat_ws("，", F.col("l_linenumber").cast("string"), F.lit(" "), F.col("l_suppkey").cast("string"))
+    return S.distinct_ids(li, [("supplier", F.col("l_suppkey")), ("part", F.col("l_partkey")),
+                               ("supplier", split_id_list(cc))])
 
 
 def q_month_cap(spark, sf_dir):
@@ -154,5 +156,6 @@ FROM o GROUP BY 1, 2""",
     "distinct_ids": """
 SELECT DISTINCT kind, id FROM (
   SELECT 'supplier' AS kind, trim(CAST(l_suppkey AS VARCHAR)) AS id FROM lineitem
+  UNION ALL SELECT 'supplier', CAST(l_linenumber AS VARCHAR) FROM lineitem
   UNION ALL SELECT 'part', trim(CAST(l_partkey AS VARCHAR)) FROM lineitem) WHERE id IS NOT NULL AND id NOT IN ('', '0')""",
 }

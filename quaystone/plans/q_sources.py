@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quaystone.operators.entities import CUSTOMER_CANDIDATES, canonical_rows
+from quaystone.operators.sampling import in_year
 from quaystone.sources import envelope as EV
 from quaystone.sources import layout as L
 from quaystone.sources import sinks as K
@@ -123,7 +124,7 @@ SELECT s_suppkey, s_name, CAST(NULL AS INTEGER) AS s_nationkey, CAST(s_acctbal A
 
 
 def q_snapshot_document(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") == 1998)
+    li = table(spark, sf_dir, "lineitem").where(in_year("l_shipdate", 1998))
     start = (F.when(F.col("l_returnflag") == "A", F.date_format("l_shipdate", "yyyyMMdd"))
              .when(F.col("l_returnflag") == "R", F.date_format("l_shipdate", "yyyy-MM-dd"))
              .when(F.col("l_linestatus") == "O", F.lit("0000-12-30")).otherwise(F.lit("")))
@@ -185,8 +186,9 @@ LABELS = {"o_orderstatus": "状态", "o_orderpriority": "优先级", "o_totalpri
 def q_label_long_form(spark, sf_dir):
     from quaystone.operators.labels import long_form
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority",
-        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"),
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey",
+        F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+        (F.col("o_totalprice") > 100000).alias("is_large"), F.array("o_orderstatus", "o_orderpriority").alias("codes"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
     names = spark.createDataFrame(list(LABELS.items()), "k string, label string")
     return long_form(o, "o_orderkey", names)
@@ -194,12 +196,15 @@ def q_label_long_form(spark, sf_dir):
 
 _LONG_SQL = """
 WITH o AS (
-  SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+  SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+         CASE WHEN o_totalprice > 100000 THEN 'True' ELSE 'False' END AS is_large,
+         CAST(to_json([o_orderstatus, o_orderpriority]) AS VARCHAR) AS codes,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders),
-l AS (UNPIVOT o ON o_orderstatus, o_orderpriority, o_totalprice, o_orderdate INTO NAME field_key VALUE value)
+l AS (UNPIVOT o ON o_orderstatus, o_orderpriority, o_custkey, o_totalprice, is_large, codes, o_orderdate INTO NAME field_key VALUE value)
 SELECT o_orderkey, field_key,
   CASE field_key WHEN 'o_orderstatus' THEN '状态' WHEN 'o_orderpriority' THEN '优先级' WHEN 'o_totalprice' THEN '金额' ELSE field_key END AS field_label,
-  value, CASE WHEN value IS NULL THEN 'null' ELSE 'str' END AS value_type
+  value, CASE field_key WHEN 'o_custkey' THEN 'int' WHEN 'o_totalprice' THEN 'float' WHEN 'is_large' THEN 'bool' WHEN 'codes' THEN 'list' ELSE 'str' END AS value_type
 FROM l"""
 
 QUERIES = {

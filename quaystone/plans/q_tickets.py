@@ -163,29 +163,45 @@ LEFT JOIN names nm ON e.field_key = nm.key"""
 
 
 def q_zip_arrays(spark, sf_dir):
+    """Turns as raw fields with values of every kind, the assistant's turns as resolved fields."""
     c = table(spark, sf_dir, "conversations")
-    raw = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: F.struct(
-        F.concat(F.lit("turn_"), s["turn"].cast("string")).alias("key"), s["text"].alias("value"))).alias("raw"))
-    res = c.where(F.col("role") == "assistant").groupBy("conv_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda s: F.struct(
-            F.concat(F.lit("reply_"), s["turn"].cast("string")).alias("key"), s["role"].alias("value"))).alias("resolved"))
+    kind = F.col("turn") % 5
+    value = (F.when(kind == 1, F.parse_json(F.length("text").cast("string")))
+             .when(kind == 2, F.parse_json(F.concat(F.lit("["), F.col("turn").cast("string"), F.lit(",true]"))))
+             .when(kind == 3, F.parse_json(F.lit("true"))).when(kind == 4, F.parse_json(F.lit('{"n":1.5}')))
+             .otherwise(F.col("text").cast("variant")))
+    turns = c.select("conv_id", "turn", "role", value.alias("value"))
+    typed = lambda prefix, v: F.transform(F.array_sort(F.collect_list(F.struct("turn", v)), _by_turn),
+                                          lambda s: F.struct(F.concat(F.lit(prefix), s["turn"].cast("string")).alias("key"),
+                                                             s["value"].alias("value")))
+    raw = turns.groupBy("conv_id").agg(typed("turn_", F.col("value")).alias("raw"))
+    res = turns.where(F.col("role") == "assistant").groupBy("conv_id").agg(
+        typed("reply_", F.col("role").cast("variant").alias("value")).alias("resolved"))
     j = raw.join(res, "conv_id", "left").select(
         "conv_id", "raw", F.coalesce("resolved", F.array().cast(res.schema["resolved"].dataType)).alias("resolved"))
     return T.zip_custom_fields(j, "conv_id", "raw", "resolved")
 
 
+def _by_turn(a, b):
+    return F.when(a["turn"] < b["turn"], -1).when(a["turn"] > b["turn"], 1).otherwise(0)
+
+
 _ZIP_SQL = r"""
-WITH raw AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, 'turn_' || CAST(turn AS VARCHAR) AS k, text AS v FROM conversations),
+WITH v AS (
+  SELECT conv_id, turn, role, 'turn_' || CAST(turn AS VARCHAR) AS k,
+    CASE turn % 5 WHEN 1 THEN CAST(length(text) AS VARCHAR) WHEN 2 THEN '[' || CAST(turn AS VARCHAR) || ',true]' WHEN 3 THEN 'True'
+      WHEN 4 THEN '{"n":1.5}' ELSE text END AS v,
+    CASE turn % 5 WHEN 1 THEN 'int' WHEN 2 THEN 'list' WHEN 3 THEN 'bool' WHEN 4 THEN 'dict' ELSE 'str' END AS kind
+  FROM conversations),
+raw AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM v),
 res AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, 'reply_' || CAST(turn AS VARCHAR) AS k, role AS v
         FROM conversations WHERE role = 'assistant'),
-z AS (SELECT COALESCE(raw.conv_id, res.conv_id) AS conv_id, COALESCE(raw.pos, res.pos) AS pos,
-        raw.k AS rk, raw.v AS rv, res.k AS vk, res.v AS vv
+z AS (SELECT COALESCE(raw.conv_id, res.conv_id) AS conv_id, COALESCE(raw.pos, res.pos) AS pos, raw.k AS rk, res.k AS vk,
+        COALESCE(res.v, raw.v) AS v, CASE WHEN res.v IS NOT NULL THEN 'str' WHEN raw.v IS NULL THEN 'null' ELSE raw.kind END AS kind
       FROM raw FULL OUTER JOIN res ON raw.conv_id = res.conv_id AND raw.pos = res.pos)
-SELECT conv_id, CAST(pos AS INTEGER) AS field_order,
-  COALESCE(NULLIF(regexp_replace(rk, '^\s+|\s+$', '', 'g'), ''), '') AS field_key,
-  NULLIF(regexp_replace(COALESCE(vk, rk), '^\s+|\s+$', '', 'g'), '') AS field_name,
-  NULLIF(regexp_replace(COALESCE(vv, rv), '^\s+|\s+$', '', 'g'), '') AS field_value,
-  CASE WHEN COALESCE(vv, rv) IS NULL THEN 'null' ELSE 'str' END AS field_value_type
+SELECT conv_id, CAST(pos AS INTEGER) AS field_order, COALESCE(rk, '') AS field_key, COALESCE(vk, rk) AS field_name,
+  NULLIF(regexp_replace(v, '^\s+|\s+$', '', 'g'), '') AS field_value,
+  CASE WHEN kind IN ('list', 'dict') THEN v END AS field_value_json, kind AS field_value_type
 FROM z"""
 
 

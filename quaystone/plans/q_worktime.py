@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quaystone.operators import worktime as W
+from quaystone.plans import jobs as J
 from quaystone.plans.tables import table
 
 # Calendar parameters for January 2024 (holiday, make-up Saturday, holiday).
@@ -56,11 +57,8 @@ def ticket_attributes(spark, sf_dir):
 
 
 def _metric_rows(spark, sf_dir):
-    attrs = ticket_attributes(spark, sf_dir)
-    tickets = attrs.select("user_id", "day").distinct()
-    keys = sorted({m["start_field"] for m in METRICS} | {m["end_field"] for m in METRICS})
-    values = W.first_field_values(attrs, ["user_id", "day"], keys)
-    return W.metric_rows(tickets, values, W.metric_defs_df(spark, METRICS), ["user_id", "day"], OVERRIDES)
+    wide = W.field_columns(ticket_attributes(spark, sf_dir), ["user_id", "day"], METRICS)
+    return W.metric_rows(wide, METRICS, OVERRIDES)
 
 
 def q_metric_rows(spark, sf_dir):
@@ -69,7 +67,9 @@ def q_metric_rows(spark, sf_dir):
 
 
 def q_metric_status(spark, sf_dir):
-    return W.status_counts(_metric_rows(spark, sf_dir))
+    attrs = ticket_attributes(spark, sf_dir)
+    tickets = attrs.select("user_id", "day").distinct()
+    return J.time_metrics(tickets, attrs, METRICS, OVERRIDES, ["user_id", "day"])["counts"]
 
 
 def q_first_value(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOCUMENT_CATEGORY_HEADER = "文档类别"
@@ -39,11 +39,14 @@ def document_rows(snapshot: DataFrame, order: Sequence[str], date_cols: Sequence
     return snapshot.select(*cols).orderBy(*order)
 
 
-def raw_archive(records: DataFrame, batch_id: str, entity_type: str, source_name: str, id_col: str) -> DataFrame:
+def raw_archive(records: DataFrame, batch_id: str, entity_type: str, source_name: str, id_col: str | Column) -> DataFrame:
     """Raw payload rows (S17): one JSON payload per (batch, entity, source, id); replays
-    of the same key collapse."""
+    of the same key collapse. Records without an id collapse only when their payloads are equal."""
+    record_id = F.col(id_col) if isinstance(id_col, str) else id_col
     payload = F.to_json(F.struct(*[F.col(c) for c in records.columns]), {"ignoreNullFields": "false"})
-    return records.select(F.lit(batch_id).alias("sync_batch_id"), F.lit(entity_type).alias("entity_type"),
-                          F.lit(source_name).alias("source_name"), F.col(id_col).cast("string").alias("source_record_id"),
-                          payload.alias("payload_json")) \
-        .dropDuplicates(["sync_batch_id", "entity_type", "source_name", "source_record_id"])
+    rows = records.select(F.lit(batch_id).alias("sync_batch_id"), F.lit(entity_type).alias("entity_type"),
+                          F.lit(source_name).alias("source_name"), record_id.cast("string").alias("source_record_id"),
+                          payload.alias("payload_json"))
+    own = F.when(F.coalesce(F.trim("source_record_id"), F.lit("")) == "", F.col("payload_json"))
+    return rows.withColumn("__own", own) \
+        .dropDuplicates(["sync_batch_id", "entity_type", "source_name", "source_record_id", "__own"]).drop("__own")

@@ -120,5 +120,5 @@ def test_dedup_plans_agree_on_unique_order(spark):
                                 ("k", None, "d", 4, "e"), ("x", "y", "z", 5, "f")],
                                "a string, b string, c string, seq int, v string")
     slow = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], "seq").collect()), key=str)
-    fast = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], ["seq"], unique_order=True).collect()), key=str)
+    fast = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], ["seq"]).collect()), key=str)
     assert slow == fast and [r[3] for r in sorted(fast, key=lambda r: r[3])] == [3, 4, 5]

@@ -9,6 +9,7 @@ from quaystone.functions import numbers
 from quaystone.operators import allocation, contracts, history, sampling, tickets
 from quaystone.session import checkpoint_dir
 from quaystone.sources import envelope
+from quaystone.sources.sinks import raw_archive
 from quaystone.streaming import feeds
 
 
@@ -120,3 +121,73 @@ def test_option_tree_of_twelve_levels(spark):
         node = (str(k), f"v{k}") if node is None else (str(k), f"v{k}", [node])
     df = spark.createDataFrame([("f", [node])], f"field string, options array<{kind}>")
     assert sorted(int(r.option_key) for r in tickets.flatten_option_tree(df, "field", "options").collect()) == list(range(1, 13))
+
+
+def test_option_trees_under_all_child_names(spark):
+    schema = ("f string, o array<struct<key:string,value:string,name:string,label:string,"
+              "childs:array<struct<key:string,label:string,items:array<struct<key:string,name:string>>>>,"
+              "options:array<struct<key:string,value:string>>>>")
+    tree = spark.createDataFrame([("f", [
+        ("1", "", "一", None, [("2", "二", [("3", "三")])], [("1", "later")]),
+        (None, "no key", None, None, [("4", "四", None)], None),
+        ("5", None, None, "五", None, None)])], schema)
+    flat = tickets.flatten_option_tree(tree, "f", "o")
+    got = {r.option_key: r.option_value for r in tickets.last_option_wins(flat, ["f"]).collect()}
+    assert got == {"1": "later", "2": "二", "3": "三", "4": "四", "5": "五"}
+
+
+def test_scans_reach_the_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT id, timestamp_ntz'1997-12-31 23:00:00' + make_interval(0, id, 0, 0, 0, 0, 0) AS at FROM range(24)") \
+        .write.parquet(path)
+    rows = spark.read.parquet(path)
+    month = sampling.month_scan(rows, "at", "id", "1998-12", limit=1)
+    assert [r.id for r in month.collect()] == [12]
+    year = rows.where(sampling.in_year("at", 1998))
+    assert year.count() == 12
+    for df in (month, year, sampling.rows_of_id(rows, "id", 3, "at")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: []" not in plan and "PushedFilters" in plan
+    assert sampling.rows_of_id(rows, "id", 3, "at").first().id == 3
+
+
+def test_keep_last_reads_its_input_once(spark):
+    df = spark.range(10).selectExpr("CAST(id % 3 AS string) AS k", "id", "IF(id > 7, '', 'x') AS part")
+    out = contracts.dedup_keep_last(df, ["k", "part"], "id")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+    assert sorted(r.id for r in out.collect()) == [5, 6, 7, 8, 9]
+
+
+def test_ticket_key_holds_the_create_time(spark):
+    main = spark.createDataFrame([(1, dt.datetime(2026, 1, 1), "a"), (1, None, "b"), (2, None, "c")],
+                                 "ticket_id long, create_dt timestamp_ntz, v string")
+    new = spark.createDataFrame([(1, dt.datetime(2026, 1, 2), "n"), (2, None, "m")], main.schema)
+    out, _ = history.ticket_upsert(main, main, new, new, ["ticket_id", "create_dt"])
+    assert sorted(r.v for r in out.collect()) == ["a", "b", "m", "n"]
+    stored = main.withColumnRenamed("create_dt", "source_updated_at")
+    marked = history.incremental_filter(new, stored, "ticket_id", "create_dt", known="known").collect()
+    assert sorted((r.ticket_id, r.action, r.known) for r in marked) == [(1, "load", True), (2, "load", True)]
+
+
+def test_the_partition_without_a_label_is_touched_too(spark):
+    from quaystone.plans.jobs import touched_partitions
+    stored = spark.createDataFrame([(1, "2026-01"), (2, None), (3, "2026-02")], "id int, m string")
+    batch = spark.createDataFrame([("2026-01",), (None,)], "m string")
+    assert sorted(r.id for r in touched_partitions(stored, batch, "m").collect()) == [1, 2]
+    assert [r.id for r in touched_partitions(stored, batch.where("m IS NOT NULL"), "m").collect()] == [1]
+
+
+def test_main_rows(spark):
+    df = spark.createDataFrame([("7", "s", "2026-01-02 03:04:05", [("f", "u")])],
+                               "ticketId string, subject string, updateDT string,"
+                               " descriptattachments array<struct<name:string,url:string>>")
+    wide, narrow = tickets.wide_main_row(df), tickets.narrow_main_row(df)
+    assert len(wide.columns) == 61 and len(narrow.columns) == 34
+    w, n = wide.first(), narrow.first()
+    assert w.source_updated_at == n.update_dt == dt.datetime(2026, 1, 2, 3, 4, 5)
+    assert w.descript_attachments == '[{"name":"f","url":"u"}]' and w.ticket_category == "原单" and n.ticket_id == 7
+
+
+def test_archive_keeps_records_without_an_id(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), (None, "c"), (None, "d"), (" ", "e")], "id string, v string")
+    assert raw_archive(df, "B", "customer", "api", "id").count() == 4

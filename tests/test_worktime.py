@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from quaystone.operators import worktime as W
 
@@ -34,14 +35,30 @@ def test_metric_statuses(spark):
             (3, "a", "2026-06-16 10:23:55"), (3, "b", "2026-06-18 03:21:18"),
             (4, "a", "junk"), (4, "b", "2026-06-18"), (5, "a", "2026-06-18"), (5, "b", "bad"),
             (6, "a", "2026-06-18"), (6, "b", "2026-06-17")]
-    values = spark.createDataFrame(vals, "ticket_id int, field_key string, field_value string")
-    defs = W.metric_defs_df(spark, [{"code": "m", "start_field": "a", "end_field": "b"}])
-    rows = {r.ticket_id: r for r in W.metric_rows(tickets, values, defs, ["ticket_id"], W.overrides_df(spark)).collect()}
+    values = spark.createDataFrame(vals, "ticket_id int, field_key string, field_value string") \
+        .withColumn("field_order", F.lit(1))
+    defs = [{"code": "m", "start_field": "a", "end_field": "b"}]
+    wide = tickets.join(W.field_columns(values, ["ticket_id"], defs), "ticket_id", "left")
+    rows = {r.ticket_id: r for r in W.metric_rows(wide, defs, W.overrides_df(spark)).collect()}
     assert [rows[i].status for i in range(7)] == ["missing_both", "missing_end", "missing_start", "success",
                                                   "invalid_start", "invalid_end", "invalid_time_order"]
     assert rows[3].raw_minutes == 2457 and rows[3].business_minutes == 776
 
 
+def test_first_field_value_and_iso_text(spark):
+    attrs = spark.createDataFrame(
+        [(1, "a", "2026-06-16T10:23:55", None), (1, "a", "2026-06-16T09:00:00", 3), (1, "b", "2026-06-16T10:00:00", 1),
+         (2, "c", "x", 1)], "ticket_id int, field_key string, field_value string, field_order int")
+    defs = [{"code": "m", "start_field": "a", "end_field": "b"}]
+    wide = W.field_columns(attrs, ["ticket_id"], defs)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    rows = {r.ticket_id: r for r in W.metric_rows(wide, defs, {}).collect()}
+    assert (rows[1].status, rows[1].raw_minutes, rows[2].status) == ("success", 60, "missing_both")
+    old = {r.ticket_id: r for r in W.metric_rows(wide, defs, {}, legacy_iso=True).collect()}
+    assert old[1].raw_minutes == 0
+
+
 def test_closed_form_matches_explode_random(spark):
     import random
     rnd = random.Random(7)
