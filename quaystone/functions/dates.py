@@ -62,17 +62,18 @@ def epoch_to_ntz(seconds, tz: str = DEFAULT_TZ) -> Column:
 
 
 def unix_text_to_display(c, tz: str = DEFAULT_TZ) -> Column:
-    """Digits-only text other than '0' -> 'yyyy-MM-dd HH:mm:ss' in ``tz``; anything else kept."""
+    """Digits-only text other than '0' -> 'yyyy-MM-dd HH:mm:ss' in ``tz``; anything else kept, also texts
+    of more than 12 digits: the last second of the year 9999 has 12."""
     s = strip_all(c)
     ok = s.rlike(r"^\d+$") & (s != "0") & (F.length(s) <= 12)
     return F.when(ok, F.date_format(epoch_to_ntz(s, tz), "yyyy-MM-dd HH:mm:ss")).otherwise(_col(c))
 
 
 def entity_datetime(c, tz: str = DEFAULT_TZ) -> Column:
-    """Entity update time: >=10 digits = epoch seconds from the first 10 digits;
+    """Entity update time: 10 or 13 digits = epoch seconds or milliseconds, other digit runs NULL;
     else 'yyyy-M-d H:m:s', 'yyyy-M-dTH:m:s' (first 19 characters) or 'yyyy-M-d' (first 10)."""
     s = F.regexp_replace(strip_all(c), "/", "-")
-    epoch = F.when(s.rlike(r"^\d{10,}$"), epoch_to_ntz(F.substring(s, 1, 10), tz))
+    epoch = F.when(s.rlike(r"^\d{10}(\d{3})?$"), epoch_to_ntz(F.substring(s, 1, 10), tz))
     head19, head10 = F.substring(s, 1, 19), F.substring(s, 1, 10)
     parsed = F.coalesce(
         epoch,

@@ -61,17 +61,6 @@ def is_money_column(name: str) -> bool:
 
 # -- sources as raw cells ----------------------------------------------------
 
-def header_row_no(raw: DataFrame, required: Sequence[str], max_rows: int | None = MAX_HEADER_SCAN_ROWS) -> DataFrame:
-    """One-row frame with the header's row_no: the first row (within ``max_rows``)
-    whose trimmed cells contain every required name."""
-    req = F.array(*[F.lit(r) for r in required])
-    trimmed = F.transform("cells", lambda c: strip_all(c))
-    cand = raw.where(F.size(F.array_except(req, trimmed)) == 0)
-    if max_rows is not None:
-        cand = cand.where(F.col("row_no") < max_rows)
-    return cand.agg(F.min("row_no").alias("header_row_no"))
-
-
 def read_cells(raw: DataFrame, required: Sequence[str], max_rows: int | None = MAX_HEADER_SCAN_ROWS) -> DataFrame:
     """Raw sheet rows (row_no INT, cells ARRAY<STRING>) -> named text columns.
 
@@ -246,48 +235,43 @@ def map_or_keep(c: Column, mapping: Mapping[str, str]) -> Column:
     return t if not mapping else F.coalesce(_mapped(t, mapping, None), t)
 
 
+# Target -> (word that its rule text holds, old source column), with the expression that fills it.
+SPECIAL_RULES = {
+    "合同类型": (SPREAD_CONTRACT, "是否标准合同", contract_type),
+    "暂估运维运营": (ESTIMATE_CONTRACT, "是否标准合同", lambda c: yes_no_by_standard_type(c, ESTIMATE_CONTRACT)),
+    "虚拟合同": (VIRTUAL_CONTRACT, "是否标准合同", lambda c: yes_no_by_standard_type(c, VIRTUAL_CONTRACT)),
+    "业务类型": ("核算收入类型分组", "核算收入类型分组", business_type),
+    "合同分类": ("合同类型", "合同类型", contract_category),
+}
+
+
 def convert_old_to_new(old: DataFrame, output_columns: Sequence[str], rules: Mapping[str, str],
                        config: Mapping, keep: Sequence[str] = ()) -> DataFrame:
     """Project the old source to the target layout by rule text.
 
-    Precedence per target: '/' -> zero rule -> five special rules -> platform map ->
-    shared amounts -> a source column named by the rule -> '/'. The column list is built
-    on the driver from the (small) rule dict; the projection is one ``select``."""
-    amount_rules = config.get("金额换算", {})
-    platform_map = config.get("营销平台映射", {})
-    src = set(old.columns)
-
-    def col_or_blank(name):
-        return F.col(name) if name in src else F.lit("")
-
-    exprs = []
-    for target in output_columns:
-        rule = str(rules.get(target, "") or "").strip()
-        if rule == "/":
-            e = F.lit("/")
-        elif rule == ZERO_RULE:
-            e = F.lit(0)
-        elif target == "合同类型" and SPREAD_CONTRACT in rule:
-            e = contract_type(col_or_blank("是否标准合同"))
-        elif target == "暂估运维运营" and ESTIMATE_CONTRACT in rule:
-            e = yes_no_by_standard_type(col_or_blank("是否标准合同"), ESTIMATE_CONTRACT)
-        elif target == "虚拟合同" and VIRTUAL_CONTRACT in rule:
-            e = yes_no_by_standard_type(col_or_blank("是否标准合同"), VIRTUAL_CONTRACT)
-        elif target == "业务类型" and "核算收入类型分组" in rule:
-            e = business_type(col_or_blank("核算收入类型分组"))
-        elif target == "合同分类" and "合同类型" in rule:
-            e = contract_category(col_or_blank("合同类型"))
-        elif target == "营销平台" and rule in src:
-            e = map_or_keep(F.col(rule), platform_map)
-        elif target in SHARED_AMOUNT_TARGETS:
-            e = shared_amount(col_or_blank(amount_rules.get(SHARED_AMOUNT_TARGETS[target], "")),
-                              col_or_blank(amount_rules.get(SHARE_RATIO_KEY, "")))
-        elif rule in src:
-            e = F.col(rule)
-        else:
-            e = F.lit("/")
-        exprs.append(e.alias(target))
-    return old.select(*exprs, *keep)
+    Each target takes the first that applies: the constants of its rule, its special rule, the platform
+    map, a shared amount, the source column named by the rule, '/'. Only the (small) rule dict is
+    looked at here; the projection is one ``select``."""
+    amounts, platforms = config.get("金额换算", {}), config.get("营销平台映射", {})
+    column = {c: F.col(f"`{c}`") for c in old.columns}
+    constants = {"/": F.lit("/"), ZERO_RULE: F.lit(0)}
+
+    def of(name: str) -> Column:
+        return column.get(name, F.lit(""))
+
+    def filled(target: str, rule: str) -> Column:
+        word, source, expression = SPECIAL_RULES.get(target, (None, None, None))
+        options = (
+            (rule in constants, lambda: constants[rule]),
+            (word is not None and word in rule, lambda: expression(of(source))),
+            (target == "营销平台" and rule in column, lambda: map_or_keep(column[rule], platforms)),
+            (target in SHARED_AMOUNT_TARGETS, lambda: shared_amount(
+                of(amounts.get(SHARED_AMOUNT_TARGETS[target], "")), of(amounts.get(SHARE_RATIO_KEY, "")))),
+            (rule in column, lambda: column[rule]),
+        )
+        return next((value() for applies, value in options if applies), constants["/"])
+
+    return old.select(*[filled(t, str(rules.get(t) or "").strip()).alias(t) for t in output_columns], *keep)
 
 
 def align_new(new: DataFrame, output_columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -50,34 +50,35 @@ def scd2_apply(history: DataFrame, batch: DataFrame, key: str, batch_id: str, ba
     """Apply one batch (one row per key) to an SCD2 history (M3).
 
     Equal hash -> nothing changes; different hash -> the open version is closed at
-    ``batch_time`` and version max+1 opens; unknown key -> version 1. ``batch_time`` is passed
-    in (never the wall clock), so replaying a batch is idempotent.
+    ``batch_time`` and version max+1 opens; unknown key, or one without an open version -> inserted.
+    ``batch_time`` is passed in (never the wall clock), so replaying a batch is idempotent.
+    History and batch are read once and meet in one window per key, which holds that key's versions.
     Returns (new history, outcomes(key, outcome) with inserted/changed/unchanged)."""
     bt = ntz_literal(batch_time)
-    cur = (history.groupBy(key).agg(
-        F.max("version_no").alias("__maxv"),
-        F.max_by(F.col(hash_col), F.when(F.col("is_current"), F.col("version_no"))).alias("__cur_hash"),
-        F.max(F.col("is_current").cast("int")).alias("__has_cur")))
-    j = batch.join(cur, key, "left")
-    outcome = (F.when(F.col("__has_cur").isNull() | (F.col("__has_cur") == 0), "inserted")
-               .when(F.col("__cur_hash") == F.col(hash_col), "unchanged")
-               .otherwise("changed"))
-    j = j.withColumn("__outcome", outcome)
-    active = j.where(F.col("__outcome") != "unchanged")
-    new_versions = active.select(
-        *batch.columns,
-        (F.coalesce(F.col("__maxv"), F.lit(0)) + 1).cast("int").alias("version_no"),
-        F.lit(batch_id).alias("sync_batch_id"), bt.alias("effective_from"),
+    fresh = batch.select(
+        *batch.columns, F.lit(0).alias("version_no"), F.lit(batch_id).alias("sync_batch_id"), bt.alias("effective_from"),
         F.lit(None).cast("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
-    changed_keys = active.where(F.col("__outcome") == "changed").select(key, F.lit(True).alias("__close"))
-    h = history.join(changed_keys, key, "left")
-    close = F.coalesce(F.col("__close"), F.lit(False)) & F.col("is_current")
-    closed = h.select(*[
-        F.when(close, bt).otherwise(F.col(c)).alias(c) if c == "effective_to" else
-        F.when(close, F.lit(False)).otherwise(F.col(c)).alias(c) if c == "is_current" else F.col(c)
-        for c in history.columns])
-    new_history = closed.unionByName(new_versions.select(*history.columns))
-    return new_history, j.select(key, F.col("__outcome").alias("outcome"))
+    both = history.withColumn("__new", F.lit(False)).unionByName(
+        fresh.select(*history.columns).withColumn("__new", F.lit(True)))
+    new, open_ = F.col("__new"), ~F.col("__new") & F.col("is_current")
+    version = F.col("version_no")
+    per_key = Window.partitionBy(key)
+    seen = both.select(
+        "*", F.max(F.when(~new, version)).over(per_key).alias("__last"),
+        F.max(F.when(open_, version)).over(per_key).alias("__open"),
+        F.max_by(F.col(hash_col), F.when(open_, version)).over(per_key).alias("__old_hash"),
+        F.max(F.when(new, F.col(hash_col))).over(per_key).alias("__new_hash"),
+        F.max(new).over(per_key).alias("__arrived"))
+    seen = seen.withColumn("__outcome", F.when(
+        F.col("__arrived"), F.when(F.col("__open").isNull(), "inserted")
+        .when(F.col("__old_hash") == F.col("__new_hash"), "unchanged").otherwise("changed")))
+    closes = open_ & F.coalesce(F.col("__outcome") == "changed", F.lit(False))
+    value = {"version_no": F.when(new, F.coalesce("__last", F.lit(0)) + 1).otherwise(version).cast("int"),
+             "effective_to": F.when(closes, bt).otherwise(F.col("effective_to")),
+             "is_current": F.col("is_current") & ~closes}
+    new_history = seen.where(~new | (F.col("__outcome") != "unchanged")).select(
+        *[value[c].alias(c) if c in value else F.col(c) for c in history.columns])
+    return new_history, seen.where(new).select(key, F.col("__outcome").alias("outcome"))
 
 
 def relation_rows(new_versions: DataFrame, key: str, link_cols: Sequence[str]) -> DataFrame:

@@ -90,11 +90,7 @@ def merge_sources(spark, sf_dir):
 
 def q_merge_contract_sources(spark, sf_dir):
     merged = merge_sources(spark, sf_dir)
-    sheet = J.standard_sheet(merged, PRIOR_PERIOD, CURRENT_PERIOD)
-    return sheet.select("序号", "合同编号", "标的行编码", "营销平台", "体系工程师", "合同类型", "暂估运维运营", "业务类型",
-                        "合同分类", "累计开票金额", "产品金额", "明细运维开始开始日期", "明细运维结束日期", "无效合同类型",
-                        "其他业务类型", "数据来源", "文件生成时间戳", "文件来源时间戳", "合同天数", "今年按期分摊服务费",
-                        "去年按期分摊服务费")
+    return J.standard_sheet(merged, PRIOR_PERIOD, CURRENT_PERIOD)
 
 
 def ticket_details(spark, sf_dir):
@@ -301,7 +297,8 @@ WITH j AS (
 new_rows AS (
   SELECT 0 AS src, seq, CAST(l_orderkey AS VARCHAR) AS c_no, CAST(l_linenumber AS VARCHAR) AS item,
     COALESCE(n_name, '') AS platform,
-    '/' AS c_type, '/' AS est, '/' AS biz, '/' AS cat, 0.0 AS billing,
+    '/' AS c_type, '/' AS est, '/' AS biz, '/' AS cat, 0.0 AS billing, 'ORG' AS org, 'CUST' AS cust, line_id, '/' AS virtual,
+    111.0::DOUBLE AS cur_amort, 222.0::DOUBLE AS prev_amort, year(l_shipdate) AS apply_year,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
     start_txt, end_txt, strftime(l_shipdate, '%Y%m%d') AS apply_txt,
     '有效' AS invalid_type, '非税票据' AS other_type, '新ERP' AS source
@@ -314,6 +311,7 @@ old_rows AS (
     CASE WHEN p_type = 'MEDIUM' THEN '运维服务费' ELSE '其他' END AS biz,
     CASE WHEN l_linestatus = 'O' THEN '运维合同' ELSE '非运维合同' END AS cat,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) * (CAST(round(l_discount * 100, 0) AS INTEGER) / 100.0) AS billing,
+    'ORG-OLD' AS org, '/' AS cust, line_id, '否' AS virtual, 1.0::DOUBLE AS cur_amort, 2.0::DOUBLE AS prev_amort, NULL AS apply_year,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
     start_txt, end_txt, '/' AS apply_txt, '/' AS invalid_type, '/' AS other_type, '旧ERP' AS source
   FROM j WHERE l_returnflag <> 'N'
@@ -327,14 +325,26 @@ n AS (
     CAST(strptime(start_txt, '%Y%m%d') AS DATE) AS s_d, CAST(strptime(end_txt, '%Y%m%d') AS DATE) AS e_d,
     CAST(round(amount * 100) AS BIGINT) AS cents
   FROM k),
-a AS (SELECT *, CAST(COALESCE(e_d - s_d + 1, 0) AS INTEGER) AS days FROM n)
-SELECT seq_no AS "序号", c_no AS "合同编号", item AS "标的行编码", platform AS "营销平台", engineer AS "体系工程师",
-  c_type AS "合同类型", est AS "暂估运维运营", biz AS "业务类型", cat AS "合同分类", billing AS "累计开票金额",
-  amount AS "产品金额", start_txt AS "明细运维开始开始日期", end_txt AS "明细运维结束日期", invalid_type AS "无效合同类型",
-  other_type AS "其他业务类型", source AS "数据来源", '20260715083000' AS "文件生成时间戳", '20260715' AS "文件来源时间戳",
-  days AS "合同天数", {_alloc_sql('1998-01-01', '1998-12-31')} AS "今年按期分摊服务费",
-  {_alloc_sql('1997-01-01', '1997-12-31')} AS "去年按期分摊服务费"
-FROM a"""
+a AS (SELECT *, CAST(COALESCE(e_d - s_d + 1, 0) AS INTEGER) AS days FROM n),
+c AS (SELECT *, {_alloc_sql('1998-01-01', '1998-12-31')} AS cur_calc, {_alloc_sql('1997-01-01', '1997-12-31')} AS prev_calc FROM a)
+"""
+_SHEET = {
+    "序号": "seq_no", "合同编号": "c_no", "销售组织": "org", "签约客户": "cust", "标的行编码": "item", "执行明细id": "'D'",
+    "企业版销售合同明细id": "line_id", "营销平台": "platform", "体系工程师": "engineer", "合同类型": "c_type",
+    "暂估运维运营": "est", "虚拟合同": "virtual", "业务类型": "biz", "合同分类": "cat", "累计开票金额": "billing",
+    "累计回款金额": "billing", "产品金额": "amount", "合同申请日期": "apply_txt", "明细运维开始开始日期": "start_txt",
+    "明细运维结束日期": "end_txt", "当年应分摊金额": "cur_amort", "去年同期应分摊金额": "prev_amort",
+    "无效合同类型": "invalid_type", "其他业务类型": "other_type", "数据来源": "source",
+    "文件生成时间戳": "'20260715083000'", "文件来源时间戳": "'20260715'", "合同天数": "days",
+    "去年统计起始日期": "DATE '1997-01-01'", "去年统计截止日期": "DATE '1997-12-31'", "去年按期分摊服务费": "prev_calc",
+    "去年倒签调整后分摊服务费": "CAST(CASE WHEN apply_year = 1998 THEN 0 ELSE prev_calc END AS DECIMAL(18,2))",
+    "今年统计起始日期": "DATE '1998-01-01'", "今年统计截止日期": "DATE '1998-12-31'", "今年按期分摊服务费": "cur_calc",
+    "今年倒签调整后分摊服务费": "CAST(CASE WHEN apply_year = 1998 AND prev_calc > 0 THEN cur_calc + prev_calc ELSE cur_calc END AS DECIMAL(18,2))",
+}
+# columns that neither extract fills: 0 where the header names money, else blank
+_MERGE_SQL += "SELECT " + ", ".join(
+    f'{_SHEET.get(h, "0.0::DOUBLE" if any(m in h for m in ("金额", "价税合计", "单价")) else chr(39) * 2)} AS "{h}"'
+    for h, _ in L.STANDARD_LAYOUT) + " FROM c"
 
 _TICKETS_SQL = '''
 WITH cc AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quaystone.operators.entities import CUSTOMER_CANDIDATES, canonical_rows
+from quaystone.operators.entities import CONTACT_CANDIDATES, CUSTOMER_CANDIDATES, canonical_rows
 from quaystone.operators.sampling import in_year
 from quaystone.sources import envelope as EV
 from quaystone.sources import layout as L
@@ -158,27 +158,60 @@ SELECT 'B1' AS sync_batch_id, 'customer' AS entity_type, 'customer_api' AS sourc
 FROM customer"""
 
 
+def _update_text(key):
+    """Seconds, milliseconds or plain text, by the key."""
+    epoch = (F.col(key) + 1700000000).cast("string")
+    return (F.when(F.col(key) % 3 == 0, epoch).when(F.col(key) % 3 == 1, F.concat(epoch, F.lit("007")))
+            .otherwise(F.lit("2026/6/1 8:05:00")))
+
+
 def q_canonical_entities(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     cust = c.select(F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.col("c_custkey").cast("string")).alias("UID"),
                     F.col("c_name").alias("companyName"), F.col("c_mktsegment").alias("RANK"),
-                    F.col("c_nationkey").cast("string").alias("area"))
+                    F.col("c_nationkey").cast("string").alias("area"), F.lit(" ").alias("city"), F.col("c_mktsegment").alias("cityName"),
+                    F.lit("区").alias("area3Name"), F.concat(F.lit(" "), F.col("c_name"), F.lit("\n")).alias("addr"),
+                    F.lit("").alias("contactor"), F.col("c_name").alias("linkman"),
+                    F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit("138")).alias("Mobile"), F.lit("010").alias("tel"),
+                    F.lit("a@b").alias("mail"), _update_text("c_custkey").alias("updateTime"))
     s = table(spark, sf_dir, "supplier")
     sup = s.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"),
                    F.col("s_nationkey").cast("string").alias("areaName"))
-    a = canonical_rows(cust, CUSTOMER_CANDIDATES, "customer")
-    b = canonical_rows(sup, CUSTOMER_CANDIDATES, "company")
-    return a.unionByName(b).select("customer_id", "customer_name", "customer_type", "province", "source_flags", "rejected")
+    return canonical_rows(cust, CUSTOMER_CANDIDATES, "customer").unionByName(canonical_rows(sup, CUSTOMER_CANDIDATES, "company"))
 
 
-_CANON_SQL = """
-SELECT NULLIF(trim(CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END), '') AS customer_id,
-  NULLIF(trim(c_name), '') AS customer_name, NULLIF(trim(c_mktsegment), '') AS customer_type,
-  NULLIF(trim(CAST(c_nationkey AS VARCHAR)), '') AS province, 'customer' AS source_flags, c_acctbal < 0 AS rejected
+def q_canonical_contacts(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(F.when(F.col("c_acctbal") < 0, F.lit(" ")).otherwise(F.col("c_custkey").cast("string")).alias("contacterId"),
+                    F.lit("").alias("realName"), F.col("c_name").alias("contactName"),
+                    F.when(F.col("c_custkey") % 2 == 0, F.lit("139")).alias("mobilePhone"), F.lit("0571").alias("phone"),
+                    F.lit("x@y").alias("email"), F.col("c_custkey").cast("string").alias("qq"), F.lit("w").alias("wx"),
+                    F.col("c_nationkey").cast("string").alias("companyId"), F.col("c_mktsegment").alias("customerName"),
+                    F.lit(None).cast("string").alias("department"), F.lit("dep").alias("deptName"), F.lit("job").alias("jobTitle"),
+                    _update_text("c_custkey").alias("modifyTime"))
+    return canonical_rows(rows, CONTACT_CANDIDATES, "contact_api")
+
+
+_UPDATE_SQL = """CASE WHEN c_custkey % 3 = 2 THEN TIMESTAMP '2026-06-01 08:05:00'
+    ELSE make_timestamp((c_custkey + 1700000000) * 1000000) + INTERVAL 8 HOUR END AS source_updated_at"""
+_NO_TEXT = "CAST(NULL AS VARCHAR)"
+_CANON_SQL = f"""
+SELECT CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS VARCHAR) END AS customer_id,
+  c_name AS customer_name, c_mktsegment AS customer_type, CAST(c_nationkey AS VARCHAR) AS province,
+  {_NO_TEXT} AS city, '区' AS district, c_name AS address, c_name AS contact_name,
+  CASE WHEN c_custkey % 2 = 0 THEN '010' ELSE '138' END AS phone, 'a@b' AS email,
+  'customer' AS source_flags, {_UPDATE_SQL}, c_acctbal < 0 AS rejected
 FROM customer
 UNION ALL
-SELECT CAST(s_suppkey AS VARCHAR), NULLIF(trim(s_name), ''), NULL, CAST(s_nationkey AS VARCHAR), 'company', false
+SELECT CAST(s_suppkey AS VARCHAR), s_name, {_NO_TEXT}, CAST(s_nationkey AS VARCHAR), {_NO_TEXT}, {_NO_TEXT}, {_NO_TEXT}, {_NO_TEXT},
+  {_NO_TEXT}, {_NO_TEXT}, 'company', CAST(NULL AS TIMESTAMP), false
 FROM supplier"""
+_CONTACT_SQL = f"""
+SELECT CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS VARCHAR) END AS contact_id, c_name AS contact_name,
+  CASE WHEN c_custkey % 2 = 0 THEN '139' END AS phone, '0571' AS fixed_phone, 'x@y' AS email, CAST(c_custkey AS VARCHAR) AS qq,
+  'w' AS wechat, CAST(c_nationkey AS VARCHAR) AS customer_id, c_mktsegment AS customer_name, 'dep' AS department_name,
+  'job' AS position_name, 'contact_api' AS source_flags, {_UPDATE_SQL}, c_acctbal < 0 AS rejected
+FROM customer"""
 
 LABELS = {"o_orderstatus": "状态", "o_orderpriority": "优先级", "o_totalprice": "金额"}
 
@@ -215,6 +248,7 @@ QUERIES = {
     "snapshot_document": q_snapshot_document,
     "raw_archive": q_raw_archive,
     "canonical_entities": q_canonical_entities,
+    "canonical_contacts": q_canonical_contacts,
     "label_long_form": q_label_long_form,
 }
 
@@ -226,5 +260,6 @@ SQL = {
     "snapshot_document": _DOC_SQL,
     "raw_archive": _ARCHIVE_SQL,
     "canonical_entities": _CANON_SQL,
+    "canonical_contacts": _CONTACT_SQL,
     "label_long_form": _LONG_SQL,
 }

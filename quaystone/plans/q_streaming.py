@@ -24,33 +24,43 @@ def _scratch(spark, name):
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:10]}")
 
 
+def _per_trigger(spark, files: str, schema: str, triggers: int) -> int:
+    """Files per trigger so that the feed runs in about so many micro-batches."""
+    return max(1, len(spark.read.schema(schema).json(files).inputFiles()) // triggers)
+
+
 def q_stream_ticket_feed(spark, sf_dir):
+    """Urgent tickets arrive without a time, every tenth customer's without a month."""
     root = _scratch(spark, "ticket-feed")
     src, out = os.path.join(root, "in"), os.path.join(root, "table")
     o = table(spark, sf_dir, "orders")
     base = o.select(F.col("o_orderkey").alias("ticket_id"), F.col("o_orderstatus").alias("status"),
-                    F.col("o_orderdate").alias("update_dt"), month_label("o_orderdate").alias("create_month_label"))
+                    F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderdate")).alias("update_dt"),
+                    F.when(F.col("o_custkey") % 10 != 0, month_label("o_orderdate")).alias("create_month_label"),
+                    F.col("o_orderdate").alias("day"))
     # drop 1: every ticket; drop 2: open tickets closed a day later; drop 3: late, older versions
-    updated = base.where(F.col("status") == "O").select(
-        "ticket_id", F.lit("F").alias("status"), F.timestamp_add("DAY", F.lit(1), F.col("update_dt")).alias("update_dt"),
-        "create_month_label")
-    late = base.where(F.col("status") == "P").select(
-        "ticket_id", F.lit("X").alias("status"), F.timestamp_add("DAY", F.lit(-1), F.col("update_dt")).alias("update_dt"),
-        "create_month_label")
+    updated = base.where(F.col("status") == "O").withColumn("status", F.lit("F")) \
+        .withColumn("update_dt", F.timestamp_add("DAY", F.lit(1), F.col("day")))
+    late = base.where(F.col("status") == "P").withColumn("status", F.lit("X")) \
+        .withColumn("update_dt", F.timestamp_add("DAY", F.lit(-1), F.col("day")))
     for i, part in enumerate((base, updated, late)):
-        part.write.mode("overwrite").json(os.path.join(src, f"drop={i}"))
-    run_ticket_feed(spark, os.path.join(src, "*"), TICKET_SCHEMA, out)
+        part.drop("day").write.mode("overwrite").json(os.path.join(src, f"drop={i}"))
+    files = os.path.join(src, "*")
+    run_ticket_feed(spark, files, TICKET_SCHEMA, out, max_files_per_trigger=_per_trigger(spark, files, TICKET_SCHEMA, 3))
     return spark.read.parquet(out).select("ticket_id", "status", "update_dt", "create_month_label")
 
 
 _TICKET_SQL = """
-SELECT o_orderkey AS ticket_id, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
-  CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS update_dt,
-  strftime(o_orderdate, '%Y-%m') AS create_month_label
+SELECT o_orderkey AS ticket_id,
+  CASE WHEN o_orderstatus = 'O' THEN 'F' WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS status,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate
+       WHEN o_orderstatus = 'P' THEN o_orderdate - INTERVAL 1 DAY END AS update_dt,
+  CASE WHEN o_custkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m') END AS create_month_label
 FROM orders"""
 
 
 def q_stream_scd2(spark, sf_dir):
+    """Three source batches, each in several files that fall into different micro-batches."""
     root = _scratch(spark, "scd2-feed")
     src, out = os.path.join(root, "in"), os.path.join(root, "table")
     b = customer_batches(spark, sf_dir)
@@ -58,11 +68,15 @@ def q_stream_scd2(spark, sf_dir):
     rows = b.select("batch_no", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
                     times[F.col("batch_no")].alias("batch_time"),
                     "customer_id", "customer_name", "customer_type", "province", "company_id", "row_hash")
+    # two groups of customers give each batch two files at least
+    half = F.pmod(F.xxhash64("customer_id"), F.lit(2)).alias("half")
     for no in BATCH_TIMES:
-        rows.where(F.col("batch_no") == no).write.mode("overwrite").json(os.path.join(src, f"batch={no}"))
+        rows.where(F.col("batch_no") == no).select("*", half).write.mode("overwrite").partitionBy("half") \
+            .json(os.path.join(src, f"batch={no}"))
     schema = ("batch_no int, sync_batch_id string, batch_time timestamp_ntz, customer_id string, customer_name string, "
               "customer_type string, province string, company_id string, row_hash string")
-    run_scd2_feed(spark, os.path.join(src, "*"), schema, out, "customer_id")
+    files = os.path.join(src, "*", "*")
+    run_scd2_feed(spark, files, schema, out, "customer_id", max_files_per_trigger=_per_trigger(spark, files, schema, 6))
     return spark.read.parquet(out).drop("company_id")
 
 

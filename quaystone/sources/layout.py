@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +60,20 @@ def check_layout(columns: Sequence[str], layouts: Sequence[Sequence[str]]) -> li
                      f"missing {sorted(set(layouts[-1]) - set(names))}, extra {sorted(set(names) - set(layouts[-1]))}")
 
 
+def matching_sheet(sheets: Mapping[str, Sequence[str]], layouts: Sequence[Sequence[str]]) -> str:
+    """The one sheet (name -> headers) of a workbook whose headers are an accepted layout (S6); none or several
+    is an error, and so is a sheet with all headers of a layout of which one occurs twice."""
+    whole = {name: [str(c).strip() for c in headers if str(c or "").strip()] for name, headers in sheets.items()}
+    accepted = [set(layout) for layout in layouts]
+    found = [name for name, headers in whole.items() if set(headers) in accepted]
+    twice = [name for name in found if len(whole[name]) != len(set(whole[name]))]
+    if twice:
+        raise ValueError(f"duplicate columns in {twice}")
+    if len(found) != 1:
+        raise ValueError(f"one matching sheet expected, found {found} among {list(sheets)}")
+    return found[0]
+
+
 def project_by_name(df: DataFrame, contract: Sequence[str], types: dict[str, str] | None = None) -> DataFrame:
     """Project to ``contract`` by name; absent columns are NULL."""
     types = types or {}

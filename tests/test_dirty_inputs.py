@@ -191,3 +191,26 @@ def test_main_rows(spark):
 def test_archive_keeps_records_without_an_id(spark):
     df = spark.createDataFrame([("1", "a"), ("1", "b"), (None, "c"), (None, "d"), (" ", "e")], "id string, v string")
     assert raw_archive(df, "B", "customer", "api", "id").count() == 4
+
+
+def test_one_sheet_must_match():
+    from quaystone.sources.layout import matching_sheet
+    layouts = (["a", "b"], ["a", "b", "c"])
+    assert matching_sheet({"notes": ["x"], "data": ["b", " a ", None]}, layouts) == "data"
+    for sheets in ({"x": ["a"]}, {"x": ["a", "b"], "y": ["c", "b", "a"]}, {"x": ["a", "b", "a"]}):
+        with pytest.raises(ValueError):
+            matching_sheet(sheets, layouts)
+
+
+def test_history_is_read_once(spark):
+    schema = "id string, row_hash string"
+    first = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], schema)
+    hist, _ = history.scd2_apply(history.empty_history(first), first, "id", "B1", dt.datetime(2026, 1, 1))
+    kept = hist.checkpoint()
+    batch = spark.createDataFrame([("a", "1"), ("b", "2"), ("d", "1")], schema)
+    out, outcomes = history.scd2_apply(kept, batch, "id", "B2", dt.datetime(2026, 1, 2))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1 and "Join" not in plan
+    assert sorted((r.id, r.version_no, r.is_current) for r in out.collect()) == [
+        ("a", 1, True), ("b", 1, False), ("b", 2, True), ("c", 1, True), ("d", 1, True)]
+    assert {r.id: r.outcome for r in outcomes.collect()} == {"a": "unchanged", "b": "changed", "d": "inserted"}
