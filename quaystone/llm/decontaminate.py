@@ -83,7 +83,7 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 class SizeClass:
     """Items of about one length with their tables."""
 
-    def __init__(self, items: list[tuple[str, bytes]], number: int):
+    def __init__(self, items: list[tuple[tuple[str, ...], bytes]], number: int):
         self.items, self.number = items, number
         lengths = [len(t) for _, t in items]
         self.shortest, self.longest = min(lengths), max(lengths)
@@ -163,13 +163,18 @@ class SizeClass:
 
 
 class Index:
-    """Items by size class, and the filter of their grams."""
+    """Items by size class, and the filter of their grams. Items with equal texts are one entry with all their
+    names, so that a text which many items share costs one comparison a window."""
 
     def __init__(self, items: list[tuple[str, str]]):
         column = pa.array([t for _, t in items], pa.string())
         data, offsets, _ = normalise(*bt.to_bytes(column))
-        texts = [(items[k][0], data[offsets[k]:offsets[k + 1]].tobytes().rstrip(b" ")) for k in range(len(items))]
-        texts = sorted({t for t in texts if len(t[1]) >= SHORTEST}, key=lambda t: (len(t[1]), t))
+        names: dict[bytes, set[str]] = {}
+        for k, (name, _) in enumerate(items):
+            text = data[offsets[k]:offsets[k + 1]].tobytes().rstrip(b" ")
+            if len(text) >= SHORTEST:
+                names.setdefault(text, set()).add(name)
+        texts = sorted(((tuple(sorted(own)), text) for text, own in names.items()), key=lambda t: (len(t[1]), t))
         self.classes: list[SizeClass] = []
         filters = np.zeros(1 << _FILTER_BITS, np.uint64)  # a bit for each size class
         low = 0
@@ -218,9 +223,9 @@ class Index:
     def _verified(data: np.ndarray, offsets: np.ndarray, found: list) -> list[tuple[int, str, int, int, int]]:
         hits, taken = [], {}
         for size, item, start, end, _ in sorted(found, key=lambda f: (-f[4], f[2], f[1])):
-            name, text = size.items[item]
+            names, text = size.items[item]
             row = int(bt.row_of(offsets, np.array([start]))[0])
-            spans = taken.setdefault((row, name, text), [])
+            spans = taken.setdefault((row, text), [])
             limit = limit_of(len(text))
             if any(min(b, start + len(text)) - max(a, start) > limit for a, b in spans):
                 continue  # that span of this item again
@@ -231,7 +236,7 @@ class Index:
                 edits, length = min(((d, k) for k, d in enumerate(distances(text, window), 1)), default=(limit + 1, 0))
             if edits <= limit:
                 spans.append((start, start + length))
-                hits.append((row, name, start, start + length, edits))
+                hits += [(row, name, start, start + length, edits) for name in names]
         return sorted(hits)
 
 

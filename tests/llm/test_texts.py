@@ -160,6 +160,14 @@ def test_decontaminate(spark, edge_docs, no_docs):
     assert decontaminate.find_items(no_docs, bench).count() == 0
 
 
+def test_items_with_one_text_are_all_named():
+    text = "what is the first of the many things that two items ask in the very same words"
+    index = decontaminate.Index([("b", text), ("a", text.upper()), ("c", text + " again"), ("a", text)])
+    assert sorted(n for c in index.classes for n, _ in c.items) == [("a", "b"), ("c",)]
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert [(h[1], h[4]) for h in index.hits(data, np.array([0, len(data)]))] == [("a", 0), ("b", 0)]
+
+
 def test_decontaminate_recall():
     """Windows edited to the limit are found as often as the target says; the exact check agrees with brute force."""
     rng = random.Random(11)
