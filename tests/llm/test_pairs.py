@@ -1,6 +1,7 @@
 """N-gram join, line dedup and suffix dedup against brute force."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from quaystone.llm import bytetext as bt
 from quaystone.llm import line_dedup, ngram_join, suffix_dedup
 from quaystone.llm.edit import distances, within
+from quaystone.llm.families import components
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,6 +130,37 @@ def brute_lines(rows, distance=3, similarity=0.9, min_words=5):
             for k, (doc, text) in enumerate(rows)]
 
 
+def test_keys_cut_into_blocks_link_alike(spark):
+    """A hot key in small blocks gives the components that comparing all SimHashes gives."""
+    rng = random.Random(3)
+    base = rng.getrandbits(64)
+    sims = [base ^ (1 << rng.randrange(24)) ^ (1 << rng.randrange(24)) ^ (1 << rng.randrange(24)) for _ in range(300)]
+    sims = sorted({*sims, *(rng.getrandbits(64) for _ in range(200))})
+    root = {x: x for x in sims}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, x in enumerate(sims):
+        for y in sims[:k]:
+            if bin(x ^ y).count("1") <= 3:
+                root[find(x)] = find(y)
+    want = sorted(sorted(x for x in sims if find(x) == r) for r in {find(x) for x in sims})
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([(signed(x),) for x in sims + sims[:50]], "sim long")
+    for block in (40, 1 << 15):
+        if block == 40:
+            assert line_dedup._dealt_keys(df, 3, block).count() > 10 * len(sims)
+        got = {}
+        for r in components(line_dedup.sim_links(df, 3, block)).collect():
+            got.setdefault(r.root, set()).add(r.id % (1 << 64))
+        alone = [[x] for x in sims if not any(x in g for g in got.values())]
+        assert sorted([sorted(g) for g in got.values()] + alone) == want
+
+
+
 @pytest.mark.parametrize("which", ["docs", "edge_docs", "near_docs", "no_docs"])
 def test_line_dedup(which, request):
     df = request.getfixturevalue(which)
