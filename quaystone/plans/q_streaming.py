@@ -41,7 +41,7 @@ def q_stream_ticket_feed(spark, sf_dir):
     # drop 1: every ticket; drop 2: open tickets closed a day later; drop 3: late, older versions
     updated = base.where(F.col("status") == "O").withColumn("status", F.lit("F")) \
         .withColumn("update_dt", F.timestamp_add("DAY", F.lit(1), F.col("day")))
-    late = base.where(F.col("status") == "P").withColumn("status", F.lit("X")) \
+    late = base.where((F.col("status") == "P") & F.col("update_dt").isNotNull()).withColumn("status", F.lit("X")) \
         .withColumn("update_dt", F.timestamp_add("DAY", F.lit(-1), F.col("day")))
     for i, part in enumerate((base, updated, late)):
         part.drop("day").write.mode("overwrite").json(os.path.join(src, f"drop={i}"))
@@ -52,9 +52,9 @@ def q_stream_ticket_feed(spark, sf_dir):
 
 _TICKET_SQL = """
 SELECT o_orderkey AS ticket_id,
-  CASE WHEN o_orderstatus = 'O' THEN 'F' WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS status,
+  CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
   CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate
-       WHEN o_orderstatus = 'P' THEN o_orderdate - INTERVAL 1 DAY END AS update_dt,
+       END AS update_dt,
   CASE WHEN o_custkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m') END AS create_month_label
 FROM orders"""
 
