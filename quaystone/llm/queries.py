@@ -33,7 +33,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_sha256 of the text that stays."""
-    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), whole=True)
     return done.select("row.doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
                        F.array_join("dropped", ",").alias("dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
