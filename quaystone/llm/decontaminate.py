@@ -6,13 +6,16 @@ if some window that begins at a word is within ``floor((1 - SIMILARITY) * length
 The CGK embedding walks along a string under a shared random bit for each (step, byte): emit the byte, then move
 on or stay. Equal bits keep two strings in step, and after an edit the walks fall into step again, so a few
 edits make few differences (Hamming distance). LSH samples positions of the embedding; a table is one walk with
-``SAMPLED`` positions. Walks are added until the recall measured on the items themselves, with copies edited to
-the limit at random places, reaches ``TARGET_RECALL`` (or ``MAX_WALKS``); an unedited copy is found by every
-table. Candidates are verified by exact edit distance, so there are no false hits.
+``SAMPLED`` positions. An item is entered from its beginning and from a word at each of the ``PLACES`` on, so that the
+tables see all of it, and a window that agrees from such a word on has its beginning looked for among the words about
+so far before it. Walks are added until the recall measured on items of the whole class reaches ``TARGET_RECALL`` (or
+``MAX_WALKS``) both for copies edited to the limit at random places and for copies with a word replaced, dropped or
+put in at one place; an unedited copy is found by every table. Candidates are verified by exact edit distance, so
+there are no false hits; of overlapping ones the one of fewest edits counts.
 
-Windows are of the items' size by class (lengths within a factor of 1.3). Before the walk a window must hold
-enough 8-byte grams of the items: d edits destroy 8 d of an item's grams at most, so the bound is exact and
-drops no window within the limit.
+Windows are of the items' size by class (lengths within a factor of 1.3). Before the walk a window, with what lies
+before it as far as the last of an item's places, must hold enough 8-byte grams of the items: d edits destroy 8 d of an
+item's grams at most, so the bound is exact and drops no window within the limit.
 
 The items are collected in blocks of ``BLOCK_ITEMS``, so a benchmark of any size costs memory for one block.
 
@@ -39,6 +42,8 @@ TARGET_RECALL = 0.95
 MAX_WALKS = 48
 #: Positions sampled for a table, and tables of a walk.
 SAMPLED, TABLES = 8, 48
+#: Parts of an item from which on it is entered, at the next word, besides its beginning.
+PLACES = (0.22, 0.44, 0.64)
 GRAM = 8
 SHORTEST = 30
 BLOCK_ITEMS = 20000
@@ -80,6 +85,57 @@ def _slot(grams: np.ndarray) -> np.ndarray:
         return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)
 
 
+def word_starts(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text, np.uint8)
+    starts = np.ones(len(data), bool)
+    starts[1:] = data[:-1] == 0x20
+    return np.flatnonzero(starts & (data != 0x20))
+
+
+def places_of(text: bytes) -> list[int]:
+    """Where an item is entered from: its beginning and the first word at each of the places or beyond, if one begins
+    before the next place."""
+    begins, out = word_starts(text), [0]
+    for part, after in zip(PLACES, (*PLACES[1:], 0.75)):
+        k = np.searchsorted(begins, part * len(text))
+        if k < len(begins) and begins[k] < after * len(text):
+            out.append(int(begins[k]))
+    return out
+
+
+def _letters(rng, n: int) -> bytes:
+    return bytes(rng.integers(97, 123, n).tolist())
+
+
+def _edited_anywhere(rng, text: bytes) -> bytes:
+    """A copy edited to the limit at random places."""
+    new = bytearray(text)
+    for _ in range(limit_of(len(text))):
+        at, kind = int(rng.integers(len(new))), int(rng.integers(3))
+        letter = int(rng.integers(97, 123))
+        if kind == 0:
+            new[at] = letter
+        elif kind == 1:
+            new.insert(at, letter)
+        else:
+            del new[at]
+    return bytes(new)
+
+
+def _edited_at_one_place(rng, text: bytes) -> bytes:
+    """A copy with a word, or as much of it as the limit allows, replaced, dropped or put in."""
+    limit, begins = limit_of(len(text)), word_starts(text)
+    k, kind = int(rng.integers(len(begins))), int(rng.integers(3))
+    start = int(begins[k])
+    end = int(begins[k + 1]) if k + 1 < len(begins) else len(text)
+    if kind == 0:
+        n = min(limit, max(1, end - start - 1))
+        return text[:start] + _letters(rng, n) + text[start + n:]
+    if kind == 1:
+        return text[:start] + text[min(end, start + limit):]
+    return text[:start] + _letters(rng, max(1, min(limit - 1, int(rng.integers(2, 9))))) + b" " + text[start:]
+
+
 class SizeClass:
     """Items of about one length with their tables."""
 
@@ -92,19 +148,27 @@ class SizeClass:
         self.steps = int(0.6 * self.shortest)  # early steps, where the walks of near strings have parted least
         self.walks: list[tuple[np.ndarray, np.ndarray]] = []  # bits (steps, 256), sampled steps (tables, sampled)
         self.keys: list[list[tuple[np.ndarray, np.ndarray]]] = []
-        own = self.padded([t for _, t in items])
-        copies = self._edited_copies()
-        found = np.zeros(len(copies), bool)
-        whose = np.arange(len(copies)) % len(items)
-        while len(self.walks) < MAX_WALKS and not (self.walks and found.mean() >= TARGET_RECALL):
+        places = [places_of(t) for _, t in items]
+        self.item = np.repeat(np.arange(len(items)), [len(p) for p in places])
+        self.place = np.array([p for own in places for p in own])
+        self.reach = int((self.place + np.array([limit_of(n) for n in lengths])[self.item]).max())
+        own = self.padded([items[k][1][p:] for k, p in zip(self.item.tolist(), self.place.tolist())])
+        measured = np.unique(np.linspace(0, len(items) - 1, min(len(items), MEASURED_ITEMS)).astype(np.int64)).tolist()
+        turns = range(-(-MEASURED_ITEMS // len(measured)))
+        rng = np.random.default_rng(1000 + self.number)
+        kinds = [[(k, edit(rng, items[k][1])) for _ in turns for k in measured]
+                 for edit in (_edited_anywhere, _edited_at_one_place)]
+        found = [np.zeros(len(copies), bool) for copies in kinds]
+        while len(self.walks) < MAX_WALKS and not (self.walks and min(f.mean() for f in found) >= TARGET_RECALL):
             self._add_walk()
-            mine, theirs = self._table_keys(len(self.walks) - 1, own), self._table_keys(len(self.walks) - 1, copies)
-            found |= (mine[:, whose] == theirs).any(0)
+            mine = self._table_keys(len(self.walks) - 1, own)
+            for copies, hit in zip(kinds, found):
+                self._find_copies(mine, copies, hit)
             self.keys.append([])
             for k in mine:
                 order = np.argsort(k, kind="stable")
                 self.keys[-1].append((k[order], order))
-        self.recall = float(found.mean())
+        self.recall = float(min(f.mean() for f in found))
 
     def padded(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros((len(texts), self.width), np.uint8)
@@ -112,23 +176,30 @@ class SizeClass:
             out[k, :min(len(t), self.width)] = np.frombuffer(t[:self.width], np.uint8)
         return out
 
-    def _edited_copies(self) -> np.ndarray:
-        rng = np.random.default_rng(1000 + self.number)
-        copies = []
-        for turn in range(max(1, MEASURED_ITEMS // len(self.items))):
-            for _, text in self.items[:MEASURED_ITEMS] if turn == 0 else self.items:
-                new = bytearray(text)
-                for _ in range(limit_of(len(text))):
-                    at, kind = int(rng.integers(len(new))), int(rng.integers(3))
-                    letter = int(rng.integers(97, 123))
-                    if kind == 0:
-                        new[at] = letter
-                    elif kind == 1:
-                        new.insert(at, letter)
-                    else:
-                        del new[at]
-                copies.append(bytes(new))
-        return self.padded(copies)
+    def _find_copies(self, mine: np.ndarray, copies: list[tuple[int, bytes]], hit: np.ndarray) -> None:
+        """Mark the copies (item, text) that the newest walk finds from the keys ``mine`` of the entries."""
+        texts, entry, whose = [], [], []
+
+        def look() -> None:
+            if texts:
+                theirs = self._table_keys(len(self.walks) - 1, self.padded(texts))
+                hit[np.array(whose)[(mine[:, entry] == theirs).any(0)]] = True
+                for held in (texts, entry, whose):
+                    held.clear()
+
+        for n in np.flatnonzero(~hit).tolist():
+            k, text = copies[n]
+            begins = word_starts(text)
+            for e in np.flatnonzero(self.item == k).tolist():
+                place = int(self.place[e])
+                limit = limit_of(len(self.items[k][1])) if place else 0
+                for start in begins[(begins >= place - limit) & (begins <= place + limit)].tolist():
+                    texts.append(text[start:start + self.width])
+                    entry.append(e)
+                    whose.append(n)
+            if len(texts) * self.width > 1 << 22:
+                look()
+        look()
 
     def _add_walk(self) -> None:
         rng = np.random.default_rng([len(self.walks), self.number, 99])
@@ -149,17 +220,17 @@ class SizeClass:
         return np.array([sum(seen[int(s)] << (8 * k) for k, s in enumerate(table)) for table in sampled])
 
     def candidates(self, windows: np.ndarray) -> np.ndarray:
-        """(window, item, tables that agree) of windows (windows, width), sorted."""
+        """(window, entry, tables that agree) of windows (windows, width), sorted."""
         pairs = []
         for walk, tables in enumerate(self.keys):
-            for keys, (known, item) in zip(self._table_keys(walk, windows), tables):
+            for keys, (known, entry) in zip(self._table_keys(walk, windows), tables):
                 low, high = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
                 count = high - low
                 window = np.repeat(np.arange(len(keys)), count)
                 turn = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-                pairs.append(window * len(self.items) + item[np.repeat(low, count) + turn])
+                pairs.append(window * len(self.item) + entry[np.repeat(low, count) + turn])
         pair, times = np.unique(np.concatenate(pairs), return_counts=True)
-        return np.stack([pair // len(self.items), pair % len(self.items), times], 1)
+        return np.stack([pair // len(self.item), pair % len(self.item), times], 1)
 
 
 class Index:
@@ -197,7 +268,8 @@ class Index:
         starts[1:] = data[:-1] == 0x20
         starts[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(starts & (data != 0x20))
-        ends = offsets[bt.row_of(offsets, starts) + 1]
+        row = bt.row_of(offsets, starts)
+        ends = offsets[row + 1]
         padded = None
         found = []
         for size in self.classes:
@@ -205,7 +277,8 @@ class Index:
             inside = np.zeros(len(own) + 1, np.int32)
             np.cumsum(own, out=inside[1:])
             last = np.minimum(ends, starts + size.width) - GRAM + 1
-            enough = inside[np.clip(last, 0, len(own))] - inside[np.minimum(starts, len(own))]
+            first = np.maximum(offsets[row], starts - size.reach)
+            enough = inside[np.clip(last, 0, len(own))] - inside[np.minimum(first, len(own))]
             kept = np.flatnonzero(enough >= max(1, size.least))
             if not len(kept):
                 continue
@@ -215,28 +288,46 @@ class Index:
                 some = kept[low:low + 4096]
                 windows = padded[starts[some][:, None] + np.arange(size.width)]
                 windows[starts[some][:, None] + np.arange(size.width) >= ends[some][:, None]] = 0
-                for w, item, times in size.candidates(windows).tolist():
-                    found.append((size, item, int(starts[some[w]]), int(ends[some[w]]), times))
+                agreed: dict[tuple[int, int], int] = {}
+                for w, entry, times in size.candidates(windows).tolist():
+                    item, place = int(size.item[entry]), int(size.place[entry])
+                    begin, limit = int(starts[some[w]]) - place, limit_of(len(size.items[item][1])) if place else 0
+                    # where the item would begin: a word of the same text
+                    a = np.searchsorted(starts, max(begin - limit, int(offsets[row[some[w]]])), "left")
+                    for k in range(int(a), int(np.searchsorted(starts, begin + limit, "right"))):
+                        agreed[item, k] = agreed.get((item, k), 0) + times
+                found += [(size, item, int(starts[k]), int(ends[k]), times) for (item, k), times in agreed.items()]
         return self._verified(data, offsets, found)
 
     @staticmethod
     def _verified(data: np.ndarray, offsets: np.ndarray, found: list) -> list[tuple[int, str, int, int, int]]:
-        hits, taken = [], {}
+        hits, taken, edited = [], {}, {}
+
+        def covered(spans: list[tuple[int, int]], start: int, length: int) -> bool:
+            return any(min(b, start + length) - max(a, start) > limit_of(length) for a, b in spans)
+
         for size, item, start, end, _ in sorted(found, key=lambda f: (-f[4], f[2], f[1])):
             names, text = size.items[item]
             row = int(bt.row_of(offsets, np.array([start]))[0])
             spans = taken.setdefault((row, text), [])
-            limit = limit_of(len(text))
-            if any(min(b, start + len(text)) - max(a, start) > limit for a, b in spans):
-                continue  # that span of this item again
-            window = data[start:min(end, start + len(text) + limit)].tobytes()
-            if window.startswith(text):
-                edits, length = 0, len(text)
-            else:
+            if data[start:min(end, start + len(text))].tobytes() != text:
+                edited.setdefault((row, text), {})[start] = names, end
+            elif not covered(spans, start, len(text)):
+                spans.append((start, start + len(text)))
+                hits += [(row, name, start, start + len(text), 0) for name in names]
+        for (row, text), begins in edited.items():
+            spans, limit, near = taken[row, text], limit_of(len(text)), []
+            for start, (names, end) in begins.items():
+                if covered(spans, start, len(text)):
+                    continue  # that span of this item again
+                window = data[start:min(end, start + len(text) + limit)].tobytes()
                 edits, length = min(((d, k) for k, d in enumerate(distances(text, window), 1)), default=(limit + 1, 0))
-            if edits <= limit:
-                spans.append((start, start + length))
-                hits += [(row, name, start, start + length, edits) for name in names]
+                if edits <= limit:
+                    near.append((edits, start, length, names))
+            for edits, start, length, names in sorted(near):
+                if not covered(spans, start, len(text)):
+                    spans.append((start, start + length))
+                    hits += [(row, name, start, start + length, edits) for name in names]
         return sorted(hits)
 
 
