@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystone.llm import (
@@ -12,10 +12,13 @@ from quaystone.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    periodic_runs,
     pii,
     quality_classifier,
     quality_rules,
+    spelling_variants,
     suffix_dedup,
+    toxicity,
 )
 
 
@@ -94,6 +97,62 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _crc32(text: Column) -> Column:
+    return F.crc32(text.cast("binary"))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id, text; where crc32(doc_id) ends in 0 the words from place a on repeat with period p."""
+    h = _crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    parts = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    parts = parts.select("*", F.size("words").cast("long").alias("n"))
+    parts = parts.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+    parts = parts.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i).cast("int")))
+    return parts.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = periodic_runs.periodic_runs(looped(_table(spark, sf_dir, "documents")))
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    done = done.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length = -F.col("top.l")
+    return done.select("doc_id", "n_runs", F.col("top.s").alias("start"), length.alias("length"), F.col("top.p").alias("period"),
+                       F.floor(1000 * length / F.col("top.p")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_hits and the distinct terms."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held = lambda c: _crc32(c.cast("string")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held(F.col("doc_id"))))
+    terms = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["term"])))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("hits").cast("long").alias("n_hits"),
+        F.array_join(terms, ",").alias("terms"))
+
+
+def misspelt(docs: DataFrame) -> DataFrame:
+    """(word, n): the words of 7 letters or more that are found twice or more; where 31 divides the crc32 of
+    ``<doc_id>:<word>`` the word has lost a letter."""
+    runs = spelling_variants.words_of(docs, 7, "doc_id")
+    h = _crc32(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("word")))
+    cut = (h % F.char_length("word")).cast("int")
+    less = F.concat(F.substring("word", F.lit(1), cut), F.substring("word", cut + 2, F.char_length("word")))
+    words = runs.select(F.when(h % 31 == 0, less).otherwise(F.col("word")).alias("word")).where(F.char_length("word") >= 7)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = spelling_variants.group_variants(misspelt(_table(spark, sf_dir, "documents")))
+    return done.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def _quality_sql() -> str:
     """The rules in DuckDB: counts, exact binomial tests by the gamma function, choice of cutoffs and verdicts."""
     values = {"symbols": "n_symbols / greatest(n_words, 1)", "duplicate_lines": "n_dup_lines / greatest(n_lines, 1)",
@@ -148,7 +207,80 @@ from counted c left join failing f on f.doc_id = c.doc_id"""
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ngram_join, op3_line_dedup, op4_mixing, op5_quality_rules, op6_quality_classifier,
-    op7_chat_format, op8_decontaminate, op9_pii, op10_suffix_dedup)}
+    op7_chat_format, op8_decontaminate, op9_pii, op10_suffix_dedup, op11_periodic_runs, op12_toxicity,
+    op13_spelling_variants)}
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of a text in DuckDB: its bytes, eight shifts a byte."""
+    digit = lambda at: f"(instr('0123456789ABCDEF', substr(hex(encode({text})), {at}, 1)) - 1)"
+    byte = f"({digit('2 * i + 1')} * 16 + {digit('2 * i + 2')})::bigint"
+    shifts = f"flatten(list_transform(range(strlen({text})), lambda i: [{byte}, 0, 0, 0, 0, 0, 0, 0]))"
+    turn = "xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_concat([4294967295], {shifts}), lambda c, b: {turn}), 4294967295)"
+
+
+_RUNS_SQL = rf"""
+with parts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, {_crc32_sql("doc_id::varchar")} as h
+  from documents),
+placed as (
+  select *, len(w)::bigint as n, h // 10 as g, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a
+  from parts),
+words as (
+  select doc_id, i, w[case when a is null or i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end + 1] as word, n
+  from (select *, unnest(range(n)) as i from placed)),
+equal as (
+  select x.doc_id, x.i, y.i - x.i as q
+  from words x join words y on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+stretches as (
+  select doc_id, q, min(i) as s, max(i) + q + 1 as e
+  from (select *, i - row_number() over (partition by doc_id, q order by i) as k from equal) group by doc_id, q, k),
+runs as (
+  select doc_id, s, e - s as l, min(q) as q from stretches where e - s >= greatest(6, 4 * q) group by doc_id, s, e),
+per_doc as (
+  select doc_id, count(*) as n_runs, string_agg(concat(s, ',', l, ',', q, chr(10)), '' order by s, q) as lines,
+    arg_min({{'s': s, 'l': l, 'q': q}}, [-l, s, q]) as top
+  from runs group by doc_id),
+kept as (
+  select w.doc_id, string_agg(w.word, ' ' order by w.i) as t
+  from words w anti join runs r on r.doc_id = w.doc_id and w.i >= r.s + r.q and w.i < r.s + r.l group by w.doc_id)
+select d.doc_id, coalesce(n_runs, 0)::bigint as n_runs, top.s::bigint as start, top.l::bigint as length, top.q::bigint as period,
+  (1000 * top.l // top.q)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+  sha256(coalesce(k.t, '')) as collapsed_sha256
+from documents d left join per_doc using (doc_id) left join kept k using (doc_id)"""
+
+_VARIANTS_SQL = rf"""
+with recursive found as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as r from documents),
+hashed as (
+  select r, m, {_crc32_sql("concat(doc_id, ':', r)")} as h
+  from (select doc_id, r, count(*) as m from found where length(r) >= 7 group by all)),
+words as (
+  select case when h % 31 = 0 then concat(substr(r, 1, h % length(r)), substr(r, h % length(r) + 2)) else r end as word,
+    sum(m)::bigint as n from hashed group by 1 having sum(m) >= 2 and length(word) >= 7),
+without as (
+  select word, n, i, concat(substr(word, 1, i), substr(word, i + 2)) as less
+  from (select *, unnest(range(length(word))) as i from words)),
+pairs as (
+  select a.word, b.word as other, b.n from without a join without b on a.less = b.less and a.i = b.i and a.word <> b.word
+  union
+  select a.word, b.word, b.n from without a join words b on a.less = b.word
+  union
+  select b.word, a.word, a.n from without a join words b on a.less = b.word),
+near as (
+  select word, count(*) as n_near, arg_min({{'w': other, 'n': n}}, {{'n': -n, 'w': encode(other)}}) as best from pairs group by word),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when best.n >= 10 * w.n then best.w end as form,
+    case when best.n >= 10 * w.n then best.n end as form_n
+  from words w left join near using (word)),
+chain as (
+  select word, word as root, form from forms
+  union all
+  select c.word, f.word, f.form from chain c join forms f on f.word = c.form)
+select f.word, f.form, c.root, f.n::bigint as n, f.n_near::bigint as n_near, f.form_n::bigint as form_n
+from forms f join chain c on c.word = f.word and c.form is null"""
 
 SQL = {
     "op7_chat_format": r"""
@@ -192,4 +324,6 @@ select w.doc_id, cast(coalesce(z.n, 0) as bigint) as n_shingles, r.component_id
 from words w left join sizes z using (doc_id)
 join (select start, min(stop) as component_id from reach group by start) r on r.start = w.doc_id""",
     "op5_quality_rules": _quality_sql(),
+    "op11_periodic_runs": _RUNS_SQL,
+    "op13_spelling_variants": _VARIANTS_SQL,
 }
