@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystone.functions.dates import ntz_literal
+from quaystone.functions.text import text_or_empty
 from quaystone.operators.contracts import dedup_keep_last
 
 
@@ -45,40 +46,74 @@ def empty_history(batch: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("effective_to"), F.lit(False).alias("is_current"))
 
 
+def scd2_apply_batches(opened: DataFrame, batches: DataFrame, key: str, batch_no: str, batch_id: str, batch_time: str,
+                       hash_col: str = "row_hash", closed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Apply any number of batches to the open versions of an SCD2 history in one pass.
+
+    Stored and new rows meet in one window per key, in order of time and batch number, so the plan doesn't grow with the
+    number of batches. A row opens a version where its hash differs from that of the row before it; the version number
+    goes on from the stored one, and a version ends where the next begins. Closed versions aren't read: ``closed``
+    (key, version_no, effective_from) is only needed for keys that may have closed versions and no open one.
+
+    Replay guard, by key: a row whose time isn't later than the key's stored versions has been applied before and changes
+    nothing; of rows of one key and one time the smallest batch number counts.
+    Returns (the open versions and those that follow them, with effective_to and is_current; outcomes(key, ``batch_no``,
+    outcome, replayed) with inserted / changed / unchanged / skipped)."""
+    entity = [c for c in opened.columns if c not in HISTORY_META]
+    meta = lambda version, batch, since, number, kind: [
+        version.cast("int").alias("version_no"), batch.cast("string").alias("sync_batch_id"),
+        since.cast("timestamp_ntz").alias("effective_from"), number.alias("__no"), F.lit(kind).alias("__kind")]
+    no_number = F.lit(None).cast(batches.schema[batch_no].dataType)
+    both = opened.select(*entity, *meta(F.col("version_no"), F.col("sync_batch_id"), F.col("effective_from"), no_number, 0))
+    both = both.unionByName(batches.select(
+        *entity, *meta(F.lit(None), F.col(batch_id), F.col(batch_time), F.col(batch_no), 1)))
+    if closed is not None:
+        both = both.unionByName(closed.select(
+            key, *meta(F.col("version_no"), F.lit(None), F.col("effective_from"), no_number, -1)), allowMissingColumns=True)
+    in_time = Window.partitionBy(key).orderBy("effective_from", "__kind", "__no", hash_col)
+    whole = in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    new, stored = F.col("__kind") == 1, F.col("__kind") <= 0
+    same_time = new & (F.lag("__kind").over(in_time) == 1) & (F.lag("effective_from").over(in_time) == F.col("effective_from"))
+    seen = both.select(
+        "*", F.max(F.when(stored, F.col("version_no"))).over(whole).alias("__last"),
+        F.max(F.when(stored, F.col("effective_from"))).over(whole).alias("__since"),
+        F.max(F.when(F.col("__kind") == 0, F.col(hash_col))).over(whole).alias("__open_hash"),
+        F.coalesce(same_time, F.lit(False)).alias("__again"))
+    replayed = new & (F.col("__again") | F.coalesce(F.col("effective_from") <= F.col("__since"), F.lit(False)))
+    seen = seen.withColumn("replayed", replayed)
+    live = F.when((F.col("__kind") >= 0) & ~F.col("replayed"), F.col(hash_col))
+    before = F.last(live, ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, -1))
+    seen = seen.withColumn("__before", before)
+    outcome = (F.when(F.col("replayed"), F.when(F.col(hash_col) == F.col("__open_hash"), "unchanged").otherwise("skipped"))
+               .when(F.col("__before").isNull(), "inserted").when(F.col("__before") == F.col(hash_col), "unchanged")
+               .otherwise("changed"))
+    seen = seen.withColumn("outcome", F.when(new, outcome))
+    opens = F.coalesce(F.col("outcome").isin("inserted", "changed"), F.lit(False))
+    number = F.coalesce("__last", F.lit(0)) + F.count_if(opens).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    seen = seen.withColumn("version_no", F.when(new, number).otherwise(F.col("version_no")).cast("int"))
+    until = F.lead("effective_from").over(in_time)
+    values = {"effective_to": until, "is_current": until.isNull()}
+    versions = seen.where((F.col("__kind") == 0) | opens).select(
+        *[values[c].alias(c) if c in values else F.col(c) for c in opened.columns])
+    return versions, seen.where(new).select(key, F.col("__no").alias(batch_no), "outcome", "replayed")
+
+
 def scd2_apply(history: DataFrame, batch: DataFrame, key: str, batch_id: str, batch_time,
-               hash_col: str = "row_hash") -> tuple[DataFrame, DataFrame]:
+               hash_col: str = "row_hash", guard: bool = False) -> tuple[DataFrame, DataFrame]:
     """Apply one batch (one row per key) to an SCD2 history (M3).
 
     Equal hash -> nothing changes; different hash -> the open version is closed at
     ``batch_time`` and version max+1 opens; unknown key, or one without an open version -> inserted.
-    ``batch_time`` is passed in (never the wall clock), so replaying a batch is idempotent.
-    History and batch are read once and meet in one window per key, which holds that key's versions.
-    Returns (new history, outcomes(key, outcome) with inserted/changed/unchanged)."""
-    bt = ntz_literal(batch_time)
-    fresh = batch.select(
-        *batch.columns, F.lit(0).alias("version_no"), F.lit(batch_id).alias("sync_batch_id"), bt.alias("effective_from"),
-        F.lit(None).cast("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
-    both = history.withColumn("__new", F.lit(False)).unionByName(
-        fresh.select(*history.columns).withColumn("__new", F.lit(True)))
-    new, open_ = F.col("__new"), ~F.col("__new") & F.col("is_current")
-    version = F.col("version_no")
-    per_key = Window.partitionBy(key)
-    seen = both.select(
-        "*", F.max(F.when(~new, version)).over(per_key).alias("__last"),
-        F.max(F.when(open_, version)).over(per_key).alias("__open"),
-        F.max_by(F.col(hash_col), F.when(open_, version)).over(per_key).alias("__old_hash"),
-        F.max(F.when(new, F.col(hash_col))).over(per_key).alias("__new_hash"),
-        F.max(new).over(per_key).alias("__arrived"))
-    seen = seen.withColumn("__outcome", F.when(
-        F.col("__arrived"), F.when(F.col("__open").isNull(), "inserted")
-        .when(F.col("__old_hash") == F.col("__new_hash"), "unchanged").otherwise("changed")))
-    closes = open_ & F.coalesce(F.col("__outcome") == "changed", F.lit(False))
-    value = {"version_no": F.when(new, F.coalesce("__last", F.lit(0)) + 1).otherwise(version).cast("int"),
-             "effective_to": F.when(closes, bt).otherwise(F.col("effective_to")),
-             "is_current": F.col("is_current") & ~closes}
-    new_history = seen.where(~new | (F.col("__outcome") != "unchanged")).select(
-        *[value[c].alias(c) if c in value else F.col(c) for c in history.columns])
-    return new_history, seen.where(new).select(key, F.col("__outcome").alias("outcome"))
+    ``batch_time`` is passed in (never the wall clock), so replaying a batch is idempotent. Rows of keys that have a
+    version of that time or a later one change nothing; with ``guard`` all of them are skipped, else those of another hash.
+    Of closed versions only key, number and time are shuffled.
+    Returns (new history, outcomes(key, outcome) with inserted/changed/unchanged/skipped)."""
+    rows = batch.select("*", F.lit(1).alias("__batch"), F.lit(batch_id).alias("__id"), ntz_literal(batch_time).alias("__time"))
+    closed = history.where(~F.col("is_current"))
+    versions, done = scd2_apply_batches(history.where("is_current"), rows, key, "__batch", "__id", "__time", hash_col,
+                                        closed.select(key, "version_no", "effective_from"))
+    outcome = F.when(F.col("replayed"), "skipped").otherwise(F.col("outcome")) if guard else F.col("outcome")
+    return closed.unionByName(versions), done.select(key, outcome.alias("outcome"))
 
 
 def relation_rows(new_versions: DataFrame, key: str, link_cols: Sequence[str]) -> DataFrame:
@@ -109,34 +144,32 @@ def snapshot_upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str],
                     value_cols: Sequence[str]) -> DataFrame:
     """Upsert ``changes`` into ``current`` on ``keys`` (M1); last change per key wins.
 
-    A key with a NULL part never collides (unique keys ignore NULL), so such change rows
-    are always inserted. Returns the new table with ``outcome`` in
-    inserted / updated / unchanged / kept."""
+    Keys are compared trimmed, here as in W1. A key with a NULL or blank part never collides (unique keys ignore
+    it), so such change rows are always inserted and such stored rows kept. An updated row keeps its stored key columns.
+    Returns the new table with ``outcome`` in inserted / updated / unchanged / kept."""
     cols = current.columns
     ch = dedup_keep_last(changes.select(*cols, order) if isinstance(order, str) else changes, keys, order) \
         .select(*cols)
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    ch_keyed, ch_loose = ch.where(complete), ch.where(~complete)
-    c = current.select(*[F.col(x).alias(f"__c_{x}") for x in cols])
-    cond = None
-    for k in keys:
-        e = ch_keyed[k] == c[f"__c_{k}"]
-        cond = e if cond is None else cond & e
-    j = ch_keyed.join(c, cond, "full_outer")
-    matched_new = F.col(keys[0]).isNotNull()
-    matched_old = F.col(f"__c_{keys[0]}").isNotNull()
+    part = {k: F.nullif(text_or_empty(k), F.lit("")) for k in keys}
+    whole = [part[k].isNotNull() for k in keys]
+    complete = whole[0]
+    for w in whole[1:]:
+        complete = complete & w
+    on = [f"__k{i}" for i in range(len(keys))]
+    keyed = lambda df: df.where(complete).select(
+        *[part[k].alias(n) for n, k in zip(on, keys)], F.struct(*cols).alias("__r"))
+    j = keyed(ch).withColumnRenamed("__r", "__n").join(keyed(current).withColumnRenamed("__r", "__c"), on, "full_outer")
+    new, old = F.col("__n").isNotNull(), F.col("__c").isNotNull()
     same = F.lit(True)
     for v in value_cols:
-        same = same & F.col(v).eqNullSafe(F.col(f"__c_{v}"))
-    outcome = (F.when(matched_new & ~matched_old, "inserted")
-               .when(matched_new & matched_old & same, "unchanged")
-               .when(matched_new & matched_old, "updated")
-               .otherwise("kept"))
-    merged = j.select(*[F.when(matched_new, F.col(x)).otherwise(F.col(f"__c_{x}")).alias(x) for x in cols],
-                      outcome.alias("outcome"))
-    return merged.unionByName(ch_loose.withColumn("outcome", F.lit("inserted")))
+        same = same & F.col(f"__n.{v}").eqNullSafe(F.col(f"__c.{v}"))
+    outcome = F.when(new & ~old, "inserted").when(~new, "kept").when(same, "unchanged").otherwise("updated")
+    stored = set(keys)
+    value = lambda c: F.when(old, F.col(f"__c.{c}")).otherwise(F.col(f"__n.{c}")) if c in stored \
+        else F.when(new, F.col(f"__n.{c}")).otherwise(F.col(f"__c.{c}"))
+    merged = j.select(*[value(c).alias(c) for c in cols], outcome.alias("outcome"))
+    loose = ch.where(~complete).withColumn("outcome", F.lit("inserted"))
+    return merged.unionByName(loose).unionByName(current.where(~complete).withColumn("outcome", F.lit("kept")))
 
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:

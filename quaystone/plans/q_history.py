@@ -6,11 +6,12 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from quaystone.functions.dates import ntz_literal
 from quaystone.operators import history as H
 from quaystone.operators import views as V
 from quaystone.operators.contracts import dedup_keep_last
+from quaystone.plans.jobs import service_views
 from quaystone.plans.tables import table
-from quaystone.session import checkpoint_dir
 
 HASH_FIELDS = ["customer_id", "customer_name", "customer_type", "province"]
 BATCH_TIMES = {1: _dt.datetime(1996, 12, 31), 2: _dt.datetime(1998, 12, 31), 3: _dt.datetime(2001, 12, 31)}
@@ -29,12 +30,13 @@ def q_row_hash(spark, sf_dir):
     return rows.select("customer_id", H.row_hash(HASH_FIELDS).alias("row_hash"))
 
 
-def customer_batches(spark, sf_dir):
-    """Three batches of customer rows: customers with orders in 1995-96, 1997-98, 1999+;
+def customer_batches(spark, sf_dir, batch_of=None):
+    """Batches of customer rows, by default three: customers with orders in 1995-96, 1997-98, 1999+;
     customer_type = the highest order priority text within the batch window."""
     o = table(spark, sf_dir, "orders")
     y = F.year("o_orderdate")
-    per = (o.groupBy("o_custkey", F.when(y <= 1996, 1).when(y <= 1998, 2).otherwise(3).alias("batch_no"))
+    no = F.when(y <= 1996, 1).when(y <= 1998, 2).otherwise(3) if batch_of is None else batch_of
+    per = (o.groupBy("o_custkey", no.alias("batch_no"))
            .agg(F.max("o_orderpriority").alias("customer_type")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -45,20 +47,18 @@ def customer_batches(spark, sf_dir):
     return rows.withColumn("row_hash", H.row_hash(HASH_FIELDS))
 
 
+def named_batches(batches, times):
+    """Batches with their id and time; ``times``: batch number -> time."""
+    at = F.create_map(*[x for no, t in times.items() for x in (F.lit(no), ntz_literal(t))])
+    return batches.select("*", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
+                          at[F.col("batch_no")].alias("batch_time"))
+
+
 def scd2_history(spark, sf_dir):
-    """Apply the three batches in order. Like the production feed, each applied state is cut
-    from its lineage with a reliable checkpoint (shared folder), so batch k's plan starts from
-    the stored history instead of replaying batches 1..k-1."""
-    checkpoint_dir(spark)
-    batches = customer_batches(spark, sf_dir).checkpoint()
-    cols = ["customer_id", "customer_name", "customer_type", "province", "company_id", "row_hash"]
-    hist = H.empty_history(batches.select(*cols))
-    for i, (no, when) in enumerate(BATCH_TIMES.items()):
-        b = batches.where(F.col("batch_no") == no).select(*cols)
-        hist, _ = H.scd2_apply(hist, b, "customer_id", f"B{no}", when)
-        if i < len(BATCH_TIMES) - 1:
-            hist = hist.checkpoint()
-    return hist
+    """The three batches applied to an empty history in one pass."""
+    rows = named_batches(customer_batches(spark, sf_dir), BATCH_TIMES)
+    empty = H.empty_history(rows.drop("batch_no", "sync_batch_id", "batch_time"))
+    return H.scd2_apply_batches(empty, rows, "customer_id", "batch_no", "sync_batch_id", "batch_time")[0]
 
 
 def q_scd2_history(spark, sf_dir):
@@ -99,6 +99,35 @@ def q_contact_overview(spark, sf_dir):
                               ["customer_name", "effective_from", "effective_to"], with_resolution=False)
 
 
+def _service_views(spark, sf_dir):
+    """Customers and contacts both come from the history of the customers."""
+    h = scd2_history(spark, sf_dir)
+    customers = h.withColumn("city", F.concat(F.col("province"), F.lit("市")))
+    contacts = h.select(
+        F.col("customer_id").alias("contact_id"), F.col("customer_name").alias("contact_name"), F.col("company_id").alias("customer_id"),
+        F.col("province").alias("customer_name"), F.col("customer_type").alias("department_name"),
+        F.lit(None).cast("string").alias("position_name"), "version_no", "effective_from", "effective_to")
+    tickets = order_tickets(spark, sf_dir).withColumn("cust_user_id", F.when(F.col("ticket_id") % 3 != 0, F.col("company_id"))) \
+        .withColumn("company_id", F.when(F.col("ticket_id") % 2 != 0, F.col("company_id")))
+    c = table(spark, sf_dir, "customer")
+    people = c.select(F.nullif(F.col("c_nationkey").cast("string"), F.lit("0")).alias("customer_id"),
+                      F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("phone"),
+                      F.when(F.col("c_acctbal") > 0, F.col("c_name")).otherwise(F.lit("")).alias("email"))
+    return service_views(customers, contacts, tickets, c, people)
+
+
+def q_service_view_customers(spark, sf_dir):
+    return _service_views(spark, sf_dir)["customer_overview"]
+
+
+def q_service_view_contacts(spark, sf_dir):
+    return _service_views(spark, sf_dir)["contact_overview"]
+
+
+def q_service_view_quality(spark, sf_dir):
+    return _service_views(spark, sf_dir)["quality"]
+
+
 def q_quality_counts(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     contacts = c.select(F.nullif(F.col("c_nationkey").cast("string"), F.lit("0")).alias("customer_id"),
@@ -119,12 +148,27 @@ def q_name_join(spark, sf_dir):
     return V.name_join_fanout(cn, sn, "c_nation", "s_nation")
 
 
+def q_name_join_rows(spark, sf_dir):
+    """The joined rows; names with more than 500 pairs are salted."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    s = table(spark, sf_dir, "supplier")
+    c = table(spark, sf_dir, "customer")
+    sn = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_name").alias("s_nation"))
+    cn = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_name").alias("c_nation"))
+    return V.name_join(cn, sn, "c_nation", "s_nation", rows_per_task=500)
+
+
 def _upsert_frames(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     item = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), F.lit(None).cast("string")) \
         .otherwise(F.col("l_partkey").cast("string"))
+    # some suppliers are blank, some stored keys and some change keys carry blanks around them
+    padded = F.when(F.year("l_shipdate") == 1996, F.concat(F.lit(" "), F.col("l_suppkey").cast("string"))).otherwise(
+        F.concat(F.col("l_suppkey").cast("string"), F.lit("  ")))
+    supplier = F.when(F.col("l_suppkey") % 7 == 0, F.lit(" ")).when(F.col("l_suppkey") % 7 < 3, padded).otherwise(
+        F.col("l_suppkey").cast("string"))
     base = li.select(F.col("l_orderkey").cast("string").alias("contract_id"), item.alias("item_code"),
-                     F.col("l_suppkey").cast("string").alias("exec_detail_id"), F.lit("19961231").alias("create_date"),
+                     supplier.alias("exec_detail_id"), F.lit("19961231").alias("create_date"),
                      "l_shipdate", "l_linenumber", "l_returnflag", "l_extendedprice", "l_tax")
     order = F.struct("l_shipdate", "l_linenumber", "l_extendedprice")
     keys = ["contract_id", "item_code", "exec_detail_id", "create_date"]
@@ -188,12 +232,7 @@ def q_ticket_upsert(spark, sf_dir):
 
 def q_scd2_closed_form(spark, sf_dir):
     """All batches at once (W7 intervals by lead); must equal the incremental history."""
-    b = customer_batches(spark, sf_dir)
-    times = F.create_map(*[x for no, t in BATCH_TIMES.items()
-                           for x in (F.lit(no), F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz"))])
-    rows = b.select("batch_no", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
-                    times[F.col("batch_no")].alias("batch_time"),
-                    "customer_id", "customer_name", "customer_type", "province", "row_hash")
+    rows = named_batches(customer_batches(spark, sf_dir), BATCH_TIMES).drop("company_id")
     return H.scd2_from_batches(rows, "customer_id", "batch_no", "sync_batch_id", "batch_time")
 
 
@@ -206,7 +245,11 @@ QUERIES = {
     "service_overview": q_service_overview,
     "contact_overview": q_contact_overview,
     "quality_counts": q_quality_counts,
+    "service_view_customers": q_service_view_customers,
+    "service_view_contacts": q_service_view_contacts,
+    "service_view_quality": q_service_view_quality,
     "name_join": q_name_join,
+    "name_join_rows": q_name_join_rows,
     "snapshot_upsert": q_snapshot_upsert,
     "run_report": q_run_report,
     "incremental_filter": q_incremental_filter,
@@ -224,9 +267,15 @@ cust AS (
 _HASH = ("sha256(to_json({'customer_id': customer_id, 'customer_name': customer_name, "
          "'customer_type': customer_type, 'province': province}))")
 
-_HIST = f"""
+_THREE = "CASE WHEN year(o_orderdate) <= 1996 THEN 1 WHEN year(o_orderdate) <= 1998 THEN 2 ELSE 3 END"
+_THREE_TIMES = "CASE batch_no WHEN 1 THEN TIMESTAMP '1996-12-31' WHEN 2 THEN TIMESTAMP '1998-12-31' ELSE TIMESTAMP '2001-12-31' END"
+
+
+def history_sql(batch_no=_THREE, batch_time=_THREE_TIMES):
+    """CTEs up to ``hist``, the history of the customer batches."""
+    return f"""
 per AS (
-  SELECT o_custkey, CASE WHEN year(o_orderdate) <= 1996 THEN 1 WHEN year(o_orderdate) <= 1998 THEN 2 ELSE 3 END AS batch_no,
+  SELECT o_custkey, {batch_no} AS batch_no,
          max(o_orderpriority) AS customer_type
   FROM orders GROUP BY ALL),
 b0 AS (
@@ -234,7 +283,7 @@ b0 AS (
          n_name AS province, CAST(c_nationkey AS VARCHAR) AS company_id
   FROM per JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
 b AS (SELECT *, {_HASH} AS row_hash,
-        CASE batch_no WHEN 1 THEN TIMESTAMP '1996-12-31' WHEN 2 THEN TIMESTAMP '1998-12-31' ELSE TIMESTAMP '2001-12-31' END AS bt
+        {batch_time} AS bt
       FROM b0),
 c AS (SELECT *, lag(row_hash) OVER (PARTITION BY customer_id ORDER BY batch_no) AS prev FROM b),
 v AS (SELECT * FROM c WHERE prev IS NULL OR prev <> row_hash),
@@ -246,6 +295,9 @@ hist AS (
     lead(bt) OVER (PARTITION BY customer_id ORDER BY batch_no) IS NULL AS is_current
   FROM v)"""
 
+
+_HIST = history_sql()
+
 _TICKETS = """
 tk AS (
   SELECT o_orderkey AS ticket_id, CAST(o_custkey AS VARCHAR) AS company_id, o_orderdate AS create_dt,
@@ -259,7 +311,8 @@ _UPSERT = """
 base AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS contract_id,
     CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS item_code,
-    CAST(l_suppkey AS VARCHAR) AS exec_detail_id, '19961231' AS create_date,
+    CASE WHEN l_suppkey % 7 = 0 THEN ' ' WHEN l_suppkey % 7 >= 3 THEN CAST(l_suppkey AS VARCHAR)
+      WHEN year(l_shipdate) = 1996 THEN ' ' || CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) || '  ' END AS exec_detail_id, '19961231' AS create_date,
     l_shipdate, l_linenumber, l_returnflag, l_extendedprice, l_tax
   FROM lineitem),
 curr0 AS (
@@ -269,8 +322,8 @@ curr0 AS (
       COALESCE(trim(exec_detail_id), ''), COALESCE(trim(create_date), '')
       ORDER BY l_shipdate DESC, l_linenumber DESC, l_extendedprice DESC) AS rn
   FROM base WHERE year(l_shipdate) = 1996),
-curr AS (SELECT contract_id, item_code, exec_detail_id, create_date, CAST(l_extendedprice AS DECIMAL(18,2)) AS product_amount
-         FROM curr0 WHERE rn = 1 OR NOT complete),
+curr AS (SELECT contract_id, item_code, exec_detail_id, create_date, CAST(l_extendedprice AS DECIMAL(18,2)) AS product_amount,
+           complete FROM curr0 WHERE rn = 1 OR NOT complete),
 ch0 AS (
   SELECT contract_id, item_code, exec_detail_id, create_date,
     CAST(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(4,2)))
@@ -281,23 +334,21 @@ ch0 AS (
       COALESCE(trim(exec_detail_id), ''), COALESCE(trim(create_date), '')
       ORDER BY l_shipdate DESC, l_linenumber DESC, l_extendedprice DESC) AS rn
   FROM base WHERE l_shipdate >= TIMESTAMP '1996-07-01' AND l_shipdate < TIMESTAMP '1997-07-01'),
-ch AS (SELECT contract_id, item_code, exec_detail_id, create_date, product_amount FROM ch0 WHERE rn = 1 OR NOT complete),
-chk AS (SELECT * FROM ch WHERE contract_id IS NOT NULL AND item_code IS NOT NULL AND exec_detail_id IS NOT NULL AND create_date IS NOT NULL),
-chl AS (SELECT * FROM ch WHERE NOT (contract_id IS NOT NULL AND item_code IS NOT NULL AND exec_detail_id IS NOT NULL AND create_date IS NOT NULL)),
+ch AS (SELECT contract_id, item_code, exec_detail_id, create_date, product_amount, complete FROM ch0 WHERE rn = 1 OR NOT complete),
 up AS (
-  SELECT
-    CASE WHEN n.contract_id IS NOT NULL THEN n.contract_id ELSE o.contract_id END AS contract_id,
-    CASE WHEN n.contract_id IS NOT NULL THEN n.item_code ELSE o.item_code END AS item_code,
-    CASE WHEN n.contract_id IS NOT NULL THEN n.exec_detail_id ELSE o.exec_detail_id END AS exec_detail_id,
-    CASE WHEN n.contract_id IS NOT NULL THEN n.create_date ELSE o.create_date END AS create_date,
+  SELECT coalesce(o.contract_id, n.contract_id) AS contract_id, coalesce(o.item_code, n.item_code) AS item_code,
+    coalesce(o.exec_detail_id, n.exec_detail_id) AS exec_detail_id, coalesce(o.create_date, n.create_date) AS create_date,
     CASE WHEN n.contract_id IS NOT NULL THEN n.product_amount ELSE o.product_amount END AS product_amount,
     CASE WHEN n.contract_id IS NOT NULL AND o.contract_id IS NULL THEN 'inserted'
          WHEN n.contract_id IS NOT NULL AND n.product_amount IS NOT DISTINCT FROM o.product_amount THEN 'unchanged'
          WHEN n.contract_id IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome
-  FROM chk n FULL OUTER JOIN curr o ON n.contract_id = o.contract_id AND n.item_code = o.item_code
-    AND n.exec_detail_id = o.exec_detail_id AND n.create_date = o.create_date
+  FROM (SELECT * FROM ch WHERE complete) n FULL OUTER JOIN (SELECT * FROM curr WHERE complete) o
+    ON n.contract_id = o.contract_id AND n.item_code = o.item_code
+    AND trim(n.exec_detail_id) = trim(o.exec_detail_id) AND n.create_date = o.create_date
   UNION ALL
-  SELECT contract_id, item_code, exec_detail_id, create_date, product_amount, 'inserted' FROM chl)"""
+  SELECT contract_id, item_code, exec_detail_id, create_date, product_amount, 'inserted' FROM ch WHERE NOT complete
+  UNION ALL
+  SELECT contract_id, item_code, exec_detail_id, create_date, product_amount, 'kept' FROM curr WHERE NOT complete)"""
 
 _TFRAMES = """
 stored AS (
@@ -342,6 +393,29 @@ SELECT h.customer_id AS contact_id, h.version_no, h.customer_name, h.effective_f
 FROM hist h LEFT JOIN tk t ON t.company_id = h.customer_id AND t.create_dt >= h.effective_from
   AND (h.effective_to IS NULL OR t.create_dt < h.effective_to)
 GROUP BY ALL""",
+    "service_view_customers": "WITH " + _HIST.strip() + "," + _TICKETS + f"""
+SELECT h.customer_id, h.version_no, h.customer_name, h.customer_type, h.province, h.province || '市' AS city, h.effective_from, h.effective_to,
+  COUNT(t.ticket_id) AS ticket_count,
+  CAST(SUM(CAST(t.ticket_status IN {_RESOLVED} AS BIGINT)) AS BIGINT) AS resolved_ticket_count,
+  AVG(CASE WHEN t.solve_dt IS NOT NULL THEN date_diff('second', t.create_dt, t.solve_dt) END) AS avg_resolution_seconds
+FROM hist h LEFT JOIN tk t ON t.company_id = h.customer_id AND t.ticket_id % 2 <> 0 AND t.create_dt >= h.effective_from
+  AND (h.effective_to IS NULL OR t.create_dt < h.effective_to)
+GROUP BY ALL""",
+    "service_view_contacts": "WITH " + _HIST.strip() + "," + _TICKETS + f"""
+SELECT h.customer_id AS contact_id, h.version_no, h.customer_name AS contact_name, h.company_id AS customer_id,
+  h.province AS customer_name, h.customer_type AS department_name, CAST(NULL AS VARCHAR) AS position_name, h.effective_from, h.effective_to,
+  COUNT(t.ticket_id) AS ticket_count,
+  CAST(SUM(CAST(t.ticket_status IN {_RESOLVED} AS BIGINT)) AS BIGINT) AS resolved_ticket_count
+FROM hist h LEFT JOIN tk t ON t.company_id = h.customer_id AND t.ticket_id % 3 <> 0 AND t.create_dt >= h.effective_from
+  AND (h.effective_to IS NULL OR t.create_dt < h.effective_to)
+GROUP BY ALL""",
+    "service_view_quality": """
+SELECT (SELECT COUNT(*) FROM customer) AS customer_count,
+  (SELECT COUNT(*) FROM customer) AS contact_count,
+  (SELECT COUNT(*) FROM customer WHERE c_nationkey <> 0) AS linked_contact_count,
+  (SELECT COUNT(*) FROM customer WHERE c_mktsegment <> 'BUILDING') AS phone_covered_contact_count,
+  (SELECT COUNT(*) FROM customer WHERE c_acctbal > 0 AND c_name <> '') AS email_covered_contact_count,
+  (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0 OR o_custkey IS NULL) AS unlinked_ticket_count""",
     "quality_counts": """
 SELECT (SELECT COUNT(*) FROM customer) AS customer_count,
   (SELECT COUNT(*) FROM customer) AS contact_count,
@@ -349,6 +423,10 @@ SELECT (SELECT COUNT(*) FROM customer) AS customer_count,
   (SELECT COUNT(*) FROM customer WHERE c_mktsegment <> 'BUILDING') AS phone_covered_contact_count,
   (SELECT COUNT(*) FROM customer WHERE c_acctbal > 0 AND c_name <> '') AS email_covered_contact_count,
   (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'P' OR o_custkey IS NULL) AS unlinked_ticket_count""",
+    "name_join_rows": """
+SELECT c_custkey, c.n_name AS c_nation, s_suppkey, s.n_name AS s_nation
+FROM (customer JOIN nation ON c_nationkey = n_nationkey) c
+JOIN (SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) s ON c.n_name = s.n_name""",
     "name_join": """
 WITH cn AS (SELECT n_name AS name, COUNT(*) AS left_rows FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
 sn AS (SELECT n_name AS name, COUNT(*) AS right_rows FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)

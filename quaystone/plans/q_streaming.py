@@ -6,24 +6,19 @@ folder (``spark.checkpoint.dir``), runs the stream to completion and returns the
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
-from quaystone.functions.dates import month_label, ntz_literal
-from quaystone.plans.q_history import BATCH_TIMES, customer_batches
-from quaystone.plans.tables import table
-from quaystone.session import checkpoint_dir
-from quaystone.streaming.feeds import run_scd2_feed, run_ticket_feed
+from quaystone.functions.dates import month_label
+from quaystone.plans.q_history import BATCH_TIMES, customer_batches, history_sql, named_batches
+from quaystone.plans.tables import scratch_path, table
+from quaystone.streaming.feeds import read_history, run_scd2_feed, run_ticket_feed
 
 TICKET_SCHEMA = "ticket_id bigint, status string, update_dt timestamp_ntz, create_month_label string"
 
 
-def _scratch(spark, name):
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:10]}")
-
-
 def _per_trigger(spark, files: str, schema: str, triggers: int) -> int:
     """Files per trigger so that the feed runs in about so many micro-batches."""
     return max(1, len(spark.read.schema(schema).json(files).inputFiles()) // triggers)
@@ -31,7 +26,7 @@ def _per_trigger(spark, files: str, schema: str, triggers: int) -> int:
 
 def q_stream_ticket_feed(spark, sf_dir):
     """Urgent tickets arrive without a time, every tenth customer's without a month."""
-    root = _scratch(spark, "ticket-feed")
+    root = scratch_path(spark, "ticket-feed")
     src, out = os.path.join(root, "in"), os.path.join(root, "table")
     o = table(spark, sf_dir, "orders")
     base = o.select(F.col("o_orderkey").alias("ticket_id"), F.col("o_orderstatus").alias("status"),
@@ -59,38 +54,60 @@ SELECT o_orderkey AS ticket_id,
 FROM orders"""
 
 
-def q_stream_scd2(spark, sf_dir):
-    """Three source batches, each in several files that fall into different micro-batches."""
-    root = _scratch(spark, "scd2-feed")
-    src, out = os.path.join(root, "in"), os.path.join(root, "table")
-    b = customer_batches(spark, sf_dir)
-    times = F.create_map(*[x for no, t in BATCH_TIMES.items() for x in (F.lit(no), ntz_literal(t))])
-    rows = b.select("batch_no", F.concat(F.lit("B"), F.col("batch_no").cast("string")).alias("sync_batch_id"),
-                    times[F.col("batch_no")].alias("batch_time"),
-                    "customer_id", "customer_name", "customer_type", "province", "company_id", "row_hash")
-    # two groups of customers give each batch two files at least
+_SCD2_SCHEMA = ("batch_no int, sync_batch_id string, batch_time timestamp_ntz, customer_id string, customer_name string, "
+                "customer_type string, province string, company_id string, row_hash string")
+
+
+def _write_batches(rows, numbers, src):
+    """Each batch in several files: two groups of customers at least."""
     half = F.pmod(F.xxhash64("customer_id"), F.lit(2)).alias("half")
-    for no in BATCH_TIMES:
+    for no in numbers:
         rows.where(F.col("batch_no") == no).select("*", half).write.mode("overwrite").partitionBy("half") \
             .json(os.path.join(src, f"batch={no}"))
-    schema = ("batch_no int, sync_batch_id string, batch_time timestamp_ntz, customer_id string, customer_name string, "
-              "customer_type string, province string, company_id string, row_hash string")
+
+
+def q_stream_scd2(spark, sf_dir):
+    """Three source batches, each in several files that fall into different micro-batches."""
+    root = scratch_path(spark, "scd2-feed")
+    src, out = os.path.join(root, "in"), os.path.join(root, "table")
+    _write_batches(named_batches(customer_batches(spark, sf_dir), BATCH_TIMES), BATCH_TIMES, src)
     files = os.path.join(src, "*", "*")
-    run_scd2_feed(spark, files, schema, out, "customer_id", max_files_per_trigger=_per_trigger(spark, files, schema, 6))
-    return spark.read.parquet(out).drop("company_id")
+    run_scd2_feed(spark, files, _SCD2_SCHEMA, out, "customer_id",
+                  max_files_per_trigger=_per_trigger(spark, files, _SCD2_SCHEMA, 6))
+    return read_history(spark, out).drop("company_id")
+
+
+# Half-years of the orders, 1995 to 2001, each a batch at its end.
+HALF_YEARS = {2 * y + h + 1: _dt.datetime(1995 + y, 6 + 6 * h, 30) for y in range(7) for h in range(2)}
+
+
+def q_stream_scd2_many(spark, sf_dir):
+    """Fourteen source batches: twelve in one micro-batch, then the last two together with a replay of the twelfth."""
+    root = scratch_path(spark, "scd2-many")
+    src, out, seen = os.path.join(root, "in"), os.path.join(root, "table"), os.path.join(root, "seen")
+    number = 2 * (F.year("o_orderdate") - 1995) + F.when(F.month("o_orderdate") > 6, 2).otherwise(1)
+    rows = named_batches(customer_batches(spark, sf_dir, number), HALF_YEARS).checkpoint()
+    for numbers in (range(1, 13), (12, 13, 14)):
+        _write_batches(rows, numbers, src)
+        run_scd2_feed(spark, os.path.join(src, "*", "*"), _SCD2_SCHEMA, out, "customer_id", stream_checkpoint=seen)
+    return read_history(spark, out).drop("company_id")
 
 
 QUERIES = {
     "stream_ticket_feed": q_stream_ticket_feed,
     "stream_scd2": q_stream_scd2,
+    "stream_scd2_many": q_stream_scd2_many,
 }
 
-def _scd2_sql():
-    from quaystone.plans.q_history import SQL as HSQL
-    return HSQL["scd2_history"]
-
+_HISTORY_COLUMNS = """
+SELECT customer_id, customer_name, customer_type, province, row_hash, version_no, sync_batch_id,
+       effective_from, effective_to, is_current FROM hist"""
+_HALF = "CAST(2 * (year(o_orderdate) - 1995) + CASE WHEN month(o_orderdate) > 6 THEN 2 ELSE 1 END AS INTEGER)"
+_HALF_TIME = ("make_timestamp(CAST(1995 + (batch_no - 1) // 2 AS BIGINT), CASE WHEN batch_no % 2 = 0 THEN 12 ELSE 6 END, 30, "
+              "0, 0, 0)")
 
 SQL = {
     "stream_ticket_feed": _TICKET_SQL,
-    "stream_scd2": _scd2_sql(),
+    "stream_scd2": "WITH " + history_sql().strip() + _HISTORY_COLUMNS,
+    "stream_scd2_many": "WITH " + history_sql(_HALF, _HALF_TIME).strip() + _HISTORY_COLUMNS,
 }

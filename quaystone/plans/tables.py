@@ -9,11 +9,13 @@ Stand-ins (one definition, mirrored by the SQL twins in ``oracle``):
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystone.functions.numbers import MONEY
+from quaystone.session import checkpoint_dir
 
 # Statistic periods used by the contract queries.
 PRIOR_PERIOD = (_dt.date(1997, 1, 1), _dt.date(1997, 12, 31))
@@ -25,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a query's own files in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:10]}"
+
+
 def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as contract lines: service [ship date, ship date + 7*quantity days],
     amount = extended price, share = discount, apply date = the order's date, and the

@@ -18,6 +18,13 @@ DEFAULT_CONF = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the JVM never compiles a method of more than 8000 bytes: a stage whose generated method is longer runs as projections
+    # of many small methods instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # a table bucketed by id is read by buckets also without a join (one bucket for one id)
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    # no call-site capture for each column expression that Python builds
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -48,6 +55,7 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.timestampType": "TIMESTAMP_NTZ",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
 
 
@@ -84,3 +92,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system of a path, constructor of its paths)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path

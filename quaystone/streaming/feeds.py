@@ -15,37 +15,64 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystone.operators.history import empty_history, scd2_apply
-from quaystone.session import checkpoint_dir
+from quaystone.operators.history import empty_history, scd2_apply_batches
+from quaystone.session import checkpoint_dir, file_system
 from quaystone.sources.sinks import overwrite_partitions
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    fs, new_path = file_system(spark, path)
+    return fs.exists(new_path(path))
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+# -- history table: closed versions are appended, open versions have a partition of their own ---------------
+#
+# <table>/state=closed/apply=<n>   the versions that step n closed
+# <table>/state=open/apply=<n>     every open version after step n
+#
+# Step n is done when its open partition is complete (Spark's _SUCCESS file), which is written last. What a step left
+# behind before that is not read and is written again.
 
+def _steps(spark: SparkSession, table_path: str, state: str) -> list[int]:
+    """The complete steps of a state's partitions, in order."""
+    fs, new_path = file_system(spark, table_path)
+    root = new_path(f"{table_path}/state={state}")
+    if not fs.exists(root):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    steps = sorted(int(n.removeprefix("apply=")) for n in names if n.startswith("apply="))
+    return [n for n in steps if fs.exists(new_path(f"{table_path}/state={state}/apply={n}/_SUCCESS"))]
 
-def _replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write the new table beside the old one, then put it in its place: at every moment one of the two is whole."""
-    fs, new_path = _file_system(spark, path)
-    df.write.mode("overwrite").parquet(f"{path}__next")
-    fs.delete(new_path(path), True)
-    fs.rename(new_path(f"{path}__next"), new_path(path))
 
+def read_open_versions(spark: SparkSession, table_path: str) -> tuple[int, DataFrame | None]:
+    """(last step, its open versions) of a history table; (0, None) before the first step."""
+    done = _steps(spark, table_path, "open")
+    if not done:
+        return 0, None
+    return done[-1], spark.read.parquet(f"{table_path}/state=open/apply={done[-1]}")
 
-def _finish_replace(spark: SparkSession, path: str) -> None:
-    """After a stop between the two steps of :func:`_replace_table`: take the table that is whole."""
-    fs, new_path = _file_system(spark, path)
-    if not fs.exists(new_path(path)) and fs.exists(new_path(f"{path}__next/_SUCCESS")):
-        fs.rename(new_path(f"{path}__next"), new_path(path))
+
+def read_history(spark: SparkSession, table_path: str) -> DataFrame:
+    """All versions of a history table, as of its last complete step."""
+    last, opened = read_open_versions(spark, table_path)
+    if opened is None:
+        raise FileNotFoundError(f"no history in {table_path}")
+    parts = [f"{table_path}/state=closed/apply={n}" for n in _steps(spark, table_path, "closed") if n <= last]
+    return opened.unionByName(spark.read.schema(opened.schema).parquet(*parts)) if parts else opened
+
+
+def _write_step(spark: SparkSession, versions: DataFrame, table_path: str, step: int) -> None:
+    """Append what the step closed, then put the open versions in place of the last step's."""
+    versions.where(~F.col("is_current")).write.mode("overwrite").parquet(f"{table_path}/state=closed/apply={step}")
+    versions.where("is_current").write.mode("overwrite").parquet(f"{table_path}/state=open/apply={step}")
+    _drop_old_open(spark, table_path, step)
+
+
+def _drop_old_open(spark: SparkSession, table_path: str, step: int) -> None:
+    fs, new_path = file_system(spark, table_path)
+    for old in _steps(spark, table_path, "open"):
+        if old < step:
+            fs.delete(new_path(f"{table_path}/state=open/apply={old}"), True)
 
 
 def merge_tickets(current: DataFrame | None, batch: DataFrame, key: str, time_col: str) -> DataFrame:
@@ -96,10 +123,13 @@ def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path:
                   batch_no: str = "batch_no", batch_id_col: str = "sync_batch_id",
                   batch_time_col: str = "batch_time", max_files_per_trigger: int | None = None,
                   stream_checkpoint: str | None = None) -> None:
-    """Run the incremental SCD2 feed (T2). Source batches inside a micro-batch are applied in
-    batch order; the batch time comes from the data. Rows of keys that have a version of the batch's
+    """Run the incremental SCD2 feed (T2). All source batches of a micro-batch are applied in one pass, in the order of
+    their times, which come from the data. Rows of keys that have a version of the batch's
     time or a later one are skipped, so replaying files (e.g. after losing the stream checkpoint) adds
-    no versions and never reverts a newer state, and a batch spread over files is applied whole."""
+    no versions and never reverts a newer state, and a batch spread over files is applied whole.
+
+    Closed versions are appended and never read again; a micro-batch rewrites the open ones only. Every key
+    of the table has an open version, so no closed one is needed to go on. :func:`read_history` reads the table."""
     ckpt_root = checkpoint_dir(spark)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -110,19 +140,16 @@ def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path:
     def apply(batch_df: DataFrame, _micro_id: int) -> None:
         if batch_df.isEmpty():
             return
-        cols = [c for c in batch_df.columns if c not in meta]
-        # distinct source batches in this micro-batch: a handful of rows
-        batches = batch_df.select(batch_no, batch_id_col, batch_time_col).distinct().orderBy(batch_no).collect()
-        _finish_replace(spark, table_path)
-        hist = (spark.read.parquet(table_path) if _exists(spark, table_path)
-                else empty_history(batch_df.select(*cols)))
-        for b in batches:
-            rows = batch_df.where(F.col(batch_no) == b[batch_no]).select(*cols)
-            # replay guard, by key: a key with a version of this batch's time or a later one has had the
-            # batch's row already (a source batch may be spread over several micro-batches)
-            done = hist.where(F.col("effective_from") >= F.lit(b[batch_time_col])).select(key).distinct()
-            hist, _ = scd2_apply(hist, rows.join(done, key, "left_anti"), key, b[batch_id_col], b[batch_time_col])
-        _replace_table(spark, hist, table_path)
+        last, opened = read_open_versions(spark, table_path)
+        if opened is None:
+            opened = empty_history(batch_df.select(*[c for c in batch_df.columns if c not in meta]))
+        _drop_old_open(spark, table_path, last)
+        versions, _ = scd2_apply_batches(opened, batch_df, key, batch_no, batch_id_col, batch_time_col)
+        versions = versions.checkpoint()
+        # a replay changes nothing and makes no step
+        if versions.where(~F.col("is_current")).isEmpty() and versions.count() == opened.count():
+            return
+        _write_step(spark, versions, table_path, last + 1)
 
     location = stream_checkpoint or os.path.join(ckpt_root, "scd2_feed", os.path.basename(table_path.rstrip("/")))
     q = (stream.writeStream.foreachBatch(apply).trigger(availableNow=True)

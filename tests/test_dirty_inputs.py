@@ -1,6 +1,7 @@
 """Inputs that once lost rows or stopped a job: split batches, missing times and months, far dates, repeated keys."""
 
 import datetime as dt
+import os
 import json
 
 import pytest
@@ -53,13 +54,14 @@ def test_scd2_feed_applies_a_batch_spread_over_files(spark, tmp_path):
     assert versions() == want
 
 
-def test_replace_table_after_a_stop(spark, tmp_path):
+def test_history_step_without_end_is_not_read(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.range(3).write.parquet(f"{path}__next")  # stopped after the old table was deleted
-    feeds._finish_replace(spark, path)
-    assert spark.read.parquet(path).count() == 3
-    feeds._replace_table(spark, spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5 and not (tmp_path / "t__next").exists()
+    spark.range(3).write.parquet(f"{path}/state=open/apply=1")
+    spark.range(9).write.parquet(f"{path}/state=open/apply=2")  # stopped before its end
+    os.remove(f"{path}/state=open/apply=2/_SUCCESS")
+    spark.range(5).write.parquet(f"{path}/state=closed/apply=2")
+    last, opened = feeds.read_open_versions(spark, path)
+    assert last == 1 and opened.count() == feeds.read_history(spark, path).count() == 3
 
 
 def test_open_ended_dates_and_large_numbers(spark):
