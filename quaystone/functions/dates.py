@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from quaystone.functions.text import _col, strip_all
 
-# Placeholders that mean "no date" in contract extracts.
+# Placeholders that mean "no date" in contract extracts; none has the shape of a date of year 1 or later.
 DATE_PLACEHOLDERS = ("/", "-", "0", "0.0", "0000-00-00", "0000-12-30")
 DEFAULT_TZ = "Asia/Shanghai"
 
-_ISO_DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
-_YMD8 = r"^\d{8}$"
+# Shapes of a date text with its digits written as 0: ISO dates, alone or with a time of any precision.
+_DAY = "0000-00-00"
+_ISO_SHAPES = [_DAY, f"{_DAY} 00:00", f"{_DAY} 00:00:00", *[f"{_DAY} 00:00:00." + "0" * n for n in range(1, 7)]]
 
 
 def _year_ok(d: Column) -> Column:
@@ -26,13 +27,10 @@ def contract_date(c) -> Column:
     with '/' read as '-'. Year 0 is rejected.
     """
     s = strip_all(c)
-    iso = F.regexp_replace(s, "/", "-")
-    parsed = (
-        F.when(s.rlike(_YMD8), F.try_to_date(s, "yyyyMMdd"))
-        .when(iso.rlike(_ISO_DATE_PREFIX), F.try_to_date(F.substring(iso, 1, 10), "yyyy-MM-dd"))
-    )
-    valid = s.isNotNull() & (s != "") & ~s.isin(*DATE_PLACEHOLDERS)
-    return F.when(valid & _year_ok(parsed), parsed)
+    # blanks and placeholders have neither shape
+    shape = F.translate(F.when(~s.startswith("0000"), s), "123456789/T", "000000000- ")
+    return (F.when(shape == "00000000", F.try_to_date(s, "yyyyMMdd"))
+            .when(shape.isin(*_ISO_SHAPES), F.try_to_date(F.translate(F.left(s, F.lit(10)), "/", "-"), "yyyy-MM-dd")))
 
 
 def merge_date_text(c) -> Column:

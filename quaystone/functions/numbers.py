@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from quaystone.functions.text import _col, strip_all
 
-# A plain decimal literal with optional exponent; anything else parses to 0.
-_NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-
 MONEY = "decimal(18,2)"
 UNITS = "decimal(18,0)"
 RATE = "decimal(18,6)"
@@ -31,17 +28,25 @@ def parse_number(c) -> Column:
     return value / F.when(text.endswith("%"), F.lit(100.0)).otherwise(F.lit(1.0))
 
 
+#: Characters that a cast to DOUBLE takes in a number and a plain decimal literal hasn't: suffixes, NaN, Infinity, hexadecimals,
+#: control characters around it.
+_NOT_PLAIN = "dDfFnNiIxXpP" + "".join(map(chr, [*range(9), *range(14, 28)]))
+
+
+def _plain_number(text: Column, ignored: str = "") -> Column:
+    """DOUBLE of a plain decimal literal with optional exponent and without the ``ignored`` characters, NULL for any other
+    text. The text is referenced once."""
+    return F.translate(text, _NOT_PLAIN + ignored, "#" * len(_NOT_PLAIN)).try_cast("double")
+
+
 def parse_decimal_text(c) -> Column:
     """Importer number: commas removed, unparsable -> NULL (no percent rule)."""
-    digits = F.regexp_replace(strip_all(c), ",", "")
-    return F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double"))
+    return _plain_number(strip_all(c), ignored=",")
 
 
 def parse_int_text(c) -> Column:
     """Importer integer: int(float(text)), commas are NOT removed."""
-    digits = strip_all(c)
-    return F.floor(F.abs(F.when(digits.rlike(_NUMBER_RE), digits.try_cast("double")))).try_cast("int") * F.when(
-        digits.startswith("-"), -1).otherwise(1)
+    return _plain_number(strip_all(c)).try_cast("int")
 
 
 def to_money(c) -> Column:

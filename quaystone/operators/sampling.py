@@ -64,9 +64,11 @@ def month_scan(df: DataFrame, time_col: str, id_col: str, month: str, limit: int
     return rows if limit is None else rows.limit(limit)
 
 
-def rows_of_id(df: DataFrame, id_col: str, value, time_col: str) -> DataFrame:
-    """Newest row of one id (S13): the id reaches the scan; a row without a time comes last."""
-    return df.where(F.col(id_col) == F.lit(value)).orderBy(F.col(time_col).desc_nulls_last()).limit(1)
+def rows_of_id(df: DataFrame, id_col: str, value, time_col: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Newest row of one id (S13): the id reaches the scan; a row without a time comes last; of equal times the
+    greatest ``ties``."""
+    order = [F.col(c).desc_nulls_last() for c in (time_col, *ties)]
+    return df.where(F.col(id_col) == F.lit(value)).orderBy(*order).limit(1)
 
 
 def snapshot_scan(df: DataFrame, date: str, date_col: str = "create_date") -> DataFrame:

@@ -22,9 +22,10 @@ from quaystone.functions.text import blank_to_null, first_nonempty, strip_all, t
 from quaystone.operators import allocation, contracts as C, history as H, revenue as R, sampling as S
 from quaystone.operators import tickets as T, views as V, worktime as W
 from quaystone.operators.entities import canonical_rows
+from quaystone.operators.labels import label_columns
 from quaystone.sources import layout as L
 from quaystone.session import checkpoint_dir
-from quaystone.sources.sinks import raw_archive
+from quaystone.sources.sinks import raw_archive, write_json_report
 
 
 # -- G1 / G2 tickets ------------------------------------------------------------------
@@ -234,12 +235,8 @@ def sync_entities(sources: Sequence[tuple[str, DataFrame]], candidates: Mapping,
         raise ValueError(f"{entity_type}: no records fetched; nothing written")
     first = C.keep_first(good, key, ["__src", "__pos"]).drop("__src", "__pos", "rejected")
     hashed = first.withColumn("row_hash", H.row_hash(hash_fields, ["source_updated_at"]))
-    latest = history.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
-    if latest is not None and batch_time <= latest:
-        # replay of an applied (or older) batch: nothing changes
-        new_hist, outcomes = history, hashed.select(key, F.lit("skipped").alias("outcome"))
-    else:
-        new_hist, outcomes = H.scd2_apply(history, hashed, key, batch_id, batch_time)
+    # replay guard by key: a key that the history has from this time on keeps its versions, new keys are loaded
+    new_hist, outcomes = H.scd2_apply(history, hashed, key, batch_id, batch_time, guard=True)
     archive = None
     for name, df in sources:
         a = raw_archive(df, batch_id, entity_type, name, first_nonempty(df, *candidates[key]))
@@ -399,10 +396,22 @@ def time_metrics(tickets: DataFrame, attrs: DataFrame, metric_defs: Sequence[Map
     return {"rows": rows, "counts": W.status_counts(rows)}
 
 
-def sample_details(tickets: DataFrame, strata: Sequence[str], id_col: str, n: int, seed: str = "0") -> dict[str, DataFrame]:
-    """Counts per stratum and a repeatable sample of n per stratum."""
-    return {"counts": S.counts_per(tickets, list(strata)),
-            "sample": S.stratified_sample(tickets, list(strata), id_col, n, seed)}
+def sample_details(tickets: DataFrame, strata: Sequence[str], id_col: str, n: int, seed: str = "0",
+                   resolve_args: Mapping | None = None, labels: Mapping[str, str] | None = None,
+                   report: str | None = None) -> dict[str, DataFrame]:
+    """Counts per stratum and a repeatable sample of n per stratum; the sampled tickets resolved (G1) with
+    ``resolve_args``, their columns named by the dictionary (P32) with ``labels``, and written as a JSON report (S15) to the
+    folder ``report``, with nested columns as JSON text."""
+    sample = S.stratified_sample(tickets, list(strata), id_col, n, seed)
+    out = {"counts": S.counts_per(tickets, list(strata)), "sample": sample}
+    if resolve_args is not None:
+        details = resolve_tickets(sample.drop("sample_rank"), key=id_col, **resolve_args)
+        nested = [c for c, kind in details.dtypes if kind.startswith(("array", "struct", "map"))]
+        details = details.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in details.columns])
+        out["details"] = label_columns(details, labels or {})
+        if report is not None:
+            write_json_report(out["details"], report)
+    return out
 
 
 def service_views(customer_history: DataFrame, contact_history: DataFrame, tickets: DataFrame,

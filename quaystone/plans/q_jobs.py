@@ -13,7 +13,7 @@ from quaystone.operators import tickets as T
 from quaystone.operators.entities import CUSTOMER_CANDIDATES
 from quaystone.plans import jobs as J
 from quaystone.sources import layout as L
-from quaystone.plans.tables import CURRENT_PERIOD, PRIOR_PERIOD, table
+from quaystone.plans.tables import CURRENT_PERIOD, PRIOR_PERIOD, scratch_path, table
 
 NEW_HEADER = ["合同编号", "销售组织", "签约客户", "标的行编码", "执行明细id", "企业版销售合同明细id", "营销平台",
               "明细运维开始开始日期", "明细运维结束日期", "产品金额", "合同申请日期", "当年应分摊金额", "去年同期应分摊金额", "备注"]
@@ -150,6 +150,28 @@ def q_resolve_tickets(spark, sf_dir):
     return out.withColumn("resolved_fields", F.to_json("resolved_fields")).drop("custom_fields")
 
 
+def q_ticket_narrow_row(spark, sf_dir):
+    return T.narrow_main_row(ticket_details(spark, sf_dir))
+
+
+SAMPLE_LABELS = {"ticket_id": "工单编号", "subject": "标题", "ticketStatus": "状态", "province": "省份", "resolved_fields": "字段",
+                 "cust_user_name": "标题"}
+
+
+def q_sample_details(spark, sf_dir):
+    """Two tickets of each template and group: resolved, labelled, written as a JSON report and read back."""
+    details = ticket_details(spark, sf_dir)
+    report = scratch_path(spark, "sample-report")
+    out = J.sample_details(details, ["ticketTemplateId", "servicerGroupId"], "ticketId", 2, "7", resolve_args(spark, sf_dir),
+                           SAMPLE_LABELS, report)["details"]
+    back = spark.read.schema(out.schema).json(report)
+    return back.select("工单编号", "标题", "状态", "省份", "字段", "标题(cust_user_name)", "company_name", "createDT", "ccUserIdList")
+
+
+def q_sample_counts(spark, sf_dir):
+    return J.sample_details(ticket_details(spark, sf_dir), ["ticketTemplateId", "servicerGroupId"], "ticketId", 2, "7")["counts"]
+
+
 def _ingest(spark, sf_dir):
     """Stored: closed (group 0) and open (group 1) orders. Arriving: all orders, open ones with another
     update time, some of them with another create time; pending ones are new, come twice (the second row
@@ -227,6 +249,64 @@ def q_sync_entities_counts(spark, sf_dir):
     return q_sync_entities(spark, sf_dir)["counts"]
 
 
+def q_run_log(spark, sf_dir):
+    """The run-log row of the second batch."""
+    return H.run_log_row(spark, "sync_entities", "B2", q_sync_entities(spark, sf_dir)["counts"])
+
+
+#: Columns of the contract sheet that the stand-in computes itself; the others take their cells from :func:`cell_texts`.
+OWN_COLUMNS = ("contract_id", "item_code", "exec_detail_id", "create_date", "sales_platform", "system_engineer", "product_amount",
+               "contract_apply_date", "detail_qty")
+
+
+def _kind(column: str) -> str:
+    kinds = {"int": J.INT_COLUMNS, "date": J.DATE_COLUMNS, "decimal": J.DECIMAL_COLUMNS, "snapshot": ("create_date",)}
+    return next((kind for kind, columns in kinds.items() if column in columns), "text")
+
+
+def cell_texts():
+    """Cells of every form for each column of the contract sheet: (header, column, text)."""
+    for k, (header, column) in enumerate(L.STANDARD_LAYOUT):
+        turn, whole, money = (F.col("l_linenumber") + k) % 4, F.col("l_quantity").cast("int").cast("string"), F.col("l_extendedprice")
+        forms = {"int": [whole, F.concat(F.lit(" -"), whole, F.lit(".0")), F.lit("1,000"), F.lit("")],
+                 "date": [F.date_format("l_shipdate", "yyyyMMdd"), F.date_format("l_shipdate", "yyyy/MM/dd"), F.lit("/"), F.lit("9999-12-31")],
+                 "decimal": [F.format_number(money, 2), money.cast("decimal(18,2)").cast("string"), F.lit("x"), F.lit("-0.50 ")],
+                 "snapshot": [F.lit("20260713165231")] * 4,
+                 "text": [F.lit(" "), F.concat(F.lit("  "), F.col("l_returnflag"), F.lit(" ")), F.lit("甲"), F.col("l_partkey").cast("string")]}
+        first, *others, last = forms[_kind(column)]
+        text = F.when(turn == 0, first)
+        for number, form in enumerate(others, 1):
+            text = text.when(turn == number, form)
+        yield header, column, text.otherwise(last)
+
+
+def cell_values():
+    """The values of :func:`cell_texts` in DuckDB: column -> expression."""
+    forms = {"int": ("CAST(l_quantity AS INTEGER)", "-CAST(l_quantity AS INTEGER)", "NULL", "NULL", "INTEGER"),
+             "date": ("CAST(l_shipdate AS DATE)", "CAST(l_shipdate AS DATE)", "NULL", "DATE '9999-12-31'", "DATE"),
+             "decimal": ("CAST(l_extendedprice AS DECIMAL(18,2))", "CAST(l_extendedprice AS DECIMAL(18,2))", "NULL", "-0.5", "DECIMAL(18,2)"),
+             "snapshot": ("'20260713'",) * 4 + ("VARCHAR",),
+             "text": ("NULL", "l_returnflag", "'甲'", "CAST(l_partkey AS VARCHAR)", "VARCHAR")}
+    for k, (_, column) in enumerate(L.STANDARD_LAYOUT):
+        *parts, kind = forms[_kind(column)]
+        cases = " ".join(f"WHEN {number} THEN {part}" for number, part in enumerate(parts))
+        yield column, f"CAST(CASE (l_linenumber + {k}) % 4 {cases} END AS {kind})"
+
+
+def q_typed_snapshot(spark, sf_dir):
+    """All 78 columns of the snapshot layout with the converters of their kinds."""
+    li = table(spark, sf_dir, "lineitem")
+    sheet = _stored(li.select("l_orderkey", "l_linenumber", *[text.alias(header) for header, _, text in cell_texts()]), "sheet")
+    return J.typed_snapshot(sheet, keep=["l_orderkey", "l_linenumber"])
+
+
+def _stored(df, name):
+    """A stand-in written as files, as the sheets of the jobs are."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _contract_load(spark, sf_dir):
     """lineitem as a snapshot sheet of two dates, without the lines of the highest discount. Stored: the even
     orders of the first date, all discounts. Baseline: the first lines of two platforms."""
@@ -240,11 +320,12 @@ def _contract_load(spark, sf_dir):
               "体系工程师": F.lit("own"), "产品金额": F.format_number("l_extendedprice", 2),
               "合同申请日期": F.when(F.col("l_returnflag") == "A", F.lit("9999-12-31")).otherwise(F.date_format("l_shipdate", "yyyy/MM/dd")),
               "明细数量": F.when(F.col("l_quantity") > 45, F.lit("99999999999")).otherwise(F.col("l_quantity").cast("int").cast("string"))}
-    cells = [values.get(h, F.lit("")).alias(h) for h, _ in L.STANDARD_LAYOUT]
+    cells = [values.get(h, text).alias(h) for h, _, text in cell_texts()]
     place = F.struct("l_shipdate", "l_partkey", "l_suppkey").alias("row_no")
-    sheet = li.where("l_discount < 0.095").select(*cells, place)
+    whole = _stored(li.select("l_orderkey", "l_linestatus", "l_discount", *cells, place), "contract-sheet")
+    sheet = whole.where("l_discount < 0.095").drop("l_orderkey", "l_linestatus", "l_discount")
     keys = ["contract_id", "item_code", "exec_detail_id"]
-    held = J.typed_snapshot(li.where("l_orderkey % 2 = 0 AND l_linestatus != 'O'").select(*cells, place), keep=["row_no"])
+    held = J.typed_snapshot(whole.where("l_orderkey % 2 = 0 AND l_linestatus != 'O'"), keep=["row_no"])
     stored = C.dedup_keep_last(held.where("contract_id IS NOT NULL"), [*keys, "create_date"], "row_no").drop("row_no") \
         .withColumn("system_engineer", F.when(F.col("item_code") == "2", "old").otherwise("own"))
     baseline = J.typed_snapshot(sheet).where("item_code = '1' AND sales_platform IN ('P1', 'P2')").select(
@@ -254,9 +335,8 @@ def _contract_load(spark, sf_dir):
 
 
 def q_load_contract_snapshot(spark, sf_dir):
-    return _contract_load(spark, sf_dir)["table"].select(
-        "contract_id", "item_code", "exec_detail_id", "create_date", "sales_platform", "system_engineer",
-        "product_amount", "contract_apply_date", "detail_qty")
+    """All 78 columns of the touched snapshots."""
+    return _contract_load(spark, sf_dir)["table"]
 
 
 def q_load_contract_counts(spark, sf_dir):
@@ -273,6 +353,11 @@ QUERIES = {
     "sync_entities_counts": q_sync_entities_counts,
     "load_contract_snapshot": q_load_contract_snapshot,
     "load_contract_counts": q_load_contract_counts,
+    "typed_snapshot": q_typed_snapshot,
+    "ticket_narrow_row": q_ticket_narrow_row,
+    "sample_details": q_sample_details,
+    "sample_counts": q_sample_counts,
+    "run_log": q_run_log,
 }
 
 def _alloc_sql(ps: str, pe: str) -> str:
@@ -425,7 +510,33 @@ j AS (SELECT b2.*, CASE WHEN b1.id IS NULL THEN 'inserted'
         ELSE 'changed' END AS outcome
       FROM b2 LEFT JOIN b1 ON b1.id = b2.id)'''
 
-_LOAD_SQL = '''
+_SYNC_COUNTS = _SYNC_SQL + """,
+x AS (SELECT outcome FROM j UNION ALL SELECT 'failed' FROM customer WHERE c_acctbal < 0)
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE outcome = 'inserted') AS inserted,
+  COUNT(*) FILTER (WHERE outcome = 'changed') AS updated, COUNT(*) FILTER (WHERE outcome = 'unchanged') AS unchanged,
+  COUNT(*) FILTER (WHERE outcome = 'skipped') AS skipped, COUNT(*) FILTER (WHERE outcome = 'failed') AS failed,
+  CASE WHEN COUNT(*) FILTER (WHERE outcome = 'failed') = 0 THEN 'success' ELSE 'partial' END AS status
+FROM x"""
+
+_NARROW = {
+    **{c: "CAST(NULL AS TIMESTAMP)" if c in T.MAIN_DATETIMES else "CAST(NULL AS VARCHAR)" for c in list(T.MAIN_COLUMNS.values())[:34]
+       if c != "source_updated_at"},
+    "ticket_id": "id", "subject": "pr", "cust_user_id": "cust", "servicer_user_id": "sid",
+    "cc_user_id_list": "(SELECT string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY l_linenumber, l_suppkey, l_partkey) "
+                       "FROM lineitem WHERE l_orderkey = id)",
+    "ticket_type": "CASE st WHEN 'F' THEN '2' ELSE '1' END", "priority_level": "tid",
+    "ticket_status": "CASE st WHEN 'F' THEN '4' WHEN 'O' THEN '2' ELSE '1' END", "create_dt": "created",
+    "update_dt": "CASE WHEN st = 'O' THEN open_upd ELSE created END", "servicer_group_id": "gid", "ticket_template_id": "tid",
+    "current_node_field": "'field_2'", "current_node_field_value": "region_id",
+}
+_SAMPLE_DETAILS = f"""
+SELECT CAST(id AS VARCHAR) AS "工单编号", pr AS "标题", ticket_status AS "状态", province AS "省份", {_RESOLVED['resolved_fields']} AS "字段",
+  c_name AS "标题(cust_user_name)", company_name, {_RESOLVED['createDT']} AS "createDT", cc_names AS "ccUserIdList"
+FROM t QUALIFY row_number() OVER (PARTITION BY tid, gid ORDER BY md5('7:' || tid || '|' || gid || ':' || CAST(id AS VARCHAR)),
+                                  CAST(id AS VARCHAR)) <= 2"""
+
+_OTHERS = {column: sql for column, sql in cell_values() if column not in OWN_COLUMNS}
+_LOAD_SQL = f'''
 WITH b AS (
   SELECT l_orderkey, l_linestatus, l_discount, l_shipdate, l_partkey, l_suppkey,
     CASE WHEN l_returnflag <> 'N' AND l_tax < 0.01 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS contract_id,
@@ -433,7 +544,8 @@ WITH b AS (
     CASE WHEN l_linestatus = 'O' THEN '20260713' ELSE '20260601' END AS create_date,
     'P' || CAST(l_suppkey % 7 AS VARCHAR) AS platform, CAST(l_extendedprice AS DECIMAL(18,2)) AS product_amount,
     CASE WHEN l_returnflag = 'A' THEN DATE '9999-12-31' ELSE CAST(l_shipdate AS DATE) END AS contract_apply_date,
-    CASE WHEN l_quantity <= 45 THEN CAST(l_quantity AS INTEGER) END AS detail_qty
+    CASE WHEN l_quantity <= 45 THEN CAST(l_quantity AS INTEGER) END AS detail_qty,
+    {', '.join(f'{sql} AS {c}' for c, sql in _OTHERS.items())}
   FROM lineitem),
 sheet AS (
   SELECT * FROM b WHERE l_discount < 0.095 AND contract_id IS NOT NULL
@@ -457,10 +569,12 @@ up AS (
     CASE WHEN n.contract_id IS NOT NULL THEN n.product_amount ELSE o.product_amount END AS product_amount,
     CASE WHEN n.contract_id IS NOT NULL THEN n.contract_apply_date ELSE o.contract_apply_date END AS contract_apply_date,
     CASE WHEN n.contract_id IS NOT NULL THEN n.detail_qty ELSE o.detail_qty END AS detail_qty,
+    {', '.join(f'CASE WHEN n.contract_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}' for c in _OTHERS)},
     CASE WHEN n.contract_id IS NOT NULL AND o.contract_id IS NULL THEN 'inserted'
          WHEN n.contract_id IS NOT NULL AND n.sales_platform = o.sales_platform AND n.system_engineer = o.system_engineer
            AND n.product_amount = o.product_amount AND n.contract_apply_date = o.contract_apply_date
-           AND n.detail_qty IS NOT DISTINCT FROM o.detail_qty THEN 'unchanged'
+           AND n.detail_qty IS NOT DISTINCT FROM o.detail_qty
+           AND {' AND '.join(f'n.{c} IS NOT DISTINCT FROM o.{c}' for c in _OTHERS)} THEN 'unchanged'
          WHEN n.contract_id IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome
   FROM n FULL OUTER JOIN o ON n.contract_id = o.contract_id AND n.item_code = o.item_code
     AND n.exec_detail_id = o.exec_detail_id AND n.create_date = o.create_date)'''
@@ -505,16 +619,13 @@ UNION ALL
 SELECT id, name, type, flags, CASE outcome WHEN 'changed' THEN 2 ELSE 1 END, 'B2', TIMESTAMP '2026-06-03',
   CAST(NULL AS TIMESTAMP), true
 FROM j WHERE outcome <> 'unchanged'""",
-    "sync_entities_counts": _SYNC_SQL + """,
-x AS (SELECT outcome FROM j UNION ALL SELECT 'failed' FROM customer WHERE c_acctbal < 0)
-SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE outcome = 'inserted') AS inserted,
-  COUNT(*) FILTER (WHERE outcome = 'changed') AS updated, COUNT(*) FILTER (WHERE outcome = 'unchanged') AS unchanged,
-  COUNT(*) FILTER (WHERE outcome = 'skipped') AS skipped, COUNT(*) FILTER (WHERE outcome = 'failed') AS failed,
-  CASE WHEN COUNT(*) FILTER (WHERE outcome = 'failed') = 0 THEN 'success' ELSE 'partial' END AS status
-FROM x""",
-    "load_contract_snapshot": _LOAD_SQL + """
-SELECT contract_id, item_code, exec_detail_id, create_date, sales_platform, system_engineer, product_amount,
-       contract_apply_date, detail_qty FROM up""",
+    "sync_entities_counts": _SYNC_COUNTS,
+    "load_contract_snapshot": _LOAD_SQL + "SELECT " + ", ".join(c for _, c in L.STANDARD_LAYOUT) + " FROM up",
+    "typed_snapshot": "SELECT l_orderkey, l_linenumber, " + ", ".join(f"{sql} AS {c}" for c, sql in cell_values()) + " FROM lineitem",
+    "run_log": "SELECT 'sync_entities' AS task_name, 'B2' AS sync_batch_id, * FROM (" + _SYNC_COUNTS + ")",
+    "ticket_narrow_row": _TICKETS_SQL + "SELECT " + ", ".join(f"{e} AS {c}" for c, e in _NARROW.items()) + " FROM t",
+    "sample_counts": _TICKETS_SQL + "SELECT tid AS \"ticketTemplateId\", gid AS \"servicerGroupId\", COUNT(*) AS row_count FROM t GROUP BY 1, 2",
+    "sample_details": _TICKETS_SQL + _SAMPLE_DETAILS,
     "load_contract_counts": _LOAD_SQL + """,
 x AS (SELECT outcome, create_date FROM up WHERE outcome <> 'kept'
       UNION ALL SELECT 'skipped', create_date FROM b WHERE l_discount < 0.095 AND contract_id IS NULL)

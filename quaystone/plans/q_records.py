@@ -203,6 +203,7 @@ def dictionary_texts(spark, sf_dir):
         F.lit("字段 类型 说明"), F.concat(F.lit("p_partkey  bigint(20) 编号"), F.col("p_size").cast("string")),
         F.concat(F.lit("p_type varchar (16) "), F.col("p_type"), F.lit("(类型)")), F.lit("---- ----"),
         F.concat(F.lit("P_SIZE INT unsigned "), F.col("p_brand"), F.lit(" 1=小;2=大")), F.lit("p_name text"),
+        F.lit("p_containervarchar(10) 容器 0 - 无"), F.lit("p_unsigned int unsignedly 2x"), F.lit("p_painter the wall"),
         F.when(F.col("p_size") > 25, F.lit("h3. extra 附表\r\nx\n字段\nmade_at datetime\t时间")), F.lit("no field here"))
     made = p.select((-F.col("p_partkey") - 1).alias("doc_id"), lines.alias("text"))
     return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(made)
@@ -218,38 +219,50 @@ WITH texts AS (
   UNION ALL
   SELECT -p_partkey - 1, concat_ws(chr(10), '数据字典', 't_' || CAST(p_partkey AS VARCHAR) || '  ' || p_name, '字段 类型 说明',
     'p_partkey  bigint(20) 编号' || CAST(p_size AS VARCHAR), 'p_type varchar (16) ' || p_type || '(类型)', '---- ----',
-    'P_SIZE INT unsigned ' || p_brand || ' 1=小;2=大', 'p_name text',
+    'P_SIZE INT unsigned ' || p_brand || ' 1=小;2=大', 'p_name text', 'p_containervarchar(10) 容器 0 - 无',
+    'p_unsigned int unsignedly 2x', 'p_painter the wall',
     CASE WHEN p_size > 25 THEN 'h3. extra 附表' || chr(13) || chr(10) || 'x' || chr(10) || '字段' || chr(10) || 'made_at datetime' || chr(9) || '时间' END,
     'no field here') FROM part),
 l AS (
   SELECT doc_id, CAST(generate_subscripts(string_split_regex(text, '\r?\n'), 1) - 1 AS INTEGER) AS line_no,
          unnest(string_split_regex(text, '\r?\n')) AS line
   FROM texts),
-t AS (
-  SELECT *, regexp_matches(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$')
-      AND contains(concat_ws(chr(10), lead(line, 1) OVER w, lead(line, 2) OVER w, lead(line, 3) OVER w,
-                             lead(line, 4) OVER w), '字段') AS is_start
+b AS (
+  SELECT *, CASE WHEN starts_with(line, 'h3.') THEN regexp_replace(line, '^h3\.\s*', '') ELSE line END AS body,
+    contains(concat_ws(chr(10), lead(line, 1) OVER w, lead(line, 2) OVER w, lead(line, 3) OVER w, lead(line, 4) OVER w), '字段') AS near
   FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+h AS (SELECT *, regexp_extract(body, '^[A-Za-z][A-Za-z0-9_]+') AS name FROM b),
+t AS (SELECT *, substr(body, length(name) + 1) AS title FROM h),
 s AS (
   SELECT doc_id, line_no, trim(regexp_replace(line, '[ \t]+', ' ', 'g')) AS n,
-    last_value(CASE WHEN is_start THEN regexp_extract(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$', 1) END IGNORE NULLS)
-      OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "table",
-    last_value(CASE WHEN is_start THEN trim(regexp_replace(regexp_extract(line, '^(?:h3\.\s*)?([A-Za-z][A-Za-z0-9_]+)\s+(.+)$', 2), '[ \t]+', ' ', 'g')) END IGNORE NULLS)
-      OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS table_title
-  FROM t)
-SELECT doc_id, line_no, "table", table_title, regexp_extract(n, __FL, 1, 'i') AS field,
-  trim(regexp_replace(regexp_extract(n, __FL, 2, 'i') || regexp_extract(n, __FL, 3, 'i'), '[ \t]+', ' ', 'g')) AS field_type,
-  trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')) AS comment,
-  COALESCE(NULLIF(trim(regexp_replace(trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')),
-                                      '(\s+\(?\d+\s*[-=:>]|[;(（])[\s\S]*$', '')), ''),
-           NULLIF(trim(regexp_replace(regexp_extract(n, __FL, 4, 'i'), '[ \t]+', ' ', 'g')), ''),
-           regexp_extract(n, __FL, 1, 'i')) AS label
-FROM s
-WHERE "table" IS NOT NULL AND n <> '' AND NOT starts_with(n, '----') AND NOT starts_with(n, '字段 ')
-  AND regexp_matches(n, __FL, 'i')"""
-_LABEL_EXTRACT_SQL = _LABEL_EXTRACT_SQL.replace(
-    "__FL", r"'^([a-z_]\w*)\s*(bigint|smallint|tinyint|int|varchar|datetime|timestamp|decimal|text|date|time|char)"
-            r"((?:\s*[(][^)]+[)])|(?:\s+unsigned))?\s*(.*)$'")
+    last_value(CASE WHEN near AND name <> '' AND regexp_matches(title, '^\s+\S') THEN {'name': name, 'title': title} END IGNORE NULLS)
+      OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
+  FROM t),
+i AS (
+  SELECT *, regexp_extract(n, '^[A-Za-z_]\w*') AS id FROM s
+  WHERE section IS NOT NULL AND n <> '' AND NOT starts_with(n, '----') AND NOT starts_with(n, '字段 ')),
+k AS (
+  SELECT *, ltrim(substr(n, length(id) + 1)) AS nxt, regexp_extract(ltrim(substr(n, length(id) + 1)), '^[A-Za-z]+') AS word,
+    list_filter(['timestamp', 'smallint', 'datetime', 'tinyint', 'varchar', 'decimal', 'bigint', 'text', 'date', 'time', 'char', 'int'],
+                lambda x: ends_with(lower(id), x) AND length(id) > length(x)) AS tails
+  FROM i WHERE id <> ''),
+f AS (
+  SELECT *, lower(word) IN ('timestamp', 'smallint', 'datetime', 'tinyint', 'varchar', 'decimal', 'bigint', 'text', 'date',
+                            'time', 'char', 'int') AS apart,
+    CASE WHEN apart THEN id ELSE left(id, length(id) - length(tails[1])) END AS field,
+    CASE WHEN apart THEN word ELSE right(id, length(tails[1])) END AS type,
+    CASE WHEN apart THEN substr(nxt, length(word) + 1) ELSE substr(n, length(id) + 1) END AS rest
+  FROM k WHERE apart OR len(tails) > 0),
+z AS (
+  SELECT *, CASE WHEN regexp_matches(rest, '^ ?[(][^)]+[)]') THEN regexp_extract(rest, '^ ?[(][^)]+[)]')
+                 WHEN regexp_matches(rest, '(?i)^ unsigned($|[^A-Za-z])') THEN left(rest, 9) ELSE '' END AS size,
+    trim(substr(rest, length(size) + 1)) AS comment
+  FROM f)
+SELECT doc_id, line_no, section.name AS "table", trim(regexp_replace(section.title, '[ \t]+', ' ', 'g')) AS table_title, field,
+  trim(type || size) AS field_type, comment,
+  COALESCE(NULLIF(trim(regexp_replace(regexp_extract(comment, '^[^;(（]*'), ' [0-9]+ ?[-=:>].*$', '')), ''),
+           NULLIF(comment, ''), field) AS label
+FROM z"""
 
 
 QUERIES = {

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from quaystone.operators import allocation, revenue
 from quaystone.plans import sqlparts as sp
+from quaystone.plans.jobs import revenue_summary
 from quaystone.plans.tables import (
     CURRENT_PERIOD, PRIOR_PERIOD, STAT_MONTH, STAT_YEAR, contract_lines, platform_targets,
     supplier_platform, table,
 )
+from quaystone.session import checkpoint_dir
 
 RATE_COLUMNS = ("revenue_completion_rate", "contracts_on_hand_yoy_rate",
                 "recognized_revenue_yoy_rate", "signing_yoy_rate")
@@ -83,7 +85,8 @@ def q_monthly_summary_upsert(spark, sf_dir):
     summary on (stat_year, stat_month, sales_platform) (M6; the M1 pattern)."""
     from quaystone.operators.history import snapshot_upsert
     targets = platform_targets(spark, sf_dir)
-    metrics = platform_metrics(spark, sf_dir).cache()
+    checkpoint_dir(spark)
+    metrics = platform_metrics(spark, sf_dir).checkpoint()  # read twice
     stored = revenue.build_revenue_rows(targets, metrics, STAT_YEAR, STAT_MONTH)
     revised = targets.withColumn("revenue_target", F.when(
         F.col("n_nationkey") < 10, F.round(F.col("revenue_target") * F.lit(1.1).cast("decimal(2,1)"), 0))
@@ -103,7 +106,7 @@ def target_cells(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderdate", "o_custkey", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    per = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+    per = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
            .groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), "n_nationkey", "n_name")
            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t")))
     data = per.select(((F.col("y") * 100 + F.col("m")) * 100 + F.col("n_nationkey") + 100).cast("long").alias("row_no"),
@@ -130,7 +133,32 @@ def q_target_sheet(spark, sf_dir):
         .select("year", "month", "sales_platform", revenue.round_units_col("revenue_target"))
 
 
+def _revenue_job(spark, sf_dir):
+    """G6 on two snapshots of the contract lines, the newer one whole; targets for the first twenty nations only, with a total row."""
+    plat = supplier_platform(spark, sf_dir)
+    lines = allocated_lines(spark, sf_dir)
+    lines = lines.join(plat, lines.l_suppkey == plat.s_suppkey, "left")
+    snapshot = lines.withColumn("create_date", F.lit("20260713")).unionByName(
+        lines.where("l_linenumber = 1").withColumn("create_date", F.lit("20260601")))
+    targets = platform_targets(spark, sf_dir).where("n_nationkey < 20").select(
+        F.lit(STAT_YEAR).alias("year"), F.lit(STAT_MONTH).alias("month"), F.concat(F.lit(" "), F.col("sales_platform")).alias("sales_platform"),
+        "revenue_target")
+    total = targets.groupBy("year", "month").agg(F.sum("revenue_target").cast("decimal(18,0)").alias("revenue_target")).select(
+        "year", "month", F.lit(revenue.TOTAL_LABEL).alias("sales_platform"), "revenue_target")
+    return revenue_summary(targets.unionByName(total), snapshot, STAT_YEAR, STAT_MONTH)
+
+
+def q_revenue_summary(spark, sf_dir):
+    return _rates_as_double(_revenue_job(spark, sf_dir)["with_total"])
+
+
+def q_revenue_unmapped(spark, sf_dir):
+    return _revenue_job(spark, sf_dir)["unmapped"]
+
+
 QUERIES = {
+    "revenue_summary": q_revenue_summary,
+    "revenue_unmapped": q_revenue_unmapped,
     "target_sheet": q_target_sheet,
     "monthly_summary_upsert": q_monthly_summary_upsert,
     "period_allocation": q_period_allocation,
@@ -216,7 +244,14 @@ SELECT s.stat_year, s.stat_month, s.sales_platform, s.revenue_target, s.recogniz
             AND o.rr IS NOT DISTINCT FROM s.recognized_revenue THEN 'unchanged' ELSE 'updated' END AS outcome
 FROM summary_rows s JOIN stored o ON s.sales_platform = o.sales_platform""")
 
+_SOME_TARGETS = ("all_targets AS", "platform_targets AS (SELECT * FROM all_targets WHERE n_nationkey < 20)")
+
 SQL = {
+    "revenue_summary": sp.with_(sp.CONTRACT_LINES, sp.PLATFORM_METRICS, sp.PLATFORM_TARGETS.replace("platform_targets AS", _SOME_TARGETS[0]),
+                                _SOME_TARGETS[1], _SUMMARY) + _TOTAL,
+    "revenue_unmapped": sp.with_(sp.CONTRACT_LINES, sp.PLATFORM_METRICS,
+                                 sp.PLATFORM_TARGETS.replace("platform_targets AS", _SOME_TARGETS[0]), _SOME_TARGETS[1]) + """
+SELECT sales_platform FROM platform_metrics WHERE sales_platform NOT IN (SELECT sales_platform FROM platform_targets) ORDER BY 1""",
     "target_sheet": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, n_name AS sales_platform,
   CAST(round(SUM(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DECIMAL(18,0)) AS revenue_target

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quaystone.functions.dates import month_label
 from quaystone.operators import sampling as S
 from quaystone.operators.tickets import split_id_list
-from quaystone.plans.tables import table
+from quaystone.plans.tables import scratch_path, table
+from quaystone.sources import envelope as EV
+from quaystone.sources.partitions import read_newest_partition, save_by_id
 
 TODAY = _dt.date(1998, 8, 15)
 
@@ -57,17 +61,49 @@ def q_month_scan(spark, sf_dir):
     return S.month_scan(o, "create_dt", "ticket_id", "1998-06")
 
 
+def q_month_list(spark, sf_dir):
+    """The first 25 tickets of a month (L2)."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ticket_id"), F.col("o_orderdate").alias("create_dt"), "o_orderpriority")
+    return S.month_scan(o, "create_dt", "ticket_id", "1998-06", limit=25)
+
+
 def q_latest_snapshot(spark, sf_dir):
+    """The newest of the snapshots of a table partitioned by snapshot date."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
                                                  F.concat(F.year("l_shipdate").cast("string"), F.lit("1231")).alias("create_date"))
-    return S.latest_snapshot(li)
+    path = scratch_path(spark, "snapshots")
+    li.repartition("create_date").write.partitionBy("create_date").parquet(path)
+    return read_newest_partition(spark, path, "create_date", li.schema)
+
+
+def q_ticket_lookup(spark, sf_dir):
+    """The newest line of the smallest order, in a table bucketed by order; every fifth line has no time."""
+    li = table(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_orderkey").alias("ticket_id"), F.when(F.col("l_linenumber") % 5 != 0, F.col("l_shipdate")).alias("create_dt"),
+                     "l_linenumber", "l_partkey", "l_suppkey")
+    one = li.agg(F.min("l_orderkey")).first()[0]
+    name = f"lines_{uuid.uuid4().hex[:10]}"
+    stored = save_by_id(rows, name, scratch_path(spark, name), "ticket_id", 16)
+    return S.rows_of_id(stored, "ticket_id", one, "create_dt", ["l_linenumber", "l_partkey", "l_suppkey"])
 
 
 def q_completeness(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(month_label("o_orderdate").alias("month"), "o_orderstatus")
-    w = o.groupBy("month").agg(F.count(F.lit(1)).alias("declared"))
-    rows = o.join(w, "month").withColumn("was_read", F.col("o_orderstatus") != "P")
-    return S.completeness(rows, ["month"], "declared", "was_read")
+    """Page bodies of a month's orders, a hundred orders a page: the total that the bodies declare against the items read.
+    Every seventh page lost its last item, every fifth doesn't declare a total, every eleventh is broken."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", month_label("o_orderdate").alias("month"))
+    total = F.count(F.lit(1)).over(Window.partitionBy("month"))
+    page = F.floor(F.col("o_orderkey") / 100)
+    paged = o.select("month", page.alias("page"), F.struct(F.col("o_orderkey").alias("id")).alias("item"), total.alias("total"))
+    pages = paged.groupBy("month", "page").agg(F.array_sort(F.collect_list("item")).alias("items"), F.first("total").alias("total"))
+    items = F.when(F.col("page") % 7 == 0, F.slice("items", 1, F.size("items") - 1)).otherwise(F.col("items"))
+    whole = F.when(F.col("page") % 5 == 0, F.to_json(F.struct(F.struct(items.alias("list")).alias("data")))).otherwise(
+        F.to_json(F.struct(F.struct(items.alias("list"), "total").alias("data"))))
+    body = F.when(F.col("page") % 11 == 0, F.concat(whole, F.lit("]"))).otherwise(whole)
+    parsed = EV.parse_body(pages.select("month", "page", body.alias("body")), "body")
+    read = EV.unwrap_items(parsed, "doc", keep=["month"]).select("month", F.lit(None).cast("bigint").alias("declared"), F.lit(True).alias("was_read"))
+    said = parsed.select("month", EV.declared_count("doc").alias("declared"), F.lit(False).alias("was_read"))
+    return S.completeness(read.unionByName(said), ["month"], "declared", "was_read")
 
 
 def q_file_date(spark, sf_dir):
@@ -107,7 +143,9 @@ QUERIES = {
     "log_topk": q_log_topk,
     "point_lookup": q_point_lookup,
     "month_scan": q_month_scan,
+    "month_list": q_month_list,
     "latest_snapshot": q_latest_snapshot,
+    "ticket_lookup": q_ticket_lookup,
     "completeness": q_completeness,
     "file_date": q_file_date,
     "refresh_window": q_refresh_window,
@@ -135,14 +173,25 @@ FROM lineitem GROUP BY l_orderkey""",
     "month_scan": """
 SELECT o_orderkey AS ticket_id, o_orderdate AS create_dt, o_orderpriority FROM orders
 WHERE strftime(o_orderdate, '%Y-%m') = '1998-06' ORDER BY create_dt, ticket_id""",
+    "month_list": """
+SELECT o_orderkey AS ticket_id, o_orderdate AS create_dt, o_orderpriority FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = '1998-06' ORDER BY create_dt, ticket_id LIMIT 25""",
+    "ticket_lookup": """
+SELECT l_orderkey AS ticket_id, CASE WHEN l_linenumber % 5 <> 0 THEN l_shipdate END AS create_dt, l_linenumber, l_partkey, l_suppkey
+FROM lineitem WHERE l_orderkey = (SELECT min(l_orderkey) FROM lineitem)
+ORDER BY create_dt DESC NULLS LAST, l_linenumber DESC, l_partkey DESC, l_suppkey DESC LIMIT 1""",
     "latest_snapshot": """
 WITH li AS (SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS VARCHAR) || '1231' AS create_date FROM lineitem)
 SELECT * FROM li WHERE create_date = (SELECT max(create_date) FROM li)""",
     "completeness": """
-SELECT strftime(o_orderdate, '%Y-%m') AS month, COUNT(*) AS declared_count,
-  COUNT(*) FILTER (WHERE o_orderstatus <> 'P') AS read_count,
-  COUNT(*) FILTER (WHERE o_orderstatus <> 'P') < COUNT(*) AS is_partial
-FROM orders GROUP BY 1""",
+WITH p AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey // 100 AS page, COUNT(*) AS n FROM orders GROUP BY 1, 2),
+t AS (SELECT *, SUM(n) OVER (PARTITION BY month) AS total FROM p)
+SELECT month, CAST(max(total) FILTER (WHERE page % 5 <> 0 AND page % 11 <> 0) AS BIGINT) AS declared_count,
+  CAST(COALESCE(SUM(CASE WHEN page % 7 = 0 THEN n - 1 ELSE n END) FILTER (WHERE page % 11 <> 0), 0) AS BIGINT) AS read_count,
+  COALESCE(SUM(CASE WHEN page % 7 = 0 THEN n - 1 ELSE n END) FILTER (WHERE page % 11 <> 0), 0)
+    < max(total) FILTER (WHERE page % 5 <> 0 AND page % 11 <> 0) AS is_partial
+FROM t GROUP BY month""",
     "file_date": """
 SELECT o_orderstatus, max(strftime(o_orderdate, '%Y%m%d')) AS source_date FROM orders GROUP BY 1""",
     "refresh_window": """

@@ -9,7 +9,7 @@ from quaystone.operators.sampling import in_year
 from quaystone.sources import envelope as EV
 from quaystone.sources import layout as L
 from quaystone.sources import sinks as K
-from quaystone.plans.tables import table
+from quaystone.plans.tables import scratch_path, table
 
 
 def page_bodies(spark, sf_dir):
@@ -94,6 +94,68 @@ SELECT event_id,
 FROM r"""
 
 
+def q_quarantine_replay(spark, sf_dir):
+    """Damaged bodies of two batches are quarantined; two replays, which close an open object and wrap a lone one, move
+    the mended rows on. Per batch and reason: rejects, and rows that moved in the first and in the second replay."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.pmod(F.col("event_id"), F.lit(10))
+    item = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"))
+    body = (F.when(kind == 0, F.concat(F.lit('{"items": ['), item)).when(kind == 1, F.concat(item, F.lit("}")))
+            .when(kind == 2, F.lit(" ")).when(kind == 3, F.lit("[1, 2"))
+            .otherwise(F.concat(F.lit('{"items": ['), item, F.lit("}]}"))))
+    bodies = ev.select("event_id", "event_type", body.alias("body"))
+    path = scratch_path(spark, "quarantine")
+    for batch in ("click", "view", "click"):  # the first batch comes again
+        EV.quarantine(bodies.where(F.col("event_type") == batch), path, batch, ["event_id"])
+    closed = lambda c: F.when(c.startswith('{"items"'), F.concat(c, F.lit("}]}"))).otherwise(c)
+    wrapped = lambda c: F.when(c.startswith('{"k"'), F.concat(F.lit("["), c, F.lit("]"))).otherwise(closed(c))
+    rejects = spark.read.parquet(f"{path}/rejects").groupBy("batch", "reason").agg(F.count(F.lit(1)).alias("rejected"))
+    for run, mend in (("first", closed), ("second", wrapped), ("second", wrapped)):  # a run that is done over
+        moved = EV.replay(spark, path, run, ["event_id"], mend, "event_id bigint")
+        moved = moved.groupBy("batch", "reason").agg(F.count(F.lit(1)).alias(f"moved_{run}"))
+        rejects = (rejects if f"moved_{run}" not in rejects.columns else rejects.drop(f"moved_{run}")).join(moved, ["batch", "reason"], "left")
+    none = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return rejects.select("batch", "reason", "rejected", none("moved_first"), none("moved_second"))
+
+
+_QUARANTINE_SQL = """
+WITH e AS (SELECT event_type AS batch, CASE event_id % 10 WHEN 0 THEN 'broken' WHEN 1 THEN 'no_list' WHEN 2 THEN 'empty'
+             WHEN 3 THEN 'broken' END AS reason, event_id % 10 AS kind FROM events WHERE event_type IN ('click', 'view'))
+SELECT batch, reason, COUNT(*) AS rejected, COUNT(*) FILTER (WHERE kind = 0) AS moved_first,
+  COUNT(*) FILTER (WHERE kind = 1) AS moved_second
+FROM e WHERE reason IS NOT NULL GROUP BY 1, 2"""
+
+
+def q_evolving_schema(spark, sf_dir):
+    """Orders written in three versions of a schema, read as one: whole numbers that become long and decimal, a number that
+    becomes text, a struct that gets a field, a column that comes late."""
+    o = table(spark, sf_dir, "orders")
+    y, path = F.year("o_orderdate"), scratch_path(spark, "versions")
+    code = F.substring("o_orderpriority", 1, 1)
+    first = o.where(y <= 1996).select(F.col("o_orderkey").cast("int").alias("id"), F.floor("o_totalprice").cast("int").alias("total"),
+                                      code.cast("int").alias("priority"), F.struct(F.col("o_custkey").cast("int").alias("id")).alias("customer"))
+    second = o.where(y.between(1997, 1998)).select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(12,1)").alias("total"), F.col("o_orderpriority").alias("priority"),
+        F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("state")).alias("customer"))
+    third = o.where(y > 1998).select(
+        F.col("o_totalprice").cast("decimal(9,2)").alias("total"), F.col("o_orderkey").alias("id"),
+        F.col("o_orderdate").cast("date").alias("day"), F.struct(F.col("o_custkey").cast("short").alias("id")).alias("customer"))
+    paths = [f"{path}/v{k}" for k in (1, 2, 3)]
+    for df, p in zip((first, second, third), paths):
+        df.write.parquet(p)
+    return L.read_versions(spark, paths).select("id", "total", "priority", F.col("customer.id").alias("customer_id"),
+                                                F.col("customer.state").alias("customer_state"), "day")
+
+
+_EVOLVING_SQL = """
+SELECT o_orderkey AS id, CAST(CASE WHEN year(o_orderdate) <= 1996 THEN floor(o_totalprice)
+    WHEN year(o_orderdate) <= 1998 THEN CAST(o_totalprice AS DECIMAL(12,1)) ELSE CAST(o_totalprice AS DECIMAL(9,2)) END AS DECIMAL(13,2)) AS total,
+  CASE WHEN year(o_orderdate) <= 1996 THEN left(o_orderpriority, 1) WHEN year(o_orderdate) <= 1998 THEN o_orderpriority END AS priority,
+  CAST(o_custkey AS BIGINT) AS customer_id, CASE WHEN year(o_orderdate) BETWEEN 1997 AND 1998 THEN o_orderstatus END AS customer_state,
+  CASE WHEN year(o_orderdate) > 1998 THEN CAST(o_orderdate AS DATE) END AS day
+FROM orders"""
+
+
 def q_key_profile(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     js = F.when(F.col("event_type") == "click", F.concat(F.lit('{"b": 1, '), F.expr("substr(props, 2)"))) \
@@ -241,6 +303,8 @@ SELECT o_orderkey, field_key,
 FROM l"""
 
 QUERIES = {
+    "quarantine_replay": q_quarantine_replay,
+    "evolving_schema": q_evolving_schema,
     "envelope_unwrap": q_envelope_unwrap,
     "json_repair": q_json_repair,
     "key_profile": q_key_profile,
@@ -253,6 +317,8 @@ QUERIES = {
 }
 
 SQL = {
+    "quarantine_replay": _QUARANTINE_SQL,
+    "evolving_schema": _EVOLVING_SQL,
     "envelope_unwrap": _ENV_SQL,
     "json_repair": _REPAIR_SQL,
     "key_profile": _KEYS_SQL,

@@ -87,8 +87,11 @@ def q_id_list_enrich(spark, sf_dir):
     t = lists.join(o, lists.l_orderkey == o.o_orderkey).select(
         "o_orderkey", F.when(F.col("o_orderstatus") == "O", F.regexp_replace("ids", ",", "，"))
         .otherwise(F.col("ids")).alias("servicer_ids"))
-    sup = table(spark, sf_dir, "supplier")
-    return T.enrich_id_list(t, "o_orderkey", "servicer_ids", sup, "s_suppkey", "s_name", "servicer_names")
+    # every third supplier stands in the dimension twice, with another name; every fifth ticket comes twice
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    sup = sup.unionByName(sup.where("s_suppkey % 3 = 0").withColumn("s_name", F.concat(F.lit("A "), F.col("s_name"))))
+    t = t.unionByName(t.where("o_orderkey % 5 = 0"))
+    return T.enrich_id_list(t, "servicer_ids", sup, "s_suppkey", "s_name", "servicer_names")
 
 
 _IDLIST_SQL = """
@@ -96,16 +99,19 @@ WITH lists AS (
   SELECT l_orderkey, string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY l_linenumber, l_suppkey, l_partkey) AS ids
   FROM lineitem GROUP BY l_orderkey),
 t AS (
-  SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN replace(ids, ',', '，') ELSE ids END AS servicer_ids
+  SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN replace(ids, ',', '，') ELSE ids END AS servicer_ids,
+    unnest(CASE WHEN o_orderkey % 5 = 0 THEN [1, 2] ELSE [1] END) AS copy
   FROM lists JOIN orders ON l_orderkey = o_orderkey),
+sup AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN least(s_name, 'A ' || s_name) ELSE s_name END AS s_name FROM supplier),
 ex AS (
-  SELECT o_orderkey, servicer_ids, trim(x.v) AS id, x.i
+  SELECT o_orderkey, copy, servicer_ids, trim(x.v) AS id, x.i
   FROM t, LATERAL (SELECT unnest(string_split(replace(servicer_ids, '，', ','), ',')) AS v,
                           generate_subscripts(string_split(replace(servicer_ids, '，', ','), ','), 1) AS i) x),
 named AS (
-  SELECT o_orderkey, servicer_ids, i, COALESCE(NULLIF(trim(s_name), ''), id) AS name
-  FROM ex LEFT JOIN supplier ON id = CAST(s_suppkey AS VARCHAR) WHERE id <> '')
-SELECT o_orderkey, servicer_ids, string_agg(name, ',' ORDER BY i) AS servicer_names FROM named GROUP BY ALL"""
+  SELECT o_orderkey, copy, servicer_ids, i, COALESCE(NULLIF(trim(s_name), ''), id) AS name
+  FROM ex LEFT JOIN sup ON id = CAST(s_suppkey AS VARCHAR) WHERE id <> '')
+SELECT o_orderkey, servicer_ids, string_agg(name, ',' ORDER BY i) AS servicer_names
+FROM named GROUP BY o_orderkey, copy, servicer_ids"""
 
 
 def option_tree(spark, sf_dir):
@@ -145,7 +151,10 @@ def q_option_decode(spark, sf_dir):
                           F.col("n_name").alias("option_value"))
     r = table(spark, sf_dir, "region")
     global_opts = r.select(F.col("r_regionkey").cast("string").alias("option_key"), F.col("r_name").alias("option_value"))
-    names = spark.createDataFrame(list(FIELD_NAMES.items()), "key string, name string")
+    # options and names that are given twice: the same option with another text, a name that is blank once
+    field_opts = field_opts.unionByName(field_opts.where("option_key % 2 = 0").withColumn("option_value", F.lit("ZZ")))
+    global_opts = global_opts.unionByName(global_opts.withColumn("option_value", F.lit("")))
+    names = spark.createDataFrame([*FIELD_NAMES.items(), ("click", " "), ("view", "览")], "key string, name string")
     return T.decode_field_values(eav, field_opts, global_opts, names)
 
 
@@ -154,7 +163,8 @@ _OPTDEC_SQL = f"""
 WITH eav AS (SELECT event_id, event_type AS field_key, json_extract_string(props, '$.k') AS field_value FROM events),
 names(key, name) AS (VALUES {_NAMES_VALUES})
 SELECT e.event_id, e.field_key, e.field_value,
-  COALESCE(CASE WHEN e.field_key = 'click' THEN n.n_name END, r.r_name, e.field_value) AS decoded_value,
+  COALESCE(CASE WHEN e.field_key = 'click' THEN CASE WHEN n.n_nationkey % 2 = 0 THEN least(n.n_name, 'ZZ') ELSE n.n_name END END,
+           r.r_name, e.field_value) AS decoded_value,
   COALESCE(NULLIF(trim(nm.name), ''), e.field_key) AS field_name
 FROM eav e
 LEFT JOIN nation n ON e.field_key = 'click' AND trim(e.field_value) = CAST(n.n_nationkey AS VARCHAR)

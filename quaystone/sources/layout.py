@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The contract snapshot layout, 69 legacy columns then 9 allocation columns
 # (header text, column name).
@@ -103,3 +105,83 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Union with schema evolution (S18): columns only in one side are NULL on the other."""
     return old.unionByName(new, allowMissingColumns=True)
+
+
+# -- files of differing schemas (S18) ---------------------------------------------------------
+
+#: Whole numbers in order of width, and the decimal digits that each may need.
+_WHOLE = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+_REAL = ("float", "double")
+_TIMES = ("date", "timestamp_ntz", "timestamp")
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds both: int to long to decimal, any number with a double to double, date to timestamp,
+    structs field by field, arrays and maps by their elements, anything else to text."""
+    if a == b:
+        return a
+    one, two = a.typeName(), b.typeName()
+    if "void" in (one, two):
+        return b if one == "void" else a
+    if one in _WHOLE and two in _WHOLE:
+        return a if _WHOLE[one] > _WHOLE[two] else b
+    digits = lambda t: (_WHOLE[t.typeName()], 0) if t.typeName() in _WHOLE else (t.precision - t.scale, t.scale)
+    exact = lambda t: t.typeName() in _WHOLE or t.typeName() == "decimal"
+    if exact(a) and exact(b):
+        whole, scale = (max(x) for x in zip(digits(a), digits(b)))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if (exact(a) or one in _REAL) and (exact(b) or two in _REAL):
+        return T.DoubleType()
+    if one in _TIMES and two in _TIMES:
+        return max((a, b), key=lambda t: _TIMES.index(t.typeName()))
+    if one == two == "struct":
+        return widest_schema([a, b])
+    if one == two == "array":
+        return T.ArrayType(wider_type(a.elementType, b.elementType))
+    if one == two == "map":
+        return T.MapType(wider_type(a.keyType, b.keyType), wider_type(a.valueType, b.valueType))
+    return T.StringType()
+
+
+def widest_schema(schemas: Sequence[T.StructType]) -> T.StructType:
+    """Every field of the schemas, in order of first appearance, as wide as its widest occurrence."""
+    fields: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            fields[f.name] = wider_type(fields[f.name], f.dataType) if f.name in fields else f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+def _widened(value: Column, has: T.DataType, wanted: T.DataType) -> Column:
+    if has == wanted:
+        return value
+    kind = has.typeName()
+    if wanted.typeName() == "string" and kind in ("struct", "array", "map"):
+        return F.to_json(value)
+    if kind == "struct":
+        held = {f.name: f.dataType for f in has.fields}
+        parts = [(_widened(value[f.name], held[f.name], f.dataType) if f.name in held
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if kind == "array":
+        return F.transform(value, lambda x: _widened(x, has.elementType, wanted.elementType))
+    if kind == "map":
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(
+            _widened(e["key"], has.keyType, wanted.keyType), _widened(e["value"], has.valueType, wanted.valueType)))
+        return F.map_from_entries(entries)
+    return value.cast(wanted)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in a wider schema; absent columns are NULL."""
+    held = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[(_widened(F.col(f"`{f.name}`"), held[f.name], f.dataType) if f.name in held
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def read_versions(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet folders whose schemas differ, as one table in the widest schema (S18). The footers give the schemas;
+    each folder is scanned once with its own, so filters and columns still reach the scans."""
+    frames = [spark.read.parquet(p) for p in paths]
+    schema = widest_schema([f.schema for f in frames])
+    return reduce(DataFrame.unionByName, [conform(f, schema) for f in frames])
