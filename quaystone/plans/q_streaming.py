@@ -45,6 +45,36 @@ def q_stream_ticket_feed(spark, sf_dir):
     return spark.read.parquet(out).select("ticket_id", "status", "update_dt", "create_month_label")
 
 
+def q_stream_ticket_late(spark, sf_dir):
+    """Three runs of one feed with a delay of 30 days: every ticket; open ones closed the day after the last, and all tickets
+    again; pending ones an hour more than a day before their time, most of them too late. The table, and the late versions."""
+    root = scratch_path(spark, "ticket-late")
+    src, out, late = (os.path.join(root, n) for n in ("in", "table", "late"))
+    o = table(spark, sf_dir, "orders")
+    base = o.select(F.col("o_orderkey").alias("ticket_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("update_dt"),
+                    month_label("o_orderdate").alias("create_month_label"))
+    closed = base.where(F.col("status") == "O").withColumn("status", F.lit("F")).withColumn("update_dt", F.lit(LAST_DAY).cast("timestamp_ntz"))
+    older = base.where(F.col("status") == "P").withColumn("status", F.lit("X")) \
+        .withColumn("update_dt", F.timestamp_add("HOUR", F.lit(-25), F.col("update_dt")))
+    for number, part in enumerate((base, closed.unionByName(base), older)):
+        part.write.mode("overwrite").json(os.path.join(src, f"drop={number}"))
+        run_ticket_feed(spark, os.path.join(src, "*"), TICKET_SCHEMA, out, stream_checkpoint=os.path.join(root, "seen"),
+                        delay="30 days", late_path=late)
+    columns = ["ticket_id", "status", "update_dt", "create_month_label"]
+    return spark.read.parquet(out).select(*columns, F.lit("stored").alias("place")).unionByName(
+        spark.read.parquet(late).select(*columns, F.lit("late").alias("place")))
+
+
+LAST_DAY = "2002-01-01 00:00:00"
+_LATE_SQL = f"""
+SELECT o_orderkey AS ticket_id, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
+  CASE WHEN o_orderstatus = 'O' THEN TIMESTAMP '{LAST_DAY}' ELSE o_orderdate END AS update_dt,
+  strftime(o_orderdate, '%Y-%m') AS create_month_label, 'stored' AS place
+FROM orders
+UNION ALL
+SELECT o_orderkey, 'X', o_orderdate - INTERVAL 25 HOUR, strftime(o_orderdate, '%Y-%m'), 'late'
+FROM orders WHERE o_orderstatus = 'P' AND o_orderdate - INTERVAL 25 HOUR <= TIMESTAMP '{LAST_DAY}' - INTERVAL 30 DAY"""
+
 _TICKET_SQL = """
 SELECT o_orderkey AS ticket_id,
   CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
@@ -95,6 +125,7 @@ def q_stream_scd2_many(spark, sf_dir):
 
 QUERIES = {
     "stream_ticket_feed": q_stream_ticket_feed,
+    "stream_ticket_late": q_stream_ticket_late,
     "stream_scd2": q_stream_scd2,
     "stream_scd2_many": q_stream_scd2_many,
 }
@@ -108,6 +139,7 @@ _HALF_TIME = ("make_timestamp(CAST(1995 + (batch_no - 1) // 2 AS BIGINT), CASE W
 
 SQL = {
     "stream_ticket_feed": _TICKET_SQL,
+    "stream_ticket_late": _LATE_SQL,
     "stream_scd2": "WITH " + history_sql().strip() + _HISTORY_COLUMNS,
     "stream_scd2_many": "WITH " + history_sql(_HALF, _HALF_TIME).strip() + _HISTORY_COLUMNS,
 }

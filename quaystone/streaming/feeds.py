@@ -91,17 +91,31 @@ def merge_tickets(current: DataFrame | None, batch: DataFrame, key: str, time_co
 
 def run_ticket_feed(spark: SparkSession, source_dir: str, schema: str, table_path: str, key: str = "ticket_id",
                     time_col: str = "update_dt", partition_col: str = "create_month_label",
-                    max_files_per_trigger: int | None = None, stream_checkpoint: str | None = None) -> None:
-    """Run the incremental ticket feed over every file present."""
+                    max_files_per_trigger: int | None = None, stream_checkpoint: str | None = None,
+                    delay: str | None = None, late_path: str | None = None) -> None:
+    """Run the incremental ticket feed over every file present.
+
+    With ``delay`` (an interval) the stream has a watermark on the time: a version that comes again within it is dropped before
+    the merge, with state bounded by the delay, and a version older than the watermark is too late. The versions that
+    passed are noted beside the table, so that those that came too late are told from repeats and written to ``late_path``
+    after the run. Rows without a time have no watermark and pass."""
     ckpt_root = checkpoint_dir(spark)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
+    seen = f"{table_path.rstrip('/')}__versions"
+    if delay:
+        # a watermark needs an instant: the wall clock counted from 1970, whatever the session's zone
+        at = F.timestamp_seconds(F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_col)))
+        timed = stream.where(F.col(time_col).isNotNull()).withColumn("__at", at).withWatermark("__at", delay)
+        stream = timed.dropDuplicatesWithinWatermark([key, time_col]).drop("__at").unionByName(stream.where(F.col(time_col).isNull()))
 
     def upsert(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
+        if delay:
+            batch_df.where(F.col(time_col).isNotNull()).select(key, time_col).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
         touched = batch_df.select(partition_col).distinct()
         current = None
         if _exists(spark, table_path):
@@ -117,6 +131,11 @@ def run_ticket_feed(spark: SparkSession, source_dir: str, schema: str, table_pat
     q = (stream.writeStream.foreachBatch(upsert).trigger(availableNow=True)
          .option("checkpointLocation", location).start())
     q.awaitTermination()
+    if delay and late_path:
+        passed = spark.read.parquet(seen).select(key, time_col) if _exists(spark, seen) else None
+        came = spark.read.schema(schema).json(source_dir).where(F.col(time_col).isNotNull()).dropDuplicates([key, time_col])
+        late = came if passed is None else came.join(passed, [key, time_col], "left_anti")
+        late.write.mode("overwrite").parquet(late_path)
 
 
 def run_scd2_feed(spark: SparkSession, source_dir: str, schema: str, table_path: str, key: str,

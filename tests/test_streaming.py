@@ -44,3 +44,19 @@ def test_scd2_feed_replay_adds_no_versions(spark, tmp_path):
     assert hist == [("a", 1, False, "B1"), ("a", 2, True, "B2"), ("b", 1, True, "B1")]
     run_scd2_feed(spark, os.path.join(src, "*"), schema, table, "id", stream_checkpoint=str(tmp_path / "ck2"))
     assert _rows(spark.read.parquet(table).select("id", "version_no", "is_current", "sync_batch_id")) == hist
+
+
+def test_ticket_feed_reports_what_came_too_late(spark, tmp_path):
+    """Versions within the delay are merged once however often they come; older ones are reported, repeats aren't."""
+    src, table, late = (str(tmp_path / n) for n in ("in", "table", "late"))
+    day = lambda n: dt.datetime(2026, 6, 1) + dt.timedelta(days=n)
+    drops = [[(1, "open", day(0), "2026-06"), (2, "open", day(20), "2026-06"), (9, "untimed", None, None)],
+             [(1, "open", day(0), "2026-06"), (2, "open", day(20), "2026-06"), (2, "done", day(21), "2026-06"), (3, "new", day(19), "2026-06")],
+             [(4, "lost", day(1), "2026-06"), (1, "lost", day(2), "2026-06"), (5, "kept", day(18), "2026-06"), (9, "untimed", None, None)]]
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, SCHEMA).write.mode("overwrite").json(os.path.join(src, f"drop={i}"))
+        run_ticket_feed(spark, os.path.join(src, "*"), SCHEMA, table, stream_checkpoint=str(tmp_path / "seen"), delay="10 days",
+                        late_path=late)
+    assert _rows(spark.read.parquet(table).select("ticket_id", "status")) == [
+        (1, "open"), (2, "done"), (3, "new"), (5, "kept"), (9, "untimed")]
+    assert _rows(spark.read.parquet(late).select("ticket_id", "status")) == [(1, "lost"), (4, "lost")]
