@@ -7,6 +7,7 @@ filter's bit table, of ``FILTER_WORDS`` words at most.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -49,6 +50,13 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffles of tables that have been written: Spark deletes their files when the driver's objects are
+    collected, which by itself may be after the query."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def told_apart(docs: DataFrame, *more: Column) -> DataFrame:
     """(doc, shown, text, more): ``shown`` is the doc_id, ``doc`` a key that no two rows share and that keeps the
     order of the doc_ids. Only where rows repeat a doc_id are they numbered, in the order of doc_id and text."""

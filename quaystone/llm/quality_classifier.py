@@ -166,7 +166,7 @@ def keep_good(docs: DataFrame, model, least: float = 0.5) -> DataFrame:
         at = names.index("text")
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for low, high, data, offsets in bt.chunks(batch.column(at).cast(pa.large_string())):
+            for low, high, data, offsets in bt.chunks(batch.column(at).cast(pa.large_string()), bt.CHUNK_BYTES // 2):
                 row, bucket = features(data, offsets)
                 total = np.bincount(row, weights=dense[bucket], minlength=high - low)
                 count = np.maximum(np.bincount(row, minlength=high - low), 1)
