@@ -126,20 +126,41 @@ SELECT batch, reason, COUNT(*) AS rejected, COUNT(*) FILTER (WHERE kind = 0) AS
 FROM e WHERE reason IS NOT NULL GROUP BY 1, 2"""
 
 
+#: Whole number types from the narrowest on, with the bits of their values.
+_WHOLE_BITS = {"short": 15, "int": 31, "long": 63}
+
+
+def narrowest_types(df, wanted):
+    """The type of each key (name -> expression, narrowest type allowed) that holds all its values: one row of bounds reaches
+    the driver."""
+    bounds = df.agg(*[f(e.cast("long")).alias(f"{n}_{f.__name__}") for n, (e, _) in wanted.items() for f in (F.min, F.max)]).collect()[0]
+    kinds = list(_WHOLE_BITS)
+
+    def holds(kind, name):
+        low, high = bounds[f"{name}_min"], bounds[f"{name}_max"]
+        return low is None or -(1 << _WHOLE_BITS[kind]) <= low and high < 1 << _WHOLE_BITS[kind]
+
+    return {n: next(k for k in kinds[kinds.index(least):] if holds(k, n)) for n, (_, least) in wanted.items()}
+
+
 def q_evolving_schema(spark, sf_dir):
     """Orders written in three versions of a schema, read as one: whole numbers that become long and decimal, a number that
-    becomes text, a struct that gets a field, a column that comes late."""
+    becomes text, a struct that gets a field, a column that comes late. The old versions have the narrowest types that hold
+    their keys."""
     o = table(spark, sf_dir, "orders")
     y, path = F.year("o_orderdate"), scratch_path(spark, "versions")
     code = F.substring("o_orderpriority", 1, 1)
-    first = o.where(y <= 1996).select(F.col("o_orderkey").cast("int").alias("id"), F.floor("o_totalprice").cast("int").alias("total"),
-                                      code.cast("int").alias("priority"), F.struct(F.col("o_custkey").cast("int").alias("id")).alias("customer"))
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    kind = narrowest_types(o, {"id": (F.when(y <= 1996, key), "int"), "customer": (F.when(y <= 1996, customer), "int"),
+                               "late_customer": (F.when(y > 1998, customer), "short")})
+    first = o.where(y <= 1996).select(key.cast(kind["id"]).alias("id"), F.floor("o_totalprice").cast("int").alias("total"),
+                                      code.cast("int").alias("priority"), F.struct(customer.cast(kind["customer"]).alias("id")).alias("customer"))
     second = o.where(y.between(1997, 1998)).select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(12,1)").alias("total"), F.col("o_orderpriority").alias("priority"),
         F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("state")).alias("customer"))
     third = o.where(y > 1998).select(
         F.col("o_totalprice").cast("decimal(9,2)").alias("total"), F.col("o_orderkey").alias("id"),
-        F.col("o_orderdate").cast("date").alias("day"), F.struct(F.col("o_custkey").cast("short").alias("id")).alias("customer"))
+        F.col("o_orderdate").cast("date").alias("day"), F.struct(customer.cast(kind["late_customer"]).alias("id")).alias("customer"))
     paths = [f"{path}/v{k}" for k in (1, 2, 3)]
     for df, p in zip((first, second, third), paths):
         df.write.parquet(p)

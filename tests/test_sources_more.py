@@ -129,3 +129,15 @@ def test_field_lines(spark, line, field, kind, comment, label):
     docs = spark.createDataFrame([(1, f"h3.  t_x 表\nx\n字段\n{line}\npainting the wall\n1a int x\nint\n")], "doc_id int, text string")
     rows = LB.dictionary_fields(LB.text_lines(docs, "doc_id", "text"), text="line").collect()
     assert [(r.table, r.table_title, r.field, r.field_type, r.comment, r.label) for r in rows] == [("t_x", "表", field, kind, comment, label)]
+
+
+def test_evolving_schema_wide_keys(spark, tmp_path):
+    """Keys beyond the narrow types of the old versions."""
+    from quaystone.plans.q_sources import q_evolving_schema
+    rows = [(3_000_000_000, 70_000, "1996-03-01"), (3_000_000_001, 4_000_000_000, "1997-03-01"), (5, 40_000, "1999-03-01"), (6, None, "1999-03-02")]
+    spark.createDataFrame([(k, c, "F", 1.0 * 12.34, d, "1-URGENT") for k, c, d in rows],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, d string, o_orderpriority string") \
+        .selectExpr("* except(d)", "cast(d as timestamp_ntz) as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    out = q_evolving_schema(spark, str(tmp_path))
+    assert out.schema["id"].dataType.typeName() == out.schema["customer_id"].dataType.typeName() == "long"
+    assert sorted((r.id, r.customer_id) for r in out.collect() if r.customer_id) == sorted((k, c) for k, c, _ in rows if c)
