@@ -1,4 +1,5 @@
 """Run every composite job once on small inputs built from sf0.001."""
+import pytest
 import datetime as dt
 from decimal import Decimal
 
@@ -128,3 +129,23 @@ def test_service_views_and_loaders(spark):
     cur = spark.createDataFrame([("1000012", "旧")], "employee_no string, name string")
     p = J.load_personnel(rows, cur, {"工号": "employee_no", "姓名": "name"}).collect()
     assert [(r.employee_no, r.name, r.outcome) for r in p] == [("1000012", "张", "updated")]
+
+
+def test_resolve_tickets_names_without_the_rows(spark, monkeypatch):
+    """The names of the custom fields come from their keys, not from a first run of the whole resolve; ids and kinds that
+    read alike when joined stay apart."""
+    from quaystone.operators import tickets as T
+    monkeypatch.setattr(T, "field_name_codes", lambda *a: pytest.fail("the resolved rows were read for the names"))
+    details = spark.createDataFrame([("1", "0", [("p", "广东省"), ("x", "1:y"), ("x1", ":y"), (None, "z"), (" p ", "湖南省")]), ("2", None, None)],
+                                    "ticketId string, servicerUserId string, custom_fields array<struct<key:string,value:string>>")
+    pairs = lambda rows, names: spark.createDataFrame(rows, names)
+    out = J.resolve_tickets(
+        details, contacts=pairs([("c", "C")], "cId string, realName string"), agents=pairs([("0", "zero")], "sId string, name string"),
+        groups=pairs([("1", "g")], "gId string, name string"), templates=pairs([("1", "t")], "tId string, name string"),
+        field_options=pairs([("x", "1:y", "first"), ("x1", ":y", "second")], "field_key string, option_key string, option_value string"),
+        global_options=pairs([("z", "any")], "option_key string, option_value string"),
+        field_names=pairs([("p", "省份"), ("p", "省份2"), ("x", " ")], "key string, name string"))
+    rows = {r.ticketId: r for r in out.collect()}
+    assert [(f.key, f.value) for f in rows["1"].resolved_fields] == [
+        ("省份", "广东省"), ("x", "first"), ("x1", "second"), (None, "any"), ("省份", "湖南省")]
+    assert rows["1"].province == "广东省" and rows["1"].servicer_user_name is None and rows["2"].province is None
