@@ -9,6 +9,7 @@ from quaystone.functions.codes import map_literal  # noqa: F401  (re-export conv
 from quaystone.functions.dates import period_bounds
 from quaystone.functions.numbers import growth_rate, rate, round_units
 from quaystone.functions.text import strip_all
+from quaystone.session import checkpoint_dir
 
 # Eligibility of a contract line for the revenue metrics.
 ELIGIBLE_VALUES = {
@@ -90,10 +91,17 @@ def round_metrics(sums: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def revenue_metrics(snapshot: DataFrame, year: int, month: int,
-                    platform: str = "sales_platform") -> DataFrame:
-    """Seven conditional sums per platform on one snapshot, rounded to units (A1)."""
-    rows = valid_platform(snapshot, platform).withColumn(platform, strip_all(platform))
-    return round_metrics(metric_sums(rows, [platform], year, month), [platform])
+                    platform: str = "sales_platform", platforms: DataFrame | None = None) -> DataFrame:
+    """Seven conditional sums per platform on one snapshot, rounded to units (A1).
+
+    With ``platforms`` the lines have no platform but the key columns of that table (all but ``platform``): they are
+    summed per key first, so that the join sees a row per key and not one per line."""
+    if platforms is None:
+        rows = valid_platform(snapshot, platform).withColumn(platform, strip_all(platform))
+        return round_metrics(metric_sums(rows, [platform], year, month), [platform])
+    keys = [c for c in platforms.columns if c != platform]
+    named = valid_platform(platforms, platform).withColumn(platform, strip_all(platform))
+    return round_metrics(metric_sums(snapshot, keys, year, month).join(named, keys), [platform])
 
 
 def build_revenue_rows(targets: DataFrame, metrics: DataFrame, year: int, month: int,
@@ -178,7 +186,8 @@ def load_targets(raw: DataFrame, year: int, month: int) -> DataFrame:
     """Usable targets for one period; raises when a target is NULL, duplicated, or none exist.
 
     The check pulls at most 20 aggregated problem rows (bounded by platforms)."""
-    period = raw.where((F.col("year") == year) & (F.col("month") == month))
+    checkpoint_dir(raw.sparkSession)
+    period = raw.where((F.col("year") == year) & (F.col("month") == month)).checkpoint()  # read three times
     problems = target_problems(period).limit(20).collect()
     if problems:
         raise ValueError(f"bad targets for {year}-{month:02d}: {[tuple(p) for p in problems]}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,8 @@ RATE_COLUMNS = ("revenue_completion_rate", "contracts_on_hand_yoy_rate",
                 "recognized_revenue_yoy_rate", "signing_yoy_rate")
 
 
-def allocated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = contract_lines(spark, sf_dir)
+def allocated_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    lines = contract_lines(spark, sf_dir, lines, keep)
     out = allocation.add_allocation_columns(
         lines, start="service_start", end="service_end", amount="product_amount",
         apply_year="apply_year", prior_period=PRIOR_PERIOD, current_period=CURRENT_PERIOD)
@@ -135,17 +137,18 @@ def q_target_sheet(spark, sf_dir):
 
 def _revenue_job(spark, sf_dir):
     """G6 on two snapshots of the contract lines, the newer one whole; targets for the first twenty nations only, with a total row."""
-    plat = supplier_platform(spark, sf_dir)
-    lines = allocated_lines(spark, sf_dir)
-    lines = lines.join(plat, lines.l_suppkey == plat.s_suppkey, "left")
-    snapshot = lines.withColumn("create_date", F.lit("20260713")).unionByName(
-        lines.where("l_linenumber = 1").withColumn("create_date", F.lit("20260601")))
+    # the lines carry their date from the scan on, so the latest date is sought without the orders
+    li = table(spark, sf_dir, "lineitem")
+    dated = li.withColumn("create_date", F.lit("20260713")).unionByName(
+        li.where("l_linenumber = 1").withColumn("create_date", F.lit("20260601")))
+    snapshot = allocated_lines(spark, sf_dir, dated, keep=["create_date"])
+    platforms = supplier_platform(spark, sf_dir).withColumnRenamed("s_suppkey", "l_suppkey")
     targets = platform_targets(spark, sf_dir).where("n_nationkey < 20").select(
         F.lit(STAT_YEAR).alias("year"), F.lit(STAT_MONTH).alias("month"), F.concat(F.lit(" "), F.col("sales_platform")).alias("sales_platform"),
         "revenue_target")
     total = targets.groupBy("year", "month").agg(F.sum("revenue_target").cast("decimal(18,0)").alias("revenue_target")).select(
         "year", "month", F.lit(revenue.TOTAL_LABEL).alias("sales_platform"), "revenue_target")
-    return revenue_summary(targets.unionByName(total), snapshot, STAT_YEAR, STAT_MONTH)
+    return revenue_summary(targets.unionByName(total), snapshot, STAT_YEAR, STAT_MONTH, platforms=platforms)
 
 
 def q_revenue_summary(spark, sf_dir):

@@ -1,6 +1,10 @@
+import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from quaystone.operators import revenue as R
+from quaystone.operators.sampling import latest_snapshot
 
 
 def test_build_revenue_rows(spark):
@@ -43,3 +47,29 @@ def test_target_problems(spark):
                                 "year int, month int, sales_platform string, revenue_target double")
     probs = {r.sales_platform for r in R.target_problems(raw).collect()}
     assert probs == {"A", "B"}
+
+
+def test_platform_table_gives_the_sums_of_joined_lines(spark):
+    flags = {**R.ELIGIBLE_VALUES, "is_estimated_ops": "否"}
+    lines = spark.createDataFrame([(k, Decimal(n), Decimal(n), Decimal(1), Decimal(1), Decimal(1), dt.date(2026, 2, 1), *flags.values())
+                                   for k, n in ((1, 10), (1, 5), (2, 7), (3, 9), (None, 4))],
+                                  "k long, cur_year_revenue decimal(18,2), prev_year_revenue decimal(18,2), cur_year_adjusted_amort decimal(18,2), "
+                                  "prev_year_adjusted_amort decimal(18,2), product_amount decimal(18,2), contract_apply_date date, "
+                                  + ", ".join(f"{c} string" for c in flags))
+    # key 1 twice, key 2 without a name, key 3 not named at all
+    platforms = spark.createDataFrame([(1, " A"), (1, "B"), (2, " "), (None, "C")], "k long, sales_platform string")
+    got = R.revenue_metrics(lines, 2026, 6, platforms=platforms)
+    joined = R.revenue_metrics(lines.join(platforms, "k", "left"), 2026, 6)
+    assert got.schema == joined.schema
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect()))
+    assert {r.sales_platform: int(r.recognized_revenue) for r in got.collect()} == {"A": 15, "B": 15}
+
+
+def test_rows_of_older_snapshots_are_not_read(spark):
+    lines = spark.range(10).withColumnRenamed("id", "line")
+    both = lines.withColumn("create_date", F.lit("20260713")).unionByName(
+        lines.where("line < 3").withColumn("create_date", F.lit("20260601")))
+    newest = latest_snapshot(both)
+    assert "Union" not in newest._jdf.queryExecution().optimizedPlan().toString()
+    assert newest.count() == 10
+    assert latest_snapshot(both.where("line > 20")).count() == 0
