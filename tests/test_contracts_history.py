@@ -122,3 +122,18 @@ def test_dedup_plans_agree_on_unique_order(spark):
     slow = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], "seq").collect()), key=str)
     fast = sorted(map(tuple, C.dedup_keep_last(df, ["a", "b", "c"], ["seq"]).collect()), key=str)
     assert slow == fast and [r[3] for r in sorted(fast, key=lambda r: r[3])] == [3, 4, 5]
+
+
+def test_rule_and_typing_texts_are_trimmed_once(spark):
+    def trims(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("trim(")
+
+    df = spark.createDataFrame([(" 实施服务 ", " 1,200 ", "2026/7/5 10:00"), ("x", "5 %", "20260230"), (None, "/", "2026-02-30")],
+                               "a string, b string, c string").toDF("核算收入类型分组", "产品金额", "合同申请日期")
+    group = df.select(C.business_type(F.col("核算收入类型分组")).alias("x"))
+    assert [r.x for r in group.collect()] == ["实施服务费", "其他", "其他"]
+    assert trims(group) == 1
+    typed = C.type_by_name(df.select("产品金额", "合同申请日期"))
+    assert [tuple(r) for r in typed.collect()] == [(1200.0, "20260705"), (0.05, "20260230"), (0.0, "2026-02-30")]
+    # one of each text, and the two of the literal in an amount
+    assert trims(typed) == 4
