@@ -65,3 +65,24 @@ def test_merge_keeps_one_table_and_no_shuffle_of_its_steps(spark):
     rows = merged.orderBy("序号").collect()
     assert [r["序号"] for r in rows] == list(range(1, 14)) and [r["合同编号"] for r in rows[-5:]] == ["11", "12", "13", "14", "15"]
     assert rows[0]["产品金额"] == 1000.5 and rows[-1]["营销平台"] == "NATION_4"
+
+
+def test_ingest_writes_its_batches_as_tables(spark):
+    day = "2026-01-05 10:00:00"
+    fields = "custom_fields array<struct<key string, value string>>"
+    come = spark.createDataFrame([("1", "a", "7", "", day, day, [("f", "1")]), ("2", "b", "8", "", day, day, []), ("x", "c", "7", "", day, day, [])],
+                                 f"ticketId string, subject string, custUserId string, ticketTemplateId string, createDT string, updateDT string, {fields}")
+    stored = spark.createDataFrame([(2, dt.datetime(2026, 1, 5, 10), dt.datetime(2026, 1, 5, 10), "old")],
+                                   "ticket_id long, create_dt timestamp_ntz, source_updated_at timestamp_ntz, subject string")
+    child = spark.createDataFrame([], "ticket_id long, create_dt timestamp_ntz, field_key string, field_value string")
+    named = lambda i, n: spark.createDataFrame([], f"{i} string, {n} string")
+    args = dict(contacts=spark.createDataFrame([("7", "Ann")], "cId string, realName string"), agents=named("sId", "name"),
+                groups=named("gId", "name"), templates=named("tId", "name"), field_names=named("key", "name"),
+                field_options=spark.createDataFrame([], "field_key string, option_key string, option_value string"),
+                global_options=named("option_key", "option_value"))
+    rdds, tables = _rdds(spark), _tables(_folder(spark))
+    out = J.ingest_tickets(come, stored, child, args)
+    assert _rdds(spark) == rdds and sorted(t.split("-")[0] for t in _tables(_folder(spark)) - tables) == ["marked", "resolved"]
+    assert sorted(map(tuple, out["main"].select("ticket_id", "subject").collect())) == [(1, "a"), (2, "old")]
+    assert [tuple(r) for r in out["child"].select("ticket_id", "field_key", "field_value").collect()] == [(1, "f", "1")]
+    assert out["counts"].select("inserted", "skipped", "failed").first().asDict() == {"inserted": 1, "skipped": 1, "failed": 1}
